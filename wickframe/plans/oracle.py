@@ -191,7 +191,8 @@ FROM message WHERE sequence >= (SELECT (max(event_id) + 1) // 2 FROM events)""",
     "candles_5m_1m_compat": _query(_candles(_COMPAT_MIDS), _ALL_CANDLES),
     "candles_5m_1m_null_mids": _query(_candles(_NULL_MIDS, nulls=True), _ALL_CANDLES),
     "candles_1d_6h": _DAY_FROM_LOG,
-    "candles_from_panes": _query(_candles(_CLEAN_MIDS, _DAY), _ALL_CANDLES),
+    "candles_from_panes": _query(_CLEAN_CANDLES, _ALL_CANDLES),
+    "candles_1d_6h_from_panes": _query(_candles(_CLEAN_MIDS, _DAY), _ALL_CANDLES),
     "candle_low_high": _query(
         _CLEAN_CANDLES, "SELECT currency_pair, open_time, low_price, high_price FROM candle"
     ),

@@ -13,7 +13,7 @@ from wickframe.schemas import COMPAT, EXACT, PriceMode
 from wickframe.session import pin_utc, scratch_dir
 from wickframe.sources import quotes
 from wickframe.sources.ticklog import FileLog, as_log, read_log, replay
-from wickframe.streaming.stream import candle_stream, run_to_end, start_candle_stream
+from wickframe.streaming.stream import candle_stream, start_candle_stream
 from wickframe.streaming.table import current_candles, write_epoch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,12 +162,22 @@ def candles_1d_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candles_from_log(_log(spark, sf_dir), *DAY)
 
 
-def candles_from_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two candle sizes' panes are one table: day candles rolled up from stored hourly panes."""
+def _from_stored_panes(
+    spark: SparkSession, sf_dir: str, width: str, size: str, slide: str
+) -> DataFrame:
+    """Candles rolled up from a stored pane table, without reading ticks again."""
     path = scratch_dir(spark, "panes")
-    hourly = ohlc.panes(_clean_mids(spark, sf_dir), "1 hour", "1 hour")
-    hourly.write.parquet(path)
-    return ohlc.roll_up(spark.read.schema(hourly.schema).parquet(path), *DAY)
+    pane_bars = ohlc.panes(_clean_mids(spark, sf_dir), width, width)
+    pane_bars.write.mode("overwrite").parquet(path)
+    return ohlc.roll_up(spark.read.schema(pane_bars.schema).parquet(path), size, slide)
+
+
+def candles_from_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_stored_panes(spark, sf_dir, "1 minute", ohlc.SIZE, ohlc.SLIDE)
+
+
+def candles_1d_6h_from_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _from_stored_panes(spark, sf_dir, "1 hour", *DAY)
 
 
 def candle_low_high(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,11 +234,9 @@ def _stream_log(
 ) -> None:
     source = FileLog(path, max_files_per_trigger=_files_per_trigger(spark, path, triggers))
     mids = decode.mids_from_messages(read_log(spark, source, streaming=True))
-    run_to_end(
-        start_candle_stream(
-            candle_stream(mids, *window), table, checkpoint, trigger={"availableNow": True}
-        )
-    )
+    changes = candle_stream(mids, *window)
+    query = start_candle_stream(changes, table, checkpoint, trigger={"availableNow": True})
+    query.awaitTermination()
 
 
 def _write_interleaved(log: DataFrame, path: str) -> None:
@@ -255,7 +263,7 @@ def stream_source_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         .trigger(availableNow=True)
         .start()
     )
-    run_to_end(query)
+    query.awaitTermination()
     counts = spark.read.schema("key string, messages long").parquet(f"{base}/counts")
     return counts.groupBy("key").agg(F.sum("messages").alias("messages"))
 
@@ -311,6 +319,7 @@ QUERIES: dict[str, Query] = {
         candles_5m_1m_null_mids,
         candles_1d_6h,
         candles_from_panes,
+        candles_1d_6h_from_panes,
         candle_low_high,
         candle_open_close,
         candle_not_null_violations,

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT
 from wickframe.operators.ingest import accepted, encode_messages, gate_log, grade
@@ -66,6 +66,26 @@ def _refuse_foreign_table(spark: SparkSession, table: str, checkpoint: str) -> N
         )
 
 
+def _start(
+    sink: DataStreamWriter, checkpoint: str, trigger: dict[str, Any] | None
+) -> StreamingQuery:
+    if trigger:
+        sink = sink.trigger(**trigger)
+    return sink.option("checkpointLocation", checkpoint).start()
+
+
+def _start_stateful(
+    rows: DataFrame,
+    sink: DataStreamWriter,
+    checkpoint: str,
+    trigger: dict[str, Any] | None,
+    state_partitions: int | None,
+) -> StreamingQuery:
+    spark = rows.sparkSession
+    with scoped_conf(spark, state_conf(spark, state_partitions)):
+        return _start(sink, checkpoint, trigger)
+
+
 def start_candle_stream(
     candle_changes: DataFrame,
     table: str,
@@ -80,17 +100,13 @@ def start_candle_stream(
     The checkpoint resumes offsets and state, so a restart inside a window continues its candle
     instead of rebuilding it from what comes after. Without ``trigger`` batches run back to back.
     """
-    spark = candle_changes.sparkSession
-    _refuse_foreign_table(spark, table, checkpoint)
-    writer = (
-        candle_changes.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, epoch_id: upsert(batch, table, epoch_id) and None)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    with scoped_conf(spark, state_conf(spark, state_partitions)):
-        return writer.start()
+    _refuse_foreign_table(candle_changes.sparkSession, table, checkpoint)
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        upsert(batch, table, epoch_id)
+
+    sink = candle_changes.writeStream.outputMode("update").foreachBatch(write_batch)
+    return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
 
 
 def start_row_store_stream(
@@ -102,16 +118,8 @@ def start_row_store_stream(
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Send changed candles to a writer object with ``open``, ``process`` and ``close``."""
-    spark = candle_changes.sparkSession
-    writer = (
-        candle_changes.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreach(row_writer)
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    with scoped_conf(spark, state_conf(spark, state_partitions)):
-        return writer.start()
+    sink = candle_changes.writeStream.outputMode("update").foreach(row_writer)
+    return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
 
 
 def start_ingest_stream(
@@ -127,17 +135,8 @@ def start_ingest_stream(
     Rows with ``passed = true`` are the log (``FileLog(log_path, gated=True)`` reads them), the
     others what the gate turned away, with its reason. The file sink commits batches exactly once.
     """
-    writer = (
-        gate_log(quotes, mode)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", log_path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("passed")
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
+    sink = gate_log(quotes, mode).writeStream.format("parquet").partitionBy("passed")
+    return _start(sink.option("path", log_path), checkpoint, trigger)
 
 
 def start_kafka_producer(
@@ -152,18 +151,6 @@ def start_kafka_producer(
 ) -> StreamingQuery:
     """Send what the gate accepts to a topic, keyed by pair (needs Spark's Kafka connector)."""
     messages = encode_messages(accepted(grade(quotes, mode))).select("key", "value")
-    writer = (
-        messages.writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", ",".join(servers))
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-        .options(**(options or {}))
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
-
-
-def run_to_end(query: StreamingQuery) -> None:
-    """Wait for an ``availableNow`` query; its failure is raised here."""
-    query.awaitTermination()
+    sink = messages.writeStream.format("kafka").options(**(options or {}))
+    sink = sink.option("kafka.bootstrap.servers", ",".join(servers)).option("topic", topic)
+    return _start(sink, checkpoint, trigger)

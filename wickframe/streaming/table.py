@@ -3,73 +3,64 @@
 Every micro-batch writes its changed candles under its own version, partitioned by the date of
 ``open_time``::
 
-    <table>/open_date=2024-01-01/version=14/part-….parquet
+    <table>/valid=true/open_date=2024-01-01/version=14/part-….parquet
 
 A replayed batch overwrites its own version and nothing else, so at-least-once delivery leaves the
 same table. Readers take the newest version of each key. Epoch ``n`` writes version ``2n``;
 compacting everything up to epoch ``n`` writes version ``2n + 1``, which holds the rows that win
 among versions up to ``2n``. A reader therefore gets the same rows before, during and after a
 compaction, and older versions are removed only when it is done.
+
+Candles that break the NOT NULL contract are kept under ``valid=false``, out of readers' sight.
 """
 
 from __future__ import annotations
 
-import logging
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickframe.operators.contract import breaks_not_null
 from wickframe.schemas import CANDLE_COLUMNS, CANDLE_KEY, EXACT, PriceMode, candle_schema
+from wickframe.session import scoped_conf
 from wickframe.streaming import paths
 
-log = logging.getLogger(__name__)
-
 
 def _stored_schema(mode: PriceMode) -> T.StructType:
     return T.StructType(
-        candle_schema(mode).fields
-        + [T.StructField("open_date", T.DateType()), T.StructField("version", T.LongType())]
+        [
+            *candle_schema(mode),
+            T.StructField("valid", T.BooleanType()),
+            T.StructField("open_date", T.DateType()),
+            T.StructField("version", T.LongType()),
+        ]
     )
 
 
-def _write(rows: DataFrame, path: str, version: int) -> None:
-    # One writer per date keeps files few. Adaptive execution splits a date that is too large.
-    (
-        rows.select(
-            *CANDLE_COLUMNS,
-            F.to_date("open_time").alias("open_date"),
-            F.lit(version).cast("bigint").alias("version"),
-        )
-        .hint("rebalance", "open_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("open_date", "version")
-        .parquet(path)
+def _write(candle_rows: DataFrame, path: str, version: int) -> None:
+    rows = candle_rows.select(
+        *CANDLE_COLUMNS,
+        (~breaks_not_null()).alias("valid"),
+        F.to_date("open_time").alias("open_date"),
+        F.lit(version).cast("bigint").alias("version"),
     )
-
-
-def write_epoch(candle_rows: DataFrame, path: str, epoch_id: int) -> int:
-    """Upsert one batch of candles as epoch ``epoch_id``; returns how many broke the contract.
-
-    Rows with a NULL go to ``<path>_quarantine`` instead. They are counted while the batch is
-    written, and only a batch that has any is read a second time.
-    """
-    refused = Observation()
-    checked = candle_rows.observe(refused, F.count_if(breaks_not_null()).alias("violations"))
-    _write(checked.filter(~breaks_not_null()), path, 2 * epoch_id)
-    violations = refused.get["violations"]
-    if violations:
-        log.warning("epoch %s: %s candles break NOT NULL, quarantined", epoch_id, violations)
+    # Rebalancing merges the shuffle partitions of a small batch into one file per date and splits
+    # a date that is too large for one. It needs adaptive execution, which streams switch off.
+    with scoped_conf(rows.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
         (
-            candle_rows.filter(breaks_not_null())
-            .select(*CANDLE_COLUMNS)
+            rows.hint("rebalance", F.col("valid"), F.col("open_date"))
             .write.mode("overwrite")
-            .parquet(f"{path}_quarantine/epoch_id={epoch_id}")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("valid", "open_date", "version")
+            .parquet(path)
         )
-    return violations
+
+
+def write_epoch(candle_rows: DataFrame, path: str, epoch_id: int) -> None:
+    """Upsert one batch of candles as epoch ``epoch_id``, in one pass over the batch."""
+    _write(candle_rows, path, 2 * epoch_id)
 
 
 def _newest(stored: DataFrame) -> DataFrame:
@@ -83,7 +74,11 @@ def _newest(stored: DataFrame) -> DataFrame:
 
 
 def _stored(
-    spark: SparkSession, path: str, mode: PriceMode, since: date | None, until: date | None
+    spark: SparkSession,
+    path: str,
+    mode: PriceMode,
+    since: date | None = None,
+    until: date | None = None,
 ) -> DataFrame:
     rows = spark.read.schema(_stored_schema(mode)).parquet(path)
     if since is not None:
@@ -101,31 +96,46 @@ def current_candles(
     until: date | None = None,
 ) -> DataFrame:
     """The table as readers see it. ``since``/``until`` bound ``open_date`` and prune folders."""
-    return _newest(_stored(spark, path, mode, since, until))
+    return _newest(_stored(spark, path, mode, since, until).filter("valid"))
+
+
+def quarantined_candles(spark: SparkSession, path: str, mode: PriceMode = EXACT) -> DataFrame:
+    """Candles the contract refused, with the version that wrote them."""
+    return _stored(spark, path, mode).filter("not valid").select(*CANDLE_COLUMNS, "version")
+
+
+def _versions(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Versions in each date folder."""
+    days = [d for d in paths.children(spark, f"{path}/valid=true") if d.startswith("open_date=")]
+    return {
+        day: [
+            int(name.removeprefix("version="))
+            for name in paths.children(spark, f"{path}/valid=true/{day}")
+            if name.startswith("version=")
+        ]
+        for day in days
+    }
 
 
 def compact(
-    spark: SparkSession,
-    path: str,
-    upto_epoch: int,
-    mode: PriceMode = EXACT,
-    since: date | None = None,
-    until: date | None = None,
-) -> None:
-    """Merge all versions up to a finished epoch into one, then remove the merged ones.
+    spark: SparkSession, path: str, upto_epoch: int, mode: PriceMode = EXACT
+) -> list[str]:
+    """Merge the versions up to a finished epoch, for dates that have several, and remove them.
 
-    Run it when no reader is mid-query: a query planned before the removal loses its files.
+    Returns the dates merged. Run it when no reader is mid-query: a query planned before the
+    removal loses its files.
     """
     merged = 2 * upto_epoch + 1
-    rows = _stored(spark, path, mode, since, until).filter(F.col("version") < merged)
+    before = {
+        day: [v for v in versions if v < merged] for day, versions in _versions(spark, path).items()
+    }
+    days = sorted(day.removeprefix("open_date=") for day, old in before.items() if len(old) > 1)
+    if not days:
+        return []
+    wanted = F.col("valid") & F.col("open_date").isin([date.fromisoformat(d) for d in days])
+    rows = _stored(spark, path, mode).filter(wanted & (F.col("version") < merged))
     _write(_newest(rows), path, merged)
-    for day in paths.children(spark, path):
-        versions = {
-            int(name.removeprefix("version="))
-            for name in paths.children(spark, f"{path}/{day}")
-            if name.startswith("version=")
-        }
-        if merged in versions:
-            for version in versions:
-                if version < merged:
-                    paths.delete(spark, f"{path}/{day}/version={version}")
+    for day in days:
+        for version in before[f"open_date={day}"]:
+            paths.delete(spark, f"{path}/valid=true/open_date={day}/version={version}")
+    return days
