@@ -13,7 +13,7 @@ from wickframe.plans.candles import candles_from_log, candles_from_raw
 from wickframe.schemas import CANDLE_COLUMNS
 from wickframe.sources import quotes
 from wickframe.sources.ticklog import FileLog, as_log, read_log
-from wickframe.streaming.rowstore import RowStoreWriter, upsert_statement
+from wickframe.streaming.rowstore import RowStoreWriter, table_ddl, upsert_statement
 from wickframe.streaming.stream import (
     candle_stream,
     start_candle_stream,
@@ -149,9 +149,8 @@ def test_raw_quotes_through_both_streams(spark, sf_dir, tmp_path):
 
 def test_row_store_writer_upserts(spark, log, batch_candles, tmp_path):
     file = str(tmp_path / "candles.db")
-    columns = ", ".join(f"{c} text not null" for c in CANDLE_COLUMNS)
     with sqlite3.connect(file) as db:
-        db.execute(f"create table candle ({columns}, unique (currency_pair, open_time))")
+        db.execute(table_ddl("candle"))
 
     # Local functions travel to the tasks by value.
     def connect():
@@ -170,12 +169,14 @@ def test_row_store_writer_upserts(spark, log, batch_candles, tmp_path):
     ).awaitTermination()
     with sqlite3.connect(file) as db:
         stored = db.execute(f"select {', '.join(CANDLE_COLUMNS)} from candle").fetchall()
-    assert sorted(stored) == sorted(tuple(as_text(v) for v in r) for r in batch_candles)
+    # The store keeps numbers as binary floats.
+    expected = [(r[0], *map(float, r[1:5]), str(r[5]), str(r[6])) for r in batch_candles]
+    assert sorted(stored) == sorted(expected)
 
 
 def test_row_store_writer_discards_a_failed_task():
     db = sqlite3.connect(":memory:")
-    db.execute(f"create table t ({', '.join(CANDLE_COLUMNS)}, unique (currency_pair, open_time))")
+    db.execute(table_ddl("t"))
     writer = RowStoreWriter(lambda: db, "t", marker="?", rows_per_commit=10)
     row = dict.fromkeys(CANDLE_COLUMNS, 1)
     assert writer.open(0, 0)

@@ -12,6 +12,14 @@ from typing import Any
 from wickframe.schemas import CANDLE_COLUMNS, CANDLE_KEY, CANDLE_PRICES
 
 
+def table_ddl(table: str) -> str:
+    """The table's contract: no NULLs, one row per pair and open time."""
+    types = dict.fromkeys(CANDLE_PRICES, "numeric")
+    types |= {"currency_pair": "text", "open_time": "timestamp", "close_time": "timestamp"}
+    columns = ", ".join(f"{c} {types[c]} not null" for c in CANDLE_COLUMNS)
+    return f"create table {table} ({columns}, unique ({', '.join(CANDLE_KEY)}))"
+
+
 def upsert_statement(table: str, marker: str = "%s") -> str:
     """Insert a candle, or replace the prices of the one with the same key."""
     return (
