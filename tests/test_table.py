@@ -111,32 +111,66 @@ def test_unique_violations(spark):
     assert contract.unique_violations(frame(spark, rows)).first().violations == 1
 
 
+def versions(path):
+    return sorted({int(f.split("version=")[1].split("/")[0]) for f in files(path)})
+
+
 def test_compaction_keeps_rows_and_removes_old_versions(spark, tmp_path):
     path = str(tmp_path / "t")
     expected = random_epochs(spark, path)
-    days = compact(spark, path, upto_epoch=4)
-    assert days == ["2021-10-14", "2021-10-15"]
+    assert compact(spark, path, upto_epoch=4) == [date(2021, 10, 14), date(2021, 10, 15)]
     assert contents(spark, path) == expected
-    assert {f.split("version=")[1].split("/")[0] for f in files(path)} == {"9", "10"}
-    # Later epochs win over the compacted version, and nothing is left to merge before them.
+    assert versions(path) == [9, 10]
+    # Nothing is left to merge before epoch 4, and later epochs win over the merged version.
     assert compact(spark, path, upto_epoch=4) == []
     write_epoch(frame(spark, [candle("A", 0, 999)]), path, 6)
-    assert contents(spark, path) == expected | {("A", START): 999}
+    expected[("A", START)] = 999
+    assert contents(spark, path) == expected
     compact(spark, path, upto_epoch=6)
-    assert contents(spark, path) == expected | {("A", START): 999}
+    assert contents(spark, path) == expected
+    assert versions(path) == [13]
 
 
-def test_compaction_that_stops_before_the_removal(spark, tmp_path, monkeypatch):
+def test_compaction_rewrites_only_touched_dates(spark, tmp_path):
+    path = str(tmp_path / "t")
+    expected = random_epochs(spark, path, epochs=2)
+    compact(spark, path, upto_epoch=1)
+    write_epoch(frame(spark, [candle("A", 0, 999), candle(None, 3, 1)]), path, 2)
+    expected[("A", START)] = 999
+    assert compact(spark, path, upto_epoch=2) == [date(2021, 10, 14)]
+    assert contents(spark, path) == expected
+    assert quarantined_candles(spark, path).count() == 1
+    kept = {f.rsplit("/", 1)[0] for f in files(path)}
+    assert kept == {
+        "version=3/valid=true/open_date=2021-10-15",
+        "version=5/valid=true/open_date=2021-10-14",
+        "version=4/valid=false/open_date=2021-10-14",
+    }
+
+
+@pytest.mark.parametrize("removals", [0, 1, 3])
+@pytest.mark.parametrize("next_epoch", [5, 6])
+def test_compaction_that_is_lost_during_the_removal(
+    spark, tmp_path, monkeypatch, removals, next_epoch
+):
     path = str(tmp_path / "t")
     expected = random_epochs(spark, path)
+    delete, done = tables.paths.delete, []
 
-    def fail(*_):
-        raise OSError("lost")
+    def lose(session, folder):
+        if len(done) == removals:
+            raise OSError("lost")
+        done.append(folder)
+        delete(session, folder)
 
     with monkeypatch.context() as patch:
-        patch.setattr(tables.paths, "delete", fail)
+        patch.setattr(tables.paths, "delete", lose)
         with pytest.raises(OSError):
             compact(spark, path, upto_epoch=5)
     assert contents(spark, path) == expected
-    compact(spark, path, upto_epoch=5)
+    if next_epoch == 6:
+        write_epoch(frame(spark, [candle("B", 1, 999)]), path, 6)
+        expected[("B", START + timedelta(minutes=1))] = 999
+    compact(spark, path, upto_epoch=next_epoch)
     assert contents(spark, path) == expected
+    assert versions(path) == [2 * next_epoch + 1]

@@ -1,11 +1,11 @@
 """The candle table: Parquet, last write per ``(currency_pair, open_time)`` wins.
 
-Every micro-batch writes its changed candles under its own version, partitioned by the date of
+Every micro-batch writes its changed candles into a folder of its own, partitioned by the date of
 ``open_time``::
 
-    <table>/valid=true/open_date=2024-01-01/version=14/part-….parquet
+    <table>/version=14/valid=true/open_date=2024-01-01/part-….parquet
 
-A replayed batch overwrites its own version and nothing else, so at-least-once delivery leaves the
+A replayed batch overwrites its own folder and nothing else, so at-least-once delivery leaves the
 same table. Readers take the newest version of each key. Epoch ``n`` writes version ``2n``;
 compacting everything up to epoch ``n`` writes version ``2n + 1``, which holds the rows that win
 among versions up to ``2n``. A reader therefore gets the same rows before, during and after a
@@ -32,9 +32,9 @@ def _stored_schema(mode: PriceMode) -> T.StructType:
     return T.StructType(
         [
             *candle_schema(mode),
+            T.StructField("version", T.LongType()),
             T.StructField("valid", T.BooleanType()),
             T.StructField("open_date", T.DateType()),
-            T.StructField("version", T.LongType()),
         ]
     )
 
@@ -44,7 +44,6 @@ def _write(candle_rows: DataFrame, path: str, version: int) -> None:
         *CANDLE_COLUMNS,
         (~breaks_not_null()).alias("valid"),
         F.to_date("open_time").alias("open_date"),
-        F.lit(version).cast("bigint").alias("version"),
     )
     # Rebalancing merges the shuffle partitions of a small batch into one file per date and splits
     # a date that is too large for one. It needs adaptive execution, which streams switch off.
@@ -52,9 +51,8 @@ def _write(candle_rows: DataFrame, path: str, version: int) -> None:
         (
             rows.hint("rebalance", F.col("valid"), F.col("open_date"))
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("valid", "open_date", "version")
-            .parquet(path)
+            .partitionBy("valid", "open_date")
+            .parquet(f"{path}/version={version}")
         )
 
 
@@ -104,38 +102,37 @@ def quarantined_candles(spark: SparkSession, path: str, mode: PriceMode = EXACT)
     return _stored(spark, path, mode).filter("not valid").select(*CANDLE_COLUMNS, "version")
 
 
-def _versions(spark: SparkSession, path: str) -> dict[str, list[int]]:
-    """Versions in each date folder."""
-    days = [d for d in paths.children(spark, f"{path}/valid=true") if d.startswith("open_date=")]
-    return {
-        day: [
-            int(name.removeprefix("version="))
-            for name in paths.children(spark, f"{path}/valid=true/{day}")
-            if name.startswith("version=")
-        ]
-        for day in days
-    }
-
-
 def compact(
     spark: SparkSession, path: str, upto_epoch: int, mode: PriceMode = EXACT
-) -> list[str]:
-    """Merge the versions up to a finished epoch, for dates that have several, and remove them.
+) -> list[date]:
+    """Merge the epochs up to a finished one, date by date, and remove them.
 
-    Returns the dates merged. Run it when no reader is mid-query: a query planned before the
-    removal loses its files.
+    Only dates those epochs touched are rewritten; they are returned. A compaction that was lost
+    halfway is finished by calling it again. Run it when no reader is mid-query: a query planned
+    before the removal loses its files.
     """
     merged = 2 * upto_epoch + 1
-    before = {
-        day: [v for v in versions if v < merged] for day, versions in _versions(spark, path).items()
-    }
-    days = sorted(day.removeprefix("open_date=") for day, old in before.items() if len(old) > 1)
-    if not days:
+    names = [n for n in paths.children(spark, path) if n.startswith("version=")]
+    older = [v for v in (int(n.removeprefix("version=")) for n in names) if v < merged]
+    epochs = [v for v in older if v % 2 == 0]
+    if not epochs:
         return []
-    wanted = F.col("valid") & F.col("open_date").isin([date.fromisoformat(d) for d in days])
-    rows = _stored(spark, path, mode).filter(wanted & (F.col("version") < merged))
-    _write(_newest(rows), path, merged)
-    for day in days:
-        for version in before[f"open_date={day}"]:
-            paths.delete(spark, f"{path}/valid=true/open_date={day}/version={version}")
+
+    rows = _stored(spark, path, mode).filter(F.col("version") < merged)
+    by_epoch = rows.filter("version % 2 = 0")
+    touched = by_epoch.filter("valid").select("open_date").distinct().collect()
+    days = sorted(r.open_date for r in touched)
+    # Its rows may be partly removed already if this version was completed before.
+    if not paths.exists(spark, f"{path}/version={merged}/_SUCCESS"):
+        _write(_newest(rows.filter(F.col("valid") & F.col("open_date").isin(days))), path, merged)
+
+    for version in older:
+        if version % 2 == 1:
+            for day in days:
+                paths.delete(spark, f"{path}/version={version}/valid=true/open_date={day}")
+    refused = by_epoch.filter("not valid").select("version").distinct().collect()
+    with_refused = {r.version for r in refused}
+    for version in epochs:
+        folder = f"{path}/version={version}"
+        paths.delete(spark, f"{folder}/valid=true" if version in with_refused else folder)
     return days
