@@ -83,8 +83,8 @@ def test_batch_that_failed_after_its_write_is_replayed(spark, log, batch_candles
         append(log.filter(F.col("offset") % 3 == chunk), tmp_path)
     epochs = []
 
-    def write_then_fail_once(batch, path, epoch_id):
-        write_epoch(batch, path, epoch_id)
+    def write_then_fail_once(batch, path, epoch_id, merge_files):
+        write_epoch(batch, path, epoch_id, merge_files)
         epochs.append(epoch_id)
         if epochs == [0, 1]:
             raise RuntimeError("lost before the commit")

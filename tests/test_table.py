@@ -74,6 +74,10 @@ def test_one_file_per_date_and_epoch(spark, tmp_path):
     rows = [candle(f"P{i}", m, 1) for i in range(20) for m in (0, 30)]
     write_epoch(frame(spark, rows).repartition(8), path, 0)
     assert len(files(path)) == 2
+    merged = contents(spark, path)
+    write_epoch(frame(spark, rows).repartition(8), path, 0, merge_files=False)
+    assert len(files(path)) > 2
+    assert contents(spark, path) == merged
 
 
 def test_empty_epoch(spark, tmp_path):

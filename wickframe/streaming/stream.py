@@ -17,6 +17,8 @@ from wickframe.session import scoped_conf
 from wickframe.streaming import paths
 from wickframe.streaming.table import write_epoch
 
+# Up to this many files per date and epoch are left as they are; merging costs a shuffle.
+_FEW_FILES = 2
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -93,17 +95,20 @@ def start_candle_stream(
     *,
     trigger: dict[str, Any] | None = None,
     state_partitions: int | None = None,
-    upsert: Callable[[DataFrame, str, int], Any] = write_epoch,
+    upsert: Callable[[DataFrame, str, int, bool], Any] = write_epoch,
 ) -> StreamingQuery:
     """Keep the candle table current: update mode, one epoch per micro-batch.
 
     The checkpoint resumes offsets and state, so a restart inside a window continues its candle
     instead of rebuilding it from what comes after. Without ``trigger`` batches run back to back.
     """
-    _refuse_foreign_table(candle_changes.sparkSession, table, checkpoint)
+    spark = candle_changes.sparkSession
+    _refuse_foreign_table(spark, table, checkpoint)
+    files_per_date = int(state_conf(spark, state_partitions)["spark.sql.shuffle.partitions"])
+    merge_files = files_per_date > _FEW_FILES
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert(batch, table, epoch_id)
+        upsert(batch, table, epoch_id, merge_files)
 
     sink = candle_changes.writeStream.outputMode("update").foreachBatch(write_batch)
     return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)

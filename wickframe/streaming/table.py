@@ -39,26 +39,35 @@ def _stored_schema(mode: PriceMode) -> T.StructType:
     )
 
 
-def _write(candle_rows: DataFrame, path: str, version: int) -> None:
+def _write(candle_rows: DataFrame, path: str, version: int, merge_files: bool = True) -> None:
     rows = candle_rows.select(
         *CANDLE_COLUMNS,
         (~breaks_not_null()).alias("valid"),
         F.to_date("open_time").alias("open_date"),
     )
-    # Rebalancing merges the shuffle partitions of a small batch into one file per date and splits
-    # a date that is too large for one. It needs adaptive execution, which streams switch off.
-    with scoped_conf(rows.sparkSession, {"spark.sql.adaptive.enabled": "true"}):
+    adaptive = {}
+    if merge_files:
+        # Rebalancing merges the shuffle partitions of a small batch into one file per date and
+        # splits a date that is too large for one. It needs adaptive execution, which streams
+        # switch off.
+        rows = rows.hint("rebalance", F.col("valid"), F.col("open_date"))
+        adaptive = {"spark.sql.adaptive.enabled": "true"}
+    with scoped_conf(rows.sparkSession, adaptive):
         (
-            rows.hint("rebalance", F.col("valid"), F.col("open_date"))
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .partitionBy("valid", "open_date")
             .parquet(f"{path}/version={version}")
         )
 
 
-def write_epoch(candle_rows: DataFrame, path: str, epoch_id: int) -> None:
-    """Upsert one batch of candles as epoch ``epoch_id``, in one pass over the batch."""
-    _write(candle_rows, path, 2 * epoch_id)
+def write_epoch(
+    candle_rows: DataFrame, path: str, epoch_id: int, merge_files: bool = True
+) -> None:
+    """Upsert one batch of candles as epoch ``epoch_id``, in one pass over the batch.
+
+    Without ``merge_files`` every partition writes its own files: quicker for few partitions.
+    """
+    _write(candle_rows, path, 2 * epoch_id, merge_files)
 
 
 def _newest(stored: DataFrame) -> DataFrame:
