@@ -101,6 +101,16 @@ def test_window_bounds_of_a_tick_on_the_minute(spark):
         (54, 59), (55, 0), (56, 1), (57, 2), (58, 3)]
 
 
+def test_zones_with_clock_changes_are_refused(spark):
+    ticks = frame(spark, [("P", datetime(2021, 1, 1), 1, Decimal(1))])
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            ohlc.candles(ticks)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_pane_width():
     assert pane_micros("5 minutes", "1 minute") == 60_000_000
     assert pane_micros("6 minutes", "4 minutes") == 120_000_000

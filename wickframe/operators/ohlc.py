@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
 from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT, order_key
 from wickframe.schemas import CANDLE_COLUMNS
+from wickframe.session import require_utc
 
 SIZE = "5 minutes"
 SLIDE = "1 minute"
@@ -40,6 +41,7 @@ def _ohlc(
     Ticks without a mid get no order key, which min_by/max_by skip just as min/max skip the NULL
     itself. That replaces a filter, and groups without any mid are removed after the aggregation.
     """
+    require_utc(assigned)
     key = order_key(
         F.col("timestamp"), F.col("window.start"), span, F.col("sequence"), sequence_limit
     )

@@ -9,6 +9,7 @@ from wickframe.functions.durations import micros
 from wickframe.functions.ordering import epoch_micros
 from wickframe.operators.ohlc import SIZE
 from wickframe.schemas import CANDLE_KEY
+from wickframe.session import require_utc
 
 
 def ordered(candle_rows: DataFrame, limit: int) -> DataFrame:
@@ -36,6 +37,7 @@ def latest_disjoint(candle_rows: DataFrame, n: int = 12, size: str = SIZE) -> Da
     such class are cut off first, again on the map side, so the step that compares whole pairs to
     find the latest open time sees a bounded number of rows.
     """
+    require_utc(candle_rows)
     phase = F.pmod(epoch_micros(F.col("open_time")), F.lit(micros(size)))
     newest = Window.partitionBy("currency_pair", "phase").orderBy(F.desc("open_time"))
     per_class = (

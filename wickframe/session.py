@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package wants; deployment (memory, executors) stays with spark-submit.
 BASE_CONF = {
@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+_UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
+
 
 def build_session(app: str, conf: dict[str, str] | None = None) -> SparkSession:
     """Session with this package's defaults; ``conf`` wins over them."""
@@ -33,6 +35,13 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(df: DataFrame) -> None:
+    """Refuse a session zone with clock changes, where zone-free times would not stay in order."""
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in _UTC_NAMES:
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, it is {zone}")
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Set session options for a block. A streaming query copies them when it starts."""
