@@ -24,7 +24,8 @@ def make_ticks(seed: int, n: int = 3000):
     rows = []
     for sequence in rng.sample(range(10 * n), n):
         pair = rng.choices(["HOT", "A", "B", None], [6, 2, 1, 1])[0]
-        at = datetime(2021, 10, 14, 18, 50) + timedelta(seconds=rng.choice([0, 7, 60, 61, 3599.5]) + rng.randint(0, 40) * 60)
+        second = rng.choice([0, 7, 60, 61, 3599.5]) + rng.randint(0, 40) * 60
+        at = datetime(2021, 10, 14, 18, 50) + timedelta(seconds=second)
         at = None if rng.random() < 0.05 else at
         mid = None if rng.random() < 0.1 else Decimal(rng.randint(1, 500)) / 4
         rows.append((pair, at, sequence, mid))

@@ -113,7 +113,8 @@ def test_gate_takes_what_reads_as_a_float(spark):
             assert not expected, text
     rows = spark.createDataFrame([(t,) for t in GATE_CASES], "bid string")
     reason = ingest.quality_reason(F.col("bid"), F.lit("1"))
-    found = {r.bid: r.passed for r in rows.select("bid", ingest.passes_gate(reason).alias("passed")).collect()}
+    judged = rows.select("bid", ingest.passes_gate(reason).alias("passed"))
+    found = {r.bid: r.passed for r in judged.collect()}
     assert found == GATE_CASES
 
 

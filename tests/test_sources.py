@@ -5,8 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from wickframe import session
+from wickframe.sources import ticklog
 from wickframe.sources.ticklog import FileLog, KafkaLog, kafka_options, read_log, replay
 
 KAFKA = KafkaLog(("localhost:9092", "other:9092"), "ticks", min_partitions=64,
@@ -37,6 +39,26 @@ def log_rows(spark):
     )
 
 
+def test_topic_rows_become_log_rows(spark, log_rows):
+    topic = log_rows.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit("ticks").alias("topic"),
+        "partition",
+        "offset",
+        F.col("timestamp").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+    back = ticklog.log_rows(topic)
+    assert back.schema.simpleString() == log_rows.schema.simpleString()
+    assert sorted(back.collect()) == sorted(log_rows.collect())
+
+
+def test_without_the_connector_a_topic_is_refused_by_name(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_log(spark, KAFKA)
+
+
 @pytest.mark.parametrize("format", ["parquet", "json"])
 def test_file_log_round_trip(spark, log_rows, tmp_path, format):
     path = str(tmp_path / format)

@@ -135,9 +135,19 @@ _CANDLE_COLUMNS = (
 _TICK_COLUMNS = 'sequence, pair, bid, ask, "timestamp"'
 _CLEAN_CANDLES = _candles(_CLEAN_MIDS)
 _ALL_CANDLES = f"SELECT {_CANDLE_COLUMNS} FROM candle"
+_LOG_ROWS = (
+    'SELECT key, value, CAST(0 AS INTEGER) AS "partition", sequence AS "offset", "timestamp"'
+    " FROM message"
+)
 _SUMMARY = "SELECT coalesce(reason, 'accepted') AS reason, count(*) AS ticks FROM graded GROUP BY 1"
 _DAY_FROM_LOG = _query(_candles(_EXACT_MIDS, _DAY), _ALL_CANDLES)
 
+_UPSERTED = _query(
+    _candles(_CLEAN_MIDS, _DAY, epoch="sequence % 4"),
+    f"""{_ALL_CANDLES}
+QUALIFY row_number() OVER (PARTITION BY currency_pair, open_time ORDER BY epoch DESC) = 1""",
+)
+
 ORACLE: dict[str, str] = {
     "raw_quote_parse": _query(_RAW, f"SELECT {_TICK_COLUMNS} FROM quote"),
     "raw_pair_subset": _query(
@@ -177,9 +187,9 @@ FROM text_tick WHERE "timestamp" IS NULL""",
     ),
     "replay_offset_range": _query(
         _MESSAGE,
-        """SELECT key, value, CAST(0 AS INTEGER) AS "partition", sequence AS "offset", "timestamp"
-FROM message WHERE sequence >= (SELECT (max(event_id) + 1) // 2 FROM events)""",
+        f"{_LOG_ROWS} WHERE sequence >= (SELECT (max(event_id) + 1) // 2 FROM events)",
     ),
+    "tick_log_stream": _query(_MESSAGE, _LOG_ROWS),
     "sliding_window_assign": _query(
         f"""{_NULL_TIME},{_windowed("text_tick", "1 minute", 5, 'WHERE "timestamp" IS NOT NULL')}""",
         """SELECT sequence, pair, "timestamp", open_time,
@@ -228,11 +238,8 @@ tiled AS (
         f"""SELECT {_CANDLE_COLUMNS} FROM tiled
 QUALIFY row_number() OVER (PARTITION BY currency_pair ORDER BY open_time DESC) <= 12""",
     ),
-    "upsert_latest_wins": _query(
-        _candles(_CLEAN_MIDS, _DAY, epoch="sequence % 4"),
-        f"""{_ALL_CANDLES}
-QUALIFY row_number() OVER (PARTITION BY currency_pair, open_time ORDER BY epoch DESC) = 1""",
-    ),
+    "upsert_latest_wins": _UPSERTED,
+    "upsert_compacted": _UPSERTED,
     "stream_source_count": _query(
         _MESSAGE, "SELECT key, CAST(count(*) AS BIGINT) AS messages FROM message GROUP BY key"
     ),

@@ -13,8 +13,8 @@ from wickframe.schemas import COMPAT, EXACT, PriceMode
 from wickframe.session import pin_utc, scratch_dir
 from wickframe.sources import quotes
 from wickframe.sources.ticklog import FileLog, as_log, read_log, replay
-from wickframe.streaming.stream import candle_stream, start_candle_stream
-from wickframe.streaming.table import current_candles, write_epoch
+from wickframe.streaming.stream import candle_stream, start_candle_stream, start_ingest_stream
+from wickframe.streaming.table import compact, current_candles, write_epoch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -211,13 +211,23 @@ def latest_12_disjoint_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.latest_disjoint(_clean_candles(spark, sf_dir), 12)
 
 
-def upsert_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four epochs of candles, each of its own ticks only, upserted one after the other."""
+def _upserted(spark: SparkSession, sf_dir: str) -> str:
+    """A table after four epochs; each holds the candles of its own quarter of the ticks."""
     table = scratch_dir(spark, "table")
     mids = _clean_mids(spark, sf_dir)
     for epoch in range(CHUNKS):
         batch = mids.filter(F.col("sequence") % CHUNKS == epoch)
         write_epoch(ohlc.candles(batch, *DAY), table, epoch)
+    return table
+
+
+def upsert_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return current_candles(spark, _upserted(spark, sf_dir))
+
+
+def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _upserted(spark, sf_dir)
+    compact(spark, table, CHUNKS - 1)
     return current_candles(spark, table)
 
 
@@ -268,6 +278,20 @@ def stream_source_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.groupBy("key").agg(F.sum("messages").alias("messages"))
 
 
+def tick_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw quote files through the ingest stream; what passed the gate is the log."""
+    base = scratch_dir(pin_utc(spark), "ingest")
+    raw = _raw(spark, sf_dir)
+    raw.write.parquet(f"{base}/raw")
+    stored = spark.readStream.schema(raw.schema).parquet(f"{base}/raw")
+    quoted = ingest.parse_raw_quotes(stored, arrival="arrived")
+    query = start_ingest_stream(
+        quoted, f"{base}/log", f"{base}/checkpoint", trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+    return read_log(spark, FileLog(f"{base}/log", gated=True))
+
+
 def candle_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(pin_utc(spark), "stream")
     _log(spark, sf_dir).write.parquet(f"{base}/log")
@@ -328,6 +352,8 @@ QUERIES: dict[str, Query] = {
         latest_12_candles,
         latest_12_disjoint_candles,
         upsert_latest_wins,
+        upsert_compacted,
+        tick_log_stream,
         stream_source_count,
         candle_stream_upsert,
         candle_stream_late,

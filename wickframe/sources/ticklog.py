@@ -77,6 +77,11 @@ def read_log(spark: SparkSession, source: LogSource, *, streaming: bool = False)
         rows = reader.load(source.path)
         if source.gated:
             rows = rows.filter("passed")
+    return log_rows(rows)
+
+
+def log_rows(rows: DataFrame) -> DataFrame:
+    """Rows of a log in declared types: binary keys and values become text, times zone-free."""
     return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in LOG_ROW))
 
 
