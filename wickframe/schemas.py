@@ -19,6 +19,16 @@ RAW_QUOTE = T.StructType(
     ]
 )
 
+# The columns of the events table that stand in for a quote feed.
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
+
 # One row of the keyed message log, whatever stores it (Kafka topic or files of that shape).
 LOG_ROW = T.StructType(
     [

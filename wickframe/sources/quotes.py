@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickframe.schemas import EVENTS
+
 
 def read_raw(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
     """Raw quote text, one JSON message per line, in ``value``."""
@@ -13,7 +15,8 @@ def read_raw(spark: SparkSession, path: str, *, streaming: bool = False) -> Data
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    # A declared schema spares the job that reads footers to infer one.
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _price_text(price: Column) -> Column:
