@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickframe.operators import contract, decode, ingest, ohlc, reads
@@ -42,6 +42,10 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_log(ingest.encode_messages(ingest.accepted(_graded(spark, sf_dir))))
 
 
+def _last_offset(spark: SparkSession, sf_dir: str) -> int:
+    return _events(spark, sf_dir).agg(F.max("event_id")).first()[0] or 0
+
+
 def _clean_mids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.with_mid(quotes.clean_ticks(_events(spark, sf_dir)))
 
@@ -120,8 +124,8 @@ def mid_price_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replay_offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages from halfway through the log to its end, as after a failure at that offset."""
-    last = _events(spark, sf_dir).agg(F.max("event_id")).first()[0] or 0
-    return replay(_log(spark, sf_dir), first_offset=(last + 1) // 2, partition=0)
+    half = (_last_offset(spark, sf_dir) + 1) // 2
+    return replay(_log(spark, sf_dir), first_offset=half, partition=0)
 
 
 # Windows and candles.
@@ -249,10 +253,14 @@ def _stream_log(
     query.awaitTermination()
 
 
+def _write_chunks(log: DataFrame, path: str, chunk: Column) -> None:
+    """Files per chunk, so that a stream takes several micro-batches; chunks are the whole log."""
+    log.withColumn("chunk", chunk).write.partitionBy("chunk").parquet(path)
+
+
 def _write_interleaved(log: DataFrame, path: str) -> None:
     """Chunks that each span the whole time range: all but the first are late data."""
-    chunk = F.col("offset") % CHUNKS
-    log.withColumn("chunk", chunk).write.partitionBy("chunk").parquet(path)
+    _write_chunks(log, path, F.col("offset") % CHUNKS)
 
 
 def stream_source_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +302,8 @@ def tick_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candle_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(pin_utc(spark), "stream")
-    _log(spark, sf_dir).write.parquet(f"{base}/log")
+    in_order = F.floor(F.col("offset") * CHUNKS / (_last_offset(spark, sf_dir) + 1))
+    _write_chunks(_log(spark, sf_dir), f"{base}/log", in_order)
     _stream_log(spark, f"{base}/log", f"{base}/checkpoint", f"{base}/table", CHUNKS)
     return current_candles(spark, f"{base}/table")
 
@@ -310,8 +319,7 @@ def restart_no_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stop halfway through the offsets, inside windows, and resume on the same checkpoint."""
     base = scratch_dir(pin_utc(spark), "restart")
     log = _log(spark, sf_dir)
-    last = _events(spark, sf_dir).agg(F.max("event_id")).first()[0] or 0
-    half = (last + 1) // 2
+    half = (_last_offset(spark, sf_dir) + 1) // 2
     for part in (replay(log, 0, half - 1), replay(log, half)):
         part.write.mode("append").parquet(f"{base}/log")
         _stream_log(spark, f"{base}/log", f"{base}/checkpoint", f"{base}/table", 2, *DAY)
