@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wickframe.functions.prices import mid_price
 from wickframe.operators import decode, ingest
+from wickframe.plans.candles import quotes_from_raw
 from wickframe.schemas import COMPAT, EXACT
 
 AT = "2021-01-01 23:34:45.000"
@@ -155,6 +156,22 @@ def test_pairs_in_any_case(spark):
     assert [r.pair for r in kept] == ["BTCUSDT", "ethusdt"]
 
 
+@pytest.mark.parametrize("more", [(), tuple(f"PAIR{i}" for i in range(20))])
+def test_text_test_before_parsing_loses_no_quote(spark, more):
+    values = [
+        '{"u":1,"s":"BTCUSDT","b":"1","a":"2"}',
+        '{"u":2,"s":"btcUSDT","b":"1","a":"2"}',
+        '{"u":3,"s":"\\u0042TCUSDT","b":"1","a":"2"}',
+        '{"u":4,"s":"ETHUSDT","b":"btcusdt","a":"2"}',
+        '{"u":5,"s":"XRPUSDT","b":"1","a":"2"}',
+        None,
+    ]
+    raw = spark.createDataFrame([(v,) for v in values], "value string")
+    kept = quotes_from_raw(raw, pairs=("BTCUSDT", *more)).collect()
+    assert sorted(r.sequence for r in kept) == [1, 2, 3]
+    assert ingest.may_mention(raw, ("BTCUSDT", *more)).count() == (6 if more else 4)
+
+
 def test_encoded_message_round_trip(spark):
     ticks = spark.createDataFrame(
         [(7, "BTCUSDT", "1.10", "1.20", datetime(2021, 1, 1, 0, 0, 0, 5))],

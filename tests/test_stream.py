@@ -18,6 +18,7 @@ from wickframe.streaming.stream import (
     candle_stream,
     start_candle_stream,
     start_ingest_stream,
+    start_kafka_producer,
     start_row_store_stream,
     state_conf,
 )
@@ -186,6 +187,16 @@ def test_row_store_writer_discards_a_failed_task():
     assert "close_time = excluded" not in upsert_statement("t")
 
 
+def test_topic_sink_needs_the_connector(spark, sf_dir, tmp_path):
+    raw = quotes.raw_quotes(quotes.events(spark, sf_dir))
+    raw.write.parquet(f"{tmp_path}/raw")
+    stored = spark.readStream.schema(raw.schema).parquet(f"{tmp_path}/raw")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        start_kafka_producer(
+            ingest.parse_raw_quotes(stored, "arrived"), ("localhost:9",), "t", f"{tmp_path}/c"
+        )
+
+
 def test_state_options(spark):
     assert state_conf(spark)["spark.sql.shuffle.partitions"] == "4"
     assert state_conf(spark, 2)["spark.sql.shuffle.partitions"] == "2"

@@ -11,7 +11,7 @@ import pytest
 from plans import plan_text
 
 from wickframe.operators import contract
-from wickframe.schemas import CANDLE_COLUMNS, candle_schema
+from wickframe.schemas import CANDLE_COLUMNS, COMPAT, candle_schema
 from wickframe.streaming import table as tables
 from wickframe.streaming.table import compact, current_candles, quarantined_candles, write_epoch
 
@@ -110,6 +110,13 @@ def test_refused_rows_are_kept_aside(spark, tmp_path):
     assert contract.not_null_violations(current_candles(spark, path)).first().violations == 0
 
 
+def test_table_of_double_prices(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("A", *[1.5] * 4, START, START)], candle_schema(COMPAT))
+    write_epoch(rows, path, 0)
+    assert current_candles(spark, path, COMPAT).collect() == rows.collect()
+
+
 def test_unique_violations(spark):
     rows = [candle("A", 0, 1), candle("A", 0, 2), candle("B", 0, 1)]
     assert contract.unique_violations(frame(spark, rows)).first().violations == 1

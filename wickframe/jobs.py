@@ -18,9 +18,9 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT
-from wickframe.operators import decode, ingest, reads
+from wickframe.operators import decode, reads
 from wickframe.operators.ohlc import SIZE, SLIDE
-from wickframe.plans.candles import candles_from_log
+from wickframe.plans.candles import candles_from_log, quotes_from_raw
 from wickframe.schemas import COMPAT, EXACT
 from wickframe.session import build_session, pin_utc
 from wickframe.sources.quotes import read_raw
@@ -48,9 +48,8 @@ def _trigger(args: argparse.Namespace) -> dict[str, Any] | None:
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    quotes = ingest.parse_raw_quotes(read_raw(spark, args.raw, streaming=True))
-    if args.pairs:
-        quotes = ingest.only_pairs(quotes, args.pairs.split(","))
+    pairs = args.pairs.split(",") if args.pairs else None
+    quotes = quotes_from_raw(read_raw(spark, args.raw, streaming=True), pairs=pairs)
     if args.servers:
         query = stream.start_kafka_producer(
             quotes, tuple(args.servers.split(",")), args.topic, args.checkpoint,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ NO_PAIR = "no_pair"
 # What the gate in front of the log turns away. The other reasons come from typed decoding.
 GATE_REASONS = (MISSING, NON_NUMERIC)
 
+_FEW_PAIRS = 8
+
 MESSAGE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -51,6 +55,20 @@ def parse_raw_quotes(raw: DataFrame, arrival: str | None = None) -> DataFrame:
     )
 
 
+def may_mention(raw: DataFrame, pairs: Iterable[str]) -> DataFrame:
+    """Raw messages that can be quotes of a few pairs: a plain text test, to parse fewer of them.
+
+    Escaped text may spell a symbol differently, so it always passes; ``only_pairs`` decides. For
+    many pairs the test would cost more than it saves and is left out.
+    """
+    wanted = sorted({p.lower() for p in pairs})
+    if len(wanted) > _FEW_PAIRS:
+        return raw
+    text = F.col("value").cast("string")
+    named = [F.lower(text).contains(pair) for pair in wanted]
+    return raw.filter(reduce(or_, named, text.contains("\\")))
+
+
 def only_pairs(quotes: DataFrame, pairs: Iterable[str]) -> DataFrame:
     """Keep a set of pairs, given in any letter case."""
     return quotes.filter(F.lower("pair").isin(sorted({p.lower() for p in pairs})))

@@ -12,6 +12,18 @@ from wickframe.operators.ohlc import SIZE, SLIDE
 from wickframe.schemas import EXACT, PriceMode
 
 
+def quotes_from_raw(
+    raw: DataFrame, arrival: str | None = None, pairs: Iterable[str] | None = None
+) -> DataFrame:
+    """Raw quote text to quotes, of all pairs or a set of them."""
+    if pairs is None:
+        return ingest.parse_raw_quotes(raw, arrival)
+    chosen = set(pairs)
+    return ingest.only_pairs(
+        ingest.parse_raw_quotes(ingest.may_mention(raw, chosen), arrival), chosen
+    )
+
+
 def candles_from_raw(
     raw: DataFrame,
     arrival: str | None = None,
@@ -22,9 +34,7 @@ def candles_from_raw(
     sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
 ) -> DataFrame:
     """Raw quote text to candles, of all pairs or a set of them."""
-    quotes = ingest.parse_raw_quotes(raw, arrival)
-    if pairs is not None:
-        quotes = ingest.only_pairs(quotes, pairs)
+    quotes = quotes_from_raw(raw, arrival, pairs)
     mids = decode.mids_from_quotes(quotes, mode)
     return ohlc.candles(mids, size, slide, sequence_limit=sequence_limit)
 

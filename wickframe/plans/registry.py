@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickframe.operators import contract, decode, ingest, ohlc, reads
-from wickframe.plans.candles import candles_from_log, candles_from_raw
+from wickframe.plans.candles import candles_from_log, candles_from_raw, quotes_from_raw
 from wickframe.schemas import COMPAT, EXACT, PriceMode
 from wickframe.session import pin_utc, scratch_dir
 from wickframe.sources import quotes
@@ -62,7 +62,7 @@ def raw_quote_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_pair_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.only_pairs(_quotes(spark, sf_dir), ("clickusdt", "VIEWUSDT"))
+    return quotes_from_raw(_raw(spark, sf_dir), "arrived", ("clickusdt", "VIEWUSDT"))
 
 
 def tick_quality_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
