@@ -35,7 +35,10 @@ def order_key(
     seq = F.coalesce(sequence.cast("bigint"), F.lit(0))
     checked = F.when((seq >= 0) & (seq < sequence_limit), seq).otherwise(
         F.raise_error(
-            F.concat(F.lit(f"sequence outside [0, {sequence_limit}): "), seq.cast("string"))
+            F.concat(
+                F.lit(f"sequence outside [0, {sequence_limit}), change sequence_limit: "),
+                seq.cast("string"),
+            )
         ).cast("bigint")
     )
     if span_micros * sequence_limit <= _BIGINT_END:

@@ -34,22 +34,24 @@ def window_bounds(assigned: DataFrame) -> DataFrame:
 
 
 def _ohlc(
-    assigned: DataFrame, span: int, sequence_limit: int, keep_null_mids: bool
+    assigned: DataFrame, start: str, by: str, span: int, sequence_limit: int, keep_null_mids: bool
 ) -> DataFrame:
-    """OHLC of ticks per pair and window, open and close by time and then sequence.
+    """OHLC of ticks per pair and column ``by``, open and close by time and then sequence.
+
+    ``start`` is where the window of ``span`` microseconds begins.
 
     Ticks without a mid get no order key, which min_by/max_by skip just as min/max skip the NULL
     itself. That replaces a filter, and groups without any mid are removed after the aggregation.
     """
     require_utc(assigned)
     key = order_key(
-        F.col("timestamp"), F.col("window.start"), span, F.col("sequence"), sequence_limit
+        F.col("timestamp"), F.col(start), span, F.col("sequence"), sequence_limit
     )
     if not keep_null_mids:
         key = F.when(F.col("mid_price").isNotNull(), key)
     bars = (
         assigned.withColumn("rank", key)
-        .groupBy("pair", "window")
+        .groupBy("pair", by)
         .agg(
             F.min_by("mid_price", "rank").alias("open_price"),
             F.max("mid_price").alias("high_price"),
@@ -80,7 +82,8 @@ def candles_direct(
 ) -> DataFrame:
     """Candles in one aggregation. Works on streams; expands each tick to size/slide windows."""
     assigned = assign_windows(mids, size, slide)
-    return _as_candles(_ohlc(assigned, micros(size), sequence_limit, keep_null_mids))
+    bars = _ohlc(assigned, "window.start", "window", micros(size), sequence_limit, keep_null_mids)
+    return _as_candles(bars)
 
 
 def panes(
@@ -97,16 +100,9 @@ def panes(
     row per task. Stored panes can be rolled up again without reading ticks.
     """
     width = pane_micros(size, slide)
-    assigned = assign_windows(mids, *[f"{width} microseconds"] * 2)
-    bars = _ohlc(assigned, width, sequence_limit, keep_null_mids)
-    return bars.select(
-        "pair",
-        F.col("window.start").alias("pane_start"),
-        "open_price",
-        "high_price",
-        "low_price",
-        "close_price",
-    )
+    pane = F.window("timestamp", f"{width} microseconds")
+    assigned = mids.withColumn("pane_start", pane.getField("start"))
+    return _ohlc(assigned, "pane_start", "pane_start", width, sequence_limit, keep_null_mids)
 
 
 def roll_up(pane_bars: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataFrame:
