@@ -6,7 +6,7 @@ import json
 from datetime import datetime, timedelta
 
 from wickframe import jobs
-from wickframe.streaming.table import current_candles
+from wickframe.streaming.table import candles_of_panes, current_candles
 
 
 def raw_lines(n):
@@ -50,6 +50,24 @@ def test_jobs(spark, tmp_path, capsys):
     assert capsys.readouterr().out.count("BTCUSDT") == 1
 
 
+def test_pane_jobs(spark, tmp_path, capsys):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "quotes.json").write_text("\n".join(raw_lines(90)))
+    log, panes, candles = (str(tmp_path / p) for p in ("log", "panes", "candles"))
+    jobs.main(["ingest", "--raw", str(raw), "--log", log, "--checkpoint", str(tmp_path / "c1"),
+               "--once"])
+    jobs.main(["stream", "--panes", "--log", log, "--gated", "--table", panes,
+               "--checkpoint", str(tmp_path / "c2"), "--once"])
+    jobs.main(["backfill", "--log", log, "--gated", "--table", candles])
+    expected = current_candles(spark, candles).collect()
+    assert sorted(candles_of_panes(spark, panes).collect()) == sorted(expected)
+    jobs.main(["compact", "--panes", "--table", panes, "--upto-epoch", "0"])
+    capsys.readouterr()
+    jobs.main(["latest", "--panes", "--table", panes, "--n", "1"])
+    assert capsys.readouterr().out.count("USDT") == 3
+
+
 def test_kafka_arguments():
     args = jobs.parser().parse_args(
         ["stream", "--servers", "a:1,b:2", "--topic", "ticks", "--table", "t",

@@ -80,6 +80,23 @@ def test_candles_match_brute_force(spark, size, slide, keep_null_mids):
         assert collected(ohlc.candles_direct(ticks, size, slide, **options)) == expected
 
 
+@pytest.mark.parametrize("size, slide", [("5 minutes", "1 minute"), ("1 day", "6 hours")])
+def test_pane_parts_merge_to_the_same_candles(spark, size, slide):
+    rows = make_ticks(seed=11)
+    ticks = frame(spark, rows).repartition(5)
+    parts = ohlc.partial_panes(ticks.filter("sequence % 3 = 0"))
+    for left, limit in ((1, 30_000), (2, DEFAULT_SEQUENCE_LIMIT)):
+        more = ohlc.partial_panes(ticks.filter(f"sequence % 3 = {left}"), sequence_limit=limit)
+        assert more.schema == parts.schema
+        parts = parts.unionAll(more)
+    expected = brute(rows, size, slide)
+    assert collected(ohlc.roll_up(ohlc.merge_panes(parts), size, slide)) == expected
+    twice = ohlc.merge_panes(ohlc.merge_panes(parts).unionAll(parts))
+    assert collected(ohlc.roll_up(twice, size, slide)) == expected
+    with pytest.raises(ValueError, match="stored panes"):
+        ohlc.partial_panes(ticks, sequence_limit=DEFAULT_SEQUENCE_LIMIT + 1)
+
+
 def test_equal_times_are_ordered_by_sequence(spark):
     at = datetime(2021, 10, 14, 18, 58)
     prices = {5: 50, 10**12: 70, 3: 30, 9: 90}

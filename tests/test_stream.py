@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sqlite3
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,10 +19,18 @@ from wickframe.streaming.stream import (
     start_candle_stream,
     start_ingest_stream,
     start_kafka_producer,
+    start_pane_stream,
     start_row_store_stream,
     state_conf,
 )
-from wickframe.streaming.table import current_candles, write_epoch
+from wickframe.streaming.table import (
+    candles_of_panes,
+    compact,
+    current_candles,
+    pane_layout,
+    write_epoch,
+    write_pane_epoch,
+)
 
 NOW = {"availableNow": True}
 DAY = ("1 day", "6 hours")
@@ -128,6 +136,37 @@ def test_watermark_drops_only_what_is_later_than_it(spark, tmp_path):
     assert found == {(18, 0): (1, 1), (18, 55): (4, 4), (19, 0): (2, 3)}
 
 
+def test_stateless_panes_survive_failures_and_compaction(spark, log, batch_candles, tmp_path):
+    for chunk in (2, 0, 1):
+        append(log.filter(F.col("offset") % 3 == chunk), tmp_path)
+    path, epochs = f"{tmp_path}/table", []
+
+    def write_then_fail_once(parts, table, epoch_id):
+        write_pane_epoch(parts, table, epoch_id)
+        epochs.append(epoch_id)
+        if epochs == [0, 1]:
+            raise RuntimeError("lost before the commit")
+
+    def run():
+        source = FileLog(f"{tmp_path}/log", max_files_per_trigger=1)
+        mids = decode.mids_from_messages(read_log(spark, source, streaming=True))
+        start_pane_stream(
+            mids, path, f"{tmp_path}/c", trigger=NOW, upsert=write_then_fail_once
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="lost before the commit"):
+        run()
+    run()
+    assert epochs == [0, 1, 1, 2]
+    assert rows(candles_of_panes(spark, path, *DAY)) == batch_candles
+    compact(spark, path, 2, pane_layout())
+    assert rows(candles_of_panes(spark, path, *DAY)) == batch_candles
+    assert rows(candles_of_panes(spark, path)) == rows(candles_from_log(log))
+    since = date(2024, 1, 20)
+    later = [r for r in batch_candles if r[5].date() >= since]
+    assert later and rows(candles_of_panes(spark, path, *DAY, since=since)) == later
+
+
 def test_raw_quotes_through_both_streams(spark, sf_dir, tmp_path):
     raw = quotes.raw_quotes(quotes.events(spark, sf_dir))
     raw.coalesce(2).write.parquet(f"{tmp_path}/raw")

@@ -48,3 +48,15 @@ def order_key(
     return (since.cast("decimal(18,0)") * limit + checked.cast("decimal(19,0)")).cast(
         "decimal(38,0)"
     )
+
+
+def rescaled_key(key: Column, sequence_limit: int) -> Column:
+    """An order key made with ``sequence_limit``, as one made with the default limit."""
+    if sequence_limit == DEFAULT_SEQUENCE_LIMIT:
+        return key.cast("decimal(38,0)")
+    exact = key.cast("decimal(38,0)")
+    limit = F.lit(str(sequence_limit)).cast("decimal(19,0)")
+    sequence = exact % limit
+    since = F.floor((exact - sequence) / limit).cast("decimal(18,0)")
+    scale = F.lit(str(DEFAULT_SEQUENCE_LIMIT)).cast("decimal(19,0)")
+    return (since * scale + sequence).cast("decimal(38,0)")

@@ -65,6 +65,16 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     log = read_log(spark, _log_source(args), streaming=True)
     mids = decode.mids_from_messages(log, MODES[args.mode])
+    if args.panes:
+        stream.start_pane_stream(
+            mids,
+            args.table,
+            args.checkpoint,
+            width=args.slide,
+            sequence_limit=args.sequence_limit,
+            trigger=_trigger(args),
+        ).awaitTermination()
+        return
     changes = stream.candle_stream(
         mids, args.size, args.slide, watermark=args.watermark, sequence_limit=args.sequence_limit
     )
@@ -86,7 +96,13 @@ def run_backfill(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def latest_candles(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    current = table.current_candles(spark, args.table, MODES[args.mode], since=args.since)
+    mode = MODES[args.mode]
+    if args.panes:
+        current = table.candles_of_panes(
+            spark, args.table, args.size, args.slide, mode, since=args.since
+        )
+    else:
+        current = table.current_candles(spark, args.table, mode, since=args.since)
     if args.disjoint:
         return reads.latest_disjoint(current, args.n, args.size)
     return reads.latest(current, args.n)
@@ -98,7 +114,8 @@ def run_latest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    days = table.compact(spark, args.table, args.upto_epoch, MODES[args.mode])
+    layout = table.pane_layout if args.panes else table.candle_layout
+    days = table.compact(spark, args.table, args.upto_epoch, layout(MODES[args.mode]))
     print(f"merged {len(days)} dates")
 
 
@@ -132,6 +149,9 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--table", required=True)
         sub.add_argument("--mode", default=EXACT.name, choices=tuple(MODES))
 
+    def pane_choice(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument("--panes", action="store_true", help="the table holds panes")
+
     def windows(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--size", default=SIZE)
         sub.add_argument("--slide", default=SLIDE)
@@ -149,6 +169,7 @@ def parser() -> argparse.ArgumentParser:
     candles(sub)
     windows(sub)
     streaming(sub)
+    pane_choice(sub)
     sub.add_argument("--watermark", help="drop ticks later than this; none by default")
     sub.add_argument("--state-partitions", type=int)
 
@@ -160,13 +181,16 @@ def parser() -> argparse.ArgumentParser:
     sub = job("latest", run_latest, "show the most recent candles of each pair")
     candles(sub)
     sub.add_argument("--n", type=int, default=12)
+    pane_choice(sub)
     sub.add_argument("--size", default=SIZE)
+    sub.add_argument("--slide", default=SLIDE)
     sub.add_argument("--disjoint", action="store_true", help="candles that do not overlap")
     sub.add_argument("--since", type=date.fromisoformat, help="first open date to read")
     sub.add_argument("--show", type=int, default=100, help="rows to print")
 
     sub = job("compact", run_compact, "merge table versions up to an epoch")
     candles(sub)
+    pane_choice(sub)
     sub.add_argument("--upto-epoch", type=int, required=True)
     return top
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,9 +12,9 @@ from pyspark.sql import functions as F
 from wickframe.schemas import CANDLE_COLUMNS, CANDLE_KEY
 
 
-def breaks_not_null() -> Column:
-    """Whether a candle row has a NULL where the table allows none."""
-    return reduce(lambda a, b: a | b, (F.col(c).isNull() for c in CANDLE_COLUMNS))
+def breaks_not_null(columns: Iterable[str] = CANDLE_COLUMNS) -> Column:
+    """Whether a row has a NULL where the table allows none."""
+    return reduce(or_, (F.col(c).isNull() for c in columns))
 
 
 def not_null_violations(candle_rows: DataFrame) -> DataFrame:

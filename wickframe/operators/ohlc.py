@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
-from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT, order_key
+from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT, order_key, rescaled_key
 from wickframe.schemas import CANDLE_COLUMNS
 from wickframe.session import require_utc
 
@@ -44,9 +44,7 @@ def _ohlc(
     itself. That replaces a filter, and groups without any mid are removed after the aggregation.
     """
     require_utc(assigned)
-    key = order_key(
-        F.col("timestamp"), F.col(start), span, F.col("sequence"), sequence_limit
-    )
+    key = order_key(F.col("timestamp"), F.col(start), span, F.col("sequence"), sequence_limit)
     if not keep_null_mids:
         key = F.when(F.col("mid_price").isNotNull(), key)
     bars = (
@@ -105,6 +103,55 @@ def panes(
     return _ohlc(assigned, "pane_start", "pane_start", width, sequence_limit, keep_null_mids)
 
 
+def partial_panes(
+    mids: DataFrame, width: str = SLIDE, *, sequence_limit: int = DEFAULT_SEQUENCE_LIMIT
+) -> DataFrame:
+    """Panes of some of the ticks, with the order keys of open and close, to be merged later.
+
+    Keys are stored in one scale, so parts made with different sequence limits can be merged.
+    """
+    if sequence_limit > DEFAULT_SEQUENCE_LIMIT:
+        raise ValueError(f"stored panes hold sequences below {DEFAULT_SEQUENCE_LIMIT}")
+    require_utc(mids)
+    span = micros(width)
+    start = F.window("timestamp", width).getField("start")
+    key = order_key(
+        F.col("timestamp"), F.col("pane_start"), span, F.col("sequence"), sequence_limit
+    )
+    bars = (
+        mids.withColumn("pane_start", start)
+        .withColumn("rank", F.when(F.col("mid_price").isNotNull(), key))
+        .groupBy("pair", "pane_start")
+        .agg(
+            F.min_by("mid_price", "rank").alias("open_price"),
+            F.min("rank").alias("open_rank"),
+            F.max("mid_price").alias("high_price"),
+            F.min("mid_price").alias("low_price"),
+            F.max_by("mid_price", "rank").alias("close_price"),
+            F.max("rank").alias("close_rank"),
+        )
+        .filter(F.col("open_price").isNotNull())
+    )
+    return bars.select(
+        *(
+            rescaled_key(F.col(c), sequence_limit).alias(c) if c.endswith("_rank") else c
+            for c in bars.columns
+        )
+    )
+
+
+def merge_panes(parts: DataFrame) -> DataFrame:
+    """One pane per pair and start. A part that comes twice changes nothing."""
+    return parts.groupBy("pair", "pane_start").agg(
+        F.min_by("open_price", "open_rank").alias("open_price"),
+        F.min("open_rank").alias("open_rank"),
+        F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"),
+        F.max_by("close_price", "close_rank").alias("close_price"),
+        F.max("close_rank").alias("close_rank"),
+    )
+
+
 def roll_up(pane_bars: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataFrame:
     """Panes to candles: the first pane's open, the last pane's close, the extremes between."""
     bars = (

@@ -245,5 +245,6 @@ QUALIFY row_number() OVER (PARTITION BY currency_pair ORDER BY open_time DESC) <
     ),
     "candle_stream_upsert": _query(_candles(_EXACT_MIDS), _ALL_CANDLES),
     "candle_stream_late": _DAY_FROM_LOG,
+    "candle_pane_stream": _query(_candles(_EXACT_MIDS), _ALL_CANDLES),
     "restart_no_regression": _DAY_FROM_LOG,
 }

@@ -13,8 +13,13 @@ from wickframe.schemas import COMPAT, EXACT, PriceMode
 from wickframe.session import pin_utc, scratch_dir
 from wickframe.sources import quotes
 from wickframe.sources.ticklog import FileLog, as_log, read_log, replay
-from wickframe.streaming.stream import candle_stream, start_candle_stream, start_ingest_stream
-from wickframe.streaming.table import compact, current_candles, write_epoch
+from wickframe.streaming.stream import (
+    candle_stream,
+    start_candle_stream,
+    start_ingest_stream,
+    start_pane_stream,
+)
+from wickframe.streaming.table import candles_of_panes, compact, current_candles, write_epoch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -315,6 +320,18 @@ def candle_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_candles(spark, f"{base}/table")
 
 
+def candle_pane_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late chunks again, as a stateless stream of pane parts that readers merge to candles."""
+    base = scratch_dir(pin_utc(spark), "panes")
+    path, table = f"{base}/log", f"{base}/table"
+    _write_interleaved(_log(spark, sf_dir), path)
+    source = FileLog(path, max_files_per_trigger=_files_per_trigger(spark, path, CHUNKS))
+    mids = decode.mids_from_messages(read_log(spark, source, streaming=True))
+    query = start_pane_stream(mids, table, f"{base}/checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    return candles_of_panes(spark, table)
+
+
 def restart_no_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stop halfway through the offsets, inside windows, and resume on the same checkpoint."""
     base = scratch_dir(pin_utc(spark), "restart")
@@ -365,6 +382,7 @@ QUERIES: dict[str, Query] = {
         stream_source_count,
         candle_stream_upsert,
         candle_stream_late,
+        candle_pane_stream,
         restart_no_regression,
     )
 }

@@ -98,3 +98,20 @@ def candle_schema(mode: PriceMode = EXACT) -> T.StructType:
         + [T.StructField(c, price, False) for c in CANDLE_PRICES]
         + [T.StructField(c, T.TimestampNTZType(), False) for c in ("open_time", "close_time")]
     )
+
+
+def pane_schema(mode: PriceMode = EXACT) -> T.StructType:
+    """Schema of a stored pane: its prices and the order keys of the first and last tick."""
+    price, rank = mode.mid_type, T.DecimalType(38, 0)
+    return T.StructType(
+        [
+            T.StructField("pair", T.StringType(), False),
+            T.StructField("pane_start", T.TimestampNTZType(), False),
+            T.StructField("open_price", price, False),
+            T.StructField("open_rank", rank, False),
+            T.StructField("high_price", price, False),
+            T.StructField("low_price", price, False),
+            T.StructField("close_price", price, False),
+            T.StructField("close_rank", rank, False),
+        ]
+    )

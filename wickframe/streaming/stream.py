@@ -11,11 +11,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT
 from wickframe.operators.ingest import accepted, encode_messages, gate_log, grade
-from wickframe.operators.ohlc import SIZE, SLIDE, candles_direct
+from wickframe.operators.ohlc import SIZE, SLIDE, candles_direct, partial_panes
 from wickframe.schemas import EXACT, PriceMode
 from wickframe.session import scoped_conf
 from wickframe.streaming import paths
-from wickframe.streaming.table import write_epoch
+from wickframe.streaming.table import write_epoch, write_pane_epoch
 
 # Up to this many files per date and epoch are left as they are; merging costs a shuffle.
 _FEW_FILES = 2
@@ -116,6 +116,30 @@ def start_candle_stream(
     return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
 
 
+def start_pane_stream(
+    mids: DataFrame,
+    table: str,
+    checkpoint: str,
+    *,
+    width: str = SLIDE,
+    sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
+    trigger: dict[str, Any] | None = None,
+    upsert: Callable[[DataFrame, str, int], Any] = write_pane_epoch,
+) -> StreamingQuery:
+    """Keep a pane table current without state: each micro-batch adds its parts of panes.
+
+    The way for feeds so large or so late that keeping every window in state is too much. Each tick
+    is aggregated once instead of once per window, ticks of any age count, and
+    ``table.candles_of_panes`` gives the candles.
+    """
+    _refuse_foreign_table(mids.sparkSession, table, checkpoint)
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        upsert(partial_panes(batch, width, sequence_limit=sequence_limit), table, epoch_id)
+
+    return _start(mids.writeStream.foreachBatch(write_batch), checkpoint, trigger)
+
+
 def start_row_store_stream(
     candle_changes: DataFrame,
     row_writer: Any,

@@ -12,10 +12,15 @@ among versions up to ``2n``. A reader therefore gets the same rows before, durin
 compaction, and older versions are removed only when it is done.
 
 Candles that break the NOT NULL contract are kept under ``valid=false``, out of readers' sight.
+
+A pane table has the same folders. Its rows are parts of panes that readers merge, so epochs add up
+instead of replacing each other, and need no state between them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,27 +28,65 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickframe.operators.contract import breaks_not_null
-from wickframe.schemas import CANDLE_COLUMNS, CANDLE_KEY, EXACT, PriceMode, candle_schema
+from wickframe.operators.ohlc import SIZE, SLIDE, merge_panes, roll_up
+from wickframe.schemas import (
+    CANDLE_COLUMNS,
+    CANDLE_KEY,
+    EXACT,
+    PriceMode,
+    candle_schema,
+    pane_schema,
+)
 from wickframe.session import scoped_conf
 from wickframe.streaming import paths
 
 
-def _stored_schema(mode: PriceMode) -> T.StructType:
-    return T.StructType(
-        [
-            *candle_schema(mode),
-            T.StructField("version", T.LongType()),
-            T.StructField("valid", T.BooleanType()),
-            T.StructField("open_date", T.DateType()),
-        ]
+@dataclass(frozen=True)
+class Layout:
+    """What one kind of table holds, and how versions of a key become one row."""
+
+    rows: T.StructType
+    time: str
+    merge: Callable[[DataFrame], DataFrame]
+
+    @property
+    def stored(self) -> T.StructType:
+        return T.StructType(
+            [
+                *self.rows,
+                T.StructField("version", T.LongType()),
+                T.StructField("valid", T.BooleanType()),
+                T.StructField("open_date", T.DateType()),
+            ]
+        )
+
+
+def _newest(stored: DataFrame) -> DataFrame:
+    """Newest version of each key, as a hash aggregation that starts on the map side."""
+    values = [c for c in CANDLE_COLUMNS if c not in CANDLE_KEY]
+    return (
+        stored.groupBy(*CANDLE_KEY)
+        .agg(*(F.max_by(c, "version").alias(c) for c in values))
+        .select(*CANDLE_COLUMNS)
     )
 
 
-def _write(candle_rows: DataFrame, path: str, version: int, merge_files: bool = True) -> None:
-    rows = candle_rows.select(
-        *CANDLE_COLUMNS,
-        (~breaks_not_null()).alias("valid"),
-        F.to_date("open_time").alias("open_date"),
+def candle_layout(mode: PriceMode = EXACT) -> Layout:
+    return Layout(candle_schema(mode), "open_time", _newest)
+
+
+def pane_layout(mode: PriceMode = EXACT) -> Layout:
+    return Layout(pane_schema(mode), "pane_start", merge_panes)
+
+
+def _write(
+    rows: DataFrame, layout: Layout, path: str, version: int, merge_files: bool = True
+) -> None:
+    columns = layout.rows.names
+    rows = rows.select(
+        *columns,
+        (~breaks_not_null(columns)).alias("valid"),
+        F.to_date(layout.time).alias("open_date"),
     )
     adaptive = {}
     if merge_files:
@@ -60,34 +103,14 @@ def _write(candle_rows: DataFrame, path: str, version: int, merge_files: bool =
         )
 
 
-def write_epoch(
-    candle_rows: DataFrame, path: str, epoch_id: int, merge_files: bool = True
-) -> None:
-    """Upsert one batch of candles as epoch ``epoch_id``, in one pass over the batch.
-
-    Without ``merge_files`` every partition writes its own files: quicker for few partitions.
-    """
-    _write(candle_rows, path, 2 * epoch_id, merge_files)
-
-
-def _newest(stored: DataFrame) -> DataFrame:
-    """Newest version of each key, as a hash aggregation that starts on the map side."""
-    values = [c for c in CANDLE_COLUMNS if c not in CANDLE_KEY]
-    return (
-        stored.groupBy(*CANDLE_KEY)
-        .agg(*(F.max_by(c, "version").alias(c) for c in values))
-        .select(*CANDLE_COLUMNS)
-    )
-
-
 def _stored(
     spark: SparkSession,
+    layout: Layout,
     path: str,
-    mode: PriceMode,
     since: date | None = None,
     until: date | None = None,
 ) -> DataFrame:
-    rows = spark.read.schema(_stored_schema(mode)).parquet(path)
+    rows = spark.read.schema(layout.stored).parquet(path)
     if since is not None:
         rows = rows.filter(F.col("open_date") >= F.lit(since))
     if until is not None:
@@ -95,6 +118,16 @@ def _stored(
     return rows
 
 
+def write_epoch(
+    candle_rows: DataFrame, path: str, epoch_id: int, merge_files: bool = True
+) -> None:
+    """Upsert one batch of candles as epoch ``epoch_id``, in one pass over the batch.
+
+    Without ``merge_files`` every partition writes its own files: quicker for few partitions.
+    """
+    _write(candle_rows, candle_layout(), path, 2 * epoch_id, merge_files)
+
+
 def current_candles(
     spark: SparkSession,
     path: str,
@@ -103,23 +136,51 @@ def current_candles(
     until: date | None = None,
 ) -> DataFrame:
     """The table as readers see it. ``since``/``until`` bound ``open_date`` and prune folders."""
-    return _newest(_stored(spark, path, mode, since, until).filter("valid"))
+    return _newest(_stored(spark, candle_layout(mode), path, since, until).filter("valid"))
 
 
 def quarantined_candles(spark: SparkSession, path: str, mode: PriceMode = EXACT) -> DataFrame:
     """Candles the contract refused, with the version that wrote them."""
-    return _stored(spark, path, mode).filter("not valid").select(*CANDLE_COLUMNS, "version")
+    refused = _stored(spark, candle_layout(mode), path).filter("not valid")
+    return refused.select(*CANDLE_COLUMNS, "version")
+
+
+def write_pane_epoch(pane_parts: DataFrame, path: str, epoch_id: int) -> None:
+    """Add the pane parts of one batch as epoch ``epoch_id``."""
+    _write(pane_parts, pane_layout(), path, 2 * epoch_id)
+
+
+def current_panes(
+    spark: SparkSession, path: str, mode: PriceMode = EXACT, since: date | None = None
+) -> DataFrame:
+    """Whole panes, merged from all their parts."""
+    return merge_panes(_stored(spark, pane_layout(mode), path, since).filter("valid"))
+
+
+def candles_of_panes(
+    spark: SparkSession,
+    path: str,
+    size: str = SIZE,
+    slide: str = SLIDE,
+    mode: PriceMode = EXACT,
+    since: date | None = None,
+) -> DataFrame:
+    """Candles of a pane table, for any window its panes tile; ``since`` bounds ``open_time``."""
+    rows = roll_up(current_panes(spark, path, mode, since), size, slide)
+    # Windows that open before the first pane read would lack their earlier panes.
+    return rows if since is None else rows.filter(F.to_date("open_time") >= F.lit(since))
 
 
 def compact(
-    spark: SparkSession, path: str, upto_epoch: int, mode: PriceMode = EXACT
+    spark: SparkSession, path: str, upto_epoch: int, layout: Layout | None = None
 ) -> list[date]:
     """Merge the epochs up to a finished one, date by date, and remove them.
 
     Only dates those epochs touched are rewritten; they are returned. A compaction that was lost
     halfway is finished by calling it again. Run it when no reader is mid-query: a query planned
-    before the removal loses its files.
+    before the removal loses its files. ``layout`` is that of exact candles unless given.
     """
+    layout = layout or candle_layout()
     merged = 2 * upto_epoch + 1
     names = [n for n in paths.children(spark, path) if n.startswith("version=")]
     older = [v for v in (int(n.removeprefix("version=")) for n in names) if v < merged]
@@ -127,13 +188,14 @@ def compact(
     if not epochs:
         return []
 
-    rows = _stored(spark, path, mode).filter(F.col("version") < merged)
+    rows = _stored(spark, layout, path).filter(F.col("version") < merged)
     by_epoch = rows.filter("version % 2 = 0")
     touched = by_epoch.filter("valid").select("open_date").distinct().collect()
     days = sorted(r.open_date for r in touched)
     # Its rows may be partly removed already if this version was completed before.
     if not paths.exists(spark, f"{path}/version={merged}/_SUCCESS"):
-        _write(_newest(rows.filter(F.col("valid") & F.col("open_date").isin(days))), path, merged)
+        wanted = rows.filter(F.col("valid") & F.col("open_date").isin(days))
+        _write(layout.merge(wanted), layout, path, merged)
 
     for version in older:
         if version % 2 == 1:
