@@ -6,17 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickframe.llm import bpe
-from wickframe.llm.runtime import table
+from wickframe.llm import bpe, token_files
+from wickframe.llm.runtime import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    return token_files.digests(token_files.read_token_files(spark, path))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op6_token_files": op6_token_files,
     "op9_bpe_round_trip": op9_bpe_round_trip,
 }
 
