@@ -6,24 +6,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickframe.llm import bpe, token_files
+from wickframe.llm import bpe, language, token_counts, token_files
 from wickframe.llm.runtime import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit_on_documents(docs)
+    found = language.predict(docs, model, keep=("doc_id",))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
     return token_files.digests(token_files.read_token_files(spark, path))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
     "op6_token_files": op6_token_files,
+    "op7_token_counts": op7_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
 }
 
