@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickframe.llm import bpe, language, token_counts, token_files
+from wickframe.llm import bpe, language, secrets, token_counts, token_files
 from wickframe.llm.runtime import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digests(secrets.scan(docs, secrets.fit_cuts(docs)))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
@@ -35,6 +40,7 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
+    "op3_secret_scans": op3_secret_scans,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
