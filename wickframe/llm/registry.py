@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickframe.llm import bpe, language, secrets, token_counts, token_files
+from wickframe.llm import bpe, decontaminate, language, secrets, token_counts, token_files
 from wickframe.llm.runtime import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,12 +38,17 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_secret_scans": op3_secret_scans,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
