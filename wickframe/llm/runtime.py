@@ -11,6 +11,7 @@ from pathlib import Path
 from tempfile import mkdtemp
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -77,7 +78,7 @@ def tokenizer_path(name: str) -> str:
 def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose text column has about ``most`` bytes, so that memory does not follow long rows."""
     start, size = 0, 0
-    for at, length in enumerate(pa.compute.binary_length(batch.column(column)).to_pylist()):
+    for at, length in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
         if size > most:
             yield batch.slice(start, at - start)
             start, size = at, 0
