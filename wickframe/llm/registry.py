@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickframe.llm import bpe, decontaminate, language, secrets, token_counts, token_files
+from wickframe.llm import bpe, decontaminate, language, quality, secrets, token_counts, token_files, urls
 from wickframe.llm.runtime import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select(quality.RESULT)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit_on_documents(docs)
@@ -24,6 +28,10 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(docs, secrets.fit_cuts(docs)))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
@@ -43,12 +51,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
     "op3_secret_scans": op3_secret_scans,
+    "op4_url_filters": op4_url_filters,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": quality.SQL,
+    "op4_url_filters": urls.SQL,
+}
