@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickframe.llm import bpe, decontaminate, language, quality, secrets, token_counts, token_files, urls
+from wickframe.llm import (
+    bpe,
+    decontaminate,
+    language,
+    near_duplicates,
+    quality,
+    secrets,
+    token_counts,
+    token_files,
+    urls,
+)
 from wickframe.llm.runtime import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +42,11 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
@@ -55,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_secret_scans": op3_secret_scans,
     "op4_url_filters": op4_url_filters,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op9_bpe_round_trip": op9_bpe_round_trip,
