@@ -13,6 +13,7 @@ from wickframe.llm import (
     near_duplicates,
     quality,
     secrets,
+    substrings,
     token_counts,
     token_files,
     urls,
@@ -57,6 +58,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_words(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontamination": op10_decontamination,
 }
