@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.llm import sketches
+from wickframe.llm.bitmaps import broadcast_bits
 from wickframe.llm.runtime import Batches, map_batches, slices, written
 
 SIMILARITY_PERCENT = 80
@@ -123,19 +124,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text_col: str, shingle: int) ->
     the join decides. When the filter fills up, more sets are shuffled, and the result is the same.
     """
 
-    def mark(batches: Batches) -> Batches:
-        for batch in batches:
-            places = [_place(node) for node in batch.column("node").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p >> 16 for p in places], pa.int32()), pa.array([p & 0xFFFF for p in places], pa.int32())],
-                ["block", "bit"],
-            )
-
-    blocks = map_batches(wanted, mark, "block int, bit int").groupBy("block").agg(F.collect_set("bit").alias("bits"))
-    bits = np.zeros(FILTER_BITS, bool)
-    for row in blocks.toLocalIterator():  # at most FILTER_BITS numbers, in blocks of 65,536
-        bits[(row["block"] << 16) + np.array(row["bits"], np.int64)] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    place = F.conv(F.hex(F.substring("node", 1, 6)), 16, 10).cast("bigint") % FILTER_BITS
+    shared = broadcast_bits(wanted.select(place.alias("place")), "place", FILTER_BITS)
 
     def run(batches: Batches) -> Batches:
         marked = shared.value
@@ -145,10 +135,11 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text_col: str, shingle: int) ->
                 for text in batch.column("text").to_pylist():
                     members = sketches.shingle_set(text, shingle)
                     node = _digest(members)
-                    if node is not None and node not in found:
-                        place = _place(node)
-                        if marked[place >> 3] >> (7 - (place & 7)) & 1:
-                            found[node] = members.tobytes()
+                    if node is None or node in found:
+                        continue
+                    place = int.from_bytes(node[:6], "big") % FILTER_BITS
+                    if marked[place >> 3] >> (place & 7) & 1:
+                        found[node] = members.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())],
                     ["node", "members"],
@@ -159,10 +150,6 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, text_col: str, shingle: int) ->
     return sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("members").alias("members"))
 
 
-def _place(node: bytes) -> int:
-    return int.from_bytes(node[:8], "little") % FILTER_BITS
-
-
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose whole sets are similar enough."""
 
