@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,14 +62,23 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]
                 spark.conf.set(key, value)
 
 
+@lru_cache(maxsize=None)
+def _own_folder(application: str) -> str:
+    """One temporary folder for an application, removed when the driver ends."""
+    folder = tempfile.mkdtemp(prefix="wickframe-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of the machine.
+    Where that is not set, a driver without executors uses a temporary folder of its own, which it
+    removes when it ends; on a cluster the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"wickframe-{label}-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = _own_folder(spark.sparkContext.applicationId)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
