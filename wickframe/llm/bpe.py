@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +23,8 @@ def _parts(content: bytes) -> Remembered:
     bpe = byte_bpe(content)
 
     def encode(parts: list[str]):
-        for part in parts:
-            ids = bpe.encode(part)
-            yield len(ids), ",".join(map(str, ids)), bpe.decode(ids)
+        for ids in bpe.encode(parts):
+            yield len(ids), bpe.written(ids), bpe.decode(ids)
 
     return Remembered(encode)
 
@@ -37,11 +38,14 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Batches) -> Batches:
         bpe = byte_bpe(shared.value)
-        parts = Remembered(lambda found: (bpe.encode(part) for part in found))
+        parts = Remembered(lambda found: [array("i", ids).tobytes() for ids in bpe.encode(found)])
         for whole in batches:
             for batch in slices(whole, "text"):
-                found = parts.texts([text or "" for text in batch.column("text").to_pylist()])
-                ids = pa.array([[i for part in row for i in part] for row in found], pa.list_(pa.int32()))
+                rows = parts.texts([text or "" for text in batch.column("text").to_pylist()])
+                joined = [b"".join(row) for row in rows]
+                ends = np.cumsum([0, *(len(row) // 4 for row in joined)])
+                values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(joined))])
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), ids], ["id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))

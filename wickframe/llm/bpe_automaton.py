@@ -11,14 +11,16 @@ made it and the token it lost; a state taken over by a longer token is the chain
 arc made by a later merge exists where the arc of its left part does. So the automaton takes one entry
 for each merge, and the arcs of a state are read off its chain.
 
-A word is encoded left to right by the longest arc that spells what comes next, or a shorter one where
-the state lacks it. Every prefix of a word has one encoding too, so a position from which nothing goes
-on is given up for good, and time is linear in the word, whatever its length.
+A word is encoded left to right. Every prefix of a word has one encoding too, so each byte position has
+one state: the one behind the only token that ends there and leaves the state where it starts by an
+arc. Words are taken in order, and each goes on from the states of the prefix it shares with the word
+before. Time is linear in the word, whatever its length.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 
@@ -42,17 +44,11 @@ class MergeAutomaton:
         for time, (left, right) in enumerate(merges):
             self._gadget(time, self._tokens.get(left), self._tokens.get(right), left + right, vocabulary)
         self._arcs.clear()
-        self._starts: dict[str, int] = {}
+        self._ends: dict[str, int] = {}  # ends of tokens; -1 where the end is no token itself
         for text in self._tokens:
-            for end in range(1, len(text)):
-                self._starts.setdefault(text[:end], -1)
-        self._starts.update(self._tokens)
-        self._longest = max(map(len, self._tokens), default=0)
-        self._sizes = {token: len(text) for text, token in self._tokens.items()}
-        self._shorter = {}  # the next shorter token that a token starts with, else -1
-        for text, token in self._tokens.items():
-            cuts = (self._tokens.get(text[:end], -1) for end in range(len(text) - 1, 0, -1))
-            self._shorter[token] = next((cut for cut in cuts if cut >= 0), -1)
+            for start in range(1, len(text)):
+                self._ends.setdefault(text[start:], -1)
+        self._ends.update(self._tokens)
         bytes_of = byte_alphabet()
         self.labels = {
             token: bytes(bytes_of[c] for c in text) for text, token in self._tokens.items()
@@ -83,50 +79,48 @@ class MergeAutomaton:
             else:  # the state is the one behind the right part, as it was then
                 token, before = parts[token][1], since
 
-    def encode(self, word: str) -> tuple[int, ...]:
-        """Tokens of one pre-split word, written in the byte alphabet."""
-        starts = self._starts
-        whole = starts.get(word, -1)
-        if whole >= 0:
-            return (whole,)
-        size, longest, sizes, shorter, arcs = len(word), self._longest, self._sizes, self._shorter, self._arcs
-        path: list[int] = []
-        ends = [0]
-        dead: set[int] = set()
-        fresh = True
-        while (at := ends[-1]) < size:
-            if fresh:
-                token = -1
-                for end in range(at + 1, min(size, at + longest) + 1):
-                    found = starts.get(word[at:end])
-                    if found is None:
+    def encode(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """Tokens of each pre-split word, written in the byte alphabet."""
+        ends, arcs, found = self._ends, self._arcs, {}
+        before, states, origin = "", [-1], [0]
+        for word in sorted(words):
+            size, same = len(word), 0
+            for left, right in zip(before, word):
+                if left != right:
+                    break
+                same += 1
+            del states[same + 1 :], origin[same + 1 :]
+            for end in range(same + 1, size + 1):
+                at = end - 1
+                while at >= 0:
+                    token = ends.get(word[at:end])
+                    if token is None:
+                        at = -1
                         break
-                    if found >= 0:
-                        token = found
-            while token >= 0:
-                end = at + sizes[token]
-                if end not in dead:
-                    if not path:
-                        break
-                    pair = (path[-1], token)
-                    allowed = arcs.get(pair)
-                    if allowed is None:
-                        if len(arcs) > 1_000_000:
-                            arcs.clear()
-                        allowed = arcs[pair] = self._arc(*pair)
-                    if allowed:
-                        break
-                token = shorter[token]
-            fresh = token >= 0
-            if fresh:
-                path.append(token)
-                ends.append(end)
-            elif path:  # nothing goes on from here: leave the state before by a shorter arc
-                dead.add(ends.pop())
-                token = shorter[path.pop()]
-            else:
-                raise ValueError("the vocabulary lacks a byte of this word")
-        return tuple(path)
+                    if token >= 0:
+                        if not at:
+                            break
+                        pair = (states[at], token)
+                        allowed = arcs.get(pair)
+                        if allowed is None:
+                            if len(arcs) > 1_000_000:
+                                arcs.clear()
+                            allowed = arcs[pair] = self._arc(*pair)
+                        if allowed:
+                            break
+                    at -= 1
+                if at < 0:
+                    raise ValueError("the vocabulary lacks a byte of this word")
+                states.append(token)
+                origin.append(at)
+            path, at = [], size
+            while at:
+                path.append(states[at])
+                at = origin[at]
+            path.reverse()
+            found[word] = tuple(path)
+            before = word
+        return found
 
 
 class ByteBpe:
@@ -145,40 +139,69 @@ class ByteBpe:
         }
         self._split = Tokenizer.from_str(content.decode()).pre_tokenizer.pre_tokenize_str
         self._words: dict[str, tuple[int, ...]] = {}
-
-    def _plain(self, text: str, out: list[int]) -> None:
-        words = self._words
-        if text.isascii() and text[text[0] == " " :].isalpha():  # one pre-token, the blank written Ġ
-            split = [(text.replace(" ", "Ġ"), None)]
-        else:
-            split = self._split(text)
-        for word, _ in split:
-            ids = words.get(word)
-            if ids is None:
-                ids = self.automaton.encode(word)
-                if len(word) <= 32:
-                    if len(words) > 300_000:
-                        words.clear()
-                    words[word] = ids
-            out.extend(ids)
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
+        self._shown = {byte: shown for shown, byte in byte_alphabet().items()}
+        self._numbers = {token: str(token) for token in self.labels}
+
+    def _pre_tokens(self, text: str) -> Iterator[str]:
+        """The tokenizer's pre-tokens; the commonest form, a word that may end in a comma or stop, is cut here."""
+        word, end = (text[:-1], text[-1]) if text[-1] in ",." else (text, "")
+        if word[word[:1] == " " :].isalpha():
+            if word.isascii():
+                yield word.replace(" ", "Ġ")
+            elif max(word) < "\u0250":  # letters in every version of Unicode
+                yield word.encode().decode("latin-1").translate(self._shown)
+            else:
+                word = ""
+            if word:
+                if end:
+                    yield end
+                return
+        for found, _ in self._split(text):
+            yield found
+
+    def _plain(self, text: str) -> list[list[str] | int]:
+        """Pre-tokens between added tokens, in order."""
+        cut: list[list[str] | int] = []
         while text:
             found = min(
                 ((at, -len(name), name) for name in self.added if (at := text.find(name)) >= 0),
                 default=None,
             )
             if found is None:
-                self._plain(text, out)
-                break
+                return [*cut, list(self._pre_tokens(text))]
             at, _, name = found
             if at:
-                self._plain(text[:at], out)
-            out.append(self.added[name])
+                cut.append(list(self._pre_tokens(text[:at])))
+            cut.append(self.added[name])
             text = text[at + len(name) :]
+        return cut
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        cut = [self._plain(text) for text in texts]
+        words = self._words
+        if len(words) > 300_000:
+            words.clear()
+        used = {word for row in cut for part in row if not isinstance(part, int) for word in part}
+        new = used.difference(words)
+        found = self.automaton.encode(new)
+        words.update((word, ids) for word, ids in found.items() if len(word) <= 32)
+        longer = {word: ids for word, ids in found.items() if len(word) > 32}
+        out = []
+        for row in cut:
+            ids: list[int] = []
+            for part in row:
+                if isinstance(part, int):
+                    ids.append(part)
+                else:
+                    for word in part:
+                        ids.extend(words[word] if word in words else longer[word])
+            out.append(ids)
         return out
 
+    def written(self, ids: list[int]) -> str:
+        """The ids as decimals joined by commas."""
+        return ",".join(map(self._numbers.__getitem__, ids))
+
     def decode(self, ids: list[int]) -> bytes:
         """The labels of the arcs taken, one after the other."""
         return b"".join(map(self.labels.__getitem__, ids))

@@ -8,6 +8,7 @@ texts with such parts are cut by a pattern that keeps the runs whole.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterable
 from typing import Any
@@ -18,47 +19,60 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 LONGEST_KEPT = 64
 
 
+def _is_open(part: str) -> bool:
+    return not part or part[0].isspace() or part[-1].isspace()
+
+
 class Remembered:
-    """``encode`` of parts, kept for at most ``limit`` parts; then it starts anew."""
+    """``encode`` of parts. With more than ``limit`` kept, those that no later text uses are let go.
+
+    ``encode`` gets one part of any kind, or many parts that each begin with a blank and hold no other,
+    and have no white space at either end.
+    """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[Any]], limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[str]], Iterable[Any]], limit: int = 800_000):
         self._encode, self._limit = encode, limit
         self._known: dict[str, Any] = {}
-        self._open: set[str] = {""}
+        self._old: dict[str, Any] = {}
 
-    def _learn(self, parts: list[str]) -> None:
-        if len(self._known) + len(parts) > self._limit:
-            self._known.clear()
-            self._open = {""}
-        for part, value in zip(parts, self._encode([f" {part}" for part in parts])):
-            self._known[part] = value
-            if not part or part[0].isspace() or part[-1].isspace():
-                self._open.add(part)
+    def _learn(self, parts: set[str]) -> None:
+        new = []
+        for part in parts:
+            value = self._old.get(part)
+            if value is not None:
+                self._known[part] = value
+            elif len(part) <= LONGEST_KEPT and part and not (part[0].isspace() or part[-1].isspace()):
+                new.append(part)
+        for start in range(0, len(new), 1000):
+            some = new[start : start + 1000]
+            self._known.update(zip(some, self._encode([f" {part}" for part in some])))
+        self._old = {}
+        gc.freeze()  # what is remembered has no cycles; searching it for some again and again costs a fifth
 
     def _one(self, part: str) -> Any:
         return next(iter(self._encode([part])))
 
     def texts(self, texts: list[str]) -> list[list[Any]]:
         """For each text the values of its parts, in order."""
-        split = [text.split(" ") for text in texts]
-        new = set()
-        for parts in split:
-            new.update(parts[1:])
-        new.difference_update(self._known)
-        new = [part for part in new if len(part) <= LONGEST_KEPT]
-        kept: list[list[Any]] = []
-        for start in range(0, len(new), 20_000):
-            self._learn(new[start : start + 20_000])
+        if len(self._known) > self._limit:
+            self._known, self._old = {}, self._known
         get = self._known.get
-        for text, parts in zip(texts, split):
-            if not self._open.isdisjoint(parts):
-                parts = _CUT.split(text)
-            first, rest = parts[0], parts[1:]
-            values = list(map(get, rest))
-            if None in values:
-                values = [
-                    self._one(f" {part}") if value is None else value
-                    for part, value in zip(rest, values)
-                ]
-            kept.append([self._one(first), *values] if first else values)
-        return kept
+        split = [text.split(" ") for text in texts]
+        found = [list(map(get, parts)) for parts in split]
+        missing = [[at for at, value in enumerate(values) if value is None] for values in found]
+        self._learn({parts[at] for parts, places in zip(split, missing) for at in places})
+        out = []
+        for text, parts, values, places in zip(texts, split, found, missing):
+            for at in places:
+                values[at] = get(parts[at])
+            values[0] = b""
+            if None in values:  # long parts, and those with white space at an end
+                if any(_is_open(part) for part, value in zip(parts, values) if value is None):
+                    parts = _CUT.split(text)
+                values = [self._one(f" {part}") if get(part) is None else get(part) for part in parts[1:]]
+            else:
+                del values[0]
+            if parts[0]:
+                values.insert(0, self._one(parts[0]))  # no blank before it
+            out.append(values)
+        return out
