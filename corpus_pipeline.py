@@ -5,31 +5,58 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wickframe.llm import bpe
-from wickframe.llm.runtime import scratch_path
+from wickframe.llm import bpe, decontaminate, language, near_duplicates, secrets
+from wickframe.llm.runtime import table
+from wickframe.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode what is left; the ids decode to the text they came from."""
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without letters and those no learned language is likely for."""
+    return language.with_language(docs, language.fit_on_documents(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates, by five-word shingles."""
+    return near_duplicates.without_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in the texts, and count characters anew."""
+    found = secrets.redact(docs, secrets.fit_cuts(docs))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encode what is left and decode it again; ids and decoded texts as digests."""
     return bpe.encode_digests(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("bpe_encoding", encode),
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scans", secret_scans),
+    ("bpe_encoding", bpe_encoding),
 ]
 
-# No stage order of this pipeline is SQL; tests compare it with brute force.
+# Trained models, sketches and tokenizers are no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; a stage's result is a table before the next stage reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what a stage returns is a table before the next one reads it."""
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, name)
+        path = scratch_dir(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

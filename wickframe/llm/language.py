@@ -181,6 +181,24 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
     return map_batches(rows, run, schema).toDF(*keep, "lang_pred", "score")
 
 
+def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", min_score: float = 0.35) -> DataFrame:
+    """``docs`` without the rows whose text is undetermined or scores less than ``min_score``; columns as they are."""
+    names = docs.columns
+    rows = docs.toDF(*[f"c{at}" for at in range(len(names))])
+    at_text = f"c{names.index(text_col)}"
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Batches) -> Batches:
+        model = shared.value
+        for whole in batches:
+            for batch in slices(whole, at_text):
+                found = (model.predict(text) for text in batch.column(at_text).to_pylist())
+                sure = [language != UNDETERMINED and score >= min_score for language, score in found]
+                yield batch.filter(pa.array(sure, pa.bool_()))
+
+    return map_batches(rows, run, rows.schema).toDF(*names)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """A quarter of the documents that no model learns from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))

@@ -18,7 +18,8 @@ from wickframe.llm import (
     token_files,
     urls,
 )
-from wickframe.llm.runtime import scratch_path, table
+from wickframe.llm.runtime import table
+from wickframe.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +50,7 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "tokens")
+    path = scratch_dir(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
     return token_files.digests(token_files.read_token_files(spark, path))
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -15,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from wickframe.session import scratch_dir
+
 ROOT = Path(__file__).resolve().parents[2]
 PACKAGE = Path(__file__).resolve().parents[1].name
 
@@ -28,17 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which all executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage is cut there, and lost executors lose none of it."""
-    path = scratch_path(df.sparkSession, label)
+    path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
