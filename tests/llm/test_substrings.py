@@ -1,0 +1,69 @@
+"""Operator 8 against all windows by brute force."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+from hashlib import sha256
+
+import pytest
+
+from wickframe.llm.substrings import repeated_words
+
+from .rows import EDGE_ROWS, SF_DIR
+
+
+def brute_force(rows, size):
+    words = [(text or "").encode().split() for _, text in rows]
+    counts = Counter(tuple(w[i : i + size]) for w in words for i in range(len(w) - size + 1))
+    wanted = []
+    for (doc_id, _), w in zip(rows, words):
+        gone = set()
+        for i in range(len(w) - size + 1):
+            if counts[tuple(w[i : i + size])] > 1:
+                gone.update(range(i, i + size))
+        kept = b" ".join(word for i, word in enumerate(w) if i not in gone)
+        wanted.append((doc_id, len(w), len(gone), sha256(kept).hexdigest()))
+    return sorted(wanted, key=repr)
+
+
+def found(docs, **options):
+    return sorted(map(tuple, repeated_words(docs, **options).collect()), key=repr)
+
+
+def passages(draw, count):
+    vocabulary = [f"w{k}" for k in range(40)]
+    shared = [draw.choices(vocabulary, k=draw.randint(5, 60)) for _ in range(8)]
+    rows = []
+    for doc_id in range(count):
+        words = []
+        for _ in range(draw.randint(0, 5)):
+            words += draw.choice(shared) if draw.random() < 0.5 else draw.choices(vocabulary, k=draw.randint(1, 50))
+        rows.append((doc_id, " ".join(words)))
+    return rows + rows[:3]
+
+
+@pytest.mark.parametrize("size, width", [(35, 1 << 20), (35, 8), (7, 1 << 16), (2, 1 << 16)])
+def test_passages_by_brute_force(documents, size, width):
+    """A sketch of eight counters estimates all windows as repeated, and the result is the same."""
+    rows = passages(random.Random(size), 80)
+    assert found(documents(rows), size=size, width=width) == brute_force(rows, size)
+
+
+def test_overlapping_repeats_in_one_text(documents):
+    rows = [(1, "a b " * 40), (2, "c " * 36), (3, "c " * 20), (4, " ".join(map(str, range(50))))]
+    assert found(documents(rows), width=1 << 16) == brute_force(rows, 35)
+
+
+def test_edge_rows(documents):
+    assert found(documents(EDGE_ROWS), width=1 << 16) == brute_force(EDGE_ROWS, 35)
+    assert found(documents(EDGE_ROWS), size=5, width=1 << 16) == brute_force(EDGE_ROWS, 5)
+
+
+def test_documents_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    assert found(docs) == brute_force([tuple(row) for row in docs.collect()], 35)
+
+
+def test_empty_table(documents):
+    assert found(documents([]), width=1 << 16) == []
