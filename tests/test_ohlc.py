@@ -10,7 +10,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
-from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT
 from wickframe.operators import decode, ohlc, reads
 from wickframe.sources import quotes
 
@@ -42,7 +41,7 @@ def brute(rows, size, slide, keep_null_mids=False):
     size, slide = (timedelta(microseconds=micros(x)) for x in (size, slide))
     groups = {}
     for pair, at, sequence, mid in rows:
-        if at is None or (mid is None and not keep_null_mids):
+        if at is None or ((mid is None or pair is None) and not keep_null_mids):
             continue
         start = EPOCH + ((at - EPOCH) // slide) * slide
         while start > at - size:
@@ -74,7 +73,7 @@ def test_candles_match_brute_force(spark, size, slide, keep_null_mids):
     rows = make_ticks(seed=len(size) + keep_null_mids)
     ticks = frame(spark, rows).repartition(7)
     expected = brute(rows, size, slide, keep_null_mids)
-    for limit in (DEFAULT_SEQUENCE_LIMIT, 30_000):
+    for limit in (None, 30_000, 10**13):
         options = {"sequence_limit": limit, "keep_null_mids": keep_null_mids}
         assert collected(ohlc.candles(ticks, size, slide, **options)) == expected
         assert collected(ohlc.candles_direct(ticks, size, slide, **options)) == expected
@@ -85,7 +84,7 @@ def test_pane_parts_merge_to_the_same_candles(spark, size, slide):
     rows = make_ticks(seed=11)
     ticks = frame(spark, rows).repartition(5)
     parts = ohlc.partial_panes(ticks.filter("sequence % 3 = 0"))
-    for left, limit in ((1, 30_000), (2, DEFAULT_SEQUENCE_LIMIT)):
+    for left, limit in ((1, 30_000), (2, 10**13)):
         more = ohlc.partial_panes(ticks.filter(f"sequence % 3 = {left}"), sequence_limit=limit)
         assert more.schema == parts.schema
         parts = parts.unionAll(more)
@@ -93,8 +92,6 @@ def test_pane_parts_merge_to_the_same_candles(spark, size, slide):
     assert collected(ohlc.roll_up(ohlc.merge_panes(parts), size, slide)) == expected
     twice = ohlc.merge_panes(ohlc.merge_panes(parts).unionAll(parts))
     assert collected(ohlc.roll_up(twice, size, slide)) == expected
-    with pytest.raises(ValueError, match="stored panes"):
-        ohlc.partial_panes(ticks, sequence_limit=DEFAULT_SEQUENCE_LIMIT + 1)
 
 
 def test_equal_times_are_ordered_by_sequence(spark):
@@ -105,11 +102,41 @@ def test_equal_times_are_ordered_by_sequence(spark):
     assert (candle.open_price, candle.close_price) == (30, 70)
 
 
-@pytest.mark.parametrize("sequence", [-1, 100])
-def test_sequence_outside_the_limit_fails(spark, sequence):
-    ticks = frame(spark, [("P", datetime(2021, 1, 1), sequence, Decimal(1))])
-    with pytest.raises(Exception, match="sequence outside"):
-        ohlc.candles(ticks, sequence_limit=100).collect()
+def test_any_sequence_is_ordered(spark):
+    at = datetime(2021, 10, 14, 18, 58)
+    prices = {-(2**63): 10, -1: 20, 0: 30, 10**13: 40, 2**63 - 1: 50}
+    rows = [("P", at, sequence, Decimal(price)) for sequence, price in prices.items()]
+    for df in (frame(spark, rows), frame(spark, rows[::-1])):
+        candle = ohlc.candles(df).first()
+        assert (candle.open_price, candle.close_price) == (10, 50)
+        candle = ohlc.roll_up(ohlc.merge_panes(ohlc.partial_panes(df))).first()
+        assert (candle.open_price, candle.close_price) == (10, 50)
+
+
+@pytest.mark.parametrize("limit", [100, 10**13])
+@pytest.mark.parametrize("past", [-1, None])
+def test_sequence_outside_a_limit_is_skipped(spark, limit, past):
+    at = datetime(2021, 1, 1)
+    outside = limit if past is None else past
+    rows = [("P", at, outside, Decimal(7)), ("P", at, limit - 1, Decimal(1))]
+    for candle in ohlc.candles(frame(spark, rows), sequence_limit=limit).collect():
+        assert (candle.open_price, candle.close_price) == (1, 1)
+
+
+def test_ticks_without_a_pair_make_no_candle(spark):
+    rows = [(None, datetime(2021, 1, 1), 1, Decimal(1))]
+    for make in (ohlc.candles, ohlc.candles_direct, ohlc.partial_panes):
+        assert make(frame(spark, rows)).collect() == []
+    assert ohlc.candles(frame(spark, rows), keep_null_mids=True).count() == 5
+
+
+def test_plan_of_a_roll_up_does_not_grow_with_the_window(spark):
+    panes = ohlc.panes(frame(spark, make_ticks(seed=3)), "1 minute", "1 minute")
+    plans = [
+        ohlc.roll_up(panes, size, "1 minute")._jdf.queryExecution().executedPlan().toString()
+        for size in ("5 minutes", "1 day")
+    ]
+    assert abs(len(plans[0]) - len(plans[1])) < 100
 
 
 def test_window_bounds_of_a_tick_on_the_minute(spark):

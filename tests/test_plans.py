@@ -65,8 +65,8 @@ def test_panes_shuffle_twice_and_pre_aggregate_before_each(log):
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("partial_min_by") == 2
     # Ticks are aggregated before windows multiply rows.
-    assert plan.count("Expand") == 1
-    assert plan.index("Expand") < plan.rindex("partial_min_by")
+    assert plan.count("Generate explode(sequence") == 1
+    assert plan.index("Generate explode(sequence") < plan.rindex("partial_min_by")
 
 
 def test_latest_candles_cut_before_the_shuffle_by_pair(log):

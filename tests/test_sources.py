@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from wickframe import session
 from wickframe.sources import ticklog
-from wickframe.sources.ticklog import FileLog, KafkaLog, kafka_options, read_log, replay
+from wickframe.sources.ticklog import (
+    FileLog,
+    KafkaLog,
+    kafka_options,
+    offset_range,
+    read_log,
+    replay,
+)
 
 KAFKA = KafkaLog(("localhost:9092", "other:9092"), "ticks", min_partitions=64,
                  max_offsets_per_trigger=1000, options={"failOnDataLoss": "true"})
@@ -92,4 +99,13 @@ def test_scratch_dir_needs_a_shared_folder_off_local_masters(monkeypatch):
     assert session.scratch_dir(Session(), "x").startswith("hdfs:///shared/x-")
     Session.conf.clear()
     Context.master = "local[2]"
-    assert "wickframe-x-" in session.scratch_dir(Session(), "x")
+    assert "/x-" in session.scratch_dir(Session(), "x")
+
+
+def test_replay_of_a_topic_reads_its_offsets_only():
+    source = KafkaLog(("a:1",), "ticks", min_partitions=4)
+    options = kafka_options(offset_range(source, {1: (5, 9), 0: (2000, 2999)}), streaming=False)
+    assert options["startingOffsets"] == '{"ticks": {"0": 2000, "1": 5}}'
+    assert options["endingOffsets"] == '{"ticks": {"0": 3000, "1": 10}}'
+    assert options["assign"] == '{"ticks": [0, 1]}' and "subscribe" not in options
+    assert options["minPartitions"] == "4"

@@ -101,18 +101,19 @@ def test_batch_that_failed_after_its_write_is_replayed(spark, log, batch_candles
     with pytest.raises(Exception, match="lost before the commit"):
         start(spark, tmp_path, upsert=write_then_fail_once).awaitTermination()
     start(spark, tmp_path, upsert=write_then_fail_once).awaitTermination()
-    assert epochs == [0, 1, 1, 2]
+    assert epochs == [0, 1, 2, 3]  # the second is written again, as the third
     assert table(spark, tmp_path) == batch_candles
 
 
-def test_new_checkpoint_may_not_write_into_a_used_table(spark, log, tmp_path):
+def test_new_checkpoint_continues_a_used_table(spark, log, batch_candles, tmp_path):
     append(log.limit(10), tmp_path)
     start(spark, tmp_path).awaitTermination()
-    mids = decode.mids_from_messages(
-        read_log(spark, FileLog(f"{tmp_path}/log"), streaming=True)
-    )
-    with pytest.raises(ValueError, match="new checkpoint"):
-        start_candle_stream(candle_stream(mids), f"{tmp_path}/table", f"{tmp_path}/other")
+    append(log, tmp_path)
+    mids = decode.mids_from_messages(read_log(spark, FileLog(f"{tmp_path}/log"), streaming=True))
+    start_candle_stream(
+        candle_stream(mids, *DAY), f"{tmp_path}/table", f"{tmp_path}/other", trigger={"availableNow": True}
+    ).awaitTermination()
+    assert table(spark, tmp_path) == batch_candles
 
 
 def test_watermark_drops_only_what_is_later_than_it(spark, tmp_path):
@@ -157,9 +158,9 @@ def test_stateless_panes_survive_failures_and_compaction(spark, log, batch_candl
     with pytest.raises(Exception, match="lost before the commit"):
         run()
     run()
-    assert epochs == [0, 1, 1, 2]
+    assert epochs == [0, 1, 2, 3]  # the second is written again, as the third
     assert rows(candles_of_panes(spark, path, *DAY)) == batch_candles
-    compact(spark, path, 2, pane_layout())
+    compact(spark, path, 3, pane_layout())
     assert rows(candles_of_panes(spark, path, *DAY)) == batch_candles
     assert rows(candles_of_panes(spark, path)) == rows(candles_from_log(log))
     since = date(2024, 1, 20)

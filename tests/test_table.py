@@ -185,3 +185,54 @@ def test_compaction_that_is_lost_during_the_removal(
     compact(spark, path, upto_epoch=next_epoch)
     assert contents(spark, path) == expected
     assert versions(path) == [2 * next_epoch + 1]
+
+
+def test_compaction_ahead_of_the_stream_loses_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_epoch(frame(spark, [candle("A", 0, 1)]), path, 0)
+    compact(spark, path, upto_epoch=10)
+    write_epoch(frame(spark, [candle("A", 0, 2), candle("A", 1, 2)]), path, 1)
+    assert sorted(contents(spark, path).values()) == [2, 2]
+    compact(spark, path, upto_epoch=10)
+    assert sorted(contents(spark, path).values()) == [2, 2]
+
+
+def test_compaction_needs_no_mark_of_the_committer(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    expected = random_epochs(spark, path)
+    delete = tables.paths.delete
+
+    def lose_second(session, folder, done=[]):  # noqa: B006
+        if done:
+            raise OSError("lost")
+        done.append(folder)
+        delete(session, folder)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.paths, "delete", lose_second)
+        with pytest.raises(OSError):
+            compact(spark, path)
+    delete(spark, f"{path}/version=11/_SUCCESS")
+    compact(spark, path)
+    assert contents(spark, path) == expected
+
+
+def test_backfill_replaces_no_epoch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_epoch(frame(spark, [candle("B", 0, 1)]), path, 0)
+    assert tables.write_backfill(frame(spark, [candle("A", 0, 2)]), path) == 1
+    assert sorted(contents(spark, path).values()) == [1, 2]
+    compact(spark, path)
+    assert tables.write_backfill(frame(spark, [candle("A", 0, 3)]), path) == 2
+    assert sorted(contents(spark, path).values()) == [1, 3]
+
+
+def test_table_knows_what_it_holds(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("A", *[1.5] * 4, START, START)], candle_schema(COMPAT))
+    write_epoch(rows, path, 0)
+    assert current_candles(spark, path).collect() == rows.collect()
+    with pytest.raises(ValueError, match="holds candles-double"):
+        write_epoch(frame(spark, [candle("A", 0, 1)]), path, 1)
+    with pytest.raises(ValueError, match="holds candles-double"):
+        tables.current_panes(spark, path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickframe.schemas import PriceMode
 
@@ -24,9 +25,18 @@ def is_numeric(text: Column) -> Column:
 
 
 def parse_price(text: Column, mode: PriceMode) -> Column:
-    """Price text as a decimal, rounded half-up; NULL where it does not fit or is padded."""
+    """Price text as a decimal; NULL where it does not fit, is padded, or has too many decimals.
+
+    A mode with a double mid rounds half-up instead, which is what it is for. Text is compared with
+    the decimal at the widest scale; longer text than that holds is taken for too long.
+    """
     unpadded = F.trim(text, F.lit(_BLANKS)) == text
-    return F.when(unpadded, text.try_cast(mode.price_type))
+    price = text.try_cast(mode.price_type)
+    if mode.mid_is_double:
+        return F.when(unpadded, price)
+    whole = mode.precision - mode.scale
+    exact = text.try_cast(T.DecimalType(38, 38 - whole)) == price
+    return F.when(unpadded & exact & (F.length(text) <= 40), price)
 
 
 def mid_price(bid: Column, ask: Column, mode: PriceMode) -> Column:

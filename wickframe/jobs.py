@@ -17,7 +17,6 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT
 from wickframe.operators import decode, reads
 from wickframe.operators.ohlc import SIZE, SLIDE
 from wickframe.plans.candles import candles_from_log, quotes_from_raw
@@ -49,7 +48,8 @@ def _trigger(args: argparse.Namespace) -> dict[str, Any] | None:
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     pairs = args.pairs.split(",") if args.pairs else None
-    quotes = quotes_from_raw(read_raw(spark, args.raw, streaming=True), pairs=pairs)
+    raw = read_raw(spark, args.raw, streaming=True, format=args.format, arrival=args.arrival)
+    quotes = quotes_from_raw(raw, args.arrival, pairs)
     if args.servers:
         query = stream.start_kafka_producer(
             quotes, tuple(args.servers.split(",")), args.topic, args.checkpoint,
@@ -92,11 +92,11 @@ def run_backfill(spark: SparkSession, args: argparse.Namespace) -> None:
     candles = candles_from_log(
         log, args.size, args.slide, MODES[args.mode], sequence_limit=args.sequence_limit
     )
-    table.write_epoch(candles, args.table, 0)
+    table.write_backfill(candles, args.table)
 
 
 def latest_candles(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    mode = MODES[args.mode]
+    mode = MODES[args.mode] if args.mode else None
     if args.panes:
         current = table.candles_of_panes(
             spark, args.table, args.size, args.slide, mode, since=args.since
@@ -114,8 +114,9 @@ def run_latest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    layout = table.pane_layout if args.panes else table.candle_layout
-    days = table.compact(spark, args.table, args.upto_epoch, layout(MODES[args.mode]))
+    kind, layout = ("panes", table.pane_layout) if args.panes else ("candles", table.candle_layout)
+    mode = table.stored_mode(spark, args.table, kind, MODES[args.mode] if args.mode else None)
+    days = table.compact(spark, args.table, args.upto_epoch, layout(mode))
     print(f"merged {len(days)} dates")
 
 
@@ -138,16 +139,16 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--min-partitions", type=int)
         sub.add_argument("--log", help="folder with log files")
         sub.add_argument("--format", default="parquet", choices=("parquet", "json"))
-        sub.add_argument("--gated", action="store_true", help="the log was written by ingest")
+        sub.add_argument("--gated", action="store_true", default=None, help="the log was written by ingest")
 
     def streaming(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--checkpoint", required=True)
         sub.add_argument("--once", action="store_true", help="stop at the end of the input")
         sub.add_argument("--every", help="trigger interval such as '500 milliseconds'")
 
-    def candles(sub: argparse.ArgumentParser) -> None:
+    def candles(sub: argparse.ArgumentParser, mode: str | None = EXACT.name) -> None:
         sub.add_argument("--table", required=True)
-        sub.add_argument("--mode", default=EXACT.name, choices=tuple(MODES))
+        sub.add_argument("--mode", default=mode, choices=tuple(MODES))
 
     def pane_choice(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--panes", action="store_true", help="the table holds panes")
@@ -155,10 +156,12 @@ def parser() -> argparse.ArgumentParser:
     def windows(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--size", default=SIZE)
         sub.add_argument("--slide", default=SLIDE)
-        sub.add_argument("--sequence-limit", type=int, default=DEFAULT_SEQUENCE_LIMIT)
+        sub.add_argument("--sequence-limit", type=int, help="sequences lie in [0, this): faster")
 
     sub = job("ingest", run_ingest, "raw quotes to the message log")
-    sub.add_argument("--raw", required=True, help="folder with raw quote text files")
+    sub.add_argument("--raw", required=True, help="folder with raw quotes")
+    sub.add_argument("--format", default="text", choices=("text", "parquet", "json"))
+    sub.add_argument("--arrival", help="column that recorded when a quote came; not in text files")
     sub.add_argument("--pairs", help="only these pairs, separated by commas")
     sub.add_argument("--log", help="folder for log files")
     kafka(sub)
@@ -179,7 +182,7 @@ def parser() -> argparse.ArgumentParser:
     windows(sub)
 
     sub = job("latest", run_latest, "show the most recent candles of each pair")
-    candles(sub)
+    candles(sub, mode=None)
     sub.add_argument("--n", type=int, default=12)
     pane_choice(sub)
     sub.add_argument("--size", default=SIZE)
@@ -189,9 +192,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--show", type=int, default=100, help="rows to print")
 
     sub = job("compact", run_compact, "merge table versions up to an epoch")
-    candles(sub)
+    candles(sub, mode=None)
     pane_choice(sub)
-    sub.add_argument("--upto-epoch", type=int, required=True)
+    sub.add_argument("--upto-epoch", type=int, help="all there are unless given")
     return top
 
 

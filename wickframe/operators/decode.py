@@ -7,22 +7,27 @@ from pyspark.sql import functions as F
 
 from wickframe.functions.prices import mid_price, parse_price
 from wickframe.operators.ingest import parse_json_once
-from wickframe.schemas import EXACT, PriceMode, tick_schema
+from wickframe.schemas import EXACT, MESSAGE, PriceMode
 
 
 def decode_messages(log: DataFrame, mode: PriceMode = EXACT) -> DataFrame:
     """Log rows to ``(sequence, bid, ask, pair, timestamp)`` under the fixed message schema.
 
     A field that does not parse is NULL and the rest is kept; malformed text gives NULL fields.
-    The log's own timestamp is dropped, the message's counts.
+    Prices are read as text and parsed like those of raw quotes. The sequence is the message's, or
+    the log's offset where the message has none. The log's own timestamp is dropped, the message's
+    counts.
     """
     ticks = parse_json_once(
-        log.select(F.col("offset").alias("sequence"), "value"),
-        F.col("value").cast("string"),
-        tick_schema(mode),
-        "sequence",
+        log.select("offset", "value"), F.col("value").cast("string"), MESSAGE, "offset"
+    )
+    return ticks.select(
+        F.coalesce("sequence", "offset").alias("sequence"),
+        parse_price(F.col("bid"), mode).alias("bid"),
+        parse_price(F.col("ask"), mode).alias("ask"),
+        "pair",
+        "timestamp",
     )
-    return ticks
 
 
 def mids_from_messages(log: DataFrame, mode: PriceMode = EXACT) -> DataFrame:

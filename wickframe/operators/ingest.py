@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wickframe.functions.ordering import sequence_fits
 from wickframe.functions.prices import is_numeric, parse_price
 from wickframe.schemas import EXACT, RAW_QUOTE, PriceMode
 
@@ -18,12 +19,11 @@ NON_NUMERIC = "non_numeric"
 UNREPRESENTABLE = "unrepresentable"
 NO_TIMESTAMP = "no_timestamp"
 NO_PAIR = "no_pair"
+BAD_SEQUENCE = "bad_sequence"
 
 # What the gate in front of the log turns away. The other reasons come from typed decoding.
 GATE_REASONS = (MISSING, NON_NUMERIC)
 
-_FEW_PAIRS = 8
-
 MESSAGE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -56,14 +56,11 @@ def parse_raw_quotes(raw: DataFrame, arrival: str | None = None) -> DataFrame:
 
 
 def may_mention(raw: DataFrame, pairs: Iterable[str]) -> DataFrame:
-    """Raw messages that can be quotes of a few pairs: a plain text test, to parse fewer of them.
+    """Raw messages that can be quotes of some pairs: a plain text test, to parse fewer of them.
 
-    Escaped text may spell a symbol differently, so it always passes; ``only_pairs`` decides. For
-    many pairs the test would cost more than it saves and is left out.
+    Escaped text may spell a symbol differently, so it always passes; ``only_pairs`` decides.
     """
     wanted = sorted({p.lower() for p in pairs})
-    if len(wanted) > _FEW_PAIRS:
-        return raw
     text = F.col("value").cast("string")
     named = [F.lower(text).contains(pair) for pair in wanted]
     return raw.filter(reduce(or_, named, text.contains("\\")))
@@ -88,14 +85,17 @@ def quality_reason(bid: Column, ask: Column, mode: PriceMode = EXACT) -> Column:
     )
 
 
-def grade(ticks: DataFrame, mode: PriceMode = EXACT) -> DataFrame:
-    """Add ``reason``: price faults first, then a missing time or pair."""
+def grade(
+    ticks: DataFrame, mode: PriceMode = EXACT, sequence_limit: int | None = None
+) -> DataFrame:
+    """Add ``reason``: price faults first, then a missing time or pair, then a sequence over the limit."""
     return ticks.withColumn(
         "reason",
         F.coalesce(
             quality_reason(F.col("bid"), F.col("ask"), mode),
             F.when(F.col("timestamp").isNull(), NO_TIMESTAMP),
             F.when(F.col("pair").isNull(), NO_PAIR),
+            F.when(~sequence_fits(F.col("sequence"), sequence_limit), BAD_SEQUENCE),
         ),
     )
 
@@ -122,19 +122,24 @@ def quality_summary(graded: DataFrame) -> DataFrame:
     )
 
 
-def _message_body() -> Column:
+def _message_body(with_sequence: bool = False) -> Column:
     time = F.date_format("timestamp", MESSAGE_TIME_FORMAT)
-    return F.to_json(F.struct("bid", "ask", "pair", time.alias("timestamp")))
+    sequence = ["sequence"] if with_sequence else []
+    return F.to_json(F.struct("bid", "ask", "pair", time.alias("timestamp"), *sequence))
 
 
-def encode_messages(ticks: DataFrame) -> DataFrame:
+def encode_messages(ticks: DataFrame, with_sequence: bool = False) -> DataFrame:
     """Ticks to log messages: key = pair, value = JSON with the prices as they were sent.
 
-    ``sequence`` and ``timestamp`` ride along for sinks that keep them. Order within a pair is
-    carried by those two, so no repartitioning by pair is needed (one pair may be most of the feed).
+    ``sequence`` and ``timestamp`` ride along for sinks that keep them. A topic keeps key and value
+    only, and its offsets are in no order when several tasks write: there the sequence goes into the
+    value too. No repartitioning by pair is needed then (one pair may be most of the feed).
     """
     return ticks.select(
-        F.col("pair").alias("key"), _message_body().alias("value"), "sequence", "timestamp"
+        F.col("pair").alias("key"),
+        _message_body(with_sequence).alias("value"),
+        "sequence",
+        "timestamp",
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
-from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT, order_key, rescaled_key
+from wickframe.functions.ordering import epoch_micros, order_key, rescaled_key
 from wickframe.schemas import CANDLE_COLUMNS
 from wickframe.session import require_utc
 
@@ -34,14 +34,15 @@ def window_bounds(assigned: DataFrame) -> DataFrame:
 
 
 def _ohlc(
-    assigned: DataFrame, start: str, by: str, span: int, sequence_limit: int, keep_null_mids: bool
+    assigned: DataFrame, start: str, by: str, span: int, sequence_limit: int | None, keep_null_mids: bool
 ) -> DataFrame:
     """OHLC of ticks per pair and column ``by``, open and close by time and then sequence.
 
     ``start`` is where the window of ``span`` microseconds begins.
 
     Ticks without a mid get no order key, which min_by/max_by skip just as min/max skip the NULL
-    itself. That replaces a filter, and groups without any mid are removed after the aggregation.
+    itself. That replaces a filter, and groups without any mid or without a pair are removed after
+    the aggregation.
     """
     require_utc(assigned)
     key = order_key(F.col("timestamp"), F.col(start), span, F.col("sequence"), sequence_limit)
@@ -57,7 +58,9 @@ def _ohlc(
             F.max_by("mid_price", "rank").alias("close_price"),
         )
     )
-    return bars if keep_null_mids else bars.filter(F.col("open_price").isNotNull())
+    if keep_null_mids:
+        return bars
+    return bars.filter(F.col("open_price").isNotNull() & F.col("pair").isNotNull())
 
 
 def _as_candles(bars: DataFrame) -> DataFrame:
@@ -75,7 +78,7 @@ def candles_direct(
     size: str = SIZE,
     slide: str = SLIDE,
     *,
-    sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
+    sequence_limit: int | None = None,
     keep_null_mids: bool = False,
 ) -> DataFrame:
     """Candles in one aggregation. Works on streams; expands each tick to size/slide windows."""
@@ -89,7 +92,7 @@ def panes(
     size: str = SIZE,
     slide: str = SLIDE,
     *,
-    sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
+    sequence_limit: int | None = None,
     keep_null_mids: bool = False,
 ) -> DataFrame:
     """OHLC per pair and tumbling pane, the widest that tiles all ``size``/``slide`` windows.
@@ -104,14 +107,12 @@ def panes(
 
 
 def partial_panes(
-    mids: DataFrame, width: str = SLIDE, *, sequence_limit: int = DEFAULT_SEQUENCE_LIMIT
+    mids: DataFrame, width: str = SLIDE, *, sequence_limit: int | None = None
 ) -> DataFrame:
     """Panes of some of the ticks, with the order keys of open and close, to be merged later.
 
     Keys are stored in one scale, so parts made with different sequence limits can be merged.
     """
-    if sequence_limit > DEFAULT_SEQUENCE_LIMIT:
-        raise ValueError(f"stored panes hold sequences below {DEFAULT_SEQUENCE_LIMIT}")
     require_utc(mids)
     span = micros(width)
     start = F.window("timestamp", width).getField("start")
@@ -130,7 +131,7 @@ def partial_panes(
             F.max_by("mid_price", "rank").alias("close_price"),
             F.max("rank").alias("close_rank"),
         )
-        .filter(F.col("open_price").isNotNull())
+        .filter(F.col("open_price").isNotNull() & F.col("pair").isNotNull())
     )
     return bars.select(
         *(
@@ -154,8 +155,20 @@ def merge_panes(parts: DataFrame) -> DataFrame:
 
 def roll_up(pane_bars: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataFrame:
     """Panes to candles: the first pane's open, the last pane's close, the extremes between."""
+    require_utc(pane_bars)
+    # Window starts are generated per pane, so that the plan does not grow with size over slide.
+    length, step = micros(size), micros(slide)
+    at = epoch_micros(F.col("pane_start"))
+    last = at - F.pmod(at, F.lit(step))
+    first = at - length + 1
+    first = first + F.pmod(-first, F.lit(step))
+    opened = pane_bars.withColumn("opens", F.explode(F.sequence(first, last, F.lit(step).cast("bigint"))))
+    window = F.struct(
+        F.timestamp_micros("opens").cast("timestamp_ntz").alias("start"),
+        F.timestamp_micros(F.col("opens") + F.lit(length)).cast("timestamp_ntz").alias("end"),
+    )
     bars = (
-        assign_windows(pane_bars, size, slide, time="pane_start")
+        opened.withColumn("window", window)
         .groupBy("pair", "window")
         .agg(
             F.min_by("open_price", "pane_start").alias("open_price"),
@@ -172,7 +185,7 @@ def candles(
     size: str = SIZE,
     slide: str = SLIDE,
     *,
-    sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
+    sequence_limit: int | None = None,
     keep_null_mids: bool = False,
 ) -> DataFrame:
     """Candles of a batch of mid prices, by panes where windows overlap."""

@@ -6,7 +6,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT
 from wickframe.operators import decode, ingest, ohlc
 from wickframe.operators.ohlc import SIZE, SLIDE
 from wickframe.schemas import EXACT, PriceMode
@@ -31,7 +30,7 @@ def candles_from_raw(
     size: str = SIZE,
     slide: str = SLIDE,
     mode: PriceMode = EXACT,
-    sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
+    sequence_limit: int | None = None,
 ) -> DataFrame:
     """Raw quote text to candles, of all pairs or a set of them."""
     quotes = quotes_from_raw(raw, arrival, pairs)
@@ -44,7 +43,7 @@ def candles_from_log(
     size: str = SIZE,
     slide: str = SLIDE,
     mode: PriceMode = EXACT,
-    sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
+    sequence_limit: int | None = None,
 ) -> DataFrame:
     """Log messages to candles: the batch twin of the candle stream, for backfills."""
     mids = decode.mids_from_messages(log, mode)

@@ -217,7 +217,7 @@ WHERE currency_pair IS NULL OR open_price IS NULL OR high_price IS NULL OR low_p
    OR close_price IS NULL OR open_time IS NULL OR close_time IS NULL""",
     ),
     "candle_unique_violations": _query(
-        _CLEAN_CANDLES,
+        _candles(_CLEAN_MIDS, _DAY, epoch="sequence % 4"),
         """SELECT count(*) AS violations FROM (
   SELECT 1 FROM candle GROUP BY currency_pair, open_time HAVING count(*) > 1)""",
     ),
@@ -240,6 +240,42 @@ QUALIFY row_number() OVER (PARTITION BY currency_pair ORDER BY open_time DESC) <
     ),
     "upsert_latest_wins": _UPSERTED,
     "upsert_compacted": _UPSERTED,
+    "upsert_compact_ahead": _UPSERTED,
+    "compact_resumed": _UPSERTED,
+    "candles_any_sequence": _query(
+        _candles(
+            f"""{_CLEAN_MIDS.replace("mids AS", "plain AS")},
+mids AS (
+  SELECT pair, date_trunc('minute', "timestamp") AS "timestamp", mid_price,
+         CASE sequence % 3 WHEN 0 THEN -sequence
+              WHEN 1 THEN sequence * 10000000000000 ELSE sequence END AS sequence
+  FROM plain)""",
+            _DAY,
+        ),
+        _ALL_CANDLES,
+    ),
+    "message_sequence_order": _query(
+        _candles(
+            f"""{_EXACT_MIDS.replace("mids AS", "plain AS")},
+mids AS (
+  SELECT pair, date_trunc('minute', "timestamp") AS "timestamp", mid_price, sequence FROM plain)""",
+            _DAY,
+        ),
+        _ALL_CANDLES,
+    ),
+    "tick_quality_precision": """
+SELECT event_id AS sequence, printf('%d.%09d', event_id, event_id % 100) AS bid,
+       CASE WHEN event_id % 10 <> 0 THEN 'unrepresentable' END AS reason FROM events""",
+    "tick_quality_no_pair": _query(
+        _candles(
+            f"""{_CLEAN_MIDS.replace("mids AS", "plain AS")},
+mids AS (SELECT * FROM plain WHERE sequence % 7 <> 0)""",
+            _DAY,
+        ),
+        _ALL_CANDLES,
+    ),
+    "log_read_ungated": _query(_MESSAGE, _LOG_ROWS),
+    "backfill_then_stream": _DAY_FROM_LOG,
     "stream_source_count": _query(
         _MESSAGE, "SELECT key, CAST(count(*) AS BIGINT) AS messages FROM message GROUP BY key"
     ),

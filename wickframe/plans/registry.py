@@ -12,14 +12,23 @@ from wickframe.plans.candles import candles_from_log, candles_from_raw, quotes_f
 from wickframe.schemas import COMPAT, EXACT, PriceMode
 from wickframe.session import pin_utc, scratch_dir
 from wickframe.sources import quotes
+from wickframe.sources.quotes import read_raw
 from wickframe.sources.ticklog import FileLog, as_log, read_log, replay
+from wickframe.streaming.paths import delete
 from wickframe.streaming.stream import (
     candle_stream,
     start_candle_stream,
     start_ingest_stream,
     start_pane_stream,
 )
-from wickframe.streaming.table import candles_of_panes, compact, current_candles, write_epoch
+from wickframe.streaming.table import (
+    candles_of_panes,
+    compact,
+    current_candles,
+    stored_candles,
+    write_backfill,
+    write_epoch,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,7 +214,8 @@ def candle_not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candle_unique_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.unique_violations(_clean_candles(spark, sf_dir))
+    """Keys of which the table stores several versions, before readers take the newest."""
+    return contract.unique_violations(stored_candles(spark, _upserted(spark, sf_dir)))
 
 
 def candles_ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,13 +230,16 @@ def latest_12_disjoint_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.latest_disjoint(_clean_candles(spark, sf_dir), 12)
 
 
-def _upserted(spark: SparkSession, sf_dir: str) -> str:
+def _upserted(
+    spark: SparkSession, sf_dir: str, between: Callable[[str, int], object] = lambda table, epoch: None
+) -> str:
     """A table after four epochs; each holds the candles of its own quarter of the ticks."""
     table = scratch_dir(spark, "table")
     mids = _clean_mids(spark, sf_dir)
     for epoch in range(CHUNKS):
         batch = mids.filter(F.col("sequence") % CHUNKS == epoch)
         write_epoch(ohlc.candles(batch, *DAY), table, epoch)
+        between(table, epoch)
     return table
 
 
@@ -240,6 +253,69 @@ def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_candles(spark, table)
 
 
+def upsert_compact_ahead(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compactions that name an epoch still to come, after each epoch."""
+    ahead = CHUNKS + 6
+    table = _upserted(spark, sf_dir, lambda path, epoch: compact(spark, path, ahead))
+    return current_candles(spark, table)
+
+
+def compact_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A compaction again after it was lost, with no mark of the committer left."""
+
+    def lose(path: str, epoch: int) -> None:
+        if epoch == 1:
+            compact(spark, path)
+            delete(spark, f"{path}/version={2 * epoch + 1}/_SUCCESS")
+
+    table = _upserted(spark, sf_dir, lose)
+    compact(spark, table, 1)
+    compact(spark, table)
+    return current_candles(spark, table)
+
+
+def _any_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mid prices whose times tie by the minute and whose sequences span the whole range."""
+    spread = (
+        F.when(F.col("sequence") % 3 == 0, -F.col("sequence"))
+        .when(F.col("sequence") % 3 == 1, F.col("sequence") * 10**13)
+        .otherwise(F.col("sequence"))
+    )
+    minute = F.date_trunc("minute", "timestamp").cast("timestamp_ntz")
+    return _clean_mids(spark, sf_dir).withColumns({"sequence": spread, "timestamp": minute})
+
+
+def candles_any_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ohlc.candles(_any_sequence(spark, sf_dir), *DAY)
+
+
+def message_sequence_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose offsets are in no order, decoded to candles by the sequence they carry."""
+    minute = F.date_trunc("minute", "timestamp").cast("timestamp_ntz")
+    ticks = ingest.accepted(_graded(spark, sf_dir)).withColumn("timestamp", minute)
+    log = as_log(ingest.encode_messages(ticks, with_sequence=True))
+    shuffled = log.withColumn("offset", F.abs(F.xxhash64("offset")))
+    return ohlc.candles(decode.mids_from_messages(shuffled), *DAY)
+
+
+def tick_quality_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of nine decimals: those the type cannot hold are told, not rounded."""
+    ticks = _quotes(spark, sf_dir).select(
+        "sequence",
+        "pair",
+        F.format_string("%d.%09d", F.col("sequence"), F.col("sequence") % 100).alias("bid"),
+        F.lit("1.50").alias("ask"),
+        "timestamp",
+    )
+    return ingest.grade(ticks).select("sequence", "bid", "reason")
+
+
+def tick_quality_no_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles of ticks of which every seventh has no pair; those make no candle."""
+    pair = F.when(F.col("sequence") % 7 != 0, F.col("pair"))
+    return ohlc.candles(_clean_mids(spark, sf_dir).withColumn("pair", pair), *DAY)
+
+
 # Streams. Each runs to the end of its input and returns the table it leaves.
 
 
@@ -305,6 +381,29 @@ def tick_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_log(spark, FileLog(f"{base}/log", gated=True))
 
 
+def log_read_ungated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log the ingest stream wrote, read without being told that rejects lie next to it."""
+    base = scratch_dir(pin_utc(spark), "ingest")
+    _raw(spark, sf_dir).write.parquet(f"{base}/raw")
+    stored = read_raw(spark, f"{base}/raw", streaming=True, format="parquet", arrival="arrived")
+    quoted = ingest.parse_raw_quotes(stored, arrival="arrived")
+    start_ingest_stream(
+        quoted, f"{base}/log", f"{base}/checkpoint", trigger={"availableNow": True}
+    ).awaitTermination()
+    return read_log(spark, FileLog(f"{base}/log"))
+
+
+def backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles of every second message backfilled twice, then the whole log streamed into the table."""
+    base = scratch_dir(pin_utc(spark), "continued")
+    log = _log(spark, sf_dir)
+    for part in range(2):
+        write_backfill(candles_from_log(log.where(F.col("offset") % 2 == part), *DAY), f"{base}/table")
+    _write_interleaved(log, f"{base}/log")
+    _stream_log(spark, f"{base}/log", f"{base}/checkpoint", f"{base}/table", CHUNKS, *DAY)
+    return current_candles(spark, f"{base}/table")
+
+
 def candle_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_dir(pin_utc(spark), "stream")
     in_order = F.floor(F.col("offset") * CHUNKS / (_last_offset(spark, sf_dir) + 1))
@@ -378,6 +477,14 @@ QUERIES: dict[str, Query] = {
         latest_12_disjoint_candles,
         upsert_latest_wins,
         upsert_compacted,
+        upsert_compact_ahead,
+        compact_resumed,
+        candles_any_sequence,
+        message_sequence_order,
+        tick_quality_precision,
+        tick_quality_no_pair,
+        log_read_ungated,
+        backfill_then_stream,
         tick_log_stream,
         stream_source_count,
         candle_stream_upsert,

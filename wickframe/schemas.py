@@ -40,6 +40,17 @@ LOG_ROW = T.StructType(
     ]
 )
 
+# The value of a log message. Prices are text; the sequence may be absent.
+MESSAGE = T.StructType(
+    [
+        T.StructField("bid", T.StringType()),
+        T.StructField("ask", T.StringType()),
+        T.StructField("pair", T.StringType()),
+        T.StructField("timestamp", T.TimestampNTZType()),
+        T.StructField("sequence", T.LongType()),
+    ]
+)
+
 # Candle columns in table order; all of them are NOT NULL by contract.
 CANDLE_COLUMNS = (
     "currency_pair",

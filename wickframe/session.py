@@ -63,8 +63,8 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]
 
 
 @lru_cache(maxsize=None)
-def _own_folder(application: str) -> str:
-    """One temporary folder for an application, removed when the driver ends."""
+def _own_folder() -> str:
+    """One temporary folder for this driver, removed when it ends."""
     folder = tempfile.mkdtemp(prefix="wickframe-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
@@ -80,5 +80,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not shared:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = _own_folder(spark.sparkContext.applicationId)
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -8,10 +8,23 @@ from pyspark.sql import functions as F
 from wickframe.schemas import EVENTS
 
 
-def read_raw(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
-    """Raw quote text, one JSON message per line, in ``value``."""
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    *,
+    streaming: bool = False,
+    format: str = "text",
+    arrival: str | None = None,
+) -> DataFrame:
+    """Raw quote text in ``value``, one JSON message per line or row.
+
+    Rows of other formats than text may also have a column that recorded their ``arrival``.
+    """
+    schema = "value string" + (f", `{arrival}` timestamp_ntz" if arrival else "")
+    if arrival and format == "text":
+        raise ValueError("text files have no arrival column")
     reader = spark.readStream if streaming else spark.read
-    return reader.text(path)
+    return reader.schema(schema).format(format).load(path)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

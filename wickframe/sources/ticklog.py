@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickframe.schemas import LOG_ROW
+from wickframe.streaming import paths
 
 
 @dataclass(frozen=True)
@@ -21,8 +23,8 @@ class FileLog:
     # Streaming reads only: how much one micro-batch takes, and whether new files go first.
     max_files_per_trigger: int | None = None
     latest_first: bool = False
-    # Written by the ingest stream, which keeps rejects next to the log.
-    gated: bool = False
+    # Written by the ingest stream, which keeps rejects next to the log; found out unless given.
+    gated: bool | None = None
 
 
 @dataclass(frozen=True)
@@ -56,7 +58,10 @@ def kafka_options(source: KafkaLog, streaming: bool) -> dict[str, str]:
         options["endingOffsets"] = source.ending_offsets
     elif source.max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(source.max_offsets_per_trigger)
-    return options | dict(source.options)
+    options |= dict(source.options)
+    if "assign" in options:  # the connector takes one way to choose partitions
+        del options["subscribe"]
+    return options
 
 
 def read_log(spark: SparkSession, source: LogSource, *, streaming: bool = False) -> DataFrame:
@@ -66,7 +71,10 @@ def read_log(spark: SparkSession, source: LogSource, *, streaming: bool = False)
         rows = reader.format("kafka").options(**kafka_options(source, streaming)).load()
     else:
         reader = reader.format(source.format)
-        if source.gated:
+        gated = source.gated
+        if gated is None:
+            gated = any(name.startswith("passed=") for name in paths.children(spark, source.path))
+        if gated:
             reader = reader.schema(T.StructType([*LOG_ROW, T.StructField("passed", T.BooleanType())]))
         else:
             reader = reader.schema(LOG_ROW).option("recursiveFileLookup", "true")
@@ -75,7 +83,7 @@ def read_log(spark: SparkSession, source: LogSource, *, streaming: bool = False)
             if source.max_files_per_trigger:
                 reader = reader.option("maxFilesPerTrigger", source.max_files_per_trigger)
         rows = reader.load(source.path)
-        if source.gated:
+        if gated:
             rows = rows.filter("passed")
     return log_rows(rows)
 
@@ -97,6 +105,23 @@ def replay(
     return log.filter(wanted)
 
 
+def offset_range(source: KafkaLog, ranges: Mapping[int, tuple[int, int]]) -> KafkaLog:
+    """The topic from the first to the last offset of each partition, both included.
+
+    The connector then reads nothing else; a filter on ``offset`` would read the whole topic.
+    Partitions that are not named are not read.
+    """
+    starts = {source.topic: {str(p): first for p, (first, _) in sorted(ranges.items())}}
+    ends = {source.topic: {str(p): last + 1 for p, (_, last) in sorted(ranges.items())}}
+    assigned = {"assign": json.dumps({source.topic: sorted(ranges)})}
+    return replace(
+        source,
+        starting_offsets=json.dumps(starts),
+        ending_offsets=json.dumps(ends),
+        options=dict(source.options) | assigned,
+    )
+
+
 def as_log(messages: DataFrame, partition: int = 0) -> DataFrame:
     """Encoded messages as log rows whose offset is the message's sequence."""
     return messages.select(

@@ -15,12 +15,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
+def _statuses(spark: SparkSession, path: str) -> list:
+    fs, hadoop = _handle(spark, path)
+    return list(fs.listStatus(hadoop)) if fs.exists(hadoop) else []
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``."""
+    return [s.getPath().getName() for s in _statuses(spark, path) if s.isDirectory()]
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path``."""
+    return [s.getPath().getName() for s in _statuses(spark, path) if not s.isDirectory()]
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Leave an empty folder as a mark."""
     fs, hadoop = _handle(spark, path)
-    if not fs.exists(hadoop):
-        return []
-    return [s.getPath().getName() for s in fs.listStatus(hadoop) if s.isDirectory()]
+    fs.mkdirs(hadoop)
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -9,30 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from wickframe.functions.ordering import DEFAULT_SEQUENCE_LIMIT
 from wickframe.operators.ingest import accepted, encode_messages, gate_log, grade
 from wickframe.operators.ohlc import SIZE, SLIDE, candles_direct, partial_panes
 from wickframe.schemas import EXACT, PriceMode
 from wickframe.session import scoped_conf
 from wickframe.streaming import paths
-from wickframe.streaming.table import write_epoch, write_pane_epoch
+from wickframe.streaming.table import next_epoch, write_epoch, write_pane_epoch
 
-# Up to this many files per date and epoch are left as they are; merging costs a shuffle.
-_FEW_FILES = 2
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def state_conf(spark: SparkSession, state_partitions: int | None = None) -> dict[str, str]:
     """Options of a stateful query. The partition count is fixed for the life of a checkpoint.
 
-    Every partition commits its state in every trigger, so a query with few live keys wants a
-    small multiple of the cores rather than the session's shuffle setting.
+    It is the session's shuffle setting unless given. Every partition commits its state in every
+    trigger, so a query with few live keys wants few of them.
     """
     if state_partitions is None:
-        state_partitions = min(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            2 * spark.sparkContext.defaultParallelism,
-        )
+        state_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return {
         "spark.sql.shuffle.partitions": str(state_partitions),
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
@@ -48,7 +42,7 @@ def candle_stream(
     slide: str = SLIDE,
     *,
     watermark: str | None = None,
-    sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
+    sequence_limit: int | None = None,
 ) -> DataFrame:
     """Streaming candles. Without a watermark every late tick re-opens its windows.
 
@@ -61,13 +55,14 @@ def candle_stream(
     return candles_direct(mids, size, slide, sequence_limit=sequence_limit)
 
 
-def _refuse_foreign_table(spark: SparkSession, table: str, checkpoint: str) -> None:
-    """Epochs restart at 0 with a new checkpoint and would lose against those in the table."""
-    if paths.children(spark, table) and not paths.exists(spark, f"{checkpoint}/metadata"):
-        raise ValueError(
-            f"{table} has candles but {checkpoint} is a new checkpoint:"
-            " resume the table's checkpoint or start a new table"
-        )
+def _epoch_shift(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """What to add to a query's epochs so that the next one comes after all the table has.
+
+    A new checkpoint may so continue a table that a backfill or another query wrote. An epoch that was
+    written but not committed is written once more under its new number, with the same rows.
+    """
+    committed = [int(n) for n in paths.file_names(spark, f"{checkpoint}/commits") if n.isdigit()]
+    return max(0, next_epoch(spark, table) - (max(committed, default=-1) + 1))
 
 
 def _start(
@@ -97,20 +92,20 @@ def start_candle_stream(
     *,
     trigger: dict[str, Any] | None = None,
     state_partitions: int | None = None,
+    merge_files: bool = True,
     upsert: Callable[[DataFrame, str, int, bool], Any] = write_epoch,
 ) -> StreamingQuery:
     """Keep the candle table current: update mode, one epoch per micro-batch.
 
     The checkpoint resumes offsets and state, so a restart inside a window continues its candle
     instead of rebuilding it from what comes after. Without ``trigger`` batches run back to back.
+    ``merge_files=False`` spares each epoch a shuffle and writes a file per state partition and date.
     """
     spark = candle_changes.sparkSession
-    _refuse_foreign_table(spark, table, checkpoint)
-    files_per_date = int(state_conf(spark, state_partitions)["spark.sql.shuffle.partitions"])
-    merge_files = files_per_date > _FEW_FILES
+    shift = _epoch_shift(spark, table, checkpoint)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert(batch, table, epoch_id, merge_files)
+        upsert(batch, table, epoch_id + shift, merge_files)
 
     sink = candle_changes.writeStream.outputMode("update").foreachBatch(write_batch)
     return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
@@ -122,7 +117,7 @@ def start_pane_stream(
     checkpoint: str,
     *,
     width: str = SLIDE,
-    sequence_limit: int = DEFAULT_SEQUENCE_LIMIT,
+    sequence_limit: int | None = None,
     trigger: dict[str, Any] | None = None,
     upsert: Callable[[DataFrame, str, int], Any] = write_pane_epoch,
 ) -> StreamingQuery:
@@ -132,10 +127,10 @@ def start_pane_stream(
     is aggregated once instead of once per window, ticks of any age count, and
     ``table.candles_of_panes`` gives the candles.
     """
-    _refuse_foreign_table(mids.sparkSession, table, checkpoint)
+    shift = _epoch_shift(mids.sparkSession, table, checkpoint)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert(partial_panes(batch, width, sequence_limit=sequence_limit), table, epoch_id)
+        upsert(partial_panes(batch, width, sequence_limit=sequence_limit), table, epoch_id + shift)
 
     return _start(mids.writeStream.foreachBatch(write_batch), checkpoint, trigger)
 
@@ -181,7 +176,7 @@ def start_kafka_producer(
     options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Send what the gate accepts to a topic, keyed by pair (needs Spark's Kafka connector)."""
-    messages = encode_messages(accepted(grade(quotes, mode))).select("key", "value")
+    messages = encode_messages(accepted(grade(quotes, mode)), with_sequence=True).select("key", "value")
     sink = messages.writeStream.format("kafka").options(**(options or {}))
     sink = sink.option("kafka.bootstrap.servers", ",".join(servers)).option("topic", topic)
     return _start(sink, checkpoint, trigger)

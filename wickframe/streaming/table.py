@@ -11,6 +11,12 @@ compacting everything up to epoch ``n`` writes version ``2n + 1``, which holds t
 among versions up to ``2n``. A reader therefore gets the same rows before, during and after a
 compaction, and older versions are removed only when it is done.
 
+A backfill takes the slot of the epoch after the last one, and a stream that starts or resumes numbers
+its epochs after all there are, so neither replaces what the other wrote. One writer works at a time.
+
+The table marks merges that are complete under ``_merged`` and what it holds under ``_layout``: candles
+or panes, and the type of their prices. Marks are its own; committers need not leave any.
+
 Candles that break the NOT NULL contract are kept under ``valid=false``, out of readers' sight.
 
 A pane table has the same folders. Its rows are parts of panes that readers merge, so epochs add up
@@ -32,6 +38,7 @@ from wickframe.operators.ohlc import SIZE, SLIDE, merge_panes, roll_up
 from wickframe.schemas import (
     CANDLE_COLUMNS,
     CANDLE_KEY,
+    COMPAT,
     EXACT,
     PriceMode,
     candle_schema,
@@ -45,6 +52,7 @@ from wickframe.streaming import paths
 class Layout:
     """What one kind of table holds, and how versions of a key become one row."""
 
+    kind: str
     rows: T.StructType
     time: str
     merge: Callable[[DataFrame], DataFrame]
@@ -72,17 +80,57 @@ def _newest(stored: DataFrame) -> DataFrame:
 
 
 def candle_layout(mode: PriceMode = EXACT) -> Layout:
-    return Layout(candle_schema(mode), "open_time", _newest)
+    return Layout("candles", candle_schema(mode), "open_time", _newest)
 
 
 def pane_layout(mode: PriceMode = EXACT) -> Layout:
-    return Layout(pane_schema(mode), "pane_start", merge_panes)
+    return Layout("panes", pane_schema(mode), "pane_start", merge_panes)
+
+
+def _label(kind: str, price: T.DataType) -> str:
+    if isinstance(price, T.DecimalType):
+        return f"{kind}-decimal-{price.precision}-{price.scale}"
+    return f"{kind}-{price.simpleString()}"
+
+
+def _record(spark: SparkSession, path: str, label: str) -> None:
+    """Note what the table holds; refuse rows of another kind or price type."""
+    known = paths.children(spark, f"{path}/_layout")
+    if not known:
+        paths.mark(spark, f"{path}/_layout/{label}")
+    elif label not in known:
+        raise ValueError(f"{path} holds {known[0]}, not {label}")
+
+
+def stored_mode(spark: SparkSession, path: str, kind: str, mode: PriceMode | None) -> PriceMode:
+    """The mode of a table's prices; ``mode`` where given, which must fit."""
+    known = paths.children(spark, f"{path}/_layout")
+    if not known:
+        return mode or EXACT
+    held, _, price = known[0].partition("-")
+    if held != kind or mode and known[0] != _label(kind, mode.mid_type):
+        raise ValueError(f"{path} holds {known[0]}")
+    if price.startswith("decimal-"):
+        precision, scale = map(int, price.split("-")[1:])
+        return PriceMode("stored", precision, scale, mid_is_double=False)
+    return COMPAT
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    names = [n for n in paths.children(spark, path) if n.startswith("version=")]
+    return sorted(int(n.removeprefix("version=")) for n in names)
+
+
+def next_epoch(spark: SparkSession, path: str) -> int:
+    """The first epoch after all the table has."""
+    return max((version // 2 + 1 for version in _versions(spark, path)), default=0)
 
 
 def _write(
     rows: DataFrame, layout: Layout, path: str, version: int, merge_files: bool = True
 ) -> None:
     columns = layout.rows.names
+    _record(rows.sparkSession, path, _label(layout.kind, rows.schema["open_price"].dataType))
     rows = rows.select(
         *columns,
         (~breaks_not_null(columns)).alias("valid"),
@@ -128,19 +176,36 @@ def write_epoch(
     _write(candle_rows, candle_layout(), path, 2 * epoch_id, merge_files)
 
 
+def write_backfill(candle_rows: DataFrame, path: str) -> int:
+    """Upsert candles of a batch job as the epoch after all there are, which is returned."""
+    epoch = next_epoch(candle_rows.sparkSession, path)
+    write_epoch(candle_rows, path, epoch)
+    return epoch
+
+
+def stored_candles(spark: SparkSession, path: str, mode: PriceMode | None = None) -> DataFrame:
+    """All versions of all candles that meet the contract, with ``version``."""
+    mode = stored_mode(spark, path, "candles", mode)
+    return _stored(spark, candle_layout(mode), path).filter("valid").select(*CANDLE_COLUMNS, "version")
+
+
 def current_candles(
     spark: SparkSession,
     path: str,
-    mode: PriceMode = EXACT,
+    mode: PriceMode | None = None,
     since: date | None = None,
     until: date | None = None,
 ) -> DataFrame:
     """The table as readers see it. ``since``/``until`` bound ``open_date`` and prune folders."""
+    mode = stored_mode(spark, path, "candles", mode)
     return _newest(_stored(spark, candle_layout(mode), path, since, until).filter("valid"))
 
 
-def quarantined_candles(spark: SparkSession, path: str, mode: PriceMode = EXACT) -> DataFrame:
+def quarantined_candles(
+    spark: SparkSession, path: str, mode: PriceMode | None = None
+) -> DataFrame:
     """Candles the contract refused, with the version that wrote them."""
+    mode = stored_mode(spark, path, "candles", mode)
     refused = _stored(spark, candle_layout(mode), path).filter("not valid")
     return refused.select(*CANDLE_COLUMNS, "version")
 
@@ -151,9 +216,10 @@ def write_pane_epoch(pane_parts: DataFrame, path: str, epoch_id: int) -> None:
 
 
 def current_panes(
-    spark: SparkSession, path: str, mode: PriceMode = EXACT, since: date | None = None
+    spark: SparkSession, path: str, mode: PriceMode | None = None, since: date | None = None
 ) -> DataFrame:
     """Whole panes, merged from all their parts."""
+    mode = stored_mode(spark, path, "panes", mode)
     return merge_panes(_stored(spark, pane_layout(mode), path, since).filter("valid"))
 
 
@@ -162,7 +228,7 @@ def candles_of_panes(
     path: str,
     size: str = SIZE,
     slide: str = SLIDE,
-    mode: PriceMode = EXACT,
+    mode: PriceMode | None = None,
     since: date | None = None,
 ) -> DataFrame:
     """Candles of a pane table, for any window its panes tile; ``since`` bounds ``open_time``."""
@@ -172,30 +238,37 @@ def candles_of_panes(
 
 
 def compact(
-    spark: SparkSession, path: str, upto_epoch: int, layout: Layout | None = None
+    spark: SparkSession, path: str, upto_epoch: int | None = None, layout: Layout | None = None
 ) -> list[date]:
-    """Merge the epochs up to a finished one, date by date, and remove them.
+    """Merge the epochs up to one, date by date, and remove them; all there are unless given.
 
-    Only dates those epochs touched are rewritten; they are returned. A compaction that was lost
-    halfway is finished by calling it again. Run it when no reader is mid-query: a query planned
-    before the removal loses its files. ``layout`` is that of exact candles unless given.
+    An epoch the table does not have yet stands for the last one it has: what a stream writes later
+    is newer than the merge. Only dates those epochs touched are rewritten; they are returned. A
+    compaction that was lost halfway is finished by calling it again. Run it when no reader is
+    mid-query: a query planned before the removal loses its files.
     """
-    layout = layout or candle_layout()
-    merged = 2 * upto_epoch + 1
-    names = [n for n in paths.children(spark, path) if n.startswith("version=")]
-    older = [v for v in (int(n.removeprefix("version=")) for n in names) if v < merged]
+    versions = _versions(spark, path)
+    written = [v // 2 for v in versions if v % 2 == 0]
+    if not written:
+        return []
+    last = max(written) if upto_epoch is None else min(upto_epoch, max(written))
+    merged = 2 * last + 1
+    older = [v for v in versions if v < merged]
     epochs = [v for v in older if v % 2 == 0]
     if not epochs:
         return []
+    if layout is None:
+        layout = candle_layout(stored_mode(spark, path, "candles", None))
 
     rows = _stored(spark, layout, path).filter(F.col("version") < merged)
     by_epoch = rows.filter("version % 2 = 0")
     touched = by_epoch.filter("valid").select("open_date").distinct().collect()
     days = sorted(r.open_date for r in touched)
-    # Its rows may be partly removed already if this version was completed before.
-    if not paths.exists(spark, f"{path}/version={merged}/_SUCCESS"):
+    # A merge that is marked may have lost some of its sources already. One that is not has them all.
+    if not paths.exists(spark, f"{path}/_merged/{merged}"):
         wanted = rows.filter(F.col("valid") & F.col("open_date").isin(days))
         _write(layout.merge(wanted), layout, path, merged)
+        paths.mark(spark, f"{path}/_merged/{merged}")
 
     for version in older:
         if version % 2 == 1:
