@@ -55,6 +55,8 @@ def test_model_without_rows(documents):
     model = language.fit(documents([(1, "text without a language", None)]))
     assert [r["lang_pred"] for r in language.predict(documents([(1, "some text")]), model).collect()] == ["und"]
     assert language.predict(documents([]), model, keep=("doc_id",)).collect() == []
+    left = language.with_language(documents([(1, "some text"), (2, "12"), (3, None)]), model)
+    assert [r["doc_id"] for r in left.collect()] == [1]
 
 
 def test_filter_keeps_all_columns(spark, model):

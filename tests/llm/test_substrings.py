@@ -43,11 +43,11 @@ def passages(draw, count):
     return rows + rows[:3]
 
 
-@pytest.mark.parametrize("size, width", [(35, 1 << 20), (35, 8), (7, 1 << 16), (2, 1 << 16)])
-def test_passages_by_brute_force(documents, size, width):
+@pytest.mark.parametrize("size, width, hot", [(35, 1 << 20, 1000), (35, 1 << 20, 3), (35, 8, 1000), (7, 1 << 16, 5), (2, 1 << 16, 1000)])
+def test_passages_by_brute_force(documents, size, width, hot):
     """A sketch of eight counters estimates all windows as repeated, and the result is the same."""
     rows = passages(random.Random(size), 80)
-    assert found(documents(rows), size=size, width=width) == brute_force(rows, size)
+    assert found(documents(rows), size=size, width=width, hot=hot) == brute_force(rows, size)
 
 
 def test_overlapping_repeats_in_one_text(documents):

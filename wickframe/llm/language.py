@@ -182,7 +182,10 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
 
 
 def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", min_score: float = 0.35) -> DataFrame:
-    """``docs`` without the rows whose text is undetermined or scores less than ``min_score``; columns as they are."""
+    """``docs`` without the rows whose text is undetermined or scores less than ``min_score``; columns as they are.
+
+    A model without languages tells nothing: then all texts with letters stay.
+    """
     names = docs.columns
     rows = docs.toDF(*[f"c{at}" for at in range(len(names))])
     at_text = f"c{names.index(text_col)}"
@@ -192,8 +195,12 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
         model = shared.value
         for whole in batches:
             for batch in slices(whole, at_text):
-                found = (model.predict(text) for text in batch.column(at_text).to_pylist())
-                sure = [language != UNDETERMINED and score >= min_score for language, score in found]
+                texts = batch.column(at_text).to_pylist()
+                if model.languages:
+                    found = map(model.predict, texts)
+                    sure = [language != UNDETERMINED and score >= min_score for language, score in found]
+                else:
+                    sure = [_letters.search(text or "") is not None for text in texts]
                 yield batch.filter(pa.array(sure, pa.bool_()))
 
     return map_batches(rows, run, rows.schema).toDF(*names)
