@@ -4,12 +4,14 @@
    one node from then on.
 2. Bands of registers put nodes into buckets. At similarity 0.8 a pair misses all ``BANDS`` buckets with
    a chance of about 1 in 10 million; every other pair is looked for to the end.
-3. Pairs are taken from buckets in three rounds, never all pairs of a bucket at once: each member with
-   one node of its bucket; then, where a bucket still has several components, the members outside the
-   largest with a random node of it in each bucket; then those still outside with all members they may
-   be linked to. What is left for the last round is what the links found so far do not join.
-4. A pair is dropped where the likelihood of its registers peaks far below the wanted similarity, ten
-   standard errors and more. The others are confirmed on their whole sets.
+3. Links are looked for in three rounds. First each member meets one node of its bucket; then, where a
+   bucket still has several components, the members outside the largest meet a random node of it in each
+   bucket. A pair is dropped where the likelihood of its registers peaks five standard errors below the
+   wanted similarity; the others are confirmed on their whole sets.
+4. Members that are still outside have to be compared with all others of their buckets, to be sure that
+   no link is lost. For that nodes get a home, a block of about ``BLOCK`` nodes, and the sets of two homes
+   that meet in a bucket are compared in one row. Homes of nodes that the links found so far have joined
+   do not meet. Again, what may be a link is confirmed on whole sets.
 5. Components grow by contraction: every component points to a smaller one it is linked to, pointers are
    followed to their ends, and links are renamed, until none joins two components.
 
@@ -28,12 +30,16 @@ from pyspark.sql import functions as F
 from wickframe.llm import sketches
 from wickframe.llm.bitmaps import broadcast_bits
 from wickframe.llm.runtime import Batches, map_batches, slices, written
+from wickframe.session import scoped_conf
 
 SIMILARITY_PERCENT = 80
 BANDS = 40
 ROWS = 5
-# Ten standard errors of an estimate from 200 registers lie between this and 0.8.
-LOWEST_ESTIMATE = 0.5
+# Five standard errors of an estimate from 200 registers lie between this and 0.8.
+LOWEST_ESTIMATE = 0.66
+# Nodes in a home on average, and rows of two homes in an Arrow batch.
+BLOCK = 32
+BATCH = 16
 # Bits of the filter of nodes whose sets are wanted; fixed, so what is broadcast does not grow.
 FILTER_BITS = 1 << 26
 
@@ -229,15 +235,17 @@ def near_duplicates(
     members = written(banded.join(counts, "key"), "near-buckets")
 
     first = written(_likely(_pairs(members.where("node <> hub"), "node", "hub"), nodes, percent), "near-pairs")
-    wide = members.where("size > 2").select("key", "node", "n")
+    wide = members.where("size > 2").select("key", "node")
     wanted = _ends(first).union(wide.select("node")).distinct()
     sets = written(_sets_of(docs, written(wanted, "near-wanted"), text_col, shingle), "near-sets")
     components = _contracted(wanted.select("node", F.col("node").alias("component")), written(_linked(first, sets, percent), "near-links"))
 
-    for outside in (_with_random_member, _with_all_members):
-        placed = written(wide.join(components, "node"), "near-placed")
-        pairs = _likely(outside(placed, percent), nodes, percent)
-        components = _contracted(components, written(_linked(pairs, sets, percent), "near-links"))
+    unresolved = _unresolved(wide, components)
+    pairs = _likely(_pairs(unresolved.where("outside"), "node", "member"), nodes, percent)
+    components = _contracted(components, written(_linked(pairs, sets, percent), "near-links"))
+    with scoped_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}):
+        pairs = written(_near_between_homes(_unresolved(wide, components), nodes, sets, percent), "near-pairs")
+    components = _contracted(components, written(_linked(pairs, sets, percent), "near-links"))
 
     named = nodes.select("node", "id", "key").join(components, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))
@@ -266,33 +274,109 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
 
 
-def _largest(placed: DataFrame) -> DataFrame:
-    """``(key, component, member)`` for buckets of several components: the largest and a random member."""
+def _unresolved(wide: DataFrame, components: DataFrame) -> DataFrame:
+    """Members ``(key, node, component, outside, member)`` of buckets with several components.
+
+    ``member`` is a random node of the bucket's largest component, ``outside`` tells who is not in it.
+    """
+    placed = written(wide.select("key", "node").join(components, "node"), "near-placed")
     drawn = F.struct(F.xxhash64("node", "key").alias("draw"), "node")
     parts = placed.groupBy("key", "component").agg(F.count("*").alias("size"), F.max(drawn).alias("member"))
-    largest = F.max(F.struct("size", "component", "member.node"))
-    return (
+    largest = (
         parts.groupBy("key")
-        .agg(F.count("*").alias("parts"), largest.alias("largest"))
+        .agg(F.count("*").alias("parts"), F.max(F.struct("size", "component", "member.node")).alias("largest"))
         .where("parts > 1")
-        .select("key", F.col("largest.component").alias("main"), F.col("largest.node").alias("member"))
+    )
+    of_key = largest.select("key", F.col("largest.component").alias("main"), F.col("largest.node").alias("member"))
+    return written(
+        placed.join(of_key, "key").select("key", "node", "component", (F.col("component") != F.col("main")).alias("outside"), "member"),
+        "near-unresolved",
     )
 
 
-def _with_random_member(placed: DataFrame, percent: int) -> DataFrame:
-    outside = placed.join(_largest(placed), "key").where("component <> main")
-    return _pairs(outside, "node", "member")
+def _near_between_homes(unresolved: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``(a, b)`` of different components that share an unresolved bucket and may be linked.
 
+    A home is named by the largest unresolved bucket of its nodes, so nodes that meet often live together,
+    and by the order of magnitude of their sets. Nodes that are outside somewhere live apart from those
+    that never are, which need not meet each other. Homes are split by a hash, however many nodes have
+    one largest bucket. Members are compared by 32 bits of their hashes, which can only overrate a pair.
+    """
+    sizes = unresolved.groupBy("key").agg(F.count("*").alias("size"))
+    ranked = unresolved.join(sizes, "key").groupBy("node").agg(
+        F.max(F.struct("size", "key")).alias("top"), F.max("outside").alias("out"), F.min("component").alias("component")
+    )
+    lived = ranked.join(nodes.select("node", "n"), "node").select(
+        "node", "component", "n", "out", F.col("top.key").alias("top"), F.floor(F.log(1.2, F.col("n"))).alias("magnitude")
+    )
+    named = ["top", "out", "magnitude"]
+    crowds = lived.groupBy(*named).agg(F.count("*").alias("crowd"))
+    part = F.pmod(F.xxhash64("node"), F.ceil(F.col("crowd") / BLOCK))
+    homes = written(
+        lived.join(crowds, named).select("node", "component", "n", F.struct(*named, part.alias("part")).alias("home")), "near-homes"
+    )
+    met = written(
+        unresolved.select("key", "node", "outside")
+        .join(homes.select("node", "n", "home"), "node")
+        .groupBy("key", "home")
+        .agg(F.max("outside").alias("outside"), F.min("n").alias("low"), F.max("n").alias("high")),
+        "near-met",
+    )
+    left, right = (
+        met.select("key", F.col("home").alias(f"home_{x}"), F.col("outside").alias(f"out_{x}"), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}"))
+        for x in "ab"
+    )
+    fitting = f"100 * high_a >= {percent} * low_b and 100 * high_b >= {percent} * low_a"
+    meetings = left.join(right, "key").where(f"(out_a or out_b) and home_a <= home_b and {fitting}")
+    meetings = meetings.select("home_a", "home_b").distinct()
 
-def _with_all_members(placed: DataFrame, percent: int) -> DataFrame:
-    """Members outside the largest component of their bucket with all of other components and fitting size."""
-    outside = placed.join(_largest(placed), "key").where("component <> main")
-    outside = outside.select("key", "main", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"))
-    fitting = (
-        F.expr("component <> c_x and (component = main or node < x)")
-        & F.expr(f"100 * least(n, n_x) >= {percent} * greatest(n, n_x)")
+    def shorten(batches: Batches) -> Batches:
+        for batch in batches:
+            short = [np.unique(np.frombuffer(m, np.uint64).astype(np.uint32)).tobytes() for m in batch.column("members").to_pylist()]
+            yield batch.set_column(batch.schema.get_field_index("members"), "members", pa.array(short, pa.binary()))
+
+    housed = homes.join(sets, "node").select("home", "node", "component", "n", "members")
+    short = map_batches(housed, shorten, housed.schema)
+    members = F.sort_array(F.collect_list(F.struct("node", "component", "n", "members")))
+    blocks = written(short.groupBy("home").agg(members.alias("block")), "near-blocks")
+    joined = meetings.join(blocks.select(F.col("home").alias("home_a"), F.col("block").alias("left")), "home_a").join(
+        blocks.select(F.col("home").alias("home_b"), F.col("block").alias("right")), "home_b"
     )
-    return _pairs(placed.join(outside, "key").where(fitting), "node", "x")
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            near: set[tuple[bytes, bytes]] = set()
+            for at in range(batch.num_rows):
+                near.update(_near_in_blocks(batch.column("left")[at].as_py(), batch.column("right")[at].as_py(), percent))
+            a, b = zip(*sorted(near)) if near else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return map_batches(joined.select("left", "right"), run, "a binary, b binary").distinct()
+
+
+def _near_in_blocks(left: list[dict], right: list[dict], percent: int) -> list[tuple[bytes, bytes]]:
+    """Pairs of two blocks that may be linked; one search of each right set in all left sets at once.
+
+    Shortened hashes that fall together make a set look smaller, so sizes are those of the whole sets,
+    and one member of a set may stand for several: each counts for as many as were lost.
+    """
+    sets = [np.frombuffer(row["members"], np.uint32) for row in left]
+    sizes = np.array([row["n"] for row in left])
+    lost = sizes - np.array([len(members) for members in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], np.repeat(np.arange(len(sets)), [len(members) for members in sets])[order]
+    near = []
+    for row in right:
+        members = np.frombuffer(row["members"], np.uint32)
+        starts, ends = np.searchsorted(values, members, "left"), np.searchsorted(values, members, "right")
+        counts = ends - starts
+        places = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        both = np.bincount(owners[places], minlength=len(sets)) + np.minimum(lost, row["n"] - len(members))
+        for at in np.nonzero(100 * both >= percent * (sizes + row["n"] - both))[0].tolist():
+            if left[at]["component"] != row["component"]:
+                near.append(tuple(sorted((left[at]["node"], row["node"]))))
+    return near
 
 
 def without_near_duplicates(
