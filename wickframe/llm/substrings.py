@@ -14,6 +14,11 @@ while there are ten times fewer anchors than windows.
 The sketch has a fixed width, so the bitmap of its high counters has a fixed size. A corpus that fills
 it only has more windows grouped.
 
+Counting starts on the map side, so a passage of half the corpus is one row for each task. Each count
+also keeps the lowest text and start, which is the place of the window where it occurs once. Those few
+places are taken from the lists of windows that each text has; what is left is repeated. No window is
+joined with its occurrences.
+
 Texts that occur more than once word for word are repeated wholly; of those one text stands for all, and
 its windows count twice.
 """
@@ -27,6 +32,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wickframe.llm.bitmaps import broadcast_bits, holds
 from wickframe.llm.runtime import Batches, map_batches, slices, written
@@ -37,7 +43,8 @@ SUB = 16
 # Counters in each row of the sketch, and rows; the bitmaps of both rows take WIDTH / 4 bytes.
 WIDTH = 1 << 27
 DEPTH = 2
-COPY_BITS = 1 << 26
+# Bits of the filters that pick texts; fixed, whatever the number of texts.
+FILTER_BITS = 1 << 26
 
 _A, _B, _C = (np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9))
 _SHIFT = np.uint64(32)
@@ -102,86 +109,97 @@ def _repeated_counters(docs: DataFrame, size: int, width: int) -> Broadcast:
                         places, values = anchors(hashes, size, _sub(size))
                         found.append(values[np.r_[True, places[1:] != places[:-1]]])
                 numbers, times = np.unique(counters(np.concatenate(found), width), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers), pa.array(np.minimum(times, 2).astype(np.int64))], ["counter", "times"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(times.astype(np.int64))], ["counter", "times"])
 
     counted = map_batches(docs.select("text"), run, "counter bigint, times bigint")
     high = counted.groupBy("counter").agg(F.sum("times").alias("times")).where("times > 1")
     return broadcast_bits(high, "counter", width * DEPTH)
 
 
-def _estimated(text: str, bitmap: np.ndarray, size: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _estimated(words: list[bytes], bitmap: np.ndarray, size: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, hashes and anchors of the windows that may be repeated."""
-    hashes = word_hashes(_words(text))
-    if len(hashes) < size:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty
-    _, values = anchors(hashes, size, _sub(size))
-    often = holds(bitmap, counters(values, width)).all(axis=0)
-    starts = np.nonzero(often)[0]
+    starts = np.zeros(0, np.int64)
+    if len(words) >= size:
+        hashes = word_hashes(words)
+        _, values = anchors(hashes, size, _sub(size))
+        starts = np.nonzero(holds(bitmap, counters(values, width)).all(axis=0))[0]
     if not len(starts):
         return starts, starts, starts
     return starts, rolling(hashes, size)[starts].view(np.int64), values[starts].view(np.int64)
 
 
-def _windows(texts: DataFrame, shared: Broadcast, size: int, width: int) -> DataFrame:
-    """``(window, anchor, start, copies, id, text_hash)`` for each window that may be repeated."""
+_LISTS = {"starts": pa.int32(), "windows": pa.int64(), "anchors": pa.int64()}
+
+
+def _read(
+    texts: DataFrame, sketch: Broadcast, size: int, width: int, carried: tuple[str, ...], marked: Broadcast | None = None
+) -> DataFrame:
+    """``carried`` columns with ``n_words``, ``kept_sha256`` of all words, and the windows that may be repeated.
+
+    In texts that are marked as copies no windows are looked for.
+    """
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
             for batch in slices(whole, "text", 2 << 20):
-                found = [_estimated(text or "", shared.value, size, width) for text in batch.column("text").to_pylist()]
-                lengths = [len(starts) for starts, _, _ in found]
-                rows = pa.array(np.repeat(np.arange(len(found)), lengths))
-                starts, windows, values = (np.concatenate(column) for column in zip(*found))
+                counts, digests, lists = [], [], [[] for _ in _LISTS]
+                copy = holds(marked.value, batch.column("place").to_numpy()) if marked else np.zeros(batch.num_rows, bool)
+                for text, skipped in zip(batch.column("text").to_pylist(), copy.tolist()):
+                    words = _words(text)
+                    counts.append(len(words))
+                    digests.append(sha256(b" ".join(words)).digest())
+                    found = _estimated([] if skipped else words, sketch.value, size, width)
+                    for column, values in zip(lists, found):
+                        column.append(values)
+                ends = pa.array(np.cumsum([0, *map(len, lists[0])]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(windows), pa.array(values), pa.array(starts.astype(np.int32))]
-                    + [batch.column(name).take(rows) for name in ("copies", "id", "text_hash")],
-                    ["window", "anchor", "start", "copies", "id", "text_hash"],
+                    [batch.column(name) for name in carried]
+                    + [pa.array(counts, pa.int64()), pa.array(digests, pa.binary())]
+                    + [
+                        pa.ListArray.from_arrays(ends, pa.array(np.concatenate(column)).cast(kind))
+                        for column, kind in zip(lists, _LISTS.values())
+                    ],
+                    [*carried, "n_words", "kept_sha256", *_LISTS],
                 )
 
-    schema = "window bigint, anchor bigint, start int, copies bigint, id bigint, text_hash bigint"
-    return map_batches(texts, run, schema)
+    schema = texts.select(*carried).schema.add("n_words", "long").add("kept_sha256", "binary")
+    for name, kind in (("starts", T.IntegerType()), ("windows", T.LongType()), ("anchors", T.LongType())):
+        schema = schema.add(name, T.ArrayType(kind))
+    return map_batches(texts.select(*carried, "text", *(["place"] if marked else [])), run, schema)
 
 
 def _place(digest: Column) -> Column:
-    return F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") % COPY_BITS
+    return F.conv(F.hex(F.substring(digest, 1, 6)), 16, 10).cast("bigint") % FILTER_BITS
+
 
+def _copied(docs: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """Digests of the texts that occur more than once, and a bitmap of fixed size that holds them."""
+    copied = written(docs.groupBy("digest").count().where("count > 1").select("digest"), "copies")
+    return copied, broadcast_bits(copied.select(_place(F.col("digest")).alias("place")), "place", FILTER_BITS)
 
-def _one_of_each(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(text, copies, id, text_hash)`` with equal texts as one row, and the digests of those.
 
-    Rows of equal texts have no id. A bitmap of fixed size tells most texts that have no copy; only the
-    others are shuffled, and there copies are joined to one before they are.
+def _one_of_each(docs: DataFrame, marked: Broadcast) -> DataFrame:
+    """``(text, copies, id, text_hash)`` of the marked texts, equal ones as one row.
+
+    Copies are joined to one row before they are shuffled. Only a text that has no copy keeps its id.
     """
-    digest = F.md5("text").alias("digest")
-    copied = docs.groupBy(digest).count().where("count > 1").select("digest")
-    copied = written(copied, "copies")
-    shared = broadcast_bits(copied.select(_place(F.col("digest")).alias("place")), "place", COPY_BITS)
-
-    def chosen(wanted: bool):
-        def run(batches: Batches) -> Batches:
-            for batch in batches:
-                marked = holds(shared.value, batch.column("place").to_numpy())
-                yield batch.filter(pa.array(marked == wanted)).drop_columns(["place"])
-
-        placed = docs.select("text", "id", "text_hash", _place(digest).alias("place"))
-        return map_batches(placed, run, "text string, id bigint, text_hash bigint")
-
-    single = F.col("copies") == 1
-    joined = (
-        chosen(True)
-        .groupBy(F.md5("text").alias("digest"))
-        .agg(F.count("*").alias("copies"), F.min("text").alias("text"), F.min("id").alias("id"), F.min("text_hash").alias("text_hash"))
-        .select("text", "copies", F.when(single, F.col("id")).alias("id"), F.when(single, F.col("text_hash")).alias("text_hash"))
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            wanted = holds(marked.value, batch.column("place").to_numpy())
+            yield batch.filter(pa.array(wanted))
+
+    texts = map_batches(docs, run, docs.schema).groupBy("digest").agg(
+        F.count("*").alias("copies"),
+        F.min("text").alias("text"),
+        F.min("id").alias("id"),
+        F.min("text_hash").alias("text_hash"),
     )
-    alone = chosen(False).select("text", F.lit(1).cast("bigint").alias("copies"), "id", "text_hash")
-    return alone.unionByName(written(joined, "copied-texts")), copied
+    return texts.select("text", "copies", "id", "text_hash")
 
 
 def _cut(texts: DataFrame, size: int) -> DataFrame:
-    """``(id, text_hash, n_removed, kept_text)`` from texts and the starts of their repeated windows."""
+    """``(id, text_hash, n_removed, kept_sha256)`` from texts and the starts of their repeated windows."""
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
@@ -194,33 +212,42 @@ def _cut(texts: DataFrame, size: int) -> DataFrame:
                     np.add.at(edges, np.array(starts) + size, -1)
                     gone = np.cumsum(edges)[:-1] > 0
                     removed.append(int(gone.sum()))
-                    kept.append(b" ".join([word for word, out in zip(words, gone.tolist()) if not out]).decode())
+                    kept.append(sha256(b" ".join([word for word, out in zip(words, gone.tolist()) if not out])).digest())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("text_hash"), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                    ["id", "text_hash", "n_removed", "kept_text"],
+                    [batch.column("id"), batch.column("text_hash"), pa.array(removed, pa.int64()), pa.array(kept, pa.binary())],
+                    ["id", "text_hash", "n_removed", "kept_sha256"],
                 )
 
-    return map_batches(texts, run, "id bigint, text_hash bigint, n_removed bigint, kept_text string")
+    return map_batches(texts, run, "id bigint, text_hash bigint, n_removed bigint, kept_sha256 binary")
+
+
+def _repeated(read: DataFrame) -> DataFrame:
+    """``(id, text_hash, starts)`` of the windows that occur more than once, in texts that occur once."""
+    at = F.explode(F.arrays_zip(*_LISTS)).alias("at")
+    windows = read.select("id", "text_hash", "copies", at).select("id", "text_hash", "copies", "at.*")
+    # Of a window that occurs once, these are the columns of its one row.
+    place = [F.min("id").alias("id"), F.min("text_hash").alias("text_hash"), F.min("starts").alias("start")]
+    once = windows.groupBy("windows", "anchors").agg(F.sum("copies").alias("times"), *place).where("times = 1")
+    alone = once.groupBy(F.col("id").alias("id_alone"), F.col("text_hash").alias("hash_alone")).agg(
+        F.collect_list("start").alias("alone")
+    )
+    listed = read.where("copies = 1 and size(starts) > 0").select("id", "text_hash", "starts")
+    same = F.col("id").eqNullSafe(F.col("id_alone")) & (F.col("text_hash") == F.col("hash_alone"))
+    left = F.array_except("starts", F.coalesce("alone", F.array().cast("array<int>"))).alias("starts")
+    return listed.join(alone, same, "left").select("id", "text_hash", left).where("size(starts) > 0")
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """``(id, text_hash, digest, n_words, kept_sha256)`` of each row, nothing removed."""
+def _marked(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Texts that may have a row in ``found``, by a bitmap of fixed size; a join decides."""
+    place = F.pmod("text_hash", F.lit(FILTER_BITS))
+    shared = broadcast_bits(found.select(place.alias("place")), "place", FILTER_BITS)
 
     def run(batches: Batches) -> Batches:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                words = [_words(text) for text in batch.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(name) for name in ("id", "text_hash", "digest")]
-                    + [
-                        pa.array([len(w) for w in words], pa.int64()),
-                        pa.array([sha256(b" ".join(w)).hexdigest() for w in words], pa.string()),
-                    ],
-                    ["id", "text_hash", "digest", "n_words", "kept_sha256"],
-                )
+        for batch in batches:
+            places = np.mod(batch.column("text_hash").to_numpy(), FILTER_BITS)
+            yield batch.filter(pa.array(holds(shared.value, places)))
 
-    rows = docs.select("id", "text_hash", F.md5("text").alias("digest"), "text")
-    return map_batches(rows, run, "id bigint, text_hash bigint, digest string, n_words bigint, kept_sha256 string")
+    return map_batches(docs.select("id", "text_hash", "text"), run, "id bigint, text_hash bigint, text string")
 
 
 def repeated_words(
@@ -234,37 +261,34 @@ def repeated_words(
     words joined by one blank. ``size`` is at least 2.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    given = docs.select(F.col(id_col).cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    shared = _repeated_counters(given, size, width)
-    texts, copied = _one_of_each(given)
-
-    windows = _windows(texts, shared, size, width)
-    often = windows.groupBy("window", "anchor").agg(F.sum("copies").alias("times")).where("times > 1")
-    found = windows.where("copies = 1").join(often.select("window", "anchor"), ["window", "anchor"], "left_semi")
-    starts = found.groupBy("id", "text_hash").agg(F.collect_list("start").alias("starts"))
-
-    def candidates(batches: Batches) -> Batches:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                some = [len(_estimated(t, shared.value, size, width)[0]) > 0 for t in batch.column("text").to_pylist()]
-                yield batch.filter(pa.array(some, pa.bool_()))
-
-    single = texts.where("copies = 1").select("id", "text_hash", "text")
-    candidate = map_batches(single, candidates, single.schema)
-
-    def same(left: DataFrame, right: DataFrame) -> Column:
-        return left["id"].eqNullSafe(right["id"]) & (left["text_hash"] == right["text_hash"])
-
-    cut = _cut(candidate.join(starts, same(candidate, starts)).select(candidate["*"], "starts"), size)
+    given = docs.select(
+        F.col(id_col).cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"), F.unhex(F.md5(text)).alias("digest")
+    )
+    sketch = _repeated_counters(given, size, width)
+    copied, marked = _copied(given)
+    placed = given.withColumn("place", _place(F.col("digest")))
+    rows = written(_read(placed, sketch, size, width, ("id", "text_hash", "digest"), marked), "read-texts")
+    texts = written(_one_of_each(placed, marked), "copied-texts")
+    one_of_each = written(_read(texts, sketch, size, width, ("id", "text_hash", "copies")), "read-copies")
+
+    columns = ["id", "text_hash", "copies", *_LISTS]
+    read = rows.withColumn("copies", F.lit(1).cast("bigint")).select(columns).union(one_of_each.select(columns))
+    starts = written(_repeated(read), "starts")
+
+    wanted = _marked(given, starts)
+    same = wanted["id"].eqNullSafe(starts["id"]) & (wanted["text_hash"] == starts["text_hash"])
+    cut = _cut(wanted.join(starts, same).select(wanted["*"], "starts"), size)
     cut = cut.select(
-        F.col("id").alias("cut_id"), F.col("text_hash").alias("cut_hash"), "n_removed", F.sha2("kept_text", 256).alias("cut_sha256")
+        F.col("id").alias("cut_id"), F.col("text_hash").alias("cut_hash"), "n_removed", F.col("kept_sha256").alias("cut_sha256")
     )
-    rows = _counted(given).join(copied.withColumn("copy", F.lit(True)), "digest", "left")
-    joined = rows.join(cut, rows["id"].eqNullSafe(cut["cut_id"]) & (rows["text_hash"] == cut["cut_hash"]), "left")
+    counted = rows.select("id", "text_hash", "digest", "n_words", "kept_sha256")
+    joined = counted.join(copied.withColumn("copy", F.lit(True)), "digest", "left")
+    joined = joined.join(cut, joined["id"].eqNullSafe(cut["cut_id"]) & (joined["text_hash"] == cut["cut_hash"]), "left")
     whole = F.col("copy") & (F.col("n_words") >= size)
+    kept = F.when(whole, F.unhex(F.sha2(F.lit(""), 256))).otherwise(F.coalesce("cut_sha256", "kept_sha256"))
     return joined.select(
         F.col("id").alias(id_col),
         "n_words",
         F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("cut_sha256", "kept_sha256")).alias("kept_sha256"),
+        F.lower(F.hex(kept)).alias("kept_sha256"),
     )
