@@ -84,6 +84,7 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         args.checkpoint,
         trigger=_trigger(args),
         state_partitions=args.state_partitions,
+        merge_files=not args.keep_files,
     ).awaitTermination()
 
 
@@ -175,6 +176,9 @@ def parser() -> argparse.ArgumentParser:
     pane_choice(sub)
     sub.add_argument("--watermark", help="drop ticks later than this; none by default")
     sub.add_argument("--state-partitions", type=int)
+    sub.add_argument(
+        "--keep-files", action="store_true", help="a file per state partition and date, not merged"
+    )
 
     sub = job("backfill", run_backfill, "candles of a stored log, in one batch")
     log_input(sub)
