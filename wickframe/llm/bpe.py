@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from array import array
-from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
@@ -11,16 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickframe.llm.bpe_automaton import byte_bpe
+from wickframe.llm.bpe_automaton import ByteBpe
 from wickframe.llm.chunks import Remembered
-from wickframe.llm.runtime import Batches, file_bytes, map_batches, slices, tokenizer_path
+from wickframe.llm.runtime import Batches, file_bytes, kept, map_batches, slices, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
-@lru_cache(maxsize=2)
 def _parts(content: bytes) -> Remembered:
-    bpe = byte_bpe(content)
+    bpe = ByteBpe(content)
 
     def encode(parts: list[str]):
         for ids in bpe.encode(parts):
@@ -37,7 +35,7 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(path or tokenizer_path(TOKENIZER)))
 
     def run(batches: Batches) -> Batches:
-        bpe = byte_bpe(shared.value)
+        bpe = ByteBpe(shared.value)
         parts = Remembered(lambda found: [array("i", ids).tobytes() for ids in bpe.encode(found)])
         for whole in batches:
             for batch in slices(whole, "text"):
@@ -61,7 +59,7 @@ def decode_ids(rows: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", pa
     shared = rows.sparkSession.sparkContext.broadcast(file_bytes(path or tokenizer_path(TOKENIZER)))
 
     def run(batches: Batches) -> Batches:
-        bpe = byte_bpe(shared.value)
+        bpe = ByteBpe(shared.value)
         for batch in batches:
             texts = [
                 bpe.decode(ids or []).decode("utf-8", "replace")
@@ -83,7 +81,7 @@ def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(path or tokenizer_path(TOKENIZER)))
 
     def run(batches: Batches) -> Batches:
-        parts = _parts(shared.value)
+        parts = kept(("bpe", shared.value), lambda: _parts(shared.value))
         for whole in batches:
             for batch in slices(whole, "text"):
                 counts, ids, decoded = [], [], []
@@ -100,4 +98,4 @@ def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = "id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return map_batches(rows, run, schema).withColumnRenamed("id", id_col)
+    return map_batches(rows, run, schema, keeps=True).withColumnRenamed("id", id_col)

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -36,7 +35,7 @@ class MergeAutomaton:
         self._born: dict[int, int] = {}
         self._parts: dict[int, tuple[int, int]] = {}
         self._lost: dict[tuple[int, int], int] = {}
-        self._arcs: dict[tuple[int, int], bool] = {}
+        self._arcs: dict[int, bool] = {}
         self._tokens: dict[str, int] = {}
         for token in byte_alphabet():
             if token in vocabulary:
@@ -100,12 +99,12 @@ class MergeAutomaton:
                     if token >= 0:
                         if not at:
                             break
-                        pair = (states[at], token)
+                        pair = states[at] << 32 | token
                         allowed = arcs.get(pair)
                         if allowed is None:
-                            if len(arcs) > 1_000_000:
+                            if len(arcs) > 200_000:
                                 arcs.clear()
-                            allowed = arcs[pair] = self._arc(*pair)
+                            allowed = arcs[pair] = self._arc(states[at], token)
                         if allowed:
                             break
                     at -= 1
@@ -179,7 +178,7 @@ class ByteBpe:
     def encode(self, texts: list[str]) -> list[list[int]]:
         cut = [self._plain(text) for text in texts]
         words = self._words
-        if len(words) > 300_000:
+        if len(words) > 80_000:
             words.clear()
         used = {word for row in cut for part in row if not isinstance(part, int) for word in part}
         new = used.difference(words)
@@ -206,8 +205,3 @@ class ByteBpe:
         """The labels of the arcs taken, one after the other."""
         return b"".join(map(self.labels.__getitem__, ids))
 
-
-@lru_cache(maxsize=2)
-def byte_bpe(content: bytes) -> ByteBpe:
-    """One automaton for each file and worker."""
-    return ByteBpe(content)

@@ -30,7 +30,7 @@ class Remembered:
     and have no white space at either end.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[Any]], limit: int = 800_000):
+    def __init__(self, encode: Callable[[list[str]], Iterable[Any]], limit: int = 300_000):
         self._encode, self._limit = encode, limit
         self._known: dict[str, Any] = {}
         self._old: dict[str, Any] = {}

@@ -52,7 +52,7 @@ class LanguageModel:
         return self.gram_logs[rows].mean(axis=0)
 
     def _vectors(self, words: list[str]) -> np.ndarray:
-        if self._rows is None or len(self._seen) > 500_000:
+        if self._rows is None or len(self._seen) > 250_000:
             self._seen = dict(self.words)
             self._rows = self.word_logs
         get = self._seen.get

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
 from tempfile import mkdtemp
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -51,10 +52,39 @@ def ship(spark: SparkSession) -> None:
     spark.conf.set("spark.wickframe.shipped", spark.sparkContext.applicationId)
 
 
-def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+_kept: dict[Any, Any] = {}
+
+
+def kept(key: Any, build: Callable[[], Any]) -> Any:
+    """What a worker keeps from task to task: one thing at a time, so that operators do not add up."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
+
+def release() -> None:
+    """Let go of what the worker keeps."""
+    if _kept:
+        _kept.clear()
+        pa.default_memory_pool().release_unused()
+
+
+def map_batches(
+    df: DataFrame, function: Callable[[Batches], Batches], schema: str | T.StructType, keeps: bool = False
+) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers.
+
+    A function that does not keep anything lets go of what the worker kept for another.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Batches) -> Batches:
+        if not keeps:
+            release()
+        return function(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 @lru_cache(maxsize=8)

@@ -11,14 +11,13 @@ from __future__ import annotations
 import json
 import re
 from collections import deque
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.llm.bpe_automaton import byte_alphabet
-from wickframe.llm.runtime import WORD, Batches, file_bytes, map_batches, slices, tokenizer_path
+from wickframe.llm.runtime import WORD, Batches, file_bytes, kept, map_batches, slices, tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 _words = re.compile(WORD)
@@ -95,7 +94,6 @@ def read_vocabulary(content: bytes) -> tuple[set[bytes], set[bytes]]:
     )
 
 
-@lru_cache(maxsize=2)
 def _counter(content: bytes) -> tuple[PieceCounter, dict[str, int]]:
     return PieceCounter(*read_vocabulary(content)), {}
 
@@ -104,12 +102,12 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id, n_words, n_tokens)`` for each row: words of the whole text and their pieces in all.
 
     Each word is read with one blank before it. A null, empty or blank text has no words and no tokens.
-    Counts of distinct words are remembered, at most a million at a time, none over 64 characters.
+    Counts of distinct words are remembered, at most half a million at a time, none over 64 characters.
     """
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(path or tokenizer_path(VOCABULARY)))
 
     def run(batches: Batches) -> Batches:
-        counter, known = _counter(shared.value)
+        counter, known = kept(("pieces", shared.value), lambda: _counter(shared.value))
         for whole in batches:
             for batch in slices(whole, "text"):
                 n_words, n_tokens = [], []
@@ -117,7 +115,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     words = _words.findall(text or "")
                     counts = list(map(known.get, words))
                     if None in counts:
-                        if len(known) > 1_000_000:
+                        if len(known) > 500_000:
                             known.clear()
                         for at, word in enumerate(words):
                             if counts[at] is None:
@@ -132,4 +130,4 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 )
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return map_batches(rows, run, "id bigint, n_words bigint, n_tokens bigint").withColumnRenamed("id", id_col)
+    return map_batches(rows, run, "id bigint, n_words bigint, n_tokens bigint", keeps=True).withColumnRenamed("id", id_col)
