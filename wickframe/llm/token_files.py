@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from functools import lru_cache
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -18,16 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wickframe.llm.bpe_automaton import byte_alphabet
 from wickframe.llm.chunks import Remembered
-from wickframe.llm.runtime import Batches, file_bytes, map_batches, slices, tokenizer_path
+from wickframe.llm.runtime import Batches, file_bytes, kept, map_batches, slices, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
 # Row groups of 1,000 documents keep lookups small; the values of the ids column dwarf the index.
 ORC_OPTIONS = {
-    "compression": "zstd",
-    "orc.stripe.size": str(64 << 20),
+    "compression": "lz4",
+    "orc.stripe.size": str(32 << 20),
     "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
@@ -36,7 +37,6 @@ ORC_OPTIONS = {
 _ROWS = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 
 
-@lru_cache(maxsize=2)
 def _parts(content: bytes) -> Remembered:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
@@ -45,11 +45,41 @@ def _parts(content: bytes) -> Remembered:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(parts: list[str]):
-        for found in tokenizer.encode_batch_fast(parts, add_special_tokens=False):
-            yield np.array(found.ids, "<u4").tobytes()
-
-    return Remembered(encode)
+    starts = np.array([tokenizer.id_to_token(i)[0] == "Ġ" for i in range(tokenizer.get_vocab_size())])
+
+    model, shown = tokenizer.model, {byte: c for c, byte in byte_alphabet().items()}
+    ends = {end: array("I", [tokenizer.token_to_id(end)]) for end in (",", ".")}
+
+    def word(part: str) -> bytes | None:
+        """Ids of a blank and letters, and a comma or stop at most: one pre-token and one for the mark."""
+        letters, end = (part[1:-1], ends[part[-1]]) if part[-1] in ends else (part[1:], None)
+        if part[0] != " " or not letters.isalpha() or max(letters) >= "\u0250":  # letters in every Unicode
+            return None
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(shown)
+        ids = array("I", [token.id for token in model.tokenize(f"Ġ{letters}")])
+        return (ids + end if end else ids).tobytes()
+
+    def joined(parts: list[str]) -> list[bytes]:
+        """Ids of parts encoded as one text: only the blank that begins a part makes a token with Ġ."""
+        ids = np.array(tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, "<u4")
+        if len(parts) == 1:
+            return [ids.tobytes()]
+        at = np.flatnonzero(starts[ids]) * 4
+        if len(at) != len(parts):
+            raise ValueError("a part has more than one beginning")
+        ids = ids.tobytes()
+        return [ids[a:b] for a, b in zip(at.tolist(), [*at[1:].tolist(), len(ids)])]
+
+    def encode(parts: list[str]) -> list[bytes]:
+        found = [word(part) if part else b"" for part in parts]
+        others = [at for at, ids in enumerate(found) if ids is None]
+        if others:
+            for at, ids in zip(others, joined([parts[at] for at in others])):
+                found[at] = ids
+        return found
+
+    return Remembered(encode, limit=800_000)
 
 
 def write_token_files(
@@ -71,7 +101,8 @@ def write_token_files(
     tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Batches) -> Batches:
-        parts, part, start = _parts(shared.value), TaskContext.get().partitionId(), 0
+        parts = kept(("ids", shared.value), lambda: _parts(shared.value))
+        part, start = TaskContext.get().partitionId(), 0
         for whole in batches:
             for batch in slices(whole, "text"):
                 texts = parts.texts(batch.column("text").to_pylist())
@@ -97,7 +128,7 @@ def write_token_files(
     )
     order = ("doc_id", F.xxhash64("text"), "text")
     dealt = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
-    map_batches(dealt, run, _ROWS).write.options(**ORC_OPTIONS).orc(path)
+    map_batches(dealt, run, _ROWS, keeps=True).write.options(**ORC_OPTIONS).orc(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
