@@ -9,6 +9,7 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wickframe.llm import language, registry, secrets
 
@@ -64,6 +65,38 @@ def test_filter_keeps_all_columns(spark, model):
     assert [tuple(r) for r in language.with_language(docs, model).collect()] == [(2, "le la les de des du", 2.0)]
 
 
+FOREIGN = [
+    "\u3059\u3079\u3066\u306e\u4eba\u9593\u306f\u3001\u751f\u307e\u308c\u306a\u304c\u3089\u306b\u3057\u3066\u81ea\u7531\u3067\u3042\u308a",
+    "\u3059\u3079\u3066\u306e\u4eba\u9593\u306f the and of \u751f\u307e\u308c\u306a\u304c\u3089\u306b\u3057\u3066\u81ea\u7531\u3067\u3042\u308a",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+    "qxvzk wjqpf zzkx vbqtw xkcdq jjwqz pvxkq hgzwt",
+]
+
+
+@pytest.mark.parametrize("learned", [None, ("en", "fr"), ("en",)])
+def test_texts_in_no_learned_language_go(spark, documents, model, learned):
+    source = spark.read.parquet(f"{SF_DIR}/documents.parquet").where(language.held_out())
+    if learned:
+        labelled = spark.read.parquet(f"{SF_DIR}/documents.parquet").where(F.col("lang").isin(*learned))
+        model = language.fit(labelled.where(~language.held_out()))
+        source = source.where(F.col("lang").isin(*learned))
+    clean = [r["text"] for r in source.select("text").collect()]
+    short = [" ".join(text.split()[3:7]) for text in clean if len(text.split()) > 40]
+    texts = FOREIGN + clean + short
+    left = language.with_language(documents(list(enumerate(texts))), model).collect()
+    kept = {r["doc_id"] for r in left}
+    assert not kept & set(range(len(FOREIGN)))
+    assert len(kept) >= 0.99 * (len(clean) + len(short))
+
+
+def test_the_mark_of_a_start_tells_nothing(model):
+    assert "^" in model.grams
+    assert np.allclose(model.unseen("日本"), 0)
+
+
 def plain_spans(text):
     """The patterns as given, matches that fail dropped."""
     spans = []

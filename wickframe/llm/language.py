@@ -1,7 +1,13 @@
-"""Operator 2: language of texts, by known words first and shorter and shorter character n-grams else."""
+"""Operator 2: language of texts, by known words first and shorter and shorter character n-grams else.
+
+Which language is told by odds among the learned languages; they say nothing of texts in none of them.
+Whether a text is in that language at all is told by its fit: the mean log probability of its letters,
+each given the letters after it, set against the fits of the labelled texts the model learned from.
+"""
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass, field
 
@@ -22,9 +28,18 @@ LONGEST_GRAM = 4
 # One unseen occurrence counts as so many seen ones.
 _SMOOTHING = 0.5
 
-# Words of a text are not independent; at most so many count as independent evidence in the score.
+# Words of a text are not independent; at most so many count as independent evidence in the odds.
 _INDEPENDENT_WORDS = 20.0
 
+# A letter whose longest n-gram is unknown takes the next shorter one's probability, so much less in logs
+# for each letter left out; a letter that no language knows takes the last.
+_BACKOFF, _UNKNOWN = -1.0, -12.0
+
+# How far a text's fit may lie below the typical one, in spreads of labelled texts, for a score of one half.
+_FAR = 8.0
+# Labelled texts whose fits tell the typical one and its spread, and how many a language needs of its own.
+_JUDGED_TEXTS, _FEWEST_TEXTS = 2_000, 20
+
 
 @dataclass
 class LanguageModel:
@@ -35,26 +50,56 @@ class LanguageModel:
     word_logs: np.ndarray
     grams: dict[str, int]
     gram_logs: np.ndarray
+    # Log probability of each n-gram's first letter given the others, by language.
+    letter_logs: np.ndarray | None = None
+    # Typical fit, its variance times letters within texts, and its variance between texts, by language.
+    typical: np.ndarray | None = None
     _seen: dict[str, int] = field(default_factory=dict, repr=False)
     _rows: np.ndarray | None = field(default=None, repr=False)
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean over the word's positions of the longest known n-gram that starts there."""
-        grams, marked, rows, at = self.grams, f"^{word}$", [], 0
+    def _longest(self, word: str) -> tuple[list[int], int, int]:
+        """Rows of the longest known n-gram at each position, letters left out, and positions without any.
+
+        The mark of a word's start alone is no n-gram: it is in every language.
+        """
+        grams, marked, rows, left_out, unknown = self.grams, f"^{word}$", [], 0, 0
         for at in range(len(marked) - 1):
-            for size in range(LONGEST_GRAM, 0, -1):
+            for size in range(LONGEST_GRAM, 0 if at else 1, -1):
                 row = grams.get(marked[at : at + size])
                 if row is not None:
                     rows.append(row)
+                    left_out += min(LONGEST_GRAM, len(marked) - at) - min(size, len(marked) - at)
                     break
+            else:
+                unknown += 1
+        return rows, left_out, unknown
+
+    def unseen(self, word: str) -> np.ndarray:
+        """Mean over the word's positions of the longest known n-gram that starts there."""
+        rows, _, _ = self._longest(word)
         if not rows:
             return np.zeros(len(self.languages))
         return self.gram_logs[rows].mean(axis=0)
 
+    def _row(self, word: str) -> np.ndarray:
+        """Log frequencies of a word by language; for a model that judges fits, its letters' log probabilities and their number too."""
+        known = self.words.get(word)
+        if self.letter_logs is None:
+            return self.unseen(word) if known is None else self.word_logs[known]
+        rows, left_out, unknown = self._longest(word)
+        letters = self.letter_logs[rows].sum(axis=0) + (_BACKOFF * left_out + _UNKNOWN * unknown)
+        if known is not None:
+            logs = self.word_logs[known]
+            letters = np.maximum(letters, logs)
+        else:
+            logs = self.gram_logs[rows].mean(axis=0) if rows else np.zeros(len(self.languages))
+        return np.concatenate([logs, letters, [len(word) + 1]])
+
     def _vectors(self, words: list[str]) -> np.ndarray:
         if self._rows is None or len(self._seen) > 250_000:
-            self._seen = dict(self.words)
-            self._rows = self.word_logs
+            self._seen = {}
+            width = len(self.languages) * (1 if self.letter_logs is None else 2) + (self.letter_logs is not None)
+            self._rows = np.zeros((1024, width))
         get = self._seen.get
         rows = list(map(get, words))
         if None in rows:
@@ -63,28 +108,39 @@ class LanguageModel:
                 start = len(self._seen)
                 need = start + len(new)
                 if need > len(self._rows):
-                    grown = np.zeros((max(need, 2 * len(self._rows), 1024), len(self.languages)))
+                    grown = np.zeros((max(need, 2 * len(self._rows)), self._rows.shape[1]))
                     grown[:start] = self._rows[:start]
                     self._rows = grown
                 for at, word in enumerate(new, start):
-                    self._rows[at] = self.unseen(word)
+                    self._rows[at] = self._row(word)
                     self._seen[word] = at
                 rows = list(map(get, words))
         if None in rows:  # very long words are not kept
-            return np.array([self.unseen(w) if r is None else self._rows[r] for w, r in zip(words, rows)])
+            return np.array([self._row(w) if r is None else self._rows[r] for w, r in zip(words, rows)])
         return self._rows[rows]
 
+    def _score(self, language: int, letters: float, count: float) -> float:
+        """Near 1 for a fit like those of labelled texts, one half at ``_FAR`` spreads below; short texts spread more."""
+        mean, within, between = self.typical[language]
+        below = (mean - letters / count) / math.sqrt(within / count + between)
+        return 1 / (1 + math.exp(min(max(below - _FAR, -50.0), 50.0)))
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        """``(language, score)``; ties go to the first language in order of name."""
+        """``(language, score)``; ties go to the first language in order of name.
+
+        The score tells how well the text fits the language, whatever the others are. A model that did not
+        see labelled texts to judge by gives the odds of the language among those learned.
+        """
         words = _letters.findall((text or "").lower())
         if not words or not self.languages:
             return UNDETERMINED, 0.0
-        total = np.zeros(len(self.languages))
-        for start in range(0, len(words), 50_000):
-            total += self._vectors(words[start : start + 50_000]).sum(axis=0)
+        sums = sum(self._vectors(words[at : at + 50_000]).sum(axis=0) for at in range(0, len(words), 50_000))
+        total = sums[: len(self.languages)]
+        best = int(np.argmax(total))
+        if self.typical is not None:
+            return self.languages[best], self._score(best, float(sums[len(total) + best]), float(sums[-1]))
         shown = total * min(1.0, _INDEPENDENT_WORDS / len(words))
         odds = np.exp(shown - shown.max())
-        best = int(np.argmax(total))
         return self.languages[best], float(odds[best] / odds.sum())
 
 
@@ -99,6 +155,84 @@ def _tables(counts: list, languages: list[str]) -> tuple[dict[str, int], np.ndar
     return keys, np.log((found + _SMOOTHING) / totals)
 
 
+def _letter_logs(counts: list, grams: dict[str, int], languages: list[str]) -> np.ndarray:
+    """Log probability of each n-gram's first letter given the others, smoothed by that given one less."""
+    column = {language: at for at, language in enumerate(languages)}
+    found = np.zeros((len(grams) + 1, len(languages)))  # the last row stands for n-grams that are not known
+    for language, key, n in counts:
+        found[grams[key], column[language]] = n
+    ends = found[grams["^"]] if "^" in grams else found[-1]
+    first = [at for key, at in grams.items() if len(key) == 1]
+    likely = np.zeros_like(found)
+    likely[first] = (found[first] + _SMOOTHING) / (found[first].sum(axis=0) + _SMOOTHING * (len(first) + 1))
+    likely[-1] = math.exp(_UNKNOWN)
+    for size in range(2, LONGEST_GRAM + 1):
+        keys = [key for key in grams if len(key) == size]
+        if keys:
+            at = [grams[key] for key in keys]
+            after = found[[grams.get(key[1:], -1) for key in keys]]
+            after[[key[1:] == "$" for key in keys]] = ends
+            shorter = likely[[grams.get(key[:-1], -1) for key in keys]]
+            likely[at] = (found[at] + shorter) / (np.maximum(after, found[at]) + 1)
+    return np.log(likely[:-1])
+
+
+def _typical(texts: list, languages: list[str]) -> np.ndarray | None:
+    """Fits of labelled texts by language, from rows ``(lang, letters, count, letters², letters·count, count²)``.
+
+    Medians, so that junk among the labelled texts moves nothing. A language with few texts takes what all
+    texts together give.
+    """
+
+    def of(rows: np.ndarray) -> tuple[float, float, float]:
+        fits = rows[:, 0] / rows[:, 1]
+        weight = np.sqrt(rows[:, 1])
+        order = np.argsort(fits)
+        passed = np.cumsum(weight[order])
+        mean = float(fits[order][np.searchsorted(passed, passed[-1] / 2)])
+        apart = rows[:, 2] - 2 * mean * rows[:, 3] + mean**2 * rows[:, 4]
+        within = float(np.median(np.maximum(apart, 0) / rows[:, 1]))
+        long = rows[:, 1] >= np.median(rows[:, 1])
+        between = (1.4826 * float(np.median(np.abs(fits[long] - mean)))) ** 2
+        # Equal texts have no spread; a text is never judged by less than this.
+        return mean, max(within, 0.25), max(between, 0.0625)
+
+    if not texts:
+        return None
+    names = np.array([row[0] for row in texts])
+    rows = np.array([row[1:] for row in texts], dtype=float)
+    own = [rows[names == language] for language in languages]
+    return np.array([of(mine if len(mine) >= _FEWEST_TEXTS else rows) for mine in own])
+
+
+def _judged(labelled: DataFrame, model: LanguageModel) -> list:
+    """What ``_typical`` takes, of ``labelled`` rows ``(lang, text)``."""
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    names = ("letters", "n", "letters2", "lettersn", "n2")
+
+    def run(batches: Batches) -> Batches:
+        model = shared.value
+        column = {language: at for at, language in enumerate(model.languages, len(model.languages))}
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                found = []
+                for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                    sums = np.zeros(5)
+                    words = _letters.findall(text)
+                    for start in range(0, len(words), 50_000):
+                        rows = model._vectors(words[start : start + 50_000])
+                        letters, n = rows[:, column[lang]], rows[:, -1]
+                        sums += letters.sum(), n.sum(), letters @ letters, letters @ n, n @ n
+                    if words:
+                        found.append((lang, *sums.tolist()))
+                columns = list(zip(*found)) or [()] * 6
+                kinds = [pa.string(), *[pa.float64()] * 5]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", *names])
+
+    schema = "lang string, " + ", ".join(f"{name} double" for name in names)
+    return [tuple(row) for row in map_batches(labelled, run, schema).collect()]
+
+
 def fit(
     labelled: DataFrame,
     text_col: str = "text",
@@ -115,6 +249,7 @@ def fit(
     ``max_words`` commonest pairs of language and word and the ``max_grams`` commonest pairs of language
     and n-gram make the model, for the ``max_languages`` commonest languages. These bounds keep the model
     small enough for the driver and for each worker. No labelled rows give a model without languages.
+    Fits are judged by about ``_JUDGED_TEXTS`` labelled rows, others than were counted where there are more.
     """
     rows = labelled.select(
         F.col(lang_col).cast("string").alias("lang"),
@@ -146,8 +281,18 @@ def fit(
         return [tuple(row) for row in counts.orderBy(F.desc("n"), "key", "lang").limit(most).collect()]
 
     word_rows, word_logs = _tables(commonest(words.where("n > 1"), max_words), languages)
-    gram_rows, gram_logs = _tables(commonest(grams, max_grams), languages)
-    return LanguageModel(languages, word_rows, word_logs, gram_rows, gram_logs)
+    common = commonest(grams, max_grams)
+    gram_rows, gram_logs = _tables(common, languages)
+    model = LanguageModel(languages, word_rows, word_logs, gram_rows, gram_logs)
+    if not common:
+        return model
+    model.letter_logs = _letter_logs(common, gram_rows, languages)
+    some = min(1.0, _JUDGED_TEXTS / total)
+    start = min(share, 1.0 - some) * 1_000_003
+    drawn = (F.col("draw") >= start) & (F.col("draw") < start + some * 1_000_003)
+    judged = rows.where(drawn & F.col("lang").isin(languages)).select("lang", "text")
+    model.typical = _typical(_judged(judged, model), languages)
+    return model
 
 
 def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -184,7 +329,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
 def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", min_score: float = 0.35) -> DataFrame:
     """``docs`` without the rows whose text is undetermined or scores less than ``min_score``; columns as they are.
 
-    A model without languages tells nothing: then all texts with letters stay.
+    Scores are fits to the language, so texts in no learned language go, however many were learned. A model without languages tells nothing: then all texts with letters stay.
     """
     names = docs.columns
     rows = docs.toDF(*[f"c{at}" for at in range(len(names))])
