@@ -152,6 +152,44 @@ def test_random_keys_are_found_and_words_are_not(documents):
     assert sum("random" in spans[1000 + k] for k in range(400)) <= 25
 
 
+PATHS = ["/my-app/hooks/{}", "https://x.example.com/my_app/v1/{}/run-now", "services/{}", "/usr/local/my-app_data/{}.json", "live_{}"]
+
+
+@pytest.mark.parametrize("symbols", [string.ascii_letters + string.digits, string.ascii_letters])
+def test_keys_in_paths_and_keys_without_digits_are_found(documents, symbols):
+    draw = random.Random(9)
+    rows, places = [], []
+    for doc_id in range(400):
+        key = "".join(draw.choices(symbols, k=draw.choice([20, 24, 32, 40])))
+        text = "see " + PATHS[doc_id % len(PATHS)].format(key) + " there"
+        rows.append((doc_id, text))
+        places.append((text.index(key), text.index(key) + len(key)))
+    docs = documents(rows)
+    for cuts, share in ((secrets.Cuts(), 0.8), (secrets.fit_cuts(docs), 0.9)):
+        found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in secrets.scan(docs, cuts).collect()}
+        assert sum(place in found[k] for k, place in enumerate(places)) >= share * len(places)
+
+
+def test_a_key_with_separators_stays_whole():
+    draw = random.Random(10)
+    symbols = secrets.ENCODINGS["base64"]
+    whole = 0
+    for _ in range(200):
+        key = "x9Q" + "".join(draw.choices(symbols, k=40)) + "7Zk"
+        whole += ("random", 4, 4 + len(key)) in secrets.find(f"see {key} there", secrets.Cuts())
+    assert whole >= 180
+
+
+def test_paths_and_long_words_are_no_keys():
+    plain = [
+        "/usr/local/share/my-app_data/files/readme-first.json", "https://x.org/how-to-write-a-good-test_plan/for-beginners",
+        "src/main/java/com/example/service/impl/UserServiceImpl", "AbstractSingletonProxyFactoryBean",
+        "internationalization-of-applications", "the_quick_brown_fox-jumps/over/the_lazy_dog_2024",
+        "/articles/2023/11/05/some-long-title_here", "einlichheitenpfpfver", "12345678901234567890",
+    ]
+    assert [text for text in plain if secrets.find(text, secrets.Cuts())] == []
+
+
 def test_p_values_of_random_runs_are_even():
     draw = random.Random(7)
     values = [secrets.randomness("".join(draw.choices(secrets.ENCODINGS["hex"], k=64)), "hex") for _ in range(2000)]

@@ -6,6 +6,11 @@ independently from that alphabet: chi-squared uniformity, runs about the middle
 serial correlation. Fisher's method combines their p-values. Random keys have evenly spread combined
 p-values; words, paths and serial numbers have p-values near 0.
 
+A run with path or word separators is tested whole and in the pieces between them, since a key may hold
+such characters or stand behind a path. Runs without digits are tested against their alphabet without
+digits, which is what such a key is drawn from; there, and where all separators are mixed, three more
+tests tell words: share of vowels, changes between vowels and others, and share of capitals.
+
 Where to cut is found from all distinct candidates of the corpus, for each encoding and band of lengths
 by itself, since short runs look random more easily. The upper half of the p-values tells how many
 random runs there are; the cut is the lowest one at which at most a share ``q`` of what lies above it
@@ -37,6 +42,14 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 SHORTEST = 20
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}" % SHORTEST)
 
+# Pieces of a run between separators: of paths, of words, of both.
+_PIECES = [re.compile(r"[A-Za-z0-9%s]{%d,}" % (more, SHORTEST)) for more in ("_-", "+/", "")]
+
+# Words, numbers and versions at the ends of a run, with their separators.
+_PLAIN = r"(?:[A-Z]?[a-z]{0,15}|[A-Z]{1,15}|v?[0-9]{1,8})"
+_BEFORE = re.compile(r"(?:%s[+/_-])+" % _PLAIN)
+_AFTER = re.compile(r"(?:[+/_-]%s)+\Z" % _PLAIN)
+
 Span = tuple[str, int, int]
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -50,9 +63,18 @@ ENCODINGS = {
     "base62": _DIGITS + _UPPER + _LOWER,
     "base64": _UPPER + _LOWER + _DIGITS + "+/",
     "base64url": _UPPER + _LOWER + _DIGITS + "-_",
+    "wide": _UPPER + _LOWER + _DIGITS + "+/-_",
 }
+_HOLDING = {name: frozenset(symbols) for name, symbols in ENCODINGS.items()}
+ENCODINGS |= {f"{name} letters": "".join(c for c in symbols if c not in _DIGITS) for name, symbols in ENCODINGS.items()}
 _PLACES = {name: {c: at for at, c in enumerate(symbols)} for name, symbols in ENCODINGS.items()}
-_SETS = {name: frozenset(symbols) for name, symbols in ENCODINGS.items()}
+_VOWELS, _CAPITALS = frozenset("aeiouAEIOU"), frozenset(_UPPER)
+# Share of vowels in the alphabet, and of capitals where it has both cases, of what may be words.
+_WORDLIKE = {
+    name: (len(_VOWELS & set(symbols)) / len(symbols), len(_CAPITALS & set(symbols)) / len(symbols) if {"a", "A"} <= set(symbols) else None)
+    for name, symbols in ENCODINGS.items()
+    if name == "wide" or name.endswith(" letters")
+}
 
 # Lower ends of the bands of lengths, and bins of p-values.
 BANDS = (20, 24, 32, 40, 64, 128)
@@ -72,11 +94,12 @@ def base_spans(text: str) -> list[Span]:
 
 
 def infer_encoding(run: str) -> str | None:
-    """The smallest alphabet that holds the run; none for runs that lack digits or lack letters."""
+    """The smallest alphabet that holds the run, without its digits if the run has none; none for runs without letters."""
     used = set(run)
-    if used.isdisjoint(_DIGITS) or used <= set(_DIGITS + "+/-_"):
+    if used <= set(_DIGITS + "+/-_"):
         return None
-    return next((name for name, symbols in _SETS.items() if used <= symbols), None)
+    name = next((name for name, symbols in _HOLDING.items() if used <= symbols), None)
+    return f"{name} letters" if name and used.isdisjoint(_DIGITS) else name
 
 
 def _two_sided(z: float) -> float:
@@ -109,8 +132,25 @@ def randomness(run: str, encoding: str) -> float:
     centred = values - values.mean()
     power = float((centred**2).sum())
     serial = _two_sided(float((centred[1:] * centred[:-1]).sum()) / power * math.sqrt(length)) if power else 0.0
-    x = -sum(math.log(max(p, 1e-300)) for p in (uniform, alternation, serial))
-    return math.exp(-x) * (1 + x + x * x / 2)
+    tests = [uniform, alternation, serial]
+    if encoding in _WORDLIKE:
+        tests += _wordless(run, *_WORDLIKE[encoding])
+    x = -sum(math.log(max(p, 1e-300)) for p in tests)
+    return math.exp(-x) * sum(x**k / math.factorial(k) for k in range(len(tests)))
+
+
+def _share(found: int, of: int, expected: float) -> float:
+    return _two_sided((found - of * expected) / math.sqrt(of * expected * (1 - expected)))
+
+
+def _wordless(run: str, vowels: float, capitals: float | None) -> list[float]:
+    """p-values that vowels, changes between vowels and others, and capitals are as common as in even draws."""
+    vowel = [c in _VOWELS for c in run]
+    changes = sum(a != b for a, b in zip(vowel, vowel[1:]))
+    tests = [_share(sum(vowel), len(run), vowels), _share(changes, len(run) - 1, 2 * vowels * (1 - vowels))]
+    if capitals is not None:
+        tests.append(_share(sum(c in _CAPITALS for c in run), len(run), capitals))
+    return tests
 
 
 def band(length: int) -> int:
@@ -118,12 +158,17 @@ def band(length: int) -> int:
 
 
 def candidates(text: str) -> list[tuple[int, int, str, float]]:
-    """``(start, end, encoding, p)`` of the runs that may be keys."""
+    """``(start, end, encoding, p)`` of the runs that may be keys, whole and in pieces between separators."""
     found = []
     for m in _CANDIDATE.finditer(text):
-        encoding = infer_encoding(m[0])
-        if encoding:
-            found.append((m.start(), m.end(), encoding, randomness(m[0], encoding)))
+        places = {m.span()}
+        if not m[0].isalnum():
+            places |= {piece.span() for pattern in _PIECES for piece in pattern.finditer(text, *m.span())}
+        for start, end in sorted(places):
+            run = text[start:end]
+            encoding = infer_encoding(run)
+            if encoding:
+                found.append((start, end, encoding, randomness(run, encoding)))
     return found
 
 
@@ -133,26 +178,45 @@ def _may_hold_runs(text: str) -> bool:
 
 @dataclass(frozen=True)
 class Cuts:
-    """Lowest p-value called random for each encoding and band, else ``default``."""
+    """Lowest p-value called random for each encoding and band, else ``default``, for runs that may be words ``of_words``."""
 
     lowest: dict[tuple[str, int], float] = field(default_factory=dict)
     default: float = 0.01
+    of_words: float = 0.1
 
     def accepts(self, length: int, encoding: str, p: float) -> bool:
-        return p >= self.lowest.get((encoding, band(length)), self.default)
+        default = self.of_words if encoding in _WORDLIKE else self.default
+        return p >= self.lowest.get((encoding, band(length)), default)
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """A random run without plain words at its ends, if enough of it is left."""
+    before = _BEFORE.match(text, start, end)
+    left = before.end() if before else start
+    after = _AFTER.search(text[left:end])
+    right = left + after.start() if after else end
+    return (left, right) if right - left >= SHORTEST else (start, end)
 
 
 def find(text: str | None, cuts: Cuts) -> list[Span]:
-    """Base spans, and random runs that overlap none of them, by start and then kind."""
+    """Base spans, and random runs that overlap none of them, by start and then kind.
+
+    Of a random run and random pieces of it the run counts, since a key that holds separators is to go whole;
+    plain words before and behind, as in paths, are no part of it.
+    """
     text = text or ""
     if not _may_hold_runs(text):  # every hex and access span is such a run; assignments may be short
         spans = base_spans(text) if any(word in text.lower() for word in _ASSIGN_WORDS) else []
         return sorted(spans, key=_order)
     spans = base_spans(text)
     taken = sorted((start, end) for _, start, end in spans)
-    for start, end, encoding, p in candidates(text):
+    random: list[tuple[int, int]] = []
+    for start, end, encoding, p in sorted(candidates(text), key=lambda found: found[0] - found[1]):
         if cuts.accepts(end - start, encoding, p) and not any(a < end and start < b for a, b in taken):
-            spans.append(("random", start, end))
+            start, end = _trimmed(text, start, end)
+            if not any(a <= start and end <= b for a, b in random):
+                random.append((start, end))
+    spans += [("random", start, end) for start, end in random]
     return sorted(spans, key=_order)
 
 
