@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta
 
+import pytest
+
 from wickframe import jobs
 from wickframe.streaming.table import candles_of_panes, current_candles
 
@@ -68,6 +70,27 @@ def test_pane_jobs(spark, tmp_path, capsys):
     assert capsys.readouterr().out.count("USDT") == 3
 
 
+@pytest.mark.parametrize("panes", [False, True])
+def test_messages_outside_the_limit_are_kept(spark, tmp_path, panes):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "quotes.json").write_text("\n".join(raw_lines(90)))
+    log, candles, again = (str(tmp_path / p) for p in ("log", "candles", "again"))
+    jobs.main(["ingest", "--raw", str(raw), "--log", log, "--checkpoint", str(tmp_path / "c1"), "--once"])
+    limited = ["--log", log, "--gated", "--sequence-limit", "60"]
+    jobs.main(["stream", *(["--panes"] if panes else []), *limited, "--table", candles,
+               "--checkpoint", str(tmp_path / "c2"), "--once"])
+    jobs.main(["backfill", *limited, "--table", again, "--rejects", str(tmp_path / "kept")])
+    streamed = candles_of_panes(spark, candles) if panes else current_candles(spark, candles)
+    assert sorted(streamed.collect()) == sorted(current_candles(spark, again).collect())
+    wanted = [u for u in range(60, 90) if u % 10 != 9]
+    for path, job in ((f"{candles}_rejects", "stream"), (str(tmp_path / "kept"), "backfill")):
+        rows = spark.read.parquet(path).orderBy("sequence").collect()
+        assert [r.sequence for r in rows] == wanted
+        assert {(r.reason, r.job) for r in rows} == {("bad_sequence", job)}
+        assert all(json.loads(r.value)["bid"] for r in rows)
+
+
 def test_kafka_arguments():
     args = jobs.parser().parse_args(
         ["stream", "--servers", "a:1,b:2", "--topic", "ticks", "--table", "t",

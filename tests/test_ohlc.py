@@ -123,6 +123,23 @@ def test_sequence_outside_a_limit_is_skipped(spark, limit, past):
         assert (candle.open_price, candle.close_price) == (1, 1)
 
 
+@pytest.mark.parametrize("limit", [100, 10**13])
+def test_sequence_outside_a_limit_counts_for_no_price(spark, limit):
+    at = datetime(2021, 1, 1)
+    inside = [("P", at, limit - 2, Decimal(2)), ("P", at, limit - 1, Decimal(1))]
+    outside = [("P", at, -1, Decimal(7)), ("P", at, limit, Decimal("0.5")), ("Q", at, limit, Decimal(3))]
+    ticks = frame(spark, inside + outside)
+    for candles in (
+        ohlc.candles(ticks, sequence_limit=limit),
+        ohlc.candles_direct(ticks, sequence_limit=limit),
+        ohlc.roll_up(ohlc.merge_panes(ohlc.partial_panes(ticks, sequence_limit=limit))),
+    ):
+        rows = candles.collect()
+        assert len(rows) == 5 and {r.currency_pair for r in rows} == {"P"}
+        for r in rows:
+            assert (r.open_price, r.high_price, r.low_price, r.close_price) == (2, 2, 1, 1)
+
+
 def test_ticks_without_a_pair_make_no_candle(spark):
     rows = [(None, datetime(2021, 1, 1), 1, Decimal(1))]
     for make in (ohlc.candles, ohlc.candles_direct, ohlc.partial_panes):

@@ -41,8 +41,8 @@ def order_key(
 ) -> Column:
     """Rank of a tick within a window of ``span_micros`` that begins at ``start``.
 
-    A missing sequence counts as 0. Under a limit, a sequence outside ``[0, limit)`` has no rank, so
-    candles skip its tick; ``ingest.grade`` tells which they are.
+    A missing sequence counts as 0. Under a limit, a sequence outside ``[0, limit)`` has no rank, and
+    candles leave its tick out of all prices; ``ingest.grade`` tells which they are.
     """
     since = epoch_micros(ts) - epoch_micros(start)
     seq = F.coalesce(sequence.cast("bigint"), F.lit(0))

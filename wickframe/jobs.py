@@ -6,7 +6,8 @@
     spark-submit wickframe_job.py latest   --table candles/ --since 2024-01-30
     spark-submit wickframe_job.py compact  --table candles/ --upto-epoch 1200
 
-``--servers`` and ``--topic`` replace ``--log`` by a Kafka topic.
+``--servers`` and ``--topic`` replace ``--log`` by a Kafka topic. Under ``--sequence-limit``, messages outside
+the limit are kept in ``--rejects``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from datetime import date
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from wickframe.operators import decode, reads
 from wickframe.operators.ohlc import SIZE, SLIDE
@@ -46,6 +48,24 @@ def _trigger(args: argparse.Namespace) -> dict[str, Any] | None:
     return {"processingTime": args.every} if args.every else None
 
 
+def _rejects(args: argparse.Namespace, job: str) -> str:
+    top = args.rejects or f"{args.table.rstrip('/')}_rejects"
+    return f"{top}/job={job}"
+
+
+def _await_all(queries: list[StreamingQuery]) -> None:
+    """Wait until all have ended; the failure of one ends the others."""
+    try:
+        while any(query.isActive for query in queries):
+            for query in queries:
+                query.awaitTermination(1)
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     pairs = args.pairs.split(",") if args.pairs else None
     raw = read_raw(spark, args.raw, streaming=True, format=args.format, arrival=args.arrival)
@@ -65,27 +85,39 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     log = read_log(spark, _log_source(args), streaming=True)
     mids = decode.mids_from_messages(log, MODES[args.mode])
+    queries = []
+    if args.sequence_limit is not None:
+        queries.append(
+            stream.start_reject_stream(
+                decode.outside_limit(log, args.sequence_limit, MODES[args.mode]),
+                _rejects(args, "stream"),
+                f"{args.checkpoint.rstrip('/')}_rejects",
+                trigger=_trigger(args),
+            )
+        )
     if args.panes:
-        stream.start_pane_stream(
+        candles = stream.start_pane_stream(
             mids,
             args.table,
             args.checkpoint,
             width=args.slide,
             sequence_limit=args.sequence_limit,
             trigger=_trigger(args),
-        ).awaitTermination()
+        )
+        _await_all([candles, *queries])
         return
     changes = stream.candle_stream(
         mids, args.size, args.slide, watermark=args.watermark, sequence_limit=args.sequence_limit
     )
-    stream.start_candle_stream(
+    candles = stream.start_candle_stream(
         changes,
         args.table,
         args.checkpoint,
         trigger=_trigger(args),
         state_partitions=args.state_partitions,
         merge_files=not args.keep_files,
-    ).awaitTermination()
+    )
+    _await_all([candles, *queries])
 
 
 def run_backfill(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -93,6 +125,9 @@ def run_backfill(spark: SparkSession, args: argparse.Namespace) -> None:
     candles = candles_from_log(
         log, args.size, args.slide, MODES[args.mode], sequence_limit=args.sequence_limit
     )
+    if args.sequence_limit is not None:
+        rejects = decode.outside_limit(log, args.sequence_limit, MODES[args.mode])
+        rejects.write.mode("append").parquet(_rejects(args, "backfill"))
     table.write_backfill(candles, args.table)
 
 
@@ -158,6 +193,9 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--size", default=SIZE)
         sub.add_argument("--slide", default=SLIDE)
         sub.add_argument("--sequence-limit", type=int, help="sequences lie in [0, this): faster")
+        sub.add_argument(
+            "--rejects", help="folder for messages outside the limit; by default beside the table"
+        )
 
     sub = job("ingest", run_ingest, "raw quotes to the message log")
     sub.add_argument("--raw", required=True, help="folder with raw quotes")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.functions.prices import mid_price, parse_price
-from wickframe.operators.ingest import parse_json_once
+from wickframe.operators.ingest import BAD_SEQUENCE, grade, parse_json_once, quarantined
 from wickframe.schemas import EXACT, MESSAGE, PriceMode
 
 
@@ -30,6 +30,24 @@ def decode_messages(log: DataFrame, mode: PriceMode = EXACT) -> DataFrame:
     )
 
 
+def outside_limit(log: DataFrame, sequence_limit: int, mode: PriceMode = EXACT) -> DataFrame:
+    """Messages that make no candle only because of the limit, as they are, with the reason.
+
+    The others that make none are no matter of the limit: the gate and ``ingest.grade`` tell them.
+    """
+    ticks = parse_json_once(
+        log.select("offset", "value"), F.col("value").cast("string"), MESSAGE, "offset", "value"
+    )
+    graded = grade(
+        ticks.withColumn("sequence", F.coalesce("sequence", "offset")), mode, sequence_limit
+    )
+    return (
+        quarantined(graded)
+        .filter(F.col("reason") == BAD_SEQUENCE)
+        .select("offset", "value", "sequence", "pair", "timestamp", "reason")
+    )
+
+
 def mids_from_messages(log: DataFrame, mode: PriceMode = EXACT) -> DataFrame:
     """Log rows to ``(pair, timestamp, sequence, mid_price)``."""
     return with_mid(decode_messages(log, mode), mode)

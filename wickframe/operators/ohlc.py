@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
-from wickframe.functions.ordering import epoch_micros, order_key, rescaled_key
+from wickframe.functions.ordering import epoch_micros, order_key, rescaled_key, sequence_fits
 from wickframe.schemas import CANDLE_COLUMNS
 from wickframe.session import require_utc
 
@@ -33,6 +33,12 @@ def window_bounds(assigned: DataFrame) -> DataFrame:
     )
 
 
+def _mid_in_order(sequence_limit: int | None) -> Column:
+    """The mid price of ticks that can be ordered under the limit; the others count for no price."""
+    mid = F.col("mid_price")
+    return mid if sequence_limit is None else F.when(sequence_fits(F.col("sequence"), sequence_limit), mid)
+
+
 def _ohlc(
     assigned: DataFrame, start: str, by: str, span: int, sequence_limit: int | None, keep_null_mids: bool
 ) -> DataFrame:
@@ -42,14 +48,14 @@ def _ohlc(
 
     Ticks without a mid get no order key, which min_by/max_by skip just as min/max skip the NULL
     itself. That replaces a filter, and groups without any mid or without a pair are removed after
-    the aggregation.
+    the aggregation. Ticks outside the sequence limit have no mid.
     """
     require_utc(assigned)
     key = order_key(F.col("timestamp"), F.col(start), span, F.col("sequence"), sequence_limit)
     if not keep_null_mids:
         key = F.when(F.col("mid_price").isNotNull(), key)
     bars = (
-        assigned.withColumn("rank", key)
+        assigned.withColumns({"rank": key, "mid_price": _mid_in_order(sequence_limit)})
         .groupBy("pair", by)
         .agg(
             F.min_by("mid_price", "rank").alias("open_price"),
@@ -121,7 +127,12 @@ def partial_panes(
     )
     bars = (
         mids.withColumn("pane_start", start)
-        .withColumn("rank", F.when(F.col("mid_price").isNotNull(), key))
+        .withColumns(
+            {
+                "rank": F.when(F.col("mid_price").isNotNull(), key),
+                "mid_price": _mid_in_order(sequence_limit),
+            }
+        )
         .groupBy("pair", "pane_start")
         .agg(
             F.min_by("mid_price", "rank").alias("open_price"),

@@ -148,6 +148,17 @@ def start_row_store_stream(
     return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
 
 
+def start_reject_stream(
+    rejects: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: dict[str, Any] | None = None,
+) -> StreamingQuery:
+    """Keep the messages that a candle stream leaves out, as files. The file sink commits batches exactly once."""
+    return _start(rejects.writeStream.format("parquet").option("path", path), checkpoint, trigger)
+
+
 def start_ingest_stream(
     quotes: DataFrame,
     log_path: str,
