@@ -125,3 +125,11 @@ def test_registers_estimate_similarity_and_merge():
         assert sketches.estimate(a[None], b[None], size, size)[0] == pytest.approx(true, abs=0.05)
         union = sketches.sketch(np.union1d(left, right), factors)
         assert (np.maximum(a, b) == union).all()
+
+
+@pytest.mark.parametrize("percent", [50, 79, 101])
+def test_similarities_the_bands_are_not_made_for_are_refused(documents, percent):
+    docs = documents([(1, "some text")])
+    for find in (near_duplicates, without_near_duplicates):
+        with pytest.raises(ValueError):
+            find(docs, percent=percent)

@@ -221,7 +221,12 @@ def near_duplicates(
     nothing and kept. Repeated rows with one id are all kept, or none; ``first`` is true for those rows
     of a component that share its smallest ``(id, text_hash)``, which tells apart rows of one id. A null id is
     passed over as ``component_id`` unless the component has no other.
+
+    Bands and estimates are made for similarities of ``SIMILARITY_PERCENT`` or more; a lower ``percent`` would
+    lose links and is refused.
     """
+    if not SIMILARITY_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be between {SIMILARITY_PERCENT} and 100")
     rows = written(_named(docs, id_col, text_col, shingle), "near-rows")
     key = F.struct("id", "text_hash")
     nodes = written(
