@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from compare import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from wickframe.plans.oracle import ORACLE
+from wickframe.plans.registry import QUERIES
 
 # Known sizes at sf0.01.
 ROWS = {
@@ -32,20 +34,20 @@ def db(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_oracle(spark, sf_dir, db, name):
-    result = queries()[name](spark, sf_dir)
-    assert differences(result, db, oracle_sql()[name]) == ""
+    result = QUERIES[name](spark, sf_dir)
+    assert differences(result, db, ORACLE[name]) == ""
     if name in ROWS:
-        assert db.execute(f"select count(*) from ({oracle_sql()[name]})").fetchall() == [(ROWS[name],)]
+        assert db.execute(f"select count(*) from ({ORACLE[name]})").fetchall() == [(ROWS[name],)]
 
 
 def test_quality_summary_counts(spark, sf_dir):
     def counts(name):
-        return {r.reason: r.ticks for r in queries()[name](spark, sf_dir).collect()}
+        return {r.reason: r.ticks for r in QUERIES[name](spark, sf_dir).collect()}
 
     assert counts("tick_quality_summary") == {
         "accepted": 9_200,
@@ -70,6 +72,6 @@ def test_results_do_not_depend_on_the_session_zone(spark, sf_dir, db):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         for name in ("candles_5m_1m", "candles_1d_6h", "latest_12_disjoint_candles"):
-            assert differences(queries()[name](spark, sf_dir), db, oracle_sql()[name]) == ""
+            assert differences(QUERIES[name](spark, sf_dir), db, ORACLE[name]) == ""
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
