@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from wickframe.llm import sketches
 from wickframe.llm.bitmaps import broadcast_bits
+from wickframe.llm.components import contracted
 from wickframe.llm.runtime import Batches, map_batches, slices, written
 from wickframe.session import scoped_conf
 
@@ -174,38 +175,6 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(joined.select("a", "b", "m_a", "m_b"), run, "a binary, b binary")
 
 
-def _contracted(components: DataFrame, links: DataFrame) -> DataFrame:
-    """``(node, component)`` after the links have joined components; names are their smallest nodes."""
-    joined = links
-    while True:
-        of_a = components.select(F.col("node").alias("a"), F.col("component").alias("c_a"))
-        of_b = components.select(F.col("node").alias("b"), F.col("component").alias("c_b"))
-        apart = (
-            joined.join(of_a, "a")
-            .join(of_b, "b")
-            .where("c_a <> c_b")
-            .select(F.greatest("c_a", "c_b").alias("a"), F.least("c_a", "c_b").alias("b"))
-            .distinct()
-        )
-        apart = written(apart, "links")
-        if apart.isEmpty():
-            return components
-        parents = written(apart.groupBy("a").agg(F.min("b").alias("b")), "parents")
-        while True:  # follow pointers; they fall, so they end
-            above = parents.select(F.col("a").alias("b"), F.col("b").alias("c"))
-            stepped = parents.join(above, "b", "left")
-            moved = written(stepped.select("a", F.coalesce("c", "b").alias("b"), F.col("c").isNotNull().alias("moved")), "parents")
-            parents = moved.select("a", "b")
-            if moved.where("moved").isEmpty():
-                break
-        ends = parents.select(F.col("a").alias("component"), F.col("b").alias("end"))
-        components = written(
-            components.join(ends, "component", "left").select("node", F.coalesce("end", "component").alias("component")),
-            "components",
-        )
-        joined = apart  # names of components are nodes too
-
-
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -243,14 +212,14 @@ def near_duplicates(
     wide = members.where("size > 2").select("key", "node")
     wanted = _ends(first).union(wide.select("node")).distinct()
     sets = written(_sets_of(docs, written(wanted, "near-wanted"), text_col, shingle), "near-sets")
-    components = _contracted(wanted.select("node", F.col("node").alias("component")), written(_linked(first, sets, percent), "near-links"))
+    components = contracted(wanted.select("node", F.col("node").alias("component")), written(_linked(first, sets, percent), "near-links"))
 
     unresolved = _unresolved(wide, components)
     pairs = _likely(_pairs(unresolved.where("outside"), "node", "member"), nodes, percent)
-    components = _contracted(components, written(_linked(pairs, sets, percent), "near-links"))
+    components = contracted(components, written(_linked(pairs, sets, percent), "near-links"))
     with scoped_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}):
         pairs = written(_near_between_homes(_unresolved(wide, components), nodes, sets, percent), "near-pairs")
-    components = _contracted(components, written(_linked(pairs, sets, percent), "near-links"))
+    components = contracted(components, written(_linked(pairs, sets, percent), "near-links"))
 
     named = nodes.select("node", "id", "key").join(components, "node", "left")
     named = named.withColumn("component", F.coalesce("component", "node"))

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wickframe.llm import (
     bpe,
+    centroids,
     decontaminate,
     language,
     near_duplicates,
     quality,
     secrets,
+    simhash,
     substrings,
     token_counts,
     token_files,
     urls,
+    whitening,
 )
 from wickframe.llm.runtime import table
 from wickframe.session import scratch_dir
@@ -71,6 +74,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digests(centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
@@ -82,6 +98,9 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_centroids": op12_centroids,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE: dict[str, str] = {
