@@ -208,6 +208,9 @@ def whiten(df: DataFrame, model: Whitening, id_col: str = "vec_id", vector_col:
     theirs each, null ids stay null, other columns of ``df`` play no part.
     """
     components = model.directions.shape[1]
+    if not components:
+        empty = df.sparkSession.createDataFrame([], RESULT)
+        return empty.select(F.col("id").alias(id_col), *empty.columns[1:])
     shared = df.sparkSession.sparkContext.broadcast(model)  # dimension times components numbers
 
     def run(batches: Batches) -> Batches:
