@@ -13,3 +13,24 @@ def plan_text(df: DataFrame) -> str:
     with contextlib.redirect_stdout(out):
         df.explain()
     return out.getvalue()
+
+
+def rows_by_operator(df: DataFrame) -> list[int]:
+    """Rows that each operator gave when the whole result was computed."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    found, todo = [], [execution.executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            node = node.executedPlan()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            node = node.plan()
+        metric = node.metrics().get("numOutputRows")
+        if metric.isDefined():
+            found.append(metric.get().value())
+        if node.getClass().getSimpleName() == "InMemoryTableScanExec":
+            continue
+        children = node.children()
+        todo.extend(children.apply(i) for i in range(children.size()))
+    return found

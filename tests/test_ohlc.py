@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from plans import rows_by_operator
 from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
@@ -147,11 +148,12 @@ def test_ticks_without_a_pair_make_no_candle(spark):
     assert ohlc.candles(frame(spark, rows), keep_null_mids=True).count() == 5
 
 
-def test_plan_of_a_roll_up_does_not_grow_with_the_window(spark):
+@pytest.mark.parametrize("sizes", [("5 minutes", "8 minutes"), ("9 minutes", "30 days")])
+def test_plan_of_a_roll_up_does_not_grow_with_the_window(spark, sizes):
     panes = ohlc.panes(frame(spark, make_ticks(seed=3)), "1 minute", "1 minute")
     plans = [
         ohlc.roll_up(panes, size, "1 minute")._jdf.queryExecution().executedPlan().toString()
-        for size in ("5 minutes", "1 day")
+        for size in sizes
     ]
     assert abs(len(plans[0]) - len(plans[1])) < 100
 
@@ -219,3 +221,38 @@ def test_latest_disjoint_against_brute_force(spark):
     assert {tuple(r) for r in reads.latest(candles).select(*key).collect()} == expected_latest
     assert {tuple(r) for r in reads.latest_disjoint(candles).select(*key).collect()} == expected_tiled
     assert reads.latest_disjoint(candles).columns == candles.columns
+
+
+@pytest.mark.parametrize("keep_null_mids", [False, True])
+@pytest.mark.parametrize(
+    "size, slide", [("1 hour", "1 minute"), ("90 minutes", "7 minutes"), ("1 hour", "5 seconds"), ("50 minutes", "3 minutes")]
+)
+def test_swept_windows_match_brute_force(spark, size, slide, keep_null_mids):
+    rows = make_ticks(seed=len(size + slide), n=400)
+    # Ticks on both sides of the epoch, at edges of blocks, and far from all others.
+    for sequence, at in enumerate([EPOCH, EPOCH - MICRO, EPOCH - timedelta(hours=1), datetime(1969, 12, 1, 5), datetime(2022, 1, 1)]):
+        rows.append(("edge", at, sequence, Decimal(sequence)))
+    ticks = frame(spark, rows).repartition(5)
+    assert collected(ohlc.candles(ticks, size, slide, keep_null_mids=keep_null_mids)) == brute(rows, size, slide, keep_null_mids)
+
+
+@pytest.mark.parametrize("size, slide", [("1 day", "6 hours"), ("5 minutes", "1 minute"), ("6 minutes", "4 minutes")])
+def test_sweep_and_copies_agree(spark, monkeypatch, size, slide):
+    ticks = frame(spark, make_ticks(seed=3, n=800))
+    copied = collected(ohlc.candles(ticks, size, slide))
+    monkeypatch.setattr(ohlc, "COPIES", 1)
+    assert collected(ohlc.candles(ticks, size, slide)) == copied
+
+
+@pytest.mark.parametrize("minutes", [1, 40])
+def test_rows_of_a_sweep_do_not_follow_the_overlap(spark, minutes):
+    """A day each minute: between the operators there are at most three rows a pane, and the candles."""
+    rows = [("A", datetime(2021, 10, 14) + timedelta(minutes=minutes * i), i, Decimal(i)) for i in range(900)]
+    ticks = frame(spark, rows)
+    panes = ohlc.panes(ticks, "1 day", "1 minute").persist()
+    found = ohlc.roll_up(panes, "1 day", "1 minute")
+    candles = found.count()
+    counts = rows_by_operator(found)
+    assert candles in counts
+    assert max(counts) <= candles
+    assert sorted(n for n in counts if n != candles)[-1] <= 3 * panes.count()

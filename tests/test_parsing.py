@@ -182,3 +182,24 @@ def test_encoded_message_round_trip(spark):
     assert row.value == (
         '{"bid":"1.10","ask":"1.20","pair":"BTCUSDT","timestamp":"2021-01-01 00:00:00.000005"}'
     )
+
+
+def test_many_pairs_are_looked_up_not_searched(spark):
+    """Ten thousand pairs: the plan stays flat and what the text cannot tell is parsed."""
+    values = [
+        '{"u":1,"s":"BTCUSDT","b":"1","a":"2"}',
+        '{"u":2, "s" : "btcUSDT","b":"1","a":"2"}',
+        '{"u":3,"s":"\\u0042TCUSDT","b":"1","a":"2"}',
+        '{"u":4,"s":"ETHUSDT","b":"btcusdt","a":"2"}',
+        '{"u":5,"s":"XRPUSDT","x":{"s":"a"},"b":"1","a":"2"}',
+        '{"u":6,"s":77,"b":"1","a":"2"}',
+        '{"u":7,"b":"1","a":"2"}',
+        "",
+        None,
+    ]
+    raw = spark.createDataFrame([(v,) for v in values], "value string")
+    pairs = ["BTCUSDT", "77", *(f"pair{i}usdt" for i in range(10_000))]
+    kept = quotes_from_raw(raw, pairs=pairs)
+    assert sorted(r.sequence for r in kept.collect()) == [1, 2, 3, 6]
+    passed = {r.value for r in ingest.may_mention(raw, pairs).collect()}
+    assert values[3] not in passed and set(values[:3]) | {values[4], values[5]} <= passed

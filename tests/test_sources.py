@@ -109,3 +109,50 @@ def test_replay_of_a_topic_reads_its_offsets_only():
     assert options["endingOffsets"] == '{"ticks": {"0": 3000, "1": 10}}'
     assert options["assign"] == '{"ticks": [0, 1]}' and "subscribe" not in options
     assert options["minPartitions"] == "4"
+
+
+def _gate_rows(spark):
+    rows = [("P", "good", 0, 1, True), ("P", "reject", 0, 2, False)]
+    df = spark.createDataFrame(rows, "key string, value string, partition int, offset long, passed boolean")
+    return df.withColumn("timestamp", F.lit(datetime(2021, 1, 1)).cast("timestamp_ntz"))
+
+
+@pytest.mark.parametrize("format", ["parquet", "json"])
+@pytest.mark.parametrize("kind", ["new", "by folder", "plain"])
+def test_logs_tell_their_rejects(spark, tmp_path, kind, format):
+    """Rows say whether they passed; earlier logs by their folder; plain logs have no rejects."""
+    rows = _gate_rows(spark)
+    if kind == "new":
+        rows = ticklog.gated_rows(rows).write.partitionBy(ticklog.GATE)
+    elif kind == "by folder":
+        rows = rows.write.partitionBy("passed")
+    else:
+        rows = rows.drop("passed").write
+    rows.format(format).save(f"{tmp_path}/log")
+    read = read_log(spark, FileLog(f"{tmp_path}/log", format))
+    assert {r.value for r in read.collect()} == ({"good", "reject"} if kind == "plain" else {"good"})
+    assert read_log(spark, FileLog(f"{tmp_path}/log", format, gated=False)).count() == 2
+
+
+@pytest.mark.parametrize("kind", ["new", "by folder"])
+def test_a_stream_set_up_on_an_empty_folder_takes_no_reject(spark, tmp_path, kind):
+    (tmp_path / "log").mkdir()
+    rows = read_log(spark, FileLog(f"{tmp_path}/log"), streaming=True)
+    sink = rows.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+    query = sink.option("checkpointLocation", f"{tmp_path}/c").start()
+    try:
+        query.processAllAvailable()
+        gate = _gate_rows(spark)
+        gate = ticklog.gated_rows(gate).write.partitionBy(ticklog.GATE) if kind == "new" else gate.write.partitionBy("passed")
+        gate.mode("append").parquet(f"{tmp_path}/log")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert [r.value for r in spark.read.parquet(f"{tmp_path}/out").collect()] == ["good"]
+
+
+def test_files_of_rejects_are_not_opened(spark, tmp_path):
+    ticklog.gated_rows(_gate_rows(spark)).write.partitionBy(ticklog.GATE).parquet(f"{tmp_path}/log")
+    for file in (tmp_path / "log" / ticklog.REJECTS).glob("*.parquet"):
+        file.write_bytes(b"not a file of this kind")
+    assert read_log(spark, FileLog(f"{tmp_path}/log")).count() == 1

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import sqlite3
+import sys
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,10 +15,20 @@ from wickframe.operators import decode, ingest
 from wickframe.plans.candles import candles_from_log, candles_from_raw
 from wickframe.schemas import CANDLE_COLUMNS
 from wickframe.sources import quotes
+from wickframe.sources.quotes import read_raw
 from wickframe.sources.ticklog import FileLog, as_log, read_log
-from wickframe.streaming.rowstore import RowStoreWriter, table_ddl, upsert_statement
+from wickframe.streaming import rowstore
+from wickframe.streaming.counts import RejectCounts, stored_counts
+from wickframe.streaming.rowstore import (
+    BatchStore,
+    RowStoreWriter,
+    batch_store_ddl,
+    table_ddl,
+    upsert_statement,
+)
 from wickframe.streaming.stream import (
     candle_stream,
+    start_batch_store_stream,
     start_candle_stream,
     start_ingest_stream,
     start_kafka_producer,
@@ -241,3 +254,161 @@ def test_state_options(spark):
     assert state_conf(spark)["spark.sql.shuffle.partitions"] == "4"
     assert state_conf(spark, 2)["spark.sql.shuffle.partitions"] == "2"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+@pytest.fixture
+def store(tmp_path):
+    file = str(tmp_path / "store.db")
+    with sqlite3.connect(file) as db:
+        for statement in batch_store_ddl("candle"):
+            db.execute(statement)
+
+    def connect():
+        return sqlite3.connect(file, timeout=60)
+
+    return BatchStore(connect, "candle", "test", marker="?", as_text=True)
+
+
+def _rows_of(store, table="candle", columns=CANDLE_COLUMNS):
+    with store.connect() as db:
+        return sorted(db.execute(f"select {', '.join(columns)} from {table}").fetchall(), key=repr)
+
+
+def _as_stored(rows):
+    times = "%Y-%m-%d %H:%M:%S.%f"
+    return sorted(((r[0], *map(float, r[1:5]), *(t.strftime(times) for t in r[5:])) for r in rows), key=repr)
+
+
+def test_batch_store_keeps_a_table_current(spark, log, batch_candles, tmp_path, store):
+    for chunk in range(3):
+        append(log.filter(F.col("offset") % 3 == chunk), tmp_path)
+    source = FileLog(f"{tmp_path}/log", max_files_per_trigger=1)
+    for _ in range(2):  # the second start finds nothing new
+        mids = decode.mids_from_messages(read_log(spark, source, streaming=True))
+        start_batch_store_stream(
+            candle_stream(mids, *DAY), store, f"{tmp_path}/c", trigger=NOW, state_partitions=2
+        ).awaitTermination()
+    assert _rows_of(store) == _as_stored(batch_candles)
+    assert _rows_of(store, "candle_staging", ("run",)) == []
+    ((stream, epoch),) = _rows_of(store, "candle_epochs", ("stream", "epoch"))
+    assert stream == "test" and epoch >= 2
+
+
+def _store_batch(spark, n, price, pair="P"):
+    at = datetime(2021, 1, 1)
+    rows = [(f"{pair}{i}", *[Decimal(price)] * 4, at, at) for i in range(n)]
+    return spark.createDataFrame(rows, _NULLABLE)
+
+
+_NULLABLE = (
+    "currency_pair string, open_price decimal(20,8), high_price decimal(20,8), low_price decimal(20,8),"
+    " close_price decimal(20,8), open_time timestamp_ntz, close_time timestamp_ntz"
+)
+
+
+def test_a_replayed_epoch_changes_nothing_in_the_store(spark, store):
+    assert store(_store_batch(spark, 20, 1).repartition(4), 0)
+    assert store(_store_batch(spark, 5, 2), 1)
+    held = _rows_of(store)
+    assert sorted({r[1] for r in held}) == [1, 2] and len(held) == 20
+    assert not store(_store_batch(spark, 20, 1), 0)
+    assert not store(_store_batch(spark, 5, 3), 1)
+    assert _rows_of(store) == held
+    assert store(spark.createDataFrame([], _NULLABLE), 2)
+    assert _rows_of(store) == held
+
+
+def test_the_store_moves_a_batch_or_nothing(spark, store, monkeypatch):
+    """The driver is lost between upsert and commit; rows staged by lost runs are never moved."""
+    assert store(_store_batch(spark, 3, 1), 0)
+    held = _rows_of(store)
+
+    def lose(self, *args):
+        move(self, *args)
+        raise OSError("lost")
+
+    move = BatchStore._move
+    with monkeypatch.context() as patch:
+        patch.setattr(BatchStore, "_move", lose)
+        with pytest.raises(OSError):
+            store(_store_batch(spark, 9, 2).repartition(3), 1)
+    assert _rows_of(store) == held
+    assert len(_rows_of(store, "candle_staging")) == 9
+    assert store(_store_batch(spark, 4, 3), 1)
+    assert sorted(r[1] for r in _rows_of(store)) == [3, 3, 3, 3]
+    assert _rows_of(store, "candle_staging") == []
+
+
+def test_the_store_keeps_refused_candles_aside(spark, store):
+    at = datetime(2021, 1, 1)
+    good, bad = ("A", *[Decimal(1)] * 4, at, at), (None, *[Decimal(1)] * 4, at, at)
+    assert store(spark.createDataFrame([good, bad], _NULLABLE), 0)
+    assert [r[0] for r in _rows_of(store)] == ["A"]
+    assert _rows_of(store, "candle_refused", ("epoch", "currency_pair")) == [(0, None)]
+
+
+def test_staging_makes_no_python_call_for_a_row(spark, store):
+    """A task's writing of 5,000 rows, profiled: calls follow batches and columns."""
+    rows = _store_batch(spark, 5000, 1).toArrow().to_batches(max_chunksize=2500)
+    calls = []
+
+    class Task:
+        def taskAttemptId(self):
+            return 7
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(rowstore.TaskContext, "get", Task)
+        write = rowstore._staging(store, "run")
+        list(write(iter(rows[:1])))  # imports
+        sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "call" else None)
+        try:
+            (done,) = write(iter(rows))
+        finally:
+            sys.setprofile(None)
+    assert done.to_pylist() == [{"attempt": 7, "candles": 5000}]
+    assert len(calls) < 200
+    assert len(_rows_of(store, "candle_staging")) == 5000 + rows[0].num_rows
+
+
+def test_candle_stream_merges_its_epochs(spark, log, batch_candles, tmp_path):
+    for chunk in range(6):
+        append(log.filter(F.col("offset") % 6 == chunk).coalesce(1), tmp_path)
+    mids = decode.mids_from_messages(read_log(spark, FileLog(f"{tmp_path}/log", max_files_per_trigger=1), streaming=True))
+    start_candle_stream(
+        candle_stream(mids, *DAY), f"{tmp_path}/t", f"{tmp_path}/c", trigger=NOW, state_partitions=2, fanout=2
+    ).awaitTermination()
+    assert sorted(current_candles(spark, f"{tmp_path}/t").collect()) == sorted(batch_candles)
+    assert len({f.split("version=")[1].split("/")[0] for f in current_candles(spark, f"{tmp_path}/t").inputFiles()}) <= 6
+
+
+def test_pane_stream_merges_its_epochs(spark, log, batch_candles, tmp_path):
+    for chunk in range(4):
+        append(log.filter(F.col("offset") % 4 == chunk).coalesce(1), tmp_path)
+    mids = decode.mids_from_messages(read_log(spark, FileLog(f"{tmp_path}/log", max_files_per_trigger=1), streaming=True))
+    start_pane_stream(mids, f"{tmp_path}/t", f"{tmp_path}/c", width="6 hours", trigger=NOW, fanout=2).awaitTermination()
+    assert sorted(candles_of_panes(spark, f"{tmp_path}/t", *DAY).collect()) == sorted(batch_candles)
+
+
+def test_reject_counts_by_batch(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for part in range(2):
+        lines = [json.dumps({"u": u, "s": "A", "b": "oops" if u % 5 == part else "1", "a": "2"}) for u in range(10)]
+        (raw / f"{part}.json").write_text("\n".join(lines + ['{"u":1,"s":"A","a":"1"}'] * part))
+    counts = RejectCounts(f"{tmp_path}/counts")
+    spark.streams.addListener(counts)
+    try:
+        source = read_raw(spark, str(raw), streaming=True, max_files_per_trigger=1)
+        query = start_ingest_stream(
+            ingest.parse_raw_quotes(source), f"{tmp_path}/log", f"{tmp_path}/c", trigger=NOW
+        )
+        query.awaitTermination()
+        counts.wait_for(query)
+    finally:
+        spark.streams.removeListener(counts)
+    assert sorted(map(repr, counts.of_batches(query).values())) == sorted(
+        map(repr, [{"accepted": 8, "non_numeric": 2}, {"accepted": 8, "missing": 1, "non_numeric": 2}])
+    )
+    assert counts.total() == counts.total(query) == {"accepted": 16, "missing": 1, "non_numeric": 4}
+    kept = stored_counts(spark, f"{tmp_path}/counts").groupBy("reason").sum("ticks").collect()
+    assert {r[0]: r[1] for r in kept} == counts.total()

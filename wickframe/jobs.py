@@ -1,8 +1,8 @@
 """Jobs for spark-submit.
 
     spark-submit wickframe_job.py ingest   --raw quotes/ --log log/ --checkpoint chk/ingest
-    spark-submit wickframe_job.py stream   --log log/ --gated --table candles/ --checkpoint chk/candles
-    spark-submit wickframe_job.py backfill --log log/ --gated --table candles/
+    spark-submit wickframe_job.py stream   --log log/ --table candles/ --checkpoint chk/candles
+    spark-submit wickframe_job.py backfill --log log/ --table candles/
     spark-submit wickframe_job.py latest   --table candles/ --since 2024-01-30
     spark-submit wickframe_job.py compact  --table candles/ --upto-epoch 1200
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 from datetime import date
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from wickframe.session import build_session, pin_utc
 from wickframe.sources.quotes import read_raw
 from wickframe.sources.ticklog import FileLog, KafkaLog, LogSource, read_log
 from wickframe.streaming import stream, table
+from wickframe.streaming.counts import RejectCounts
 
 MODES = {mode.name: mode for mode in (EXACT, COMPAT)}
 
@@ -39,7 +41,7 @@ def _log_source(args: argparse.Namespace) -> LogSource:
             starting_offsets=args.starting_offsets,
             min_partitions=args.min_partitions,
         )
-    return FileLog(args.log, format=args.format, gated=args.gated)
+    return FileLog(args.log, format=args.format)
 
 
 def _trigger(args: argparse.Namespace) -> dict[str, Any] | None:
@@ -76,9 +78,16 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
             trigger=_trigger(args),
         )
     else:
+        counts = RejectCounts(args.counts)
+        spark.streams.addListener(counts)
         query = stream.start_ingest_stream(
             quotes, args.log, args.checkpoint, trigger=_trigger(args)
         )
+        query.awaitTermination()
+        counts.wait_for(query)
+        spark.streams.removeListener(counts)
+        print(" ".join(f"{reason}={ticks}" for reason, ticks in sorted(counts.total().items())))
+        return
     query.awaitTermination()
 
 
@@ -103,6 +112,8 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
             width=args.slide,
             sequence_limit=args.sequence_limit,
             trigger=_trigger(args),
+            fanout=args.fanout,
+            keep_for=args.keep_for,
         )
         _await_all([candles, *queries])
         return
@@ -116,6 +127,8 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         trigger=_trigger(args),
         state_partitions=args.state_partitions,
         merge_files=not args.keep_files,
+        fanout=args.fanout,
+        keep_for=args.keep_for,
     )
     _await_all([candles, *queries])
 
@@ -125,23 +138,28 @@ def run_backfill(spark: SparkSession, args: argparse.Namespace) -> None:
     candles = candles_from_log(
         log, args.size, args.slide, MODES[args.mode], sequence_limit=args.sequence_limit
     )
+    epoch = table.next_epoch(spark, args.table)
     if args.sequence_limit is not None:
+        # A backfill that failed and runs again has the same epoch, and so the same folder.
         rejects = decode.outside_limit(log, args.sequence_limit, MODES[args.mode])
-        rejects.write.mode("append").parquet(_rejects(args, "backfill"))
-    table.write_backfill(candles, args.table)
+        rejects.write.mode("overwrite").parquet(f"{_rejects(args, 'backfill')}/epoch={epoch}")
+    table.write_epoch(candles, args.table, epoch)
 
 
 def latest_candles(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     mode = MODES[args.mode] if args.mode else None
+    pick = reads.latest
+    if args.disjoint:
+        pick = partial(reads.latest_disjoint, size=args.size)
     if args.panes:
         current = table.candles_of_panes(
             spark, args.table, args.size, args.slide, mode, since=args.since
         )
-    else:
+    elif args.since is not None:
         current = table.current_candles(spark, args.table, mode, since=args.since)
-    if args.disjoint:
-        return reads.latest_disjoint(current, args.n, args.size)
-    return reads.latest(current, args.n)
+    else:
+        return table.latest_candles(spark, args.table, args.n, pick, args.live_days, mode)
+    return pick(current, args.n)
 
 
 def run_latest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -152,7 +170,7 @@ def run_latest(spark: SparkSession, args: argparse.Namespace) -> None:
 def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
     kind, layout = ("panes", table.pane_layout) if args.panes else ("candles", table.candle_layout)
     mode = table.stored_mode(spark, args.table, kind, MODES[args.mode] if args.mode else None)
-    days = table.compact(spark, args.table, args.upto_epoch, layout(mode))
+    days = table.compact(spark, args.table, args.upto_epoch, layout(mode), args.keep_for)
     print(f"merged {len(days)} dates")
 
 
@@ -175,7 +193,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--min-partitions", type=int)
         sub.add_argument("--log", help="folder with log files")
         sub.add_argument("--format", default="parquet", choices=("parquet", "json"))
-        sub.add_argument("--gated", action="store_true", default=None, help="the log was written by ingest")
+        sub.add_argument("--gated", action="store_true", help="not needed any more: rows tell")
 
     def streaming(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--checkpoint", required=True)
@@ -189,6 +207,11 @@ def parser() -> argparse.ArgumentParser:
     def pane_choice(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--panes", action="store_true", help="the table holds panes")
 
+    def merging(sub: argparse.ArgumentParser) -> None:
+        sub.add_argument(
+            "--keep-for", type=float, default=table.KEEP_FOR, help="seconds until merged files are removed"
+        )
+
     def windows(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--size", default=SIZE)
         sub.add_argument("--slide", default=SLIDE)
@@ -203,6 +226,7 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--arrival", help="column that recorded when a quote came; not in text files")
     sub.add_argument("--pairs", help="only these pairs, separated by commas")
     sub.add_argument("--log", help="folder for log files")
+    sub.add_argument("--counts", help="folder for the counts of rejects of each batch, kept while the job runs")
     kafka(sub)
     streaming(sub)
 
@@ -214,6 +238,8 @@ def parser() -> argparse.ArgumentParser:
     pane_choice(sub)
     sub.add_argument("--watermark", help="drop ticks later than this; none by default")
     sub.add_argument("--state-partitions", type=int)
+    merging(sub)
+    sub.add_argument("--fanout", type=int, default=table.FANOUT, help="epochs merged at once; 0 for never")
     sub.add_argument(
         "--keep-files", action="store_true", help="a file per state partition and date, not merged"
     )
@@ -231,11 +257,15 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--slide", default=SLIDE)
     sub.add_argument("--disjoint", action="store_true", help="candles that do not overlap")
     sub.add_argument("--since", type=date.fromisoformat, help="first open date to read")
+    sub.add_argument(
+        "--live-days", type=int, default=table.LIVE_DAYS, help="pairs without a candle for longer are left out"
+    )
     sub.add_argument("--show", type=int, default=100, help="rows to print")
 
     sub = job("compact", run_compact, "merge table versions up to an epoch")
     candles(sub, mode=None)
     pane_choice(sub)
+    merging(sub)
     sub.add_argument("--upto-epoch", type=int, help="all there are unless given")
     return top
 

@@ -21,9 +21,16 @@ NO_TIMESTAMP = "no_timestamp"
 NO_PAIR = "no_pair"
 BAD_SEQUENCE = "bad_sequence"
 
+REASONS = (MISSING, NON_NUMERIC, UNREPRESENTABLE, NO_TIMESTAMP, NO_PAIR, BAD_SEQUENCE)
+
 # What the gate in front of the log turns away. The other reasons come from typed decoding.
 GATE_REASONS = (MISSING, NON_NUMERIC)
 
+# The symbol of a raw quote, and up to how many symbols are searched for in its whole text.
+SYMBOL_KEY = '"s"'
+SYMBOL = SYMBOL_KEY + r'\s*:\s*"([^"]*)"'
+SEARCHED = 64
+
 MESSAGE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -58,12 +65,18 @@ def parse_raw_quotes(raw: DataFrame, arrival: str | None = None) -> DataFrame:
 def may_mention(raw: DataFrame, pairs: Iterable[str]) -> DataFrame:
     """Raw messages that can be quotes of some pairs: a plain text test, to parse fewer of them.
 
-    Escaped text may spell a symbol differently, so it always passes; ``only_pairs`` decides.
+    Few pairs are searched for one by one. Of many, the symbol is cut out of the text once and looked up in a
+    hashed set, so neither plan nor cost grows with their number. What the text alone cannot tell always
+    passes (escapes, a key that comes twice, a symbol that is no text); ``only_pairs`` decides.
     """
     wanted = sorted({p.lower() for p in pairs})
     text = F.col("value").cast("string")
-    named = [F.lower(text).contains(pair) for pair in wanted]
-    return raw.filter(reduce(or_, named, text.contains("\\")))
+    escaped = text.contains("\\")
+    if len(wanted) <= SEARCHED:
+        return raw.filter(reduce(or_, [F.lower(text).contains(pair) for pair in wanted], escaped))
+    symbol = F.regexp_extract(text, SYMBOL, 1)
+    once = F.length(F.replace(text, F.lit(SYMBOL_KEY), F.lit(""))) == F.length(text) - len(SYMBOL_KEY)
+    return raw.filter(F.lower(symbol).isin(wanted) | (symbol == "") | ~once | escaped)
 
 
 def only_pairs(quotes: DataFrame, pairs: Iterable[str]) -> DataFrame:
@@ -122,6 +135,12 @@ def quality_summary(graded: DataFrame) -> DataFrame:
     )
 
 
+def reason_counts() -> list[Column]:
+    """An aggregate for each reason and for good ticks, as :func:`quality_summary` has them in rows."""
+    good = F.count_if(F.col("reason").isNull()).alias("accepted")
+    return [good, *(F.count_if(F.col("reason").eqNullSafe(r)).alias(r) for r in REASONS)]
+
+
 def _message_body(with_sequence: bool = False) -> Column:
     time = F.date_format("timestamp", MESSAGE_TIME_FORMAT)
     sequence = ["sequence"] if with_sequence else []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
@@ -13,6 +13,9 @@ from wickframe.session import require_utc
 SIZE = "5 minutes"
 SLIDE = "1 minute"
 
+# Windows that overlap more often than this are swept; fewer are quicker by copies of their panes.
+COPIES = 8
+
 
 def assign_windows(
     ticks: DataFrame, size: str = SIZE, slide: str = SLIDE, time: str = "timestamp"
@@ -165,10 +168,15 @@ def merge_panes(parts: DataFrame) -> DataFrame:
 
 
 def roll_up(pane_bars: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataFrame:
-    """Panes to candles: the first pane's open, the last pane's close, the extremes between."""
+    """Panes to candles: the first pane's open, the last pane's close, the extremes between.
+
+    Panes are copied into their windows where those are few, and swept where they are many.
+    """
     require_utc(pane_bars)
-    # Window starts are generated per pane, so that the plan does not grow with size over slide.
     length, step = micros(size), micros(slide)
+    if length > COPIES * step:
+        return _as_candles(_swept(pane_bars, length, step))
+    # Window starts are generated per pane, so that the plan does not grow with size over slide.
     at = epoch_micros(F.col("pane_start"))
     last = at - F.pmod(at, F.lit(step))
     first = at - length + 1
@@ -191,6 +199,103 @@ def roll_up(pane_bars: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataF
     return _as_candles(bars)
 
 
+def _swept(pane_bars: DataFrame, length: int, step: int) -> DataFrame:
+    """Bars of all windows at a cost that does not depend on how often they overlap.
+
+    Time is cut into blocks as long as a window. A window that opens at ``s`` is a tail of its own block,
+    the panes from ``s`` on, and a head of the next one, the panes before ``s + length``. So each pane is two
+    rows of a block: at its own start, where tails begin to lack it, and in the block before at its start
+    less the length, where heads begin to have it. In order of these places running values give the tail and
+    the head at each of them, and between two places all windows have the same panes. Only then the starts
+    between them are written out, one row for each candle. A group is one pair in one block.
+    """
+    at = epoch_micros(F.col("pane_start"))
+    block = F.floor((at - F.pmod(at, F.lit(length))) / F.lit(length)).cast("bigint")
+    bar = F.struct("open_price", "high_price", "low_price", "close_price")
+    sides = F.array(
+        F.struct(block.alias("block"), at.alias("at"), F.lit(True).alias("tail")),
+        F.struct((block - 1).alias("block"), (at - length).alias("at"), F.lit(False).alias("tail")),
+    )
+    places = pane_bars.select("pair", bar.alias("bar"), F.explode(sides).alias("place"))
+    places = places.select(
+        "pair",
+        "place.block",
+        "place.at",
+        "place.tail",
+        F.when(F.col("place.tail"), F.col("bar")).alias("tail_bar"),
+        F.when(~F.col("place.tail"), F.col("bar")).alias("head_bar"),
+    )
+    group = Window.partitionBy("pair", "block")
+    rising = group.orderBy("at", "tail")
+    # A tail at a place holds the panes from there on; a head holds those of earlier places.
+    onward = group.orderBy(F.desc("at"), F.desc("tail")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = rising.rowsBetween(Window.unboundedPreceding, -1)
+    through = rising.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def running(bars: str, over: WindowSpec, backward: bool = False) -> Column:
+        first, last = F.first(bars, ignorenulls=True).over(over), F.last(bars, ignorenulls=True).over(over)
+        opening, closing = (last, first) if backward else (first, last)
+        return F.when(
+            opening.isNotNull(),
+            F.struct(
+                opening["open_price"].alias("open_price"),
+                F.max(f"{bars}.high_price").over(over).alias("high_price"),
+                F.min(f"{bars}.low_price").over(over).alias("low_price"),
+                closing["close_price"].alias("close_price"),
+            ),
+        )
+
+    swept = places.select(
+        "pair",
+        "block",
+        "at",
+        F.lag("at").over(rising).alias("after"),
+        F.lead("at").over(rising).alias("next"),
+        running("tail_bar", onward, backward=True).alias("tail"),
+        running("head_bar", before).alias("head"),
+        running("head_bar", through).alias("last_head"),
+    )
+
+    def starts(after: Column, until: Column) -> Column:
+        """Starts of windows in ``(after, until]``."""
+        first = after + 1 + F.pmod(-(after + 1), F.lit(step))
+        return F.when(first <= until, F.sequence(first, until, F.lit(step).cast("bigint"))).otherwise(
+            F.array().cast("array<bigint>")
+        )
+
+    opens = F.col("block") * length
+    no_bar = F.lit(None).cast(swept.schema["tail"].dataType)
+    until_here = F.struct(
+        starts(F.coalesce("after", opens - 1), F.col("at")).alias("opens"),
+        F.col("tail").alias("tail"),
+        F.col("head").alias("head"),
+    )
+    # Behind the last place of a block only the head is left.
+    to_the_end = F.struct(
+        starts(F.col("at"), opens + length - 1).alias("opens"),
+        no_bar.alias("tail"),
+        F.col("last_head").alias("head"),
+    )
+    both = F.when(F.col("next").isNull(), F.array(until_here, to_the_end)).otherwise(F.array(until_here))
+    spans = swept.select("pair", F.inline(both))
+    # Spans without a pane make no candle, nor do those without a start.
+    spans = spans.where(F.col("tail").isNotNull() | F.col("head").isNotNull())
+    spans = spans.where(F.size("opens") > 0).select(
+        "pair",
+        "opens",
+        F.coalesce("tail", "head")["open_price"].alias("open_price"),
+        F.greatest("tail.high_price", "head.high_price").alias("high_price"),
+        F.least("tail.low_price", "head.low_price").alias("low_price"),
+        F.coalesce("head", "tail")["close_price"].alias("close_price"),
+    )
+    bars = spans.select("pair", F.explode("opens").alias("open_at"), *spans.columns[2:])
+    window = F.struct(
+        F.timestamp_micros("open_at").cast("timestamp_ntz").alias("start"),
+        F.timestamp_micros(F.col("open_at") + F.lit(length)).cast("timestamp_ntz").alias("end"),
+    )
+    return bars.select("pair", window.alias("window"), *bars.columns[2:])
+
+
 def candles(
     mids: DataFrame,
     size: str = SIZE,

@@ -107,10 +107,16 @@ placed AS (
 
 _FIVE = ("1 minute", 5, "5 minutes")
 _DAY = ("6 hours", 4, "1 day")
+_DAY_EACH_MINUTE = ("1 minute", 1440, "1 day")
+_NINETY_BY_SEVEN = ("7 minutes", 13, "90 minutes")
 
 
 def _candles(
-    mids: str, window: tuple[str, int, str] = _FIVE, nulls: bool = False, epoch: str = "'all'"
+    mids: str,
+    window: tuple[str, int, str] = _FIVE,
+    nulls: bool = False,
+    epoch: str = "'all'",
+    reached: str = "true",
 ) -> str:
     slide, count, size = window
     keep = "" if nulls else "WHERE mid_price IS NOT NULL"
@@ -122,7 +128,7 @@ candle AS (
          max(mid_price) AS high_price, min(mid_price) AS low_price,
          {last}(mid_price, ("timestamp", sequence)) AS close_price,
          open_time, open_time + INTERVAL '{size}' AS close_time
-  FROM placed GROUP BY pair, open_time, {epoch})"""
+  FROM placed WHERE {reached} GROUP BY pair, open_time, {epoch})"""
 
 
 def _query(ctes: str, body: str) -> str:
@@ -142,6 +148,28 @@ _LOG_ROWS = (
 _SUMMARY = "SELECT coalesce(reason, 'accepted') AS reason, count(*) AS ticks FROM graded GROUP BY 1"
 _DAY_FROM_LOG = _query(_candles(_EXACT_MIDS, _DAY), _ALL_CANDLES)
 
+# Candles of pairs that have one in the last seven days.
+_LIVE_CANDLES = f"""{_CLEAN_CANDLES.replace("candle AS", "any_candle AS")},
+candle AS (
+  SELECT * FROM (
+    SELECT *, max(open_time) OVER (PARTITION BY currency_pair) AS pair_newest,
+           max(open_time) OVER () AS table_newest FROM any_candle)
+  WHERE CAST(pair_newest AS DATE) > CAST(table_newest AS DATE) - 7)"""
+
+
+def _latest(candles: str, disjoint: bool = False) -> str:
+    tiled = f"""{candles},
+tiled AS (
+  SELECT * FROM (
+    SELECT *, max(open_time) OVER (PARTITION BY currency_pair) AS newest FROM candle)
+  WHERE date_diff('minute', open_time, newest) % 5 = 0)"""
+    return _query(
+        tiled if disjoint else candles,
+        f"""SELECT {_CANDLE_COLUMNS} FROM {"tiled" if disjoint else "candle"}
+QUALIFY row_number() OVER (PARTITION BY currency_pair ORDER BY open_time DESC) <= 12""",
+    )
+
+
 _UPSERTED = _query(
     _candles(_CLEAN_MIDS, _DAY, epoch="sequence % 4"),
     f"""{_ALL_CANDLES}
@@ -201,6 +229,16 @@ FROM text_tick WHERE "timestamp" IS NULL""",
     "candles_5m_1m_compat": _query(_candles(_COMPAT_MIDS), _ALL_CANDLES),
     "candles_5m_1m_null_mids": _query(_candles(_NULL_MIDS, nulls=True), _ALL_CANDLES),
     "candles_1d_6h": _DAY_FROM_LOG,
+    "candles_1d_1m": _query(_candles(_EXACT_MIDS, _DAY_EACH_MINUTE), _ALL_CANDLES),
+    # The farthest of the 13 starts back from a tick lies up to 91 minutes before it.
+    "candles_90m_7m": _query(
+        _candles(
+            _CLEAN_MIDS,
+            _NINETY_BY_SEVEN,
+            reached="\"timestamp\" < open_time + INTERVAL '90 minutes'",
+        ),
+        _ALL_CANDLES,
+    ),
     "candles_from_panes": _query(_CLEAN_CANDLES, _ALL_CANDLES),
     "candles_1d_6h_from_panes": _query(_candles(_CLEAN_MIDS, _DAY), _ALL_CANDLES),
     "candle_low_high": _query(
@@ -224,20 +262,11 @@ WHERE currency_pair IS NULL OR open_price IS NULL OR high_price IS NULL OR low_p
     "candles_ordered_limit": _query(
         _CLEAN_CANDLES, f"{_ALL_CANDLES} ORDER BY currency_pair, open_time LIMIT 30"
     ),
-    "latest_12_candles": _query(
-        _CLEAN_CANDLES,
-        f"""{_ALL_CANDLES}
-QUALIFY row_number() OVER (PARTITION BY currency_pair ORDER BY open_time DESC) <= 12""",
-    ),
-    "latest_12_disjoint_candles": _query(
-        f"""{_CLEAN_CANDLES},
-tiled AS (
-  SELECT * FROM (
-    SELECT *, max(open_time) OVER (PARTITION BY currency_pair) AS newest FROM candle)
-  WHERE date_diff('minute', open_time, newest) % 5 = 0)""",
-        f"""SELECT {_CANDLE_COLUMNS} FROM tiled
-QUALIFY row_number() OVER (PARTITION BY currency_pair ORDER BY open_time DESC) <= 12""",
-    ),
+    "latest_12_candles": _latest(_CLEAN_CANDLES),
+    "latest_12_disjoint_candles": _latest(_CLEAN_CANDLES, disjoint=True),
+    "upsert_merged_by_size": _query(_CLEAN_CANDLES, _ALL_CANDLES),
+    "latest_12_from_table": _latest(_LIVE_CANDLES),
+    "latest_12_disjoint_from_table": _latest(_LIVE_CANDLES, disjoint=True),
     "upsert_latest_wins": _UPSERTED,
     "upsert_compacted": _UPSERTED,
     "upsert_compact_ahead": _UPSERTED,
@@ -275,6 +304,8 @@ mids AS (SELECT * FROM plain WHERE sequence % 7 <> 0)""",
         _ALL_CANDLES,
     ),
     "log_read_ungated": _query(_MESSAGE, _LOG_ROWS),
+    "log_stream_before_ingest": _query(_MESSAGE, _LOG_ROWS),
+    "stream_reject_counts": _query(_graded(_EXACT_PRICE), _SUMMARY),
     "backfill_then_stream": _DAY_FROM_LOG,
     "stream_source_count": _query(
         _MESSAGE, "SELECT key, CAST(count(*) AS BIGINT) AS messages FROM message GROUP BY key"

@@ -14,7 +14,8 @@ from wickframe.session import pin_utc, scratch_dir
 from wickframe.sources import quotes
 from wickframe.sources.quotes import read_raw
 from wickframe.sources.ticklog import FileLog, as_log, read_log, replay
-from wickframe.streaming.paths import delete
+from wickframe.streaming.counts import RejectCounts, stored_counts
+from wickframe.streaming.paths import delete, mark
 from wickframe.streaming.stream import (
     candle_stream,
     start_candle_stream,
@@ -25,6 +26,8 @@ from wickframe.streaming.table import (
     candles_of_panes,
     compact,
     current_candles,
+    latest_candles,
+    merge_by_size,
     stored_candles,
     write_backfill,
     write_epoch,
@@ -33,6 +36,7 @@ from wickframe.streaming.table import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = ("1 day", "6 hours")
+DAY_EACH_MINUTE = ("1 day", "1 minute")
 CHUNKS = 4
 
 
@@ -180,6 +184,16 @@ def candles_1d_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candles_from_log(_log(spark, sf_dir), *DAY)
 
 
+def candles_1d_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that overlap 1,440 times."""
+    return candles_from_log(_log(spark, sf_dir), *DAY_EACH_MINUTE)
+
+
+def candles_90m_7m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many windows whose length is no multiple of their slide."""
+    return ohlc.candles(_clean_mids(spark, sf_dir), "90 minutes", "7 minutes")
+
+
 def _from_stored_panes(
     spark: SparkSession, sf_dir: str, width: str, size: str, slide: str
 ) -> DataFrame:
@@ -247,6 +261,34 @@ def upsert_latest_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_candles(spark, _upserted(spark, sf_dir))
 
 
+def _small_epochs(spark: SparkSession, sf_dir: str, epochs: int = 10, fanout: int = 3) -> str:
+    """A table of many epochs of candles that change from epoch to epoch, merged by size as they come."""
+    table = scratch_dir(spark, "sizes")
+    rows = _clean_candles(spark, sf_dir).withColumn("nth", F.pmod(F.xxhash64("open_time"), F.lit(epochs)))
+    rows = rows.persist()
+    for epoch in range(epochs):
+        # Candles come with wrong prices first, in one epoch or another, and all right in the last.
+        wrong = rows.filter(F.col("nth") == epoch)
+        wrong = wrong.withColumn("close_price", (F.col("close_price") + 1).cast("decimal(20,8)"))
+        write_epoch((rows if epoch == epochs - 1 else wrong).drop("nth"), table, epoch)
+        merge_by_size(spark, table, fanout=fanout, keep_for=0 if epoch % 2 else 3600)
+    rows.unpersist()
+    return table
+
+
+def upsert_merged_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return current_candles(spark, _small_epochs(spark, sf_dir))
+
+
+def latest_12_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest candles of the stored table, from its newest dates."""
+    return latest_candles(spark, _small_epochs(spark, sf_dir), 12)
+
+
+def latest_12_disjoint_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_candles(spark, _small_epochs(spark, sf_dir), 12, reads.latest_disjoint)
+
+
 def upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _upserted(spark, sf_dir)
     compact(spark, table, CHUNKS - 1)
@@ -378,7 +420,7 @@ def tick_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         quoted, f"{base}/log", f"{base}/checkpoint", trigger={"availableNow": True}
     )
     query.awaitTermination()
-    return read_log(spark, FileLog(f"{base}/log", gated=True))
+    return read_log(spark, FileLog(f"{base}/log"))
 
 
 def log_read_ungated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,6 +435,50 @@ def log_read_ungated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_log(spark, FileLog(f"{base}/log"))
 
 
+def log_stream_before_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream set up and started on an empty folder; the ingest stream writes the log there afterwards."""
+    base = scratch_dir(pin_utc(spark), "early")
+    mark(spark, f"{base}/log")
+    log = read_log(spark, FileLog(f"{base}/log"), streaming=True)
+    sink = log.writeStream.format("parquet").option("path", f"{base}/copy")
+    reader = sink.option("checkpointLocation", f"{base}/reader").start()
+    try:
+        reader.processAllAvailable()
+        _raw(spark, sf_dir).write.parquet(f"{base}/raw")
+        stored = read_raw(spark, f"{base}/raw", streaming=True, format="parquet", arrival="arrived")
+        quoted = ingest.parse_raw_quotes(stored, arrival="arrived")
+        start_ingest_stream(
+            quoted, f"{base}/log", f"{base}/checkpoint", trigger={"availableNow": True}
+        ).awaitTermination()
+        reader.processAllAvailable()
+    finally:
+        reader.stop()
+    return spark.read.schema(log.schema).parquet(f"{base}/copy")
+
+
+def stream_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks by reason as the ingest stream counts them, batch by batch; its log is not read."""
+    base = scratch_dir(pin_utc(spark), "counts")
+    _raw(spark, sf_dir).repartition(CHUNKS).write.parquet(f"{base}/raw")
+    stored = read_raw(
+        spark, f"{base}/raw", streaming=True, format="parquet", arrival="arrived", max_files_per_trigger=1
+    )
+    counts = RejectCounts(f"{base}/counts")
+    spark.streams.addListener(counts)
+    try:
+        query = start_ingest_stream(
+            ingest.parse_raw_quotes(stored, arrival="arrived"),
+            f"{base}/log",
+            f"{base}/checkpoint",
+            trigger={"availableNow": True},
+        )
+        query.awaitTermination()
+        counts.wait_for(query)
+    finally:
+        spark.streams.removeListener(counts)
+    return stored_counts(spark, f"{base}/counts").groupBy("reason").agg(F.sum("ticks").alias("ticks"))
+
+
 def backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candles of every second message backfilled twice, then the whole log streamed into the table."""
     base = scratch_dir(pin_utc(spark), "continued")
@@ -466,6 +552,8 @@ QUERIES: dict[str, Query] = {
         candles_5m_1m_compat,
         candles_5m_1m_null_mids,
         candles_1d_6h,
+        candles_1d_1m,
+        candles_90m_7m,
         candles_from_panes,
         candles_1d_6h_from_panes,
         candle_low_high,
@@ -476,6 +564,9 @@ QUERIES: dict[str, Query] = {
         latest_12_candles,
         latest_12_disjoint_candles,
         upsert_latest_wins,
+        upsert_merged_by_size,
+        latest_12_from_table,
+        latest_12_disjoint_from_table,
         upsert_compacted,
         upsert_compact_ahead,
         compact_resumed,
@@ -484,6 +575,8 @@ QUERIES: dict[str, Query] = {
         tick_quality_precision,
         tick_quality_no_pair,
         log_read_ungated,
+        log_stream_before_ingest,
+        stream_reject_counts,
         backfill_then_stream,
         tick_log_stream,
         stream_source_count,

@@ -15,6 +15,7 @@ def read_raw(
     streaming: bool = False,
     format: str = "text",
     arrival: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Raw quote text in ``value``, one JSON message per line or row.
 
@@ -24,6 +25,8 @@ def read_raw(
     if arrival and format == "text":
         raise ValueError("text files have no arrival column")
     reader = spark.readStream if streaming else spark.read
+    if streaming and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.schema(schema).format(format).load(path)
 
 

@@ -6,12 +6,16 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickframe.schemas import LOG_ROW
-from wickframe.streaming import paths
+
+# What the gate says of a row, and the folders it keeps rows in.
+PASSED = "passed"
+GATE = "gate"
+REJECTS = f"{GATE}=rejected"
 
 
 @dataclass(frozen=True)
@@ -23,8 +27,9 @@ class FileLog:
     # Streaming reads only: how much one micro-batch takes, and whether new files go first.
     max_files_per_trigger: int | None = None
     latest_first: bool = False
-    # Written by the ingest stream, which keeps rejects next to the log; found out unless given.
-    gated: bool | None = None
+    # Whether to leave out what the gate turned away. Its writer says so in each row (``passed``), so a
+    # reader need not know before there is a file; logs without that column have no rejects.
+    gated: bool = True
 
 
 @dataclass(frozen=True)
@@ -70,24 +75,34 @@ def read_log(spark: SparkSession, source: LogSource, *, streaming: bool = False)
     if isinstance(source, KafkaLog):
         rows = reader.format("kafka").options(**kafka_options(source, streaming)).load()
     else:
-        reader = reader.format(source.format)
-        gated = source.gated
-        if gated is None:
-            gated = any(name.startswith("passed=") for name in paths.children(spark, source.path))
-        if gated:
-            reader = reader.schema(T.StructType([*LOG_ROW, T.StructField("passed", T.BooleanType())]))
-        else:
-            reader = reader.schema(LOG_ROW).option("recursiveFileLookup", "true")
+        # All files below the folder, by one schema: nothing is concluded from folders that are there when
+        # a stream is set up, since the first batch of a log may come later.
+        schema = T.StructType([*LOG_ROW, T.StructField(PASSED, T.BooleanType())])
+        reader = reader.format(source.format).schema(schema).option("recursiveFileLookup", "true")
         if streaming:
             reader = reader.option("latestFirst", str(source.latest_first).lower())
             if source.max_files_per_trigger:
                 reader = reader.option("maxFilesPerTrigger", source.max_files_per_trigger)
         rows = reader.load(source.path)
-        if gated:
-            rows = rows.filter("passed")
+        if source.gated:
+            rows = rows.filter(_is_message())
     return log_rows(rows)
 
 
+def _is_message() -> Column:
+    """Rows of a log that are no rejects: by what the row says, and by the folder the gate wrote it to.
+
+    The folder lets whole files go unread. Earlier logs tell rejects by the folder only.
+    """
+    folder = F.col("_metadata.file_path").rlike(f"/({REJECTS}|{PASSED}=false)/[^/]*$")
+    return (F.col(PASSED).isNull() | F.col(PASSED)) & ~folder
+
+
+def gated_rows(rows: DataFrame) -> DataFrame:
+    """Rows of the gate with the folder their file belongs in; ``passed`` stays a column of the file."""
+    return rows.withColumn(GATE, F.when(F.col(PASSED), F.lit("passed")).otherwise(F.lit("rejected")))
+
+
 def log_rows(rows: DataFrame) -> DataFrame:
     """Rows of a log in declared types: binary keys and values become text, times zone-free."""
     return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in LOG_ROW))

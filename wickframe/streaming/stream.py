@@ -13,8 +13,19 @@ from wickframe.operators.ingest import accepted, encode_messages, gate_log, grad
 from wickframe.operators.ohlc import SIZE, SLIDE, candles_direct, partial_panes
 from wickframe.schemas import EXACT, PriceMode
 from wickframe.session import scoped_conf
+from wickframe.sources.ticklog import GATE, gated_rows
 from wickframe.streaming import paths
-from wickframe.streaming.table import next_epoch, write_epoch, write_pane_epoch
+from wickframe.streaming.counts import observed
+from wickframe.streaming.rowstore import BatchStore
+from wickframe.streaming.table import (
+    KEEP_FOR,
+    merge_by_size,
+    next_epoch,
+    pane_layout,
+    stored_mode,
+    write_epoch,
+    write_pane_epoch,
+)
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -94,18 +105,24 @@ def start_candle_stream(
     state_partitions: int | None = None,
     merge_files: bool = True,
     upsert: Callable[[DataFrame, str, int, bool], Any] = write_epoch,
+    fanout: int | None = None,
+    keep_for: float = KEEP_FOR,
 ) -> StreamingQuery:
     """Keep the candle table current: update mode, one epoch per micro-batch.
 
     The checkpoint resumes offsets and state, so a restart inside a window continues its candle
     instead of rebuilding it from what comes after. Without ``trigger`` batches run back to back.
     ``merge_files=False`` spares each epoch a shuffle and writes a file per state partition and date.
+    With ``fanout`` epochs are merged by size as they pile up, so that reads stay as they are however long
+    the stream runs; readers have ``keep_for`` seconds before files that were merged are removed.
     """
     spark = candle_changes.sparkSession
     shift = _epoch_shift(spark, table, checkpoint)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         upsert(batch, table, epoch_id + shift, merge_files)
+        if fanout:
+            merge_by_size(batch.sparkSession, table, None, fanout, keep_for)
 
     sink = candle_changes.writeStream.outputMode("update").foreachBatch(write_batch)
     return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
@@ -120,6 +137,8 @@ def start_pane_stream(
     sequence_limit: int | None = None,
     trigger: dict[str, Any] | None = None,
     upsert: Callable[[DataFrame, str, int], Any] = write_pane_epoch,
+    fanout: int | None = None,
+    keep_for: float = KEEP_FOR,
 ) -> StreamingQuery:
     """Keep a pane table current without state: each micro-batch adds its parts of panes.
 
@@ -131,6 +150,9 @@ def start_pane_stream(
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         upsert(partial_panes(batch, width, sequence_limit=sequence_limit), table, epoch_id + shift)
+        if fanout:
+            layout = pane_layout(stored_mode(batch.sparkSession, table, "panes", None))
+            merge_by_size(batch.sparkSession, table, layout, fanout, keep_for)
 
     return _start(mids.writeStream.foreachBatch(write_batch), checkpoint, trigger)
 
@@ -148,6 +170,23 @@ def start_row_store_stream(
     return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
 
 
+def start_batch_store_stream(
+    candle_changes: DataFrame,
+    store: BatchStore,
+    checkpoint: str,
+    *,
+    trigger: dict[str, Any] | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Keep a relational table current, one transaction for each micro-batch; a replayed one changes nothing."""
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        store(batch, epoch_id)
+
+    sink = candle_changes.writeStream.outputMode("update").foreachBatch(write_batch)
+    return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
+
+
 def start_reject_stream(
     rejects: DataFrame,
     path: str,
@@ -169,10 +208,12 @@ def start_ingest_stream(
 ) -> StreamingQuery:
     """Grade quotes once and write log rows and rejects side by side, as files.
 
-    Rows with ``passed = true`` are the log (``FileLog(log_path, gated=True)`` reads them), the
-    others what the gate turned away, with its reason. The file sink commits batches exactly once.
+    Rows with ``passed = true`` are the log (``read_log`` takes only them), the others what the gate
+    turned away, with its reason, in a folder of their own. The file sink commits batches exactly once.
+    Each batch's progress has its ticks by reason (:class:`wickframe.streaming.counts.RejectCounts`).
     """
-    sink = gate_log(quotes, mode).writeStream.format("parquet").partitionBy("passed")
+    rows = gated_rows(observed(gate_log(quotes, mode)))
+    sink = rows.writeStream.format("parquet").partitionBy(GATE)
     return _start(sink.option("path", log_path), checkpoint, trigger)
 
 

@@ -7,14 +7,15 @@ Every micro-batch writes its changed candles into a folder of its own, partition
 
 A replayed batch overwrites its own folder and nothing else, so at-least-once delivery leaves the
 same table. Readers take the newest version of each key. Epoch ``n`` writes version ``2n``;
-compacting everything up to epoch ``n`` writes version ``2n + 1``, which holds the rows that win
-among versions up to ``2n``. A reader therefore gets the same rows before, during and after a
-compaction, and older versions are removed only when it is done.
+merging the latest epochs up to ``n``, or all, writes version ``2n + 1``, which holds the rows that win
+among those. A reader therefore gets the same rows before, during and after a merge. What was merged
+is left out by readers once the merge is complete, and removed some time later, so that a reader
+that planned before still finds its files (:mod:`wickframe.streaming.upkeep`).
 
 A backfill takes the slot of the epoch after the last one, and a stream that starts or resumes numbers
 its epochs after all there are, so neither replaces what the other wrote. One writer works at a time.
 
-The table marks merges that are complete under ``_merged`` and what it holds under ``_layout``: candles
+The table marks merges that are complete under ``_merged``, and what it holds under ``_layout``: candles
 or panes, and the type of their prices. Marks are its own; committers need not leave any.
 
 Candles that break the NOT NULL contract are kept under ``valid=false``, out of readers' sight.
@@ -25,9 +26,10 @@ instead of replacing each other, and need no state between them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,7 @@ from pyspark.sql import types as T
 
 from wickframe.operators.contract import breaks_not_null
 from wickframe.operators.ohlc import SIZE, SLIDE, merge_panes, roll_up
+from wickframe.operators.reads import latest
 from wickframe.schemas import (
     CANDLE_COLUMNS,
     CANDLE_KEY,
@@ -46,6 +49,24 @@ from wickframe.schemas import (
 )
 from wickframe.session import scoped_conf
 from wickframe.streaming import paths
+from wickframe.streaming.upkeep import (
+    WHOLE,
+    Merge,
+    complete,
+    due,
+    levels,
+    live,
+    merges,
+    remove_merged,
+    stored_versions,
+)
+
+# Versions of a size before they are merged, and seconds that readers have after a merge.
+FANOUT = 16
+KEEP_FOR = 600.0
+
+# A pair whose newest candle is older than this many days, against the table's newest, is not live.
+LIVE_DAYS = 7
 
 
 @dataclass(frozen=True)
@@ -116,14 +137,9 @@ def stored_mode(spark: SparkSession, path: str, kind: str, mode: PriceMode | Non
     return COMPAT
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    names = [n for n in paths.children(spark, path) if n.startswith("version=")]
-    return sorted(int(n.removeprefix("version=")) for n in names)
-
-
 def next_epoch(spark: SparkSession, path: str) -> int:
     """The first epoch after all the table has."""
-    return max((version // 2 + 1 for version in _versions(spark, path)), default=0)
+    return max((version // 2 + 1 for version in stored_versions(spark, path)), default=0)
 
 
 def _write(
@@ -157,8 +173,15 @@ def _stored(
     path: str,
     since: date | None = None,
     until: date | None = None,
+    refused: bool = False,
+    versions: Sequence[int] | None = None,
 ) -> DataFrame:
-    rows = spark.read.schema(layout.stored).parquet(path)
+    """Rows of the versions that count, or of those given."""
+    if versions is None:
+        done = merges(spark, path)
+        versions = live(stored_versions(spark, path), done, refused)
+    folders = [f"{path}/version={version}" for version in versions] or [path]
+    rows = spark.read.schema(layout.stored).option("basePath", path).parquet(*folders)
     if since is not None:
         rows = rows.filter(F.col("open_date") >= F.lit(since))
     if until is not None:
@@ -201,12 +224,58 @@ def current_candles(
     return _newest(_stored(spark, candle_layout(mode), path, since, until).filter("valid"))
 
 
+def _dates(spark: SparkSession, path: str) -> dict[date, list[str]]:
+    """The folders of each open date, of versions that count; one listing for each version."""
+    found: dict[date, list[str]] = {}
+    for version in live(stored_versions(spark, path), merges(spark, path)):
+        top = f"{path}/version={version}/valid=true"
+        for name in paths.children(spark, top):
+            found.setdefault(date.fromisoformat(name.removeprefix("open_date=")), []).append(f"{top}/{name}")
+    return found
+
+
+def latest_candles(
+    spark: SparkSession,
+    path: str,
+    n: int = 12,
+    pick: Callable[[DataFrame, int], DataFrame] = latest,
+    live_days: int = LIVE_DAYS,
+    mode: PriceMode | None = None,
+) -> DataFrame:
+    """The ``n`` newest candles of each live pair, from as few dates as hold them.
+
+    A pair is live if it has a candle in the ``live_days`` days up to the newest date of the table. Those
+    days are read first; while a live pair has fewer than ``n`` candles, twice as many dates are, back to
+    the first one. So what is read follows how densely candles lie, not how long the table is kept. Only folders that
+    are read are listed below their version. ``pick`` takes the rows of each pair: ``reads.latest`` or another
+    that needs no older row once it has ``n``.
+    """
+    layout = candle_layout(stored_mode(spark, path, "candles", mode))
+    folders = _dates(spark, path)
+    days = sorted(folders, reverse=True)
+    if not days:
+        return pick(spark.createDataFrame([], layout.rows), n)
+    count = sum(day > days[0] - timedelta(days=live_days) for day in days)
+    pairs = None
+    while True:
+        taken = [folder for day in days[:count] for folder in folders[day]]
+        stored = spark.read.schema(layout.stored).option("basePath", path).parquet(*taken)
+        rows = pick(_newest(stored), n)
+        if pairs is None:
+            pairs = rows.select("currency_pair").distinct()
+        else:
+            rows = rows.join(pairs, "currency_pair", "left_semi")
+        if count >= len(days) or rows.groupBy("currency_pair").count().filter(F.col("count") < n).isEmpty():
+            return rows
+        count = min(len(days), 2 * count)
+
+
 def quarantined_candles(
     spark: SparkSession, path: str, mode: PriceMode | None = None
 ) -> DataFrame:
     """Candles the contract refused, with the version that wrote them."""
     mode = stored_mode(spark, path, "candles", mode)
-    refused = _stored(spark, candle_layout(mode), path).filter("not valid")
+    refused = _stored(spark, candle_layout(mode), path, refused=True).filter("not valid")
     return refused.select(*CANDLE_COLUMNS, "version")
 
 
@@ -237,46 +306,76 @@ def candles_of_panes(
     return rows if since is None else rows.filter(F.to_date("open_time") >= F.lit(since))
 
 
+def _millis() -> int:
+    return int(time.time() * 1000)
+
+
 def compact(
-    spark: SparkSession, path: str, upto_epoch: int | None = None, layout: Layout | None = None
+    spark: SparkSession,
+    path: str,
+    upto_epoch: int | None = None,
+    layout: Layout | None = None,
+    keep_for: float = 0,
 ) -> list[date]:
     """Merge the epochs up to one, date by date, and remove them; all there are unless given.
 
     An epoch the table does not have yet stands for the last one it has: what a stream writes later
     is newer than the merge. Only dates those epochs touched are rewritten; they are returned. A
-    compaction that was lost halfway is finished by calling it again. Run it when no reader is
-    mid-query: a query planned before the removal loses its files.
+    compaction that was lost halfway is finished by calling it again. Readers that planned before the
+    removal lose their files; with ``keep_for`` seconds a later call or merge removes them instead.
+
+    Where the newest version is a merge by size of its own, it stays, with all that is older.
     """
-    versions = _versions(spark, path)
-    written = [v // 2 for v in versions if v % 2 == 0]
-    if not written:
-        return []
-    last = max(written) if upto_epoch is None else min(upto_epoch, max(written))
-    merged = 2 * last + 1
-    older = [v for v in versions if v < merged]
-    epochs = [v for v in older if v % 2 == 0]
-    if not epochs:
-        return []
-    if layout is None:
-        layout = candle_layout(stored_mode(spark, path, "candles", None))
-
-    rows = _stored(spark, layout, path).filter(F.col("version") < merged)
-    by_epoch = rows.filter("version % 2 = 0")
-    touched = by_epoch.filter("valid").select("open_date").distinct().collect()
-    days = sorted(r.open_date for r in touched)
-    # A merge that is marked may have lost some of its sources already. One that is not has them all.
-    if not paths.exists(spark, f"{path}/_merged/{merged}"):
-        wanted = rows.filter(F.col("valid") & F.col("open_date").isin(days))
-        _write(layout.merge(wanted), layout, path, merged)
-        paths.mark(spark, f"{path}/_merged/{merged}")
-
-    for version in older:
-        if version % 2 == 1:
-            for day in days:
-                paths.delete(spark, f"{path}/version={version}/valid=true/open_date={day}")
-    refused = by_epoch.filter("not valid").select("version").distinct().collect()
-    with_refused = {r.version for r in refused}
-    for version in epochs:
-        folder = f"{path}/version={version}"
-        paths.delete(spark, f"{folder}/valid=true" if version in with_refused else folder)
+    done = merges(spark, path)
+    level = levels(done)
+    stored = stored_versions(spark, path)
+    counted = live(stored, done)
+    last = max(stored, default=0) if upto_epoch is None else 2 * upto_epoch + 1
+    young = [v for v in counted if level.get(v, 0) < WHOLE and v <= last]
+    days = []
+    merged = 2 * (max(young) // 2) + 1 if young else 0
+    if young and merged not in level:
+        if layout is None:
+            layout = candle_layout(stored_mode(spark, path, "candles", None))
+        # Dates that only versions touched whose removal was lost are written again with the others.
+        left = [v for v in stored if not keep_for and v not in counted and level.get(v, 0) < WHOLE]
+        touching = [v for v in (*young, *left) if v < merged]
+        touched = _stored(spark, layout, path, versions=touching).filter("valid")
+        days = sorted(r.open_date for r in touched.select("open_date").distinct().collect())
+        rows = _stored(spark, layout, path, versions=[v for v in counted if v < merged]).filter("valid")
+        _write(layout.merge(rows.filter(F.col("open_date").isin(days))), layout, path, merged)
+        complete(spark, path, Merge(merged, at=_millis()))
+    remove_merged(spark, path, _millis(), keep_for)
     return days
+
+
+def merge_by_size(
+    spark: SparkSession,
+    path: str,
+    layout: Layout | None = None,
+    fanout: int = FANOUT,
+    keep_for: float = KEEP_FOR,
+) -> int | None:
+    """What a stream does after an epoch: merge if enough versions of a size are there, remove what is long merged.
+
+    Returns the merged version, if any. At most ``fanout`` versions of each size are left to readers, and
+    sizes are powers of ``fanout``. Lost halfway, it is made good by the next call.
+    """
+    done = merges(spark, path)
+    counted = live(stored_versions(spark, path), done)
+    found = due(counted, levels(done), fanout)
+    merged = None
+    if found:
+        sources, level = found
+        merged = 2 * (max(sources) // 2) + 1
+        if layout is None:
+            layout = candle_layout(stored_mode(spark, path, "candles", None))
+        # A lost merge of the same number is written anew from what it was made of.
+        rows = _stored(spark, layout, path, versions=[v for v in sources if v < merged])
+        refused = rows.filter("not valid").select(*layout.rows.names)
+        valid = layout.merge(rows.filter("valid")).select(*layout.rows.names)
+        _write(valid.unionByName(refused), layout, path, merged)
+        complete(spark, path, Merge(merged, min(sources), level, _millis()))
+    if found or done:
+        remove_merged(spark, path, _millis(), keep_for)
+    return merged
