@@ -17,6 +17,15 @@ def plan_text(df: DataFrame) -> str:
 
 def rows_by_operator(df: DataFrame) -> list[int]:
     """Rows that each operator gave when the whole result was computed."""
+    return _metrics(df, "numOutputRows")
+
+
+def files_read(df: DataFrame) -> int:
+    """Files that scans were given when the whole result was computed."""
+    return sum(_metrics(df, "numFiles"))
+
+
+def _metrics(df: DataFrame, name: str) -> list[int]:
     execution = df._jdf.queryExecution()
     execution.executedPlan().executeCollect()
     found, todo = [], [execution.executedPlan()]
@@ -26,7 +35,7 @@ def rows_by_operator(df: DataFrame) -> list[int]:
             node = node.executedPlan()
         if node.getClass().getSimpleName().endswith("QueryStageExec"):
             node = node.plan()
-        metric = node.metrics().get("numOutputRows")
+        metric = node.metrics().get(name)
         if metric.isDefined():
             found.append(metric.get().value())
         if node.getClass().getSimpleName() == "InMemoryTableScanExec":

@@ -99,3 +99,40 @@ def test_kafka_arguments():
     source = jobs._log_source(args)
     assert source.servers == ("a:1", "b:2") and source.topic == "ticks"
     assert jobs._trigger(args) == {"processingTime": "500 milliseconds"}
+
+
+def test_backfill_from_a_time(spark, tmp_path):
+    """A table with wrong candles from a time on is made right by replaying from then."""
+    at = datetime(2021, 1, 1)
+    rows = [
+        ("A", json.dumps({"bid": str(i), "ask": str(i), "pair": "A", "timestamp": str(at + timedelta(minutes=i))}), 0, i, at + timedelta(minutes=i))
+        for i in range(60)
+    ]
+    log = spark.createDataFrame(rows, "key string, value string, partition int, offset long, timestamp timestamp_ntz")
+    log.write.parquet(f"{tmp_path}/log")
+    log.filter("offset not between 30 and 40").write.parquet(f"{tmp_path}/gap")
+    broken, whole = f"{tmp_path}/broken", f"{tmp_path}/whole"
+    jobs.main(["backfill", "--log", f"{tmp_path}/gap", "--table", broken])
+    jobs.main(["backfill", "--log", f"{tmp_path}/log", "--table", whole])
+    assert sorted(current_candles(spark, broken).collect()) != sorted(current_candles(spark, whole).collect())
+    jobs.main(["backfill", "--log", f"{tmp_path}/log", "--table", broken, "--from-time", "2021-01-01T00:30"])
+    assert sorted(current_candles(spark, broken).collect()) == sorted(current_candles(spark, whole).collect())
+
+
+def test_a_repeated_backfill_keeps_rejects_once(spark, tmp_path, monkeypatch):
+    body = {"bid": "1", "ask": "1", "pair": "A", "timestamp": "2021-01-01 00:00:00"}
+    rows = [("A", json.dumps(body), 0, i, datetime(2021, 1, 1)) for i in range(4)]
+    log = spark.createDataFrame(rows, "key string, value string, partition int, offset long, timestamp timestamp_ntz")
+    log.write.parquet(f"{tmp_path}/log")
+    job = ["backfill", "--log", f"{tmp_path}/log", "--table", f"{tmp_path}/t", "--sequence-limit", "2"]
+
+    def lose(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs.table, "write_epoch", lose)
+        with pytest.raises(OSError):
+            jobs.main(job)
+    jobs.main(job)
+    assert spark.read.parquet(f"{tmp_path}/t_rejects").count() == 2
+

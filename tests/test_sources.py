@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from plans import files_read
 from pyspark.sql import functions as F
 
 from wickframe import session
@@ -12,6 +13,7 @@ from wickframe.sources import ticklog
 from wickframe.sources.ticklog import (
     FileLog,
     KafkaLog,
+    between,
     kafka_options,
     offset_range,
     read_log,
@@ -156,3 +158,52 @@ def test_files_of_rejects_are_not_opened(spark, tmp_path):
     for file in (tmp_path / "log" / ticklog.REJECTS).glob("*.parquet"):
         file.write_bytes(b"not a file of this kind")
     assert read_log(spark, FileLog(f"{tmp_path}/log")).count() == 1
+
+
+def _month_of_log(spark, path, gated=True):
+    """A message each hour of thirty days, as the gate writes them or without its folders."""
+    rows = spark.range(720).select(
+        F.lit("P").alias("key"),
+        F.col("id").cast("string").alias("value"),
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+        F.timestamp_seconds(1609459200 + 3600 * F.col("id")).cast("timestamp_ntz").alias("timestamp"),
+        F.lit(True).alias("passed"),
+    )
+    writer = ticklog.gated_rows(rows).write.partitionBy(*ticklog.LOG_FOLDERS) if gated else rows.drop("passed").write
+    writer.parquet(path)
+    return FileLog(path)
+
+
+@pytest.mark.parametrize("gated", [True, False])
+def test_replay_from_a_time(spark, tmp_path, gated):
+    log = _month_of_log(spark, f"{tmp_path}/log", gated)
+    since, until = datetime(2021, 1, 28, 10, 15), datetime(2021, 1, 30, 0, 0)
+    assert read_log(spark, between(log, since)).count() == 3 * 24 - 11
+    hours = [r.timestamp for r in read_log(spark, between(log, since, until)).collect()]
+    assert min(hours) == datetime(2021, 1, 28, 11) and max(hours) == datetime(2021, 1, 29, 23)
+    assert read_log(spark, between(log, None, until)).count() == 29 * 24
+
+
+def test_a_replay_opens_only_files_of_its_days(spark, tmp_path):
+    log = _month_of_log(spark, f"{tmp_path}/log")
+    whole = files_read(read_log(spark, log))
+    some = files_read(read_log(spark, between(log, datetime(2021, 1, 28, 10, 15))))
+    assert whole >= 30 and some * 7 <= whole
+
+
+def test_a_stream_from_a_time(spark, tmp_path):
+    log = _month_of_log(spark, f"{tmp_path}/log")
+    rows = read_log(spark, between(log, datetime(2021, 1, 30)), streaming=True)
+    sink = rows.writeStream.format("parquet").option("path", f"{tmp_path}/out").trigger(availableNow=True)
+    sink.option("checkpointLocation", f"{tmp_path}/c").start().awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 24
+
+
+def test_times_of_a_topic():
+    options = kafka_options(between(KAFKA, datetime(2021, 1, 1, 10, 15), datetime(2021, 1, 2)), streaming=False)
+    assert options["startingTimestamp"] == "1609496100000"
+    assert options["endingTimestamp"] == "1609545600000"
+    assert options["startingOffsetsByTimestampStrategy"] == "latest"
+    assert "endingTimestamp" not in kafka_options(between(KAFKA, None, datetime(2021, 1, 2)), streaming=True)
+

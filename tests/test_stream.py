@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import sqlite3
 import sys
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -19,6 +19,7 @@ from wickframe.sources.quotes import read_raw
 from wickframe.sources.ticklog import FileLog, as_log, read_log
 from wickframe.streaming import rowstore
 from wickframe.streaming.counts import RejectCounts, stored_counts
+from wickframe.streaming.delays import Delays
 from wickframe.streaming.rowstore import (
     BatchStore,
     RowStoreWriter,
@@ -412,3 +413,39 @@ def test_reject_counts_by_batch(spark, tmp_path):
     assert counts.total() == counts.total(query) == {"accepted": 16, "missing": 1, "non_numeric": 4}
     kept = stored_counts(spark, f"{tmp_path}/counts").groupBy("reason").sum("ticks").collect()
     assert {r[0]: r[1] for r in kept} == counts.total()
+
+
+def test_delays_of_a_stream(spark, tmp_path):
+    """Ticks stamped now and ten minutes ago: delays follow the newest tick of each candle, through the state."""
+    at = datetime.now(timezone.utc).replace(tzinfo=None)
+    def message(offset, pair, time):
+        body = {"bid": "1", "ask": "2", "pair": pair, "timestamp": time.strftime("%Y-%m-%d %H:%M:%S.%f")}
+        return (pair, json.dumps(body), 0, offset, time)
+
+    schema = "key string, value string, partition int, offset long, timestamp timestamp_ntz"
+    old = at - timedelta(minutes=10)
+    spark.createDataFrame([message(0, "A", at), message(1, "B", old)], schema).coalesce(1).write.parquet(f"{tmp_path}/log")
+    delays = Delays()
+
+    def run():
+        mids = decode.mids_from_messages(read_log(spark, FileLog(f"{tmp_path}/log"), streaming=True))
+        changes = candle_stream(mids, "1 hour", "1 hour", newest_tick=True)
+        start_candle_stream(
+            changes, f"{tmp_path}/t", f"{tmp_path}/c", trigger=NOW, state_partitions=2, delays=delays
+        ).awaitTermination()
+
+    run()
+    assert delays.batches == 1
+    assert 0 < delays.percentile(0.5) < 120 and 600 < delays.percentile(0.99) < 720
+    # An older tick changes a candle whose newest tick stays the one it had.
+    spark.createDataFrame([message(2, "A", at - timedelta(milliseconds=1))], schema).write.mode("append").parquet(f"{tmp_path}/log")
+    run()
+    assert current_candles(spark, f"{tmp_path}/t").columns == list(CANDLE_COLUMNS)
+    assert current_candles(spark, f"{tmp_path}/t").count() == 2
+    if delays.batches == 2:  # the batch may end after the hour and open another candle
+        assert delays.percentile(1.0, skip=1) < 180
+
+
+def test_no_batch_no_delay():
+    assert Delays().percentile(0.5) is None
+

@@ -13,7 +13,7 @@ the limit are kept in ``--rejects``.
 from __future__ import annotations
 
 import argparse
-from datetime import date
+from datetime import date, datetime
 from functools import partial
 from typing import Any
 
@@ -22,11 +22,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wickframe.operators import decode, reads
 from wickframe.operators.ohlc import SIZE, SLIDE
-from wickframe.plans.candles import candles_from_log, quotes_from_raw
+from wickframe.plans.candles import candles_from_log, candles_since, quotes_from_raw
 from wickframe.schemas import COMPAT, EXACT
 from wickframe.session import build_session, pin_utc
 from wickframe.sources.quotes import read_raw
-from wickframe.sources.ticklog import FileLog, KafkaLog, LogSource, read_log
+from wickframe.sources.ticklog import FileLog, KafkaLog, LogSource, between, read_log
 from wickframe.streaming import stream, table
 from wickframe.streaming.counts import RejectCounts
 
@@ -134,10 +134,15 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_backfill(spark: SparkSession, args: argparse.Namespace) -> None:
-    log = read_log(spark, _log_source(args))
-    candles = candles_from_log(
-        log, args.size, args.slide, MODES[args.mode], sequence_limit=args.sequence_limit
-    )
+    log = read_log(spark, between(_log_source(args), args.from_time))
+    if args.from_time is not None:
+        candles = candles_since(
+            spark, _log_source(args), args.from_time, args.size, args.slide, MODES[args.mode], args.sequence_limit
+        )
+    else:
+        candles = candles_from_log(
+            log, args.size, args.slide, MODES[args.mode], sequence_limit=args.sequence_limit
+        )
     epoch = table.next_epoch(spark, args.table)
     if args.sequence_limit is not None:
         # A backfill that failed and runs again has the same epoch, and so the same folder.
@@ -245,6 +250,9 @@ def parser() -> argparse.ArgumentParser:
     )
 
     sub = job("backfill", run_backfill, "candles of a stored log, in one batch")
+    sub.add_argument(
+        "--from-time", type=datetime.fromisoformat, help="only candles that ticks from then on can have changed"
+    )
     log_input(sub)
     candles(sub)
     windows(sub)

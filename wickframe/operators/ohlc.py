@@ -43,7 +43,13 @@ def _mid_in_order(sequence_limit: int | None) -> Column:
 
 
 def _ohlc(
-    assigned: DataFrame, start: str, by: str, span: int, sequence_limit: int | None, keep_null_mids: bool
+    assigned: DataFrame,
+    start: str,
+    by: str,
+    span: int,
+    sequence_limit: int | None,
+    keep_null_mids: bool,
+    newest_tick: bool = False,
 ) -> DataFrame:
     """OHLC of ticks per pair and column ``by``, open and close by time and then sequence.
 
@@ -65,6 +71,7 @@ def _ohlc(
             F.max("mid_price").alias("high_price"),
             F.min("mid_price").alias("low_price"),
             F.max_by("mid_price", "rank").alias("close_price"),
+            *([F.max("timestamp").alias("newest_tick")] if newest_tick else []),
         )
     )
     if keep_null_mids:
@@ -78,7 +85,8 @@ def _as_candles(bars: DataFrame) -> DataFrame:
         *(
             F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_time") else F.col(c)
             for c in CANDLE_COLUMNS
-        )
+        ),
+        *(c for c in bars.columns if c == "newest_tick"),
     )
 
 
@@ -89,10 +97,14 @@ def candles_direct(
     *,
     sequence_limit: int | None = None,
     keep_null_mids: bool = False,
+    newest_tick: bool = False,
 ) -> DataFrame:
-    """Candles in one aggregation. Works on streams; expands each tick to size/slide windows."""
+    """Candles in one aggregation. Works on streams; expands each tick to size/slide windows.
+
+    With ``newest_tick`` each has the time of its newest tick in a column of that name.
+    """
     assigned = assign_windows(mids, size, slide)
-    bars = _ohlc(assigned, "window.start", "window", micros(size), sequence_limit, keep_null_mids)
+    bars = _ohlc(assigned, "window.start", "window", micros(size), sequence_limit, keep_null_mids, newest_tick)
     return _as_candles(bars)
 
 

@@ -176,6 +176,9 @@ _UPSERTED = _query(
 QUALIFY row_number() OVER (PARTITION BY currency_pair, open_time ORDER BY epoch DESC) = 1""",
 )
 
+# A quarter past ten, three days before the last event.
+_FAILURE = "(SELECT date_trunc('day', max(ts) - INTERVAL 3 DAY) + INTERVAL '10 hours 15 minutes' FROM events)"
+
 ORACLE: dict[str, str] = {
     "raw_quote_parse": _query(_RAW, f"SELECT {_TICK_COLUMNS} FROM quote"),
     "raw_pair_subset": _query(
@@ -305,6 +308,10 @@ mids AS (SELECT * FROM plain WHERE sequence % 7 <> 0)""",
     ),
     "log_read_ungated": _query(_MESSAGE, _LOG_ROWS),
     "log_stream_before_ingest": _query(_MESSAGE, _LOG_ROWS),
+    "replay_from_time": _query(_MESSAGE, f'{_LOG_ROWS} WHERE "timestamp" >= {_FAILURE}'),
+    "candles_replayed_from_time": _query(
+        _candles(_EXACT_MIDS), f"{_ALL_CANDLES} WHERE close_time > {_FAILURE}"
+    ),
     "stream_reject_counts": _query(_graded(_EXACT_PRICE), _SUMMARY),
     "backfill_then_stream": _DAY_FROM_LOG,
     "stream_source_count": _query(

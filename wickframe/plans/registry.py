@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, time, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickframe.operators import contract, decode, ingest, ohlc, reads
-from wickframe.plans.candles import candles_from_log, candles_from_raw, quotes_from_raw
+from wickframe.plans.candles import (
+    candles_from_log,
+    candles_from_raw,
+    candles_since,
+    quotes_from_raw,
+)
 from wickframe.schemas import COMPAT, EXACT, PriceMode
 from wickframe.session import pin_utc, scratch_dir
 from wickframe.sources import quotes
 from wickframe.sources.quotes import read_raw
-from wickframe.sources.ticklog import FileLog, as_log, read_log, replay
+from wickframe.sources.ticklog import FileLog, as_log, between, read_log, replay
 from wickframe.streaming.counts import RejectCounts, stored_counts
 from wickframe.streaming.paths import delete, mark
 from wickframe.streaming.stream import (
@@ -479,6 +485,34 @@ def stream_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_counts(spark, f"{base}/counts").groupBy("reason").agg(F.sum("ticks").alias("ticks"))
 
 
+def _ingested(spark: SparkSession, sf_dir: str) -> FileLog:
+    """The log as the ingest stream leaves it."""
+    base = scratch_dir(pin_utc(spark), "ingested")
+    _raw(spark, sf_dir).write.parquet(f"{base}/raw")
+    stored = read_raw(spark, f"{base}/raw", streaming=True, format="parquet", arrival="arrived")
+    quoted = ingest.parse_raw_quotes(stored, arrival="arrived")
+    start_ingest_stream(
+        quoted, f"{base}/log", f"{base}/checkpoint", trigger={"availableNow": True}
+    ).awaitTermination()
+    return FileLog(f"{base}/log")
+
+
+def _failure(spark: SparkSession, sf_dir: str) -> datetime:
+    """A quarter past ten, three days before the last event."""
+    last = _events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    return datetime.combine((last - timedelta(days=3)).date(), time(10, 15))
+
+
+def replay_from_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages from a time on, as after a failure then."""
+    return read_log(spark, between(_ingested(spark, sf_dir), _failure(spark, sf_dir)))
+
+
+def candles_replayed_from_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candles that a failure at a time can have left wrong, from no more of the log than they need."""
+    return candles_since(spark, _ingested(spark, sf_dir), _failure(spark, sf_dir))
+
+
 def backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candles of every second message backfilled twice, then the whole log streamed into the table."""
     base = scratch_dir(pin_utc(spark), "continued")
@@ -577,6 +611,8 @@ QUERIES: dict[str, Query] = {
         log_read_ungated,
         log_stream_before_ingest,
         stream_reject_counts,
+        replay_from_time,
+        candles_replayed_from_time,
         backfill_then_stream,
         tick_log_stream,
         stream_source_count,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from wickframe.schemas import LOG_ROW
 PASSED = "passed"
 GATE = "gate"
 REJECTS = f"{GATE}=rejected"
+DAY = "day"
+LOG_FOLDERS = (GATE, DAY)
 
 
 @dataclass(frozen=True)
@@ -30,6 +33,9 @@ class FileLog:
     # Whether to leave out what the gate turned away. Its writer says so in each row (``passed``), so a
     # reader need not know before there is a file; logs without that column have no rejects.
     gated: bool = True
+    # Messages from one time on, and before another: see :func:`between`.
+    since: datetime | None = None
+    until: datetime | None = None
 
 
 @dataclass(frozen=True)
@@ -45,6 +51,9 @@ class KafkaLog:
     min_partitions: int | None = None
     max_offsets_per_trigger: int | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    # Messages from one time on, and before another, in UTC: see :func:`between`.
+    since: datetime | None = None
+    until: datetime | None = None
 
 
 LogSource = FileLog | KafkaLog
@@ -63,6 +72,12 @@ def kafka_options(source: KafkaLog, streaming: bool) -> dict[str, str]:
         options["endingOffsets"] = source.ending_offsets
     elif source.max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(source.max_offsets_per_trigger)
+    if source.since is not None:
+        # Times win over offsets in the connector. A partition without a message that late starts at its end.
+        options["startingTimestamp"] = str(_epoch_millis(source.since))
+        options["startingOffsetsByTimestampStrategy"] = "latest"
+    if source.until is not None and not streaming:
+        options["endingTimestamp"] = str(_epoch_millis(source.until))
     options |= dict(source.options)
     if "assign" in options:  # the connector takes one way to choose partitions
         del options["subscribe"]
@@ -86,7 +101,42 @@ def read_log(spark: SparkSession, source: LogSource, *, streaming: bool = False)
         rows = reader.load(source.path)
         if source.gated:
             rows = rows.filter(_is_message())
-    return log_rows(rows)
+        if source.since is not None or source.until is not None:
+            rows = rows.filter(_days_between(source.since, source.until))
+    return _timed(log_rows(rows), source.since, source.until)
+
+
+def between(source: LogSource, since: datetime | None, until: datetime | None = None) -> LogSource:
+    """The log's messages with ``since <= timestamp < until``, for a replay of what came after a time.
+
+    The connector looks the offsets of the times up. File logs keep messages in a folder for each day, so files
+    of other days are not opened, and row groups of other times are skipped; files of earlier logs, which have
+    no such folders, are opened. Messages without a time belong to no range.
+    """
+    return replace(source, since=since, until=until)
+
+
+def _epoch_millis(time: datetime) -> int:
+    return int((time - datetime(1970, 1, 1)) // timedelta(milliseconds=1))
+
+
+def _timed(rows: DataFrame, since: datetime | None, until: datetime | None) -> DataFrame:
+    if since is not None:
+        rows = rows.filter(F.col("timestamp") >= F.lit(since))
+    if until is not None:
+        rows = rows.filter(F.col("timestamp") < F.lit(until))
+    return rows
+
+
+def _days_between(since: datetime | None, until: datetime | None) -> Column:
+    """Files that can hold messages of a range, by the folder of their day; those in no such folder can."""
+    day = F.regexp_extract("_metadata.file_path", rf"/{DAY}=(\d{{4}}-\d\d-\d\d)/[^/]*$", 1)
+    fits = F.lit(True)
+    if since is not None:
+        fits &= day >= since.date().isoformat()
+    if until is not None:
+        fits &= day <= until.date().isoformat()
+    return (day == "") | fits
 
 
 def _is_message() -> Column:
@@ -94,13 +144,14 @@ def _is_message() -> Column:
 
     The folder lets whole files go unread. Earlier logs tell rejects by the folder only.
     """
-    folder = F.col("_metadata.file_path").rlike(f"/({REJECTS}|{PASSED}=false)/[^/]*$")
+    folder = F.col("_metadata.file_path").rlike(f"/({REJECTS}|{PASSED}=false)/({DAY}=[^/]*/)?[^/]*$")
     return (F.col(PASSED).isNull() | F.col(PASSED)) & ~folder
 
 
 def gated_rows(rows: DataFrame) -> DataFrame:
-    """Rows of the gate with the folder their file belongs in; ``passed`` stays a column of the file."""
-    return rows.withColumn(GATE, F.when(F.col(PASSED), F.lit("passed")).otherwise(F.lit("rejected")))
+    """Rows of the gate with the folders their file belongs in; ``passed`` stays a column of the file."""
+    gate = F.when(F.col(PASSED), F.lit("passed")).otherwise(F.lit("rejected"))
+    return rows.withColumns({GATE: gate, DAY: F.to_date("timestamp")})
 
 
 def log_rows(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,10 @@ from wickframe.operators.ingest import accepted, encode_messages, gate_log, grad
 from wickframe.operators.ohlc import SIZE, SLIDE, candles_direct, partial_panes
 from wickframe.schemas import EXACT, PriceMode
 from wickframe.session import scoped_conf
-from wickframe.sources.ticklog import GATE, gated_rows
+from wickframe.sources.ticklog import LOG_FOLDERS, gated_rows
 from wickframe.streaming import paths
 from wickframe.streaming.counts import observed
+from wickframe.streaming.delays import Delays
 from wickframe.streaming.rowstore import BatchStore
 from wickframe.streaming.table import (
     KEEP_FOR,
@@ -54,16 +56,18 @@ def candle_stream(
     *,
     watermark: str | None = None,
     sequence_limit: int | None = None,
+    newest_tick: bool = False,
 ) -> DataFrame:
     """Streaming candles. Without a watermark every late tick re-opens its windows.
 
-    A watermark bounds the state and drops ticks that come later than it allows.
+    A watermark bounds the state and drops ticks that come later than it allows. ``newest_tick`` carries
+    the time of each candle's newest tick along, for :class:`wickframe.streaming.delays.Delays`.
     """
     if watermark is not None:
         # Watermarks need a zoned timestamp; candle times are zone-free again on the way out.
         mids = mids.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
         mids = mids.withWatermark("timestamp", watermark)
-    return candles_direct(mids, size, slide, sequence_limit=sequence_limit)
+    return candles_direct(mids, size, slide, sequence_limit=sequence_limit, newest_tick=newest_tick)
 
 
 def _epoch_shift(spark: SparkSession, table: str, checkpoint: str) -> int:
@@ -107,20 +111,23 @@ def start_candle_stream(
     upsert: Callable[[DataFrame, str, int, bool], Any] = write_epoch,
     fanout: int | None = None,
     keep_for: float = KEEP_FOR,
+    delays: Delays | None = None,
 ) -> StreamingQuery:
     """Keep the candle table current: update mode, one epoch per micro-batch.
 
     The checkpoint resumes offsets and state, so a restart inside a window continues its candle
     instead of rebuilding it from what comes after. Without ``trigger`` batches run back to back.
     ``merge_files=False`` spares each epoch a shuffle and writes a file per state partition and date.
-    With ``fanout`` epochs are merged by size as they pile up, so that reads stay as they are however long
+    ``delays`` is told how long ticks took until their candle could be read; the changes then have
+    ``newest_tick``. With ``fanout`` epochs are merged by size as they pile up, so that reads stay as they are however long
     the stream runs; readers have ``keep_for`` seconds before files that were merged are removed.
     """
     spark = candle_changes.sparkSession
     shift = _epoch_shift(spark, table, checkpoint)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert(batch, table, epoch_id + shift, merge_files)
+        with delays.measured(batch, epoch_id) if delays else nullcontext(batch) as rows:
+            upsert(rows, table, epoch_id + shift, merge_files)
         if fanout:
             merge_by_size(batch.sparkSession, table, None, fanout, keep_for)
 
@@ -209,11 +216,11 @@ def start_ingest_stream(
     """Grade quotes once and write log rows and rejects side by side, as files.
 
     Rows with ``passed = true`` are the log (``read_log`` takes only them), the others what the gate
-    turned away, with its reason, in a folder of their own. The file sink commits batches exactly once.
+    turned away, with its reason, in a folder of their own; both by day. The file sink commits batches exactly once.
     Each batch's progress has its ticks by reason (:class:`wickframe.streaming.counts.RejectCounts`).
     """
     rows = gated_rows(observed(gate_log(quotes, mode)))
-    sink = rows.writeStream.format("parquet").partitionBy(GATE)
+    sink = rows.writeStream.format("parquet").partitionBy(*LOG_FOLDERS)
     return _start(sink.option("path", log_path), checkpoint, trigger)
 
 
