@@ -7,6 +7,8 @@ import random
 import numpy as np
 import pytest
 
+from wickframe.llm import components as joins
+from wickframe.llm import near_duplicates as near
 from wickframe.llm import sketches
 from wickframe.llm.near_duplicates import near_duplicates, without_near_duplicates
 
@@ -133,3 +135,58 @@ def test_similarities_the_bands_are_not_made_for_are_refused(documents, percent)
     for find in (near_duplicates, without_near_duplicates):
         with pytest.raises(ValueError):
             find(docs, percent=percent)
+
+
+@pytest.mark.parametrize("group", [1000, 5000])
+def test_alike_but_unlinked_texts_meet_in_proportion(spark, documents, monkeypatch, group):
+    """One group, similar by 0.7 in all pairs: joined rows grow with its members, not with their pairs."""
+    shared = [f"shared{i}" for i in range(82)]
+    rows = [(i, " ".join(shared + [f"own{i}x{j}" for j in range(18)])) for i in range(group)]
+    rows += [(group + 1, rows[3][1] + " more"), (group + 2, rows[group // 2][1] + " other words")]
+    joined, write = {}, near.written
+
+    def counted(df, label):
+        out = write(df, label)
+        joined[label] = joined.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(near, "written", counted)
+    found = {r.doc_id: r.component_id for r in near_duplicates(documents(rows), shingle=1).collect()}
+    assert found == {i: i for i in range(group)} | {group + 1: 3, group + 2: group // 2}
+    for label in ("near-pairs", "near-likely", "near-lists", "near-met", "near-homes"):
+        assert joined.get(label, 0) <= 45 * group, label
+    assert joined["near-prefixes"] <= 25 * group
+
+
+def test_hot_nodes_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(joins, "CROWD", 5)
+    rows = spark.createDataFrame([(i % 3 if i < 90 else i, i) for i in range(100)], "a bigint, b bigint").persist()
+    facts = spark.createDataFrame([(i, f"fact {i}") for i in range(100)], "a bigint, fact string")
+    found = joins.salted_join(rows, facts, "a", "b")
+    assert sorted(map(tuple, found.select("a", "b", "fact").collect())) == sorted(
+        (r.a, r.b, f"fact {r.a}") for r in rows.collect()
+    )
+    twice = joins.joined_with_hot_keys(rows, facts, "a")
+    assert sorted(map(tuple, twice.select("a", "b", "fact").collect())) == sorted(map(tuple, found.select("a", "b", "fact").collect()))
+
+
+@pytest.mark.parametrize("percent", [80, 90, 100])
+def test_prefixes_of_similar_sets_meet(spark, percent):
+    draw = np.random.default_rng(percent)
+    sets = []
+    for _ in range(40):
+        base = draw.integers(0, 300, draw.integers(1, 60))
+        for _ in range(3):
+            sets.append(np.unique(np.where(draw.random(len(base)) < 0.06, draw.integers(0, 300, len(base)), base)))
+    rows = [(bytes([i]), bytes([i]), s.astype(np.uint64).tobytes()) for i, s in enumerate(sets)]
+    left = spark.createDataFrame(rows, "node binary, component binary, members binary")
+    lists = {}
+    for r in near._prefixes(left, percent).collect():
+        lists.setdefault(r.token, {})[r.node[0]] = r.rest
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            both = len(np.intersect1d(x, y))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                meets = [m for m in lists.values() if i in m and j in m]
+                assert any((100 + percent) * (1 + min(m[i], m[j])) >= percent * (len(x) + len(y)) for m in meets)
+

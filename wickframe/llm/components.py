@@ -9,6 +9,9 @@ from wickframe.llm.runtime import written
 
 # Keys that hold more than this part of the rows are joined by broadcast: there are at most that many.
 HOT_KEYS = 1000
+# Where facts are too large for that: rows that a task can take of one key, and tasks that share more.
+CROWD = 2000
+SALTS = 32
 
 
 def contracted(components: DataFrame, links: DataFrame) -> DataFrame:
@@ -18,8 +21,7 @@ def contracted(components: DataFrame, links: DataFrame) -> DataFrame:
         of_a = components.select(F.col("node").alias("a"), F.col("component").alias("c_a"))
         of_b = components.select(F.col("node").alias("b"), F.col("component").alias("c_b"))
         apart = (
-            joined.join(of_a, "a")
-            .join(of_b, "b")
+            salted_join(salted_join(joined, of_a, "a", "b"), of_b, "b", "a", joined)
             .where("c_a <> c_b")
             .select(F.greatest("c_a", "c_b").alias("a"), F.least("c_a", "c_b").alias("b"))
             .distinct()
@@ -43,6 +45,27 @@ def contracted(components: DataFrame, links: DataFrame) -> DataFrame:
         joined = apart  # names of components are nodes too
 
 
+def salted_join(rows: DataFrame, facts: DataFrame, key: str, spread: str, counted: DataFrame | None = None) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has one row for each key, by a shuffle without hot keys.
+
+    A key that holds more than a thousandth of the rows, and more than ``CROWD``, is dealt over ``SALTS`` tasks
+    by the column ``spread``; its facts, however large, go to each of them. There are at most ``HOT_KEYS`` such keys.
+    Keys are counted in ``counted``, a table that has those of ``rows``, which is one itself unless that is given.
+    """
+    counted = rows if counted is None else counted
+    counts = counted.groupBy(key).agg(F.count("*").alias("held")).where(f"held > {CROWD}")
+    counts = written(counts, "hot-keys")
+    if counts.isEmpty():
+        return rows.join(facts, key)
+    whole = counted.count()
+    hot = F.broadcast(counts.where(F.col("held") * HOT_KEYS > whole).select(key, F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = rows.join(hot, key, "left").withColumn("salt", salt).drop("hot")
+    copies = facts.join(hot, key, "left").withColumn("salt", F.explode(salts)).drop("hot")
+    return dealt.join(copies, [key, "salt"]).drop("salt")
+
+
 def joined_with_hot_keys(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """``rows`` with the columns of ``facts``, one row for each key, wherever one key holds many of the rows.
 

@@ -8,15 +8,18 @@
    bucket still has several components, the members outside the largest meet a random node of it in each
    bucket. A pair is dropped where the likelihood of its registers peaks five standard errors below the
    wanted similarity; the others are confirmed on their whole sets.
-4. Members that are still outside have to be compared with all others of their buckets, to be sure that
-   no link is lost. For that nodes get a home, a block of about ``BLOCK`` nodes, and the sets of two homes
-   that meet in a bucket are compared in one row. Homes of nodes that the links found so far have joined
-   do not meet. Again, what may be a link is confirmed on whole sets.
+4. Members that are still outside may be linked to any other of their buckets, and no link may be lost. What is
+   left there is narrowed down by prefixes: in one order of all shingles, rare ones first, two sets that are
+   similar enough share a shingle among their first ones, so only members of one such list and of different
+   components meet. Texts that are alike without being linked share none, however many they are. Lists of
+   more than ``SHORT`` members are compared in blocks: nodes get a home, a block of about ``BLOCK`` nodes, and the sets of
+   two homes that meet in a list are compared in one row. Again, what may be a link is confirmed on whole sets.
 5. Components grow by contraction: every component points to a smaller one it is linked to, pointers are
    followed to their ends, and links are renamed, until none joins two components.
 
-Everything stays in tables; no link, component or set passes the driver. Tables that are read more than
-once are written to the shared folder.
+A node that many pairs have in common, such as the first of a large bucket, is no hot key: its rows are salted
+(:func:`wickframe.llm.components.salted_join`). Everything stays in tables; no link, component or set passes the
+driver. Tables that are read more than once are written to the shared folder.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from wickframe.llm import sketches
 from wickframe.llm.bitmaps import broadcast_bits
-from wickframe.llm.components import contracted
+from wickframe.llm.components import contracted, salted_join
 from wickframe.llm.runtime import Batches, map_batches, slices, written
 from wickframe.session import scoped_conf
 
@@ -41,6 +44,11 @@ LOWEST_ESTIMATE = 0.66
 # Nodes in a home on average, and rows of two homes in an Arrow batch.
 BLOCK = 32
 BATCH = 16
+# Members of a list of one shingle that meet each other pair by pair.
+SHORT = 32
+# Counters of the sketch that orders shingles by how many sets have them. Any order is right; a fuller sketch
+# tells rare from common less sharply. It is broadcast, and never larger than this.
+ORDER_SLOTS = 1 << 20
 # Bits of the filter of nodes whose sets are wanted; fixed, so what is broadcast does not grow.
 FILTER_BITS = 1 << 26
 
@@ -120,7 +128,8 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"))
     sizes = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    joined = pairs.join(left, "a").join(right, "b").where(sizes)
+    pairs = written(pairs, "near-pairs")
+    joined = salted_join(salted_join(pairs, left, "a", "b"), right, "b", "a", pairs).where(sizes)
     return map_batches(joined.select("a", "b", "n_a", "n_b", "r_a", "r_b"), run, "a binary, b binary")
 
 
@@ -171,7 +180,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("m_a"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("m_b"))
-    joined = pairs.join(left, "a").join(right, "b")
+    pairs = written(pairs, "near-likely")
+    joined = salted_join(salted_join(pairs, left, "a", "b"), right, "b", "a", pairs)
     return map_batches(joined.select("a", "b", "m_a", "m_b"), run, "a binary, b binary")
 
 
@@ -208,7 +218,7 @@ def near_duplicates(
     counts = banded.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
     members = written(banded.join(counts, "key"), "near-buckets")
 
-    first = written(_likely(_pairs(members.where("node <> hub"), "node", "hub"), nodes, percent), "near-pairs")
+    first = written(_likely(_pairs(members.where("node <> hub"), "node", "hub"), nodes, percent), "near-likely")
     wide = members.where("size > 2").select("key", "node")
     wanted = _ends(first).union(wide.select("node")).distinct()
     sets = written(_sets_of(docs, written(wanted, "near-wanted"), text_col, shingle), "near-sets")
@@ -217,8 +227,7 @@ def near_duplicates(
     unresolved = _unresolved(wide, components)
     pairs = _likely(_pairs(unresolved.where("outside"), "node", "member"), nodes, percent)
     components = contracted(components, written(_linked(pairs, sets, percent), "near-links"))
-    with scoped_conf(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}):
-        pairs = written(_near_between_homes(_unresolved(wide, components), nodes, sets, percent), "near-pairs")
+    pairs = written(_left_pairs(_unresolved(wide, components), nodes, sets, percent), "near-pairs")
     components = contracted(components, written(_linked(pairs, sets, percent), "near-links"))
 
     named = nodes.select("node", "id", "key").join(components, "node", "left")
@@ -268,6 +277,80 @@ def _unresolved(wide: DataFrame, components: DataFrame) -> DataFrame:
     )
 
 
+def _left_pairs(unresolved: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components, both in unresolved buckets, that may be linked; none is lost."""
+    left = written(unresolved.select("node", "component").distinct().join(sets, "node"), "near-left")
+    # A list of one component has nothing to compare.
+    prefixes = written(_prefixes(left, percent), "near-prefixes")
+    lists = (
+        prefixes.groupBy("token")
+        .agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select("token", "size")
+    )
+    shared = written(prefixes.join(lists, "token"), "near-lists")
+    short = shared.where(f"size <= {SHORT}")
+    a, b = (
+        short.select("token", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "rest"))) for side in "ab"
+    )
+    # Behind the first shingle that two sets share, each has ``rest`` more. That must do for what they have to share.
+    enough = f"(100 + {percent}) * (1 + least(rest_a, rest_b)) >= {percent} * (n_a + n_b)"
+    sizes = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    both = (F.col("a.token") == F.col("b.token")) & F.expr(f"node_a < node_b and component_a <> component_b and {sizes} and {enough}")
+    met = a.alias("a").join(b.alias("b"), both).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    pairs = _likely(met.distinct(), nodes, percent)
+    long = shared.where(f"size > {SHORT}").select(F.col("token").alias("key"), "node")
+    if long.isEmpty():
+        return pairs
+    components = left.select("node", "component")
+    with scoped_conf(nodes.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}):
+        between = written(_near_between_homes(_unresolved(long, components), nodes, sets, percent), "near-pairs")
+    return pairs.unionByName(between).distinct()
+
+
+def _slots(tokens: np.ndarray) -> np.ndarray:
+    return (tokens % np.uint64(ORDER_SLOTS)).astype(np.int64)
+
+
+def _prefixes(left: DataFrame, percent: int) -> DataFrame:
+    """``(token, node, component, n, rest)``: the first shingles of each set, as many as similar sets must meet in.
+
+    A set of n shingles shares at least ``percent`` per cent of them with a similar one, so the two share one of the
+    first ``n - ceil(percent * n / 100) + 1`` in any order that holds for all sets: here by counters, then by value.
+    ``rest`` counts the shingles behind.
+    """
+
+    def count(batches: Batches) -> Batches:
+        counters = np.zeros(ORDER_SLOTS, np.int64)
+        for batch in batches:
+            for part in slices(batch, "members"):
+                tokens = np.frombuffer(b"".join(part.column("members").to_pylist()), np.uint64)
+                counters += np.bincount(_slots(tokens), minlength=ORDER_SLOTS)
+        at = np.nonzero(counters)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counters[at])], ["slot", "held"])
+
+    # At most a row for each slot and task; numbers of slots come to the driver, whatever the tables hold.
+    parts = map_batches(left.select("members"), count, "slot bigint, held bigint").groupBy("slot").agg(F.sum("held").alias("held"))
+    whole = np.zeros(ORDER_SLOTS, np.int64)
+    counted = parts.toArrow()
+    whole[counted.column("slot").to_numpy()] = counted.column("held").to_numpy()
+    shared = left.sparkSession.sparkContext.broadcast(whole.astype(np.float32))
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                tokens = np.frombuffer(batch.column("members")[row].as_buffer(), np.uint64)
+                size = len(tokens)
+                first = size - -(-percent * size // 100) + 1
+                held = shared.value[_slots(tokens)]
+                chosen = tokens[np.lexsort((tokens, held))[:first]]
+                same = [pa.repeat(batch.column(name)[row], len(chosen)) for name in ("node", "component")]
+                counts = [pa.array(np.full(len(chosen), size)), pa.array(size - 1 - np.arange(len(chosen)))]
+                yield pa.RecordBatch.from_arrays([pa.array(chosen.view(np.int64)), *same, *counts], ["token", "node", "component", "n", "rest"])
+
+    return map_batches(left, run, "token bigint, node binary, component binary, n bigint, rest bigint")
+
+
 def _near_between_homes(unresolved: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs ``(a, b)`` of different components that share an unresolved bucket and may be linked.
 
