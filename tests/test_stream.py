@@ -33,17 +33,20 @@ from wickframe.streaming.stream import (
     start_candle_stream,
     start_ingest_stream,
     start_kafka_producer,
+    start_late_stream,
     start_pane_stream,
     start_row_store_stream,
     state_conf,
 )
 from wickframe.streaming.table import (
     candles_of_panes,
+    candles_with_late,
     compact,
     current_candles,
     pane_layout,
     write_epoch,
     write_pane_epoch,
+    write_ranked_epoch,
 )
 
 NOW = {"availableNow": True}
@@ -449,3 +452,31 @@ def test_delays_of_a_stream(spark, tmp_path):
 def test_no_batch_no_delay():
     assert Delays().percentile(0.5) is None
 
+
+def test_late_ticks_are_kept_beside_a_bounded_state(spark, log, batch_candles, tmp_path):
+    """Files in which most ticks come behind the watermark, and a restart between them."""
+    parts = 4
+    progress = []
+    for part in range(parts):
+        append(log.filter(F.col("offset") % parts == part).coalesce(1), tmp_path)
+        for kind in ("candles", "late"):
+            source = FileLog(f"{tmp_path}/log", max_files_per_trigger=1)
+            mids = decode.mids_from_messages(read_log(spark, source, streaming=True))
+            if kind == "late":
+                query = start_late_stream(mids, f"{tmp_path}/late", f"{tmp_path}/c2", "10 minutes", width="6 hours", trigger=NOW)
+            else:
+                changes = candle_stream(mids, *DAY, watermark="10 minutes", ranks=True)
+                query = start_candle_stream(
+                    changes, f"{tmp_path}/t", f"{tmp_path}/c1", trigger=NOW, state_partitions=2, upsert=write_ranked_epoch
+                )
+            query.awaitTermination()
+            progress += query.recentProgress if kind == "candles" else []
+    dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress)
+    assert dropped > 1000
+    # Five pairs, four windows that a time is in, and some more that the watermark has not passed.
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] <= 5 * 6
+    found = candles_with_late(spark, f"{tmp_path}/t", f"{tmp_path}/late", *DAY)
+    assert found.columns == list(CANDLE_COLUMNS)
+    assert sorted(map(tuple, found.collect())) == sorted(batch_candles)
+    assert len(list((tmp_path / "late" / "_seen").iterdir())) == 1
+

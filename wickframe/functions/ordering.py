@@ -66,3 +66,9 @@ def rescaled_key(key: Column, sequence_limit: int | None) -> Column:
     limit = F.lit(str(sequence_limit)).cast("decimal(19,0)")
     sequence = exact % limit
     return _wide(F.floor((exact - sequence) / limit), sequence)
+
+
+def moved_key(key: Column, micros: Column) -> Column:
+    """An order key without limit, of a window that begins so much earlier."""
+    moved = micros.cast("decimal(18,0)") * F.lit(str(_SCALE)).cast("decimal(20,0)")
+    return (key + moved).cast("decimal(38,0)")

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
-from wickframe.functions.ordering import epoch_micros, order_key, rescaled_key, sequence_fits
+from wickframe.functions.ordering import (
+    epoch_micros,
+    moved_key,
+    order_key,
+    rescaled_key,
+    sequence_fits,
+)
 from wickframe.schemas import CANDLE_COLUMNS
 from wickframe.session import require_utc
 
 SIZE = "5 minutes"
 SLIDE = "1 minute"
 
+# Columns that candles may have beside their own.
+MORE = ("newest_tick", "open_rank", "close_rank")
+
 # Windows that overlap more often than this are swept; fewer are quicker by copies of their panes.
 COPIES = 8
 
@@ -49,9 +60,9 @@ def _ohlc(
     span: int,
     sequence_limit: int | None,
     keep_null_mids: bool,
-    newest_tick: bool = False,
+    more: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """OHLC of ticks per pair and column ``by``, open and close by time and then sequence.
+    """OHLC of ticks per pair and column ``by``, open and close by time and then sequence; ``more`` beside them.
 
     ``start`` is where the window of ``span`` microseconds begins.
 
@@ -71,7 +82,7 @@ def _ohlc(
             F.max("mid_price").alias("high_price"),
             F.min("mid_price").alias("low_price"),
             F.max_by("mid_price", "rank").alias("close_price"),
-            *([F.max("timestamp").alias("newest_tick")] if newest_tick else []),
+            *(column.alias(name) for name, column in (more or {}).items()),
         )
     )
     if keep_null_mids:
@@ -86,7 +97,7 @@ def _as_candles(bars: DataFrame) -> DataFrame:
             F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_time") else F.col(c)
             for c in CANDLE_COLUMNS
         ),
-        *(c for c in bars.columns if c == "newest_tick"),
+        *(c for c in bars.columns if c in MORE),
     )
 
 
@@ -98,13 +109,21 @@ def candles_direct(
     sequence_limit: int | None = None,
     keep_null_mids: bool = False,
     newest_tick: bool = False,
+    ranks: bool = False,
 ) -> DataFrame:
     """Candles in one aggregation. Works on streams; expands each tick to size/slide windows.
 
-    With ``newest_tick`` each has the time of its newest tick in a column of that name.
+    With ``newest_tick`` each has the time of its newest tick in a column of that name, with ``ranks`` the order
+    keys of its first and last tick, so that ticks that come later can be merged into it.
     """
     assigned = assign_windows(mids, size, slide)
-    bars = _ohlc(assigned, "window.start", "window", micros(size), sequence_limit, keep_null_mids, newest_tick)
+    more = {"newest_tick": F.max("timestamp")} if newest_tick else {}
+    if ranks:
+        more |= {
+            "open_rank": rescaled_key(F.min("rank"), sequence_limit),
+            "close_rank": rescaled_key(F.max("rank"), sequence_limit),
+        }
+    bars = _ohlc(assigned, "window.start", "window", micros(size), sequence_limit, keep_null_mids, more)
     return _as_candles(bars)
 
 
@@ -179,6 +198,40 @@ def merge_panes(parts: DataFrame) -> DataFrame:
     )
 
 
+def merge_late(candle_rows: DataFrame, pane_bars: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataFrame:
+    """Candles with ranks, and whole panes of ticks that came too late for them, as the candles of all ticks.
+
+    A tick that is in both counts once. Panes are copied into all windows they lie in; they are few.
+    """
+    require_utc(candle_rows)
+    length, step = micros(size), micros(slide)
+    at = epoch_micros(F.col("pane_start"))
+    last = at - F.pmod(at, F.lit(step))
+    first = at - length + 1
+    first = first + F.pmod(-first, F.lit(step))
+    opened = pane_bars.withColumn("opens", F.explode(F.sequence(first, last, F.lit(step).cast("bigint"))))
+    prices = ["open_price", "high_price", "low_price", "close_price"]
+    late = opened.select(
+        F.col("pair").alias("currency_pair"),
+        F.timestamp_micros("opens").cast("timestamp_ntz").alias("open_time"),
+        *prices,
+        *(moved_key(F.col(rank), at - F.col("opens")).alias(rank) for rank in ("open_rank", "close_rank")),
+    )
+    on_time = candle_rows.select("currency_pair", "open_time", *prices, "open_rank", "close_rank")
+    bars = (
+        on_time.unionByName(late)
+        .groupBy("currency_pair", "open_time")
+        .agg(
+            F.min_by("open_price", "open_rank").alias("open_price"),
+            F.max("high_price").alias("high_price"),
+            F.min("low_price").alias("low_price"),
+            F.max_by("close_price", "close_rank").alias("close_price"),
+        )
+    )
+    closes = F.timestamp_micros(epoch_micros(F.col("open_time")) + F.lit(length)).cast("timestamp_ntz")
+    return bars.withColumn("close_time", closes).select(*CANDLE_COLUMNS)
+
+
 def roll_up(pane_bars: DataFrame, size: str = SIZE, slide: str = SLIDE) -> DataFrame:
     """Panes to candles: the first pane's open, the last pane's close, the extremes between.
 

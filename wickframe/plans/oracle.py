@@ -319,6 +319,7 @@ mids AS (SELECT * FROM plain WHERE sequence % 7 <> 0)""",
     ),
     "candle_stream_upsert": _query(_candles(_EXACT_MIDS), _ALL_CANDLES),
     "candle_stream_late": _DAY_FROM_LOG,
+    "candle_stream_watermark_late": _DAY_FROM_LOG,
     "candle_pane_stream": _query(_candles(_EXACT_MIDS), _ALL_CANDLES),
     "restart_no_regression": _DAY_FROM_LOG,
 }

@@ -26,10 +26,12 @@ from wickframe.streaming.stream import (
     candle_stream,
     start_candle_stream,
     start_ingest_stream,
+    start_late_stream,
     start_pane_stream,
 )
 from wickframe.streaming.table import (
     candles_of_panes,
+    candles_with_late,
     compact,
     current_candles,
     latest_candles,
@@ -37,6 +39,7 @@ from wickframe.streaming.table import (
     stored_candles,
     write_backfill,
     write_epoch,
+    write_ranked_epoch,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -539,6 +542,25 @@ def candle_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_candles(spark, f"{base}/table")
 
 
+def candle_stream_watermark_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks in which most ticks lie behind the watermark: state stays small, and readers merge what it dropped."""
+    base = scratch_dir(pin_utc(spark), "watermark")
+    _write_interleaved(_log(spark, sf_dir), f"{base}/log")
+    per_trigger = _files_per_trigger(spark, f"{base}/log", CHUNKS)
+    source = FileLog(f"{base}/log", max_files_per_trigger=per_trigger)
+    now = {"availableNow": True}
+    mids = decode.mids_from_messages(read_log(spark, source, streaming=True))
+    changes = candle_stream(mids, *DAY, watermark="10 minutes", ranks=True)
+    start_candle_stream(
+        changes, f"{base}/table", f"{base}/candles", trigger=now, upsert=write_ranked_epoch
+    ).awaitTermination()
+    mids = decode.mids_from_messages(read_log(spark, source, streaming=True))
+    start_late_stream(
+        mids, f"{base}/late", f"{base}/parts", "10 minutes", width=DAY[1], trigger=now
+    ).awaitTermination()
+    return candles_with_late(spark, f"{base}/table", f"{base}/late", *DAY)
+
+
 def candle_pane_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late chunks again, as a stateless stream of pane parts that readers merge to candles."""
     base = scratch_dir(pin_utc(spark), "panes")
@@ -618,6 +640,7 @@ QUERIES: dict[str, Query] = {
         stream_source_count,
         candle_stream_upsert,
         candle_stream_late,
+        candle_stream_watermark_late,
         candle_pane_stream,
         restart_no_regression,
     )

@@ -126,3 +126,9 @@ def pane_schema(mode: PriceMode = EXACT) -> T.StructType:
             T.StructField("close_rank", rank, False),
         ]
     )
+
+
+def ranked_schema(mode: PriceMode = EXACT) -> T.StructType:
+    """Schema of a candle with the order keys of its first and last tick."""
+    ranks = [T.StructField(c, T.DecimalType(38, 0), False) for c in ("open_rank", "close_rank")]
+    return T.StructType([*candle_schema(mode), *ranks])

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from wickframe.functions.durations import micros
+from wickframe.functions.ordering import epoch_micros
 from wickframe.operators.ingest import accepted, encode_messages, gate_log, grade
 from wickframe.operators.ohlc import SIZE, SLIDE, candles_direct, partial_panes
 from wickframe.schemas import EXACT, PriceMode
@@ -57,17 +59,19 @@ def candle_stream(
     watermark: str | None = None,
     sequence_limit: int | None = None,
     newest_tick: bool = False,
+    ranks: bool = False,
 ) -> DataFrame:
     """Streaming candles. Without a watermark every late tick re-opens its windows.
 
     A watermark bounds the state and drops ticks that come later than it allows. ``newest_tick`` carries
-    the time of each candle's newest tick along, for :class:`wickframe.streaming.delays.Delays`.
+    the time of each candle's newest tick along, for :class:`wickframe.streaming.delays.Delays`, ``ranks`` what late
+    ticks are merged by, for :func:`start_late_stream`.
     """
     if watermark is not None:
         # Watermarks need a zoned timestamp; candle times are zone-free again on the way out.
         mids = mids.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
         mids = mids.withWatermark("timestamp", watermark)
-    return candles_direct(mids, size, slide, sequence_limit=sequence_limit, newest_tick=newest_tick)
+    return candles_direct(mids, size, slide, sequence_limit=sequence_limit, newest_tick=newest_tick, ranks=ranks)
 
 
 def _epoch_shift(spark: SparkSession, table: str, checkpoint: str) -> int:
@@ -177,6 +181,46 @@ def start_row_store_stream(
     return _start_stateful(candle_changes, sink, checkpoint, trigger, state_partitions)
 
 
+def start_late_stream(
+    mids: DataFrame,
+    table: str,
+    checkpoint: str,
+    watermark: str,
+    *,
+    width: str = SLIDE,
+    trigger: dict[str, Any] | None = None,
+) -> StreamingQuery:
+    """Keep what a candle stream with this watermark may have dropped, as parts of panes beside its candles.
+
+    A stream with a watermark drops a tick for windows that ended before the newest time of earlier batches, less
+    the delay. This one takes all ticks that are so far behind the newest time it has seen, its own batch
+    included: all that can have been dropped, as long as both read the log in one order, as files and the partition of a
+    topic are read. Ticks that were not dropped after all do no harm, since merging a tick twice changes nothing
+    (``table.candles_with_late``). It has no state but that time, which it marks before it writes.
+    """
+    spark = mids.sparkSession
+    shift = _epoch_shift(spark, table, checkpoint)
+    delay = micros(watermark)
+    top = f"{table}/_seen"
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        at = epoch_micros(F.col("timestamp"))
+        batch = batch.persist()
+        try:
+            before = [int(name) for name in paths.children(spark, top)]
+            newest = max([*before, batch.agg(F.max(at)).first()[0] or 0], default=0)
+            paths.mark(spark, f"{top}/{newest}")
+            late = batch.filter(at < newest - delay)
+            write_pane_epoch(partial_panes(late, width), table, epoch_id + shift)
+            for name in before:
+                if name < newest:
+                    paths.delete(spark, f"{top}/{name}")
+        finally:
+            batch.unpersist()
+
+    return _start(mids.writeStream.foreachBatch(write_batch), checkpoint, trigger)
+
+
 def start_batch_store_stream(
     candle_changes: DataFrame,
     store: BatchStore,

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickframe.operators.contract import breaks_not_null
-from wickframe.operators.ohlc import SIZE, SLIDE, merge_panes, roll_up
+from wickframe.operators.ohlc import SIZE, SLIDE, merge_late, merge_panes, roll_up
 from wickframe.operators.reads import latest
 from wickframe.schemas import (
     CANDLE_COLUMNS,
@@ -46,6 +46,7 @@ from wickframe.schemas import (
     PriceMode,
     candle_schema,
     pane_schema,
+    ranked_schema,
 )
 from wickframe.session import scoped_conf
 from wickframe.streaming import paths
@@ -90,13 +91,13 @@ class Layout:
         )
 
 
-def _newest(stored: DataFrame) -> DataFrame:
+def _newest(stored: DataFrame, columns: Sequence[str] = CANDLE_COLUMNS) -> DataFrame:
     """Newest version of each key, as a hash aggregation that starts on the map side."""
-    values = [c for c in CANDLE_COLUMNS if c not in CANDLE_KEY]
+    values = [c for c in columns if c not in CANDLE_KEY]
     return (
         stored.groupBy(*CANDLE_KEY)
         .agg(*(F.max_by(c, "version").alias(c) for c in values))
-        .select(*CANDLE_COLUMNS)
+        .select(*columns)
     )
 
 
@@ -104,6 +105,12 @@ def candle_layout(mode: PriceMode = EXACT) -> Layout:
     return Layout("candles", candle_schema(mode), "open_time", _newest)
 
 
+def ranked_layout(mode: PriceMode = EXACT) -> Layout:
+    """Candles that late ticks can be merged into."""
+    rows = ranked_schema(mode)
+    return Layout("ranked", rows, "open_time", lambda stored: _newest(stored, rows.names))
+
+
 def pane_layout(mode: PriceMode = EXACT) -> Layout:
     return Layout("panes", pane_schema(mode), "pane_start", merge_panes)
 
@@ -284,6 +291,27 @@ def write_pane_epoch(pane_parts: DataFrame, path: str, epoch_id: int) -> None:
     _write(pane_parts, pane_layout(), path, 2 * epoch_id)
 
 
+def write_ranked_epoch(
+    candle_rows: DataFrame, path: str, epoch_id: int, merge_files: bool = True
+) -> None:
+    """:func:`write_epoch` for candles with ranks."""
+    _write(candle_rows, ranked_layout(), path, 2 * epoch_id, merge_files)
+
+
+def candles_with_late(
+    spark: SparkSession,
+    path: str,
+    late_path: str,
+    size: str = SIZE,
+    slide: str = SLIDE,
+    mode: PriceMode | None = None,
+) -> DataFrame:
+    """Candles of a stream with a watermark, merged with the ticks that came behind it (``start_late_stream``)."""
+    layout = ranked_layout(stored_mode(spark, path, "ranked", mode))
+    rows = layout.merge(_stored(spark, layout, path).filter("valid"))
+    return merge_late(rows, current_panes(spark, late_path, mode), size, slide)
+
+
 def current_panes(
     spark: SparkSession, path: str, mode: PriceMode | None = None, since: date | None = None
 ) -> DataFrame:
