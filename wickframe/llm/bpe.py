@@ -15,6 +15,8 @@ from wickframe.llm.chunks import Remembered
 from wickframe.llm.runtime import Batches, file_bytes, kept, map_batches, slices, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
+# New parts that are encoded at a time.
+TOGETHER = 1 << 14
 
 
 def _parts(content: bytes) -> Remembered:
@@ -24,7 +26,7 @@ def _parts(content: bytes) -> Remembered:
         for ids in bpe.encode(parts):
             yield len(ids), bpe.written(ids), bpe.decode(ids)
 
-    return Remembered(encode)
+    return Remembered(encode, together=TOGETHER)
 
 
 def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -36,7 +38,7 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Batches) -> Batches:
         bpe = ByteBpe(shared.value)
-        parts = Remembered(lambda found: [array("i", ids).tobytes() for ids in bpe.encode(found)])
+        parts = Remembered(lambda found: [array("i", ids).tobytes() for ids in bpe.encode(found)], together=TOGETHER)
         for whole in batches:
             for batch in slices(whole, "text"):
                 rows = parts.texts([text or "" for text in batch.column("text").to_pylist()])
@@ -75,8 +77,9 @@ def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Round trip of each text in one pass: number of ids, digest of the ids, digest of the decoded text.
 
     Returns ``(id, n_tokens, ids_sha256, decoded_sha256)`` for each row; a null text counts as empty
-    (no ids, digests of nothing). The ids are hashed as decimals joined by commas. No shuffle; memory
-    is bounded by the part memory and by about 8 MB of text at a time.
+    (no ids, digests of nothing). The ids are hashed as decimals joined by commas. Repeated rows and rows with equal or
+    null ids have a result each; other columns play no part, whatever their names. No shuffle; memory is bounded by the
+    part memory and by about 8 MB of text, or one text, at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(path or tokenizer_path(TOKENIZER)))
 

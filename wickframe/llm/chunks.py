@@ -26,12 +26,12 @@ def _is_open(part: str) -> bool:
 class Remembered:
     """``encode`` of parts. With more than ``limit`` kept, those that no later text uses are let go.
 
-    ``encode`` gets one part of any kind, or many parts that each begin with a blank and hold no other,
+    ``encode`` gets one part of any kind, or up to ``together`` parts that each begin with a blank and hold no other,
     and have no white space at either end.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[Any]], limit: int = 300_000):
-        self._encode, self._limit = encode, limit
+    def __init__(self, encode: Callable[[list[str]], Iterable[Any]], limit: int = 300_000, together: int = 1000):
+        self._encode, self._limit, self._together = encode, limit, together
         self._known: dict[str, Any] = {}
         self._old: dict[str, Any] = {}
 
@@ -43,8 +43,8 @@ class Remembered:
                 self._known[part] = value
             elif len(part) <= LONGEST_KEPT and part and not (part[0].isspace() or part[-1].isspace()):
                 new.append(part)
-        for start in range(0, len(new), 1000):
-            some = new[start : start + 1000]
+        for start in range(0, len(new), self._together):
+            some = new[start : start + self._together]
             self._known.update(zip(some, self._encode([f" {part}" for part in some])))
         self._old = {}
         gc.freeze()  # what is remembered has no cycles; searching it for some again and again costs a fifth
