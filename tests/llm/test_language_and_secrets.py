@@ -97,6 +97,90 @@ def test_the_mark_of_a_start_tells_nothing(model):
     assert np.allclose(model.unseen("日本"), 0)
 
 
+def plain_prediction(model, text):
+    """What ``predict`` gives, letter by letter from the model's tables."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not words or not model.languages:
+        return "und", 0.0
+    total, fit, letters = np.zeros(len(model.languages)), np.zeros(len(model.languages)), 0
+    for word in words:
+        marked, rows, given = f"^{word}$", [], np.zeros(len(model.languages))
+        for at in range(len(marked) - 1):
+            sizes = [n for n in range(4, 0 if at else 1, -1) if at + n <= len(marked) and marked[at : at + n] in model.grams]
+            if not sizes:
+                given = given + language._UNKNOWN
+                continue
+            rows.append(model.grams[marked[at : at + sizes[0]]])
+            given = given + language._BACKOFF * (min(4, len(marked) - at) - sizes[0])
+            if model.letter_logs is not None:
+                given = given + model.letter_logs[rows[-1]]
+        logs = model.gram_logs[rows].mean(axis=0) if rows else np.zeros(len(model.languages))
+        if word in model.words:
+            logs = model.word_logs[model.words[word]]
+            given = np.maximum(given, logs)
+        total, fit, letters = total + logs, fit + given, letters + len(word) + 1
+    best = int(np.argmax(total))
+    mean, within, between = model.typical[best]
+    below = (mean - fit[best] / letters) / np.sqrt(within / letters + between)
+    return model.languages[best], 1 / (1 + np.exp(min(max(below - language._FAR, -50), 50)))
+
+
+def test_predictions_are_those_of_the_plain_sums(spark, documents, model, monkeypatch):
+    monkeypatch.setattr(language, "_POSITIONS", 100)
+    monkeypatch.setattr(language, "_TOGETHER", 300)
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    texts += [text for _, text in EDGE_ROWS if len(text or "") < 40_000] + FOREIGN
+    texts += ["A", "ß", "\u0130stanbul", "\U00010400\U0001d400 x", "nai\u0308ve cafe\u0301", "$^ ^a$ b", "a" * 500]
+    for text, (found, score) in zip(texts, model.predict_all(texts)):
+        expected, plain = plain_prediction(model, text)
+        assert found == expected and score == pytest.approx(plain, abs=1e-9)
+
+
+def _invented(draw, letters, size):
+    return ["".join(draw.choices(letters, k=draw.randint(2, 9))) for _ in range(size)]
+
+
+def test_unequal_languages(documents):
+    """Ten thousand texts of one language, one of the other: neither swallows the other's texts, rare words included."""
+    draw = random.Random(7)
+    large, small = _invented(draw, "aeioustrnlm", 20_000), _invented(draw, "aeiouzxkwy", 30)
+    rows = [(i, " ".join(draw.choices(large, k=20)), "big") for i in range(10_000)]
+    rows.append((10_000, " ".join(small * 2), "tiny"))
+    model = language.fit(documents(rows))
+    assert model.languages == ["big", "tiny"]
+    rare = [" ".join(draw.choices(large[5_000:], k=100)) for _ in range(100)]
+    assert {found for found, _ in model.predict_all(rare)} == {"big"}
+    assert model.predict(" ".join(small[:15]))[0] == "tiny"
+    floor = model.word_logs.min(axis=0)
+    assert floor[0] == pytest.approx(floor[1])
+
+
+def test_no_language_is_dropped(documents):
+    """More languages than any cap, some with very long words, each told by its own words."""
+    draw = random.Random(3)
+    words = {f"l{k:03d}": ["".join(draw.choices(string.ascii_lowercase, k=6)) for _ in range(4)] for k in range(230)}
+    rows = [(k, " ".join(own * 3) + " " + "q" * (300 * (k % 2)), name) for k, (name, own) in enumerate(words.items())]
+    model = language.fit(documents(rows))
+    assert model.languages == sorted(words)
+    found = model.predict_all([" ".join(own) for own in words.values()])
+    assert [name for name, _ in found] == list(words)
+
+
+def test_a_long_word_counts_like_any_other(documents):
+    rows = [(1, "the cat sat " * 10 + "x" * 100_000, "a"), (2, "le chat dort " * 10, "b")]
+    model = language.fit(documents(rows))
+    assert model.predict("the cat")[0] == "a" and model.predict("le chat")[0] == "b"
+    assert model.predict("x" * 200_000)[0] == "a"
+
+
+def test_columns_with_clashing_names_are_kept(spark, model):
+    docs = spark.createDataFrame(
+        [("the house of the people and the law", "x", 1, "und")], "text string, keep0 string, score bigint, lang_pred string"
+    )
+    found = language.predict(docs, model, keep=("keep0", "text")).collect()
+    assert [(r[0], r["lang_pred"]) for r in found] == [("x", "en")]
+
+
 def plain_spans(text):
     """The patterns as given, matches that fail dropped."""
     spans = []

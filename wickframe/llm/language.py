@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,17 +17,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wickframe.llm.bpe_automaton import FlatMap
 from wickframe.llm.runtime import Batches, map_batches, slices
 
 UNDETERMINED = "und"
 
+# Positions and words looked up at a time, and numbers kept of words that were: they bound memory.
+_POSITIONS, _TOGETHER, _KEPT = 1 << 18, 50_000, 1 << 23
+_MIX, _SIGN = np.uint64(0x9E3779B97F4A7C15), np.uint64(2)
+
 # A word is a run of letters; ^ and $ mark its ends in n-grams.
 _LETTERS = r"[\p{L}\p{M}]+"
 _letters = re.compile(r"[^\W\d_]+")
 LONGEST_GRAM = 4
 
-# One unseen occurrence counts as so many seen ones.
+# One unseen occurrence counts as so many seen ones, and the part of frequencies that all keys share.
 _SMOOTHING = 0.5
+_UNSEEN = 0.05
 
 # Words of a text are not independent; at most so many count as independent evidence in the odds.
 _INDEPENDENT_WORDS = 20.0
@@ -39,11 +46,13 @@ _BACKOFF, _UNKNOWN = -1.0, -12.0
 _FAR = 8.0
 # Labelled texts whose fits tell the typical one and its spread, and how many a language needs of its own.
 _JUDGED_TEXTS, _FEWEST_TEXTS = 2_000, 20
+# Labelled rows of a language that are counted at least, if it has as many.
+_FEWEST_ROWS = 200
 
 
 @dataclass
 class LanguageModel:
-    """Per-language log frequencies of the commonest words and of character n-grams; size bounded by ``fit``."""
+    """Per-language log frequencies of words and of character n-grams."""
 
     languages: list[str]
     words: dict[str, int]
@@ -54,69 +63,97 @@ class LanguageModel:
     letter_logs: np.ndarray | None = None
     # Typical fit, its variance times letters within texts, and its variance between texts, by language.
     typical: np.ndarray | None = None
+    _lookup: list[FlatMap] | None = field(default=None, repr=False)
     _seen: dict[str, int] = field(default_factory=dict, repr=False)
     _rows: np.ndarray | None = field(default=None, repr=False)
 
-    def _longest(self, word: str) -> tuple[list[int], int, int]:
-        """Rows of the longest known n-gram at each position, letters left out, and positions without any.
+    def _letters_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Code points of all words, each between its marks, and where the words start."""
+        joined = "".join([f"^{word}$" for word in words])
+        starts = np.cumsum([0, *(len(word) + 2 for word in words)])
+        return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64), starts
+
+    def _longest(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``(owners, rows, left_out)`` for the positions of all words, some at a time.
 
-        The mark of a word's start alone is no n-gram: it is in every language.
+        A row is that of the longest known n-gram that starts at a position, or -1; ``left_out`` counts the letters
+        it lacks of the longest possible. The mark of a word's start alone is no n-gram: it is in every language.
         """
-        grams, marked, rows, left_out, unknown = self.grams, f"^{word}$", [], 0, 0
-        for at in range(len(marked) - 1):
-            for size in range(LONGEST_GRAM, 0 if at else 1, -1):
-                row = grams.get(marked[at : at + size])
-                if row is not None:
-                    rows.append(row)
-                    left_out += min(LONGEST_GRAM, len(marked) - at) - min(size, len(marked) - at)
-                    break
-            else:
-                unknown += 1
-        return rows, left_out, unknown
+        letters, starts = self._letters_of(words)
+        if self._lookup is None:
+            self._lookup = [
+                FlatMap({int(_gram_key(gram)): row for gram, row in self.grams.items() if len(gram) == size})
+                for size in range(1, LONGEST_GRAM + 1)
+            ]
+        for low in range(0, len(letters), _POSITIONS):
+            at = np.arange(low, min(low + _POSITIONS, len(letters)))
+            owners = np.searchsorted(starts, at, "right") - 1
+            room = np.minimum(LONGEST_GRAM, starts[owners + 1] - at)
+            own = room > 1  # the mark of an end starts nothing
+            at, owners, room = at[own], owners[own], room[own]
+            least = np.where(at == starts[owners], 2, 1)
+            rows = np.full(len(at), -1, np.int64)
+            left_out = np.zeros(len(at), np.int64)
+            keys = [np.zeros(len(at), np.uint64)]
+            for size in range(LONGEST_GRAM):
+                keys.append(_mixed(keys[-1], letters[np.minimum(at + size, len(letters) - 1)]))
+            for size in range(LONGEST_GRAM, 0, -1):
+                open_ = np.nonzero((rows < 0) & (room >= size) & (least <= size))[0]
+                found = self._lookup[size - 1].get((keys[size][open_] >> _SIGN).astype(np.int64))
+                rows[open_] = found
+                left_out[open_[found >= 0]] = room[open_[found >= 0]] - size
+            yield owners, rows, left_out
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean over the word's positions of the longest known n-gram that starts there."""
-        rows, _, _ = self._longest(word)
-        if not rows:
-            return np.zeros(len(self.languages))
-        return self.gram_logs[rows].mean(axis=0)
-
-    def _row(self, word: str) -> np.ndarray:
-        """Log frequencies of a word by language; for a model that judges fits, its letters' log probabilities and their number too."""
-        known = self.words.get(word)
-        if self.letter_logs is None:
-            return self.unseen(word) if known is None else self.word_logs[known]
-        rows, left_out, unknown = self._longest(word)
-        letters = self.letter_logs[rows].sum(axis=0) + (_BACKOFF * left_out + _UNKNOWN * unknown)
-        if known is not None:
-            logs = self.word_logs[known]
-            letters = np.maximum(letters, logs)
-        else:
-            logs = self.gram_logs[rows].mean(axis=0) if rows else np.zeros(len(self.languages))
-        return np.concatenate([logs, letters, [len(word) + 1]])
+        return self._fresh([word], known=False)[0, : len(self.languages)]
+
+    def _fresh(self, words: list[str], known: bool = True) -> np.ndarray:
+        """A row for each word: log frequencies by language, and for a model that judges fits, its letters' log
+        probabilities and their number too."""
+        size, judges = len(self.languages), self.letter_logs is not None
+        grams, counts = np.zeros((len(words), size)), np.zeros(len(words))
+        likely, lacking = np.zeros((len(words), size)), np.zeros(len(words))
+        for owners, rows, left_out in self._longest(words):
+            found = rows >= 0
+            here, of = rows[found], owners[found]
+            counts += np.bincount(of, minlength=len(words))
+            _add_runs(grams, of, self.gram_logs, here)
+            if judges:
+                _add_runs(likely, of, self.letter_logs, here)
+                lacking += _BACKOFF * np.bincount(of, left_out[found], len(words))
+                lacking += _UNKNOWN * np.bincount(owners[~found], minlength=len(words))
+        logs = grams / np.maximum(counts, 1)[:, None]
+        likely += lacking[:, None]
+        if known:
+            rows = np.array([self.words.get(word, -1) for word in words], np.int64)
+            at = np.nonzero(rows >= 0)[0]
+            logs[at] = self.word_logs[rows[at]]
+            likely[at] = np.maximum(likely[at], logs[at])
+        if not judges:
+            return logs
+        return np.column_stack([logs, likely, [len(word) + 1 for word in words]])
 
     def _vectors(self, words: list[str]) -> np.ndarray:
-        if self._rows is None or len(self._seen) > 250_000:
+        """The rows of words, kept from call to call."""
+        width = len(self.languages) * (1 if self.letter_logs is None else 2) + (self.letter_logs is not None)
+        most = min(250_000, _KEPT // width)
+        if self._rows is None or len(self._seen) > most:
             self._seen = {}
-            width = len(self.languages) * (1 if self.letter_logs is None else 2) + (self.letter_logs is not None)
             self._rows = np.zeros((1024, width))
         get = self._seen.get
         rows = list(map(get, words))
         if None in rows:
-            new = [word for word in dict.fromkeys(words) if word not in self._seen and len(word) <= 64]
-            if new:
-                start = len(self._seen)
-                need = start + len(new)
-                if need > len(self._rows):
-                    grown = np.zeros((max(need, 2 * len(self._rows)), self._rows.shape[1]))
-                    grown[:start] = self._rows[:start]
-                    self._rows = grown
-                for at, word in enumerate(new, start):
-                    self._rows[at] = self._row(word)
-                    self._seen[word] = at
-                rows = list(map(get, words))
-        if None in rows:  # very long words are not kept
-            return np.array([self._row(w) if r is None else self._rows[r] for w, r in zip(words, rows)])
+            new = list(dict.fromkeys(word for word, row in zip(words, rows) if row is None))
+            start = len(self._seen)
+            need = start + len(new)
+            if need > len(self._rows):
+                grown = np.zeros((max(need, min(2 * len(self._rows), most)), width))
+                grown[:start] = self._rows[:start]
+                self._rows = grown
+            self._rows[start:need] = self._fresh(new)
+            self._seen.update(zip(new, range(start, need)))
+            rows = list(map(get, words))
         return self._rows[rows]
 
     def _score(self, language: int, letters: float, count: float) -> float:
@@ -126,33 +163,90 @@ class LanguageModel:
         return 1 / (1 + math.exp(min(max(below - _FAR, -50.0), 50.0)))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """``(language, score)``; ties go to the first language in order of name.
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """``(language, score)`` of each text; ties go to the first language in order of name.
 
         The score tells how well the text fits the language, whatever the others are. A model that did not
-        see labelled texts to judge by gives the odds of the language among those learned.
+        see labelled texts to judge by gives the odds of the language among those learned. Words of many texts
+        are looked up together, and texts of very many words part by part.
         """
-        words = _letters.findall((text or "").lower())
-        if not words or not self.languages:
-            return UNDETERMINED, 0.0
-        sums = sum(self._vectors(words[at : at + 50_000]).sum(axis=0) for at in range(0, len(words), 50_000))
+        words: list[str] = []
+        counts, sums = [], {}
+        if not self.languages:
+            return [(UNDETERMINED, 0.0)] * len(texts)
+        pending: list[int] = []
+
+        def add_up() -> None:
+            if words:
+                rows = self._vectors(words)
+                of = np.repeat(np.arange(len(pending)), [counts[at] for at in pending])
+                total = np.zeros((len(pending), rows.shape[1]))
+                _add_runs(total, of, rows, None)
+                for at, row in zip(pending, total):
+                    sums[at] = row
+            words.clear()
+            pending.clear()
+
+        for at, text in enumerate(texts):
+            found = _letters.findall((text or "").lower())
+            counts.append(len(found))
+            if len(found) > _TOGETHER:
+                parts = range(0, len(found), _TOGETHER)
+                sums[at] = sum(self._vectors(found[low : low + _TOGETHER]).sum(axis=0) for low in parts)
+            elif found:
+                pending.append(at)
+                words += found
+                if len(words) > _TOGETHER:
+                    add_up()
+        add_up()
+        return [self._judged(sums[at], counts[at]) if counts[at] else (UNDETERMINED, 0.0) for at in range(len(texts))]
+
+    def _judged(self, sums: np.ndarray, words: int) -> tuple[str, float]:
         total = sums[: len(self.languages)]
         best = int(np.argmax(total))
         if self.typical is not None:
             return self.languages[best], self._score(best, float(sums[len(total) + best]), float(sums[-1]))
-        shown = total * min(1.0, _INDEPENDENT_WORDS / len(words))
+        shown = total * min(1.0, _INDEPENDENT_WORDS / words)
         odds = np.exp(shown - shown.max())
         return self.languages[best], float(odds[best] / odds.sum())
 
 
+def _mixed(keys: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """The keys of n-grams one letter longer."""
+    keys = (keys ^ (letters + np.uint64(1))) * _MIX
+    return keys ^ (keys >> np.uint64(29))
+
+
+def _gram_key(gram: str) -> int:
+    """62 bits that stand for an n-gram among those of its length."""
+    key = np.zeros(1, np.uint64)
+    for letter in gram:
+        key = _mixed(key, np.array([ord(letter)], np.uint64))
+    return int(key[0] >> _SIGN)
+
+
+def _add_runs(into: np.ndarray, owners: np.ndarray, values: np.ndarray, rows: np.ndarray | None) -> None:
+    """Add rows of ``values`` to those of their owners, who come in rising order."""
+    if len(owners):
+        starts = np.nonzero(np.diff(owners, prepend=-1))[0]
+        into[owners[starts]] += np.add.reduceat(values if rows is None else values[rows], starts, axis=0)
+
+
 def _tables(counts: list, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Rows ``(lang, key, n)`` as key numbers and smoothed log frequencies."""
+    """Rows ``(lang, key, n)`` as key numbers and log frequencies.
+
+    Every language lends the part ``_UNSEEN`` of its frequencies to all keys alike. So a key that a language never
+    had is as unlikely there as in any other, however much or little was read of it.
+    """
     keys = {key: at for at, key in enumerate(sorted({row[1] for row in counts}))}
     column = {language: at for at, language in enumerate(languages)}
     found = np.zeros((len(keys), len(languages)))
     for language, key, n in counts:
         found[keys[key], column[language]] = n
-    totals = found.sum(axis=0) + _SMOOTHING * max(1, len(keys))
-    return keys, np.log((found + _SMOOTHING) / totals)
+    totals = np.maximum(found.sum(axis=0), 1)
+    return keys, np.log((1 - _UNSEEN) * found / totals + _UNSEEN / max(1, len(keys)))
 
 
 def _letter_logs(counts: list, grams: dict[str, int], languages: list[str]) -> np.ndarray:
@@ -239,58 +333,69 @@ def fit(
     lang_col: str = "lang",
     key_cols: tuple[str, ...] = ("doc_id",),
     sample_rows: int = 10_000,
-    max_words: int = 60_000,
-    max_grams: int = 60_000,
-    max_languages: int = 200,
 ) -> LanguageModel:
     """Learn from a bounded sample of rows with a text and a language.
 
-    About ``sample_rows`` rows, picked by a hash of ``key_cols`` and the text, are counted in Spark; the
-    ``max_words`` commonest pairs of language and word and the ``max_grams`` commonest pairs of language
-    and n-gram make the model, for the ``max_languages`` commonest languages. These bounds keep the model
-    small enough for the driver and for each worker. No labelled rows give a model without languages.
-    Fits are judged by about ``_JUDGED_TEXTS`` labelled rows, others than were counted where there are more.
+    ``sample_rows`` bounds the labelled rows that are counted, in Spark: each language has an equal share of them, at
+    least ``_FEWEST_ROWS`` rows, picked by a hash of ``key_cols`` and the text, and all it has where that is fewer. So a
+    language that is rare in the table is learned as well as a common one. All languages, all words that come
+    more than once in the sample and all n-grams make the model. An n-gram counts once for each occurrence of a
+    word, so a very long word counts like any other. No labelled rows give a model without languages. Fits are
+    judged by about ``_JUDGED_TEXTS`` labelled rows, shared out alike, others than were counted where there are more.
     """
     rows = labelled.select(
         F.col(lang_col).cast("string").alias("lang"),
         F.lower(F.col(text_col).cast("string")).alias("text"),
-        F.abs(F.xxhash64(*key_cols, text_col) % 1_000_003).alias("draw"),
+        (F.abs(F.xxhash64(*key_cols, text_col) % 1_000_003) / 1_000_003).alias("draw"),
     ).where("lang is not null and text is not null")
-    per_language = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    languages = sorted(row["lang"] for row in per_language)
-    total = sum(row["count"] for row in per_language)
-    share = min(1.0, sample_rows / total) if total else 0.0
+    # One row for each language.
+    held = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
+    languages = sorted(held)
+    if not languages:
+        return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
+    quota = max(_FEWEST_ROWS, sample_rows // len(languages))
+    checked = max(_FEWEST_TEXTS, _JUDGED_TEXTS // len(languages))
+    shares = []
+    for language in languages:
+        share, some = min(1.0, quota / held[language]), min(1.0, checked / held[language])
+        start = min(share, 1.0 - some)
+        shares.append((language, share, start, start + some))
+    shares_of = labelled.sparkSession.createDataFrame(shares, "lang string, share double, low double, high double")
+    rows = rows.join(F.broadcast(shares_of), "lang")
     words = (
-        rows.where((F.col("draw") < share * 1_000_003) & F.col("lang").isin(languages))
+        rows.where("draw < share")
         .select("lang", F.explode(F.regexp_extract_all("text", F.lit(_LETTERS), 0)).alias("key"))
         .groupBy("lang", "key")
         .agg(F.count("*").alias("n"))
     )
     marked = F.concat(F.lit("^"), "key", F.lit("$"))
-    # Very long "words" are no language; their n-grams would only swamp the counts.
+
+    def pieces(size: int) -> Column:
+        """All n-grams of a size; the mark of an end alone is none, and short words have none of four letters."""
+        places = F.sequence(F.lit(1), F.length("word") - max(1, size - 1))
+        found = F.transform(places, lambda at: F.substring("word", at, F.lit(size)))
+        return F.when(F.length("word") >= size, found).otherwise(F.array().cast("array<string>"))
+
+    every = F.concat(*(pieces(size) for size in range(1, LONGEST_GRAM + 1)))
     grams = (
-        words.where(F.length("key") <= 64)
-        .select("lang", "n", marked.alias("word"), F.explode(F.sequence(F.lit(1), F.length(marked) - 1)).alias("at"))
-        .select("lang", "n", "word", "at", F.explode(F.sequence(F.lit(1), F.lit(LONGEST_GRAM))).alias("size"))
-        .where("at + size - 1 <= length(word)")
-        .groupBy("lang", F.expr("substring(word, at, size)").alias("key"))
+        words.select("lang", "n", marked.alias("word"))
+        .select("lang", "n", F.explode(F.array_distinct(every)).alias("key"))
+        .groupBy("lang", "key")
         .agg(F.sum("n").alias("n"))
     )
 
-    def commonest(counts: DataFrame, most: int) -> list:
-        return [tuple(row) for row in counts.orderBy(F.desc("n"), "key", "lang").limit(most).collect()]
+    def counted(counts: DataFrame) -> list:
+        found = counts.select("lang", "key", "n").toArrow().to_pydict()
+        return list(zip(found["lang"], found["key"], found["n"]))
 
-    word_rows, word_logs = _tables(commonest(words.where("n > 1"), max_words), languages)
-    common = commonest(grams, max_grams)
-    gram_rows, gram_logs = _tables(common, languages)
+    word_rows, word_logs = _tables(counted(words.where("n > 1")), languages)
+    all_grams = counted(grams)
+    gram_rows, gram_logs = _tables(all_grams, languages)
     model = LanguageModel(languages, word_rows, word_logs, gram_rows, gram_logs)
-    if not common:
+    if not all_grams:
         return model
-    model.letter_logs = _letter_logs(common, gram_rows, languages)
-    some = min(1.0, _JUDGED_TEXTS / total)
-    start = min(share, 1.0 - some) * 1_000_003
-    drawn = (F.col("draw") >= start) & (F.col("draw") < start + some * 1_000_003)
-    judged = rows.where(drawn & F.col("lang").isin(languages)).select("lang", "text")
+    model.letter_logs = _letter_logs(all_grams, gram_rows, languages)
+    judged = rows.where("draw >= low and draw < high").select("lang", "text")
     model.typical = _typical(_judged(judged, model), languages)
     return model
 
@@ -299,7 +404,8 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
     """``keep`` columns of each row with ``lang_pred`` and ``score`` from the whole text.
 
     A null text or one without letters is ``und`` with score 0; so is every text under a model without
-    languages. No shuffle; rows are independent of each other.
+    languages. Ties go to the first language in order of name. No shuffle; rows are independent of each other, repeated
+    ones too, texts of any length are judged whole, part by part, and columns that are not kept play no part.
     """
     names = [f"keep{at}" for at in range(len(keep))]
     rows = docs.select(
@@ -312,7 +418,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
         model = shared.value
         for whole in batches:
             for batch in slices(whole, "text_to_judge"):
-                found = [model.predict(text) for text in batch.column("text_to_judge").to_pylist()]
+                found = model.predict_all(batch.column("text_to_judge").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(name) for name in names],
@@ -342,7 +448,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
             for batch in slices(whole, at_text):
                 texts = batch.column(at_text).to_pylist()
                 if model.languages:
-                    found = map(model.predict, texts)
+                    found = model.predict_all(texts)
                     sure = [language != UNDETERMINED and score >= min_score for language, score in found]
                 else:
                     sure = [_letters.search(text or "") is not None for text in texts]
