@@ -6,8 +6,10 @@ import random
 from collections import Counter
 from hashlib import sha256
 
+import numpy as np
 import pytest
 
+from wickframe.llm import substrings
 from wickframe.llm.substrings import repeated_words
 
 from .rows import EDGE_ROWS, SF_DIR
@@ -67,3 +69,49 @@ def test_documents_by_brute_force(spark):
 
 def test_empty_table(documents):
     assert found(documents([]), width=1 << 16) == []
+
+
+@pytest.mark.parametrize("times", [1, 10, 100])
+def test_single_anchors_rarely_share_a_counter(times):
+    """The sketch follows the corpus: an anchor for each eighty bytes, at several sizes."""
+    anchors = np.random.default_rng(times).integers(0, 1 << 63, 10_000 * times, np.uint64)
+    width = substrings.sketch_width(80 * len(anchors))
+    _, shared = np.unique(substrings.counters(anchors, width), return_counts=True)
+    assert shared[shared > 1].sum() < 0.05 * len(anchors)
+
+
+def test_few_windows_that_occur_once_are_grouped(spark, documents, monkeypatch):
+    """Ten times the texts: the share of grouped windows that occur once stays what it is."""
+    shares = []
+    for count in (40, 400):
+        draw = random.Random(count)
+        rows = [(i, " ".join(str(draw.random()) for _ in range(200))) for i in range(count)]
+        rows += [(count + i, rows[i][1] + " tail") for i in range(10)]
+        kept, write = {}, substrings.written
+
+        def keep(df, label):
+            kept[label] = write(df, label)
+            return kept[label]
+
+        with monkeypatch.context() as patch:
+            patch.setattr(substrings, "written", keep)
+            assert found(documents(rows)) == brute_force(rows, 35)
+        grouped = kept["windows"].selectExpr("sum(size(starts))").first()[0]
+        shares.append((grouped - 20 * 166) / (count * 166))
+    assert max(shares) < 0.05
+
+
+def test_texts_with_one_id_and_copies_that_only_look_so(documents, monkeypatch):
+    """Tiny filters mark nearly all texts, as copies and as found; the joins decide."""
+    monkeypatch.setattr(substrings, "FILTER_BITS", 8)
+    rows = passages(random.Random(8), 60)
+    rows += [(1, text) for _, text in rows[:5]] + [(None, rows[4][1]), (None, None)]
+    assert found(documents(rows), size=7) == brute_force(rows, 7)
+
+
+def test_columns_with_clashing_names(spark):
+    schema = "doc_id bigint, text string, id bigint, key bigint, place bigint, copies bigint, starts string"
+    text = " ".join(map(str, range(40)))
+    docs = spark.createDataFrame([(1, text, 5, 5, 5, 5, "x"), (2, text + " z", 6, 6, 6, 6, "y")], schema)
+    assert found(docs) == brute_force([(1, text), (2, text + " z")], 35)
+

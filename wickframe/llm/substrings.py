@@ -6,13 +6,14 @@ anchor: the window's ``SUB`` words in a row with the lowest hash, the leftmost o
 windows have equal anchors at equal places, so an anchor occurs at least as often as any of its windows,
 while there are ten times fewer anchors than windows.
 
-1. A count-min sketch counts anchors: every task counts its own, Spark sums the counters. Counters are
-   shared by chance, so they are never too low.
-2. Windows whose anchor's counters all reach two are grouped by their hashes and counted exactly; all
-   others occur once. Nothing is lost, and few windows that occur once are shuffled.
+1. A count-min sketch counts anchors: tasks count theirs, and Spark merges the counters. Counters are shared by
+   chance, so they are never too low.
+2. Windows whose anchor's counter reaches two are grouped by their hashes and counted exactly; all others occur
+   once. Nothing is lost, and few windows that occur once are shuffled.
 
-The sketch has a fixed width, so the bitmap of its high counters has a fixed size. A corpus that fills
-it only has more windows grouped.
+The sketch is a table of the counters that are not zero, so its width costs nothing and follows the corpus:
+:func:`sketch_width` keeps single anchors that share a counter below one in a thousand at any size. Nobody holds the
+sketch whole. Anchors are joined to it, and texts get back the counters of theirs that are high.
 
 Counting starts on the map side, so a passage of half the corpus is one row for each task. Each count
 also keeps the lowest text and start, which is the place of the window where it occurs once. Those few
@@ -40,10 +41,11 @@ from wickframe.llm.sketches import word_hashes
 
 SIZE = 35
 SUB = 16
-# Counters in each row of the sketch, and rows; the bitmaps of both rows take WIDTH / 4 bytes.
-WIDTH = 1 << 27
-DEPTH = 2
-# Bits of the filters that pick texts; fixed, whatever the number of texts.
+# Counters for each byte of text; there is an anchor for some 80 bytes.
+WIDTH_PER_BYTE = 32
+# Counters that hold more than this part of all anchors are joined by broadcast: there are at most that many.
+HOT_COUNTERS = 1000
+# Bits of the filters that pick texts before a join does; fixed, whatever the number of texts. Fuller filters pick more.
 FILTER_BITS = 1 << 26
 
 _A, _B, _C = (np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9))
@@ -82,10 +84,14 @@ def anchors(hashes: np.ndarray, size: int, sub: int) -> tuple[np.ndarray, np.nda
     return places, subs[places]
 
 
+def sketch_width(size: int) -> int:
+    """Counters of the sketch for texts of ``size`` bytes in all, a power of two."""
+    return 1 << max(10, (size * WIDTH_PER_BYTE).bit_length())
+
+
 def counters(values: np.ndarray, width: int) -> np.ndarray:
-    """The counters of each value, a row for each row of the sketch; rows have numbers of their own."""
-    mixed = [_join(values, np.full(len(values), row + 1, np.uint64)) for row in range(DEPTH)]
-    return np.stack([(m % np.uint64(width)).astype(np.int64) + row * width for row, m in enumerate(mixed)])
+    """The counter of each anchor."""
+    return (_join(values, values) % np.uint64(width)).astype(np.int64)
 
 
 def _sub(size: int) -> int:
@@ -96,76 +102,93 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-def _repeated_counters(docs: DataFrame, size: int, width: int) -> Broadcast:
-    """Counters of the sketch that reach two, over the anchors of all texts."""
+def _read(texts: DataFrame, size: int, width: int, carried: tuple[str, ...], marked: Broadcast | None = None) -> DataFrame:
+    """``carried`` columns with ``n_words``, ``kept_sha256`` of all words, and the counters of the text's anchors.
+
+    An anchor that lies at several places is counted for each. Texts that are marked as copies have none here.
+    """
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
             for batch in slices(whole, "text"):
-                found = [np.zeros(0, np.uint64)]
-                for text in batch.column("text").to_pylist():
-                    hashes = word_hashes(_words(text))
-                    if len(hashes) >= size:
-                        places, values = anchors(hashes, size, _sub(size))
-                        found.append(values[np.r_[True, places[1:] != places[:-1]]])
-                numbers, times = np.unique(counters(np.concatenate(found), width), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(times.astype(np.int64))], ["counter", "times"])
-
-    counted = map_batches(docs.select("text"), run, "counter bigint, times bigint")
-    high = counted.groupBy("counter").agg(F.sum("times").alias("times")).where("times > 1")
-    return broadcast_bits(high, "counter", width * DEPTH)
-
-
-def _estimated(words: list[bytes], bitmap: np.ndarray, size: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, hashes and anchors of the windows that may be repeated."""
-    starts = np.zeros(0, np.int64)
-    if len(words) >= size:
-        hashes = word_hashes(words)
-        _, values = anchors(hashes, size, _sub(size))
-        starts = np.nonzero(holds(bitmap, counters(values, width)).all(axis=0))[0]
-    if not len(starts):
-        return starts, starts, starts
-    return starts, rolling(hashes, size)[starts].view(np.int64), values[starts].view(np.int64)
-
+                counts, digests, found = [], [], []
+                copy = holds(marked.value, batch.column("place").to_numpy()) if marked else np.zeros(batch.num_rows, bool)
+                for text, skipped in zip(batch.column("text").to_pylist(), copy.tolist()):
+                    words = _words(text)
+                    counts.append(len(words))
+                    digests.append(sha256(b" ".join(words)).digest())
+                    if skipped or len(words) < size:
+                        found.append(np.zeros(0, np.int64))
+                        continue
+                    places, values = anchors(word_hashes(words), size, _sub(size))
+                    found.append(counters(values[np.r_[True, places[1:] != places[:-1]]], width))
+                ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(name) for name in carried]
+                    + [pa.array(counts, pa.int64()), pa.array(digests, pa.binary())]
+                    + [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *found])))],
+                    [*carried, "n_words", "kept_sha256", "counters"],
+                )
 
-_LISTS = {"starts": pa.int32(), "windows": pa.int64(), "anchors": pa.int64()}
+    schema = texts.select(*carried).schema.add("n_words", "long").add("kept_sha256", "binary")
+    schema = schema.add("counters", T.ArrayType(T.LongType()))
+    return map_batches(texts.select(*carried, "text", *(["place"] if marked else [])), run, schema)
 
 
-def _read(
-    texts: DataFrame, sketch: Broadcast, size: int, width: int, carried: tuple[str, ...], marked: Broadcast | None = None
-) -> DataFrame:
-    """``carried`` columns with ``n_words``, ``kept_sha256`` of all words, and the windows that may be repeated.
+def _high(read: DataFrame) -> DataFrame:
+    """``(key, high)``: the counters of a text's anchors that reach two.
 
-    In texts that are marked as copies no windows are looked for.
+    Counting starts on the map side. Counters of passages that very many texts have are no hot keys of the join.
     """
+    held = read.select(F.explode("counters").alias("counter"), "copies")
+    counted = written(held.groupBy("counter").agg(F.sum("copies").alias("times")).where("times > 1"), "sketch")
+    whole = counted.agg(F.sum("times")).first()[0] or 0
+    hot = F.broadcast(counted.where(F.col("times") * HOT_COUNTERS > whole).select("counter"))
+    rows = read.select(_key().alias("key"), F.explode(F.array_distinct("counters")).alias("counter"))
+    few = rows.join(hot, "counter", "left_anti").join(counted.select("counter"), "counter", "left_semi")
+    many = rows.join(hot, "counter", "left_semi")
+    return few.unionByName(many).groupBy("key").agg(F.collect_list("counter").alias("high"))
+
+
+def _key() -> Column:
+    """Names a text in joins. Two that share a key share their high counters, and have more windows grouped."""
+    return F.xxhash64("id", "text_hash")
+
+
+_LISTS = {"starts": pa.int32(), "windows": pa.int64(), "anchors": pa.int64()}
+
+
+def _windows(texts: DataFrame, size: int, width: int) -> DataFrame:
+    """``(id, text_hash, copies)`` with starts, hashes and anchors of the windows whose anchor's counter is high."""
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
             for batch in slices(whole, "text", 2 << 20):
-                counts, digests, lists = [], [], [[] for _ in _LISTS]
-                copy = holds(marked.value, batch.column("place").to_numpy()) if marked else np.zeros(batch.num_rows, bool)
-                for text, skipped in zip(batch.column("text").to_pylist(), copy.tolist()):
+                lists: list[list[np.ndarray]] = [[] for _ in _LISTS]
+                for text, high in zip(batch.column("text").to_pylist(), batch.column("high").to_pylist()):
                     words = _words(text)
-                    counts.append(len(words))
-                    digests.append(sha256(b" ".join(words)).digest())
-                    found = _estimated([] if skipped else words, sketch.value, size, width)
-                    for column, values in zip(lists, found):
-                        column.append(values)
+                    found = [np.zeros(0, np.int64)] * 3
+                    if len(words) >= size:
+                        hashes = word_hashes(words)
+                        _, values = anchors(hashes, size, _sub(size))
+                        starts = np.nonzero(np.isin(counters(values, width), np.array(high, np.int64)))[0]
+                        found = [starts, rolling(hashes, size)[starts].view(np.int64), values[starts].view(np.int64)]
+                    for column, part in zip(lists, found):
+                        column.append(part)
                 ends = pa.array(np.cumsum([0, *map(len, lists[0])]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(name) for name in carried]
-                    + [pa.array(counts, pa.int64()), pa.array(digests, pa.binary())]
+                    [batch.column(name) for name in ("id", "text_hash", "copies")]
                     + [
                         pa.ListArray.from_arrays(ends, pa.array(np.concatenate(column)).cast(kind))
                         for column, kind in zip(lists, _LISTS.values())
                     ],
-                    [*carried, "n_words", "kept_sha256", *_LISTS],
+                    ["id", "text_hash", "copies", *_LISTS],
                 )
 
-    schema = texts.select(*carried).schema.add("n_words", "long").add("kept_sha256", "binary")
+    schema = texts.select("id", "text_hash", "copies").schema
     for name, kind in (("starts", T.IntegerType()), ("windows", T.LongType()), ("anchors", T.LongType())):
         schema = schema.add(name, T.ArrayType(kind))
-    return map_batches(texts.select(*carried, "text", *(["place"] if marked else [])), run, schema)
+    return map_batches(texts.select("id", "text_hash", "copies", "text", "high"), run, schema)
 
 
 def _place(digest: Column) -> Column:
@@ -237,45 +260,57 @@ def _repeated(read: DataFrame) -> DataFrame:
     return listed.join(alone, same, "left").select("id", "text_hash", left).where("size(starts) > 0")
 
 
-def _marked(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Texts that may have a row in ``found``, by a bitmap of fixed size; a join decides."""
-    place = F.pmod("text_hash", F.lit(FILTER_BITS))
+def _marked(docs: DataFrame, found: DataFrame, without: Broadcast | None = None) -> DataFrame:
+    """Texts whose key may be in ``found``, by a bitmap of fixed size; a join decides.
+
+    Texts marked in ``without`` are left out; one of each stands for them elsewhere.
+    """
+    place = F.pmod("key", F.lit(FILTER_BITS))
     shared = broadcast_bits(found.select(place.alias("place")), "place", FILTER_BITS)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            places = np.mod(batch.column("text_hash").to_numpy(), FILTER_BITS)
-            yield batch.filter(pa.array(holds(shared.value, places)))
+            wanted = holds(shared.value, np.mod(batch.column("key").to_numpy(), FILTER_BITS))
+            if without:
+                wanted &= ~holds(without.value, batch.column("place").to_numpy())
+            yield batch.filter(pa.array(wanted)).drop_columns(["place"])
 
-    return map_batches(docs.select("id", "text_hash", "text"), run, "id bigint, text_hash bigint, text string")
+    keyed = docs.select("id", "text_hash", "text", _key().alias("key"), "place")
+    return map_batches(keyed, run, "id bigint, text_hash bigint, text string, key bigint")
 
 
 def repeated_words(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, width: int = WIDTH
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, width: int | None = None
 ) -> DataFrame:
     """``(id, n_words, n_removed, kept_sha256)`` for each row: words, those removed, digest of the rest.
 
     A word goes if a window of ``size`` words that covers it starts anywhere else too, in the same text
     or another; repeated rows are other texts. Windows are those of the texts as given. Texts of fewer
     words than a window, empty and null ones lose nothing; null counts as empty. The rest is hashed as
-    words joined by one blank. ``size`` is at least 2.
+    words joined by one blank. ``size`` is at least 2. ``width`` is the sketch's; it changes how much is
+    grouped, not the result.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     given = docs.select(
         F.col(id_col).cast("bigint").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"), F.unhex(F.md5(text)).alias("digest")
     )
-    sketch = _repeated_counters(given, size, width)
+    if width is None:
+        width = sketch_width(given.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     copied, marked = _copied(given)
     placed = given.withColumn("place", _place(F.col("digest")))
-    rows = written(_read(placed, sketch, size, width, ("id", "text_hash", "digest"), marked), "read-texts")
+    rows = written(_read(placed, size, width, ("id", "text_hash", "digest"), marked), "read-texts")
     texts = written(_one_of_each(placed, marked), "copied-texts")
-    one_of_each = written(_read(texts, sketch, size, width, ("id", "text_hash", "copies")), "read-copies")
+    one_of_each = written(_read(texts, size, width, ("id", "text_hash", "copies")), "read-copies")
 
-    columns = ["id", "text_hash", "copies", *_LISTS]
+    columns = ["id", "text_hash", "copies", "counters"]
     read = rows.withColumn("copies", F.lit(1).cast("bigint")).select(columns).union(one_of_each.select(columns))
-    starts = written(_repeated(read), "starts")
+    high = written(_high(read), "high-counters")
+    single = _marked(placed, high, without=marked).withColumn("copies", F.lit(1).cast("bigint"))
+    found = single.unionByName(texts.withColumn("key", _key()))
+    windows = written(_windows(found.join(high, "key"), size, width), "windows")
+    starts = written(_repeated(windows), "starts")
 
-    wanted = _marked(given, starts)
+    wanted = _marked(placed, starts.select(_key().alias("key"))).drop("key")
     same = wanted["id"].eqNullSafe(starts["id"]) & (wanted["text_hash"] == starts["text_hash"])
     cut = _cut(wanted.join(starts, same).select(wanted["*"], "starts"), size)
     cut = cut.select(
