@@ -15,8 +15,9 @@ from wickframe.llm.chunks import Remembered
 from wickframe.llm.runtime import Batches, file_bytes, kept, map_batches, slices, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
-# New parts that are encoded at a time.
+# New parts that are encoded at a time, and parts that a worker remembers before it lets unused ones go.
 TOGETHER = 1 << 14
+REMEMBERED = 150_000
 
 
 def _parts(content: bytes) -> Remembered:
@@ -26,7 +27,7 @@ def _parts(content: bytes) -> Remembered:
         for ids in bpe.encode(parts):
             yield len(ids), bpe.written(ids), bpe.decode(ids)
 
-    return Remembered(encode, together=TOGETHER)
+    return Remembered(encode, REMEMBERED, TOGETHER)
 
 
 def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:

@@ -134,10 +134,14 @@ class LanguageModel:
             return logs
         return np.column_stack([logs, likely, [len(word) + 1 for word in words]])
 
+    def forget(self) -> None:
+        """Let go of the rows of words: a worker may go on with other work."""
+        self._seen, self._rows = {}, None
+
     def _vectors(self, words: list[str]) -> np.ndarray:
         """The rows of words, kept from call to call."""
         width = len(self.languages) * (1 if self.letter_logs is None else 2) + (self.letter_logs is not None)
-        most = min(250_000, _KEPT // width)
+        most = min(100_000, _KEPT // width)
         if self._rows is None or len(self._seen) > most:
             self._seen = {}
             self._rows = np.zeros((1024, width))
@@ -322,6 +326,7 @@ def _judged(labelled: DataFrame, model: LanguageModel) -> list:
                 columns = list(zip(*found)) or [()] * 6
                 kinds = [pa.string(), *[pa.float64()] * 5]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", *names])
+        model.forget()
 
     schema = "lang string, " + ", ".join(f"{name} double" for name in names)
     return [tuple(row) for row in map_batches(labelled, run, schema).collect()]
@@ -427,6 +432,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
                     ],
                     [*names, "lang_pred", "score"],
                 )
+        model.forget()
 
     schema = rows.drop("text_to_judge").schema.add("lang_pred", "string").add("score", "double")
     return map_batches(rows, run, schema).toDF(*keep, "lang_pred", "score")
@@ -453,6 +459,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                 else:
                     sure = [_letters.search(text or "") is not None for text in texts]
                 yield batch.filter(pa.array(sure, pa.bool_()))
+        model.forget()
 
     return map_batches(rows, run, rows.schema).toDF(*names)
 
