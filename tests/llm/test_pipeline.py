@@ -10,7 +10,7 @@ from wickframe.llm import language, secrets
 from wickframe.llm.decontaminate import shingles, similarity, words_of
 from wickframe.llm.runtime import tokenizer_path
 
-from .rows import SF_DIR
+from .rows import EDGE_ROWS, SF_DIR
 from .test_near_duplicates import components, shingle_sets
 
 
@@ -71,3 +71,28 @@ def test_stages_keep_the_columns(spark, tmp_path):
 def test_empty_documents(spark, tmp_path):
     table(spark, tmp_path, [])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_odd_rows_and_clashing_columns_through_all_stages(spark, tmp_path):
+    """Nulls, empty and very long texts, ties, repeated rows, and columns named like those the stages use inside."""
+    clean = [r for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 60").collect() if r.lang and r.text]
+    long = " ".join(f"{word}{k % 7}" for k, word in enumerate((clean[0].text + " ").split() * 400))
+    rows = [(r.doc_id, r.text, r.lang) for r in clean] + [(i, text, None) for i, text in EDGE_ROWS]
+    rows += [(500, long, "en"), (501, clean[1].text, "en"), (501, clean[1].text, "en"), (502, None, None), (503, "", None)]
+    names = ["id", "node", "key", "row", "c0", "keep0", "similarity", "text_hash", "component", "score"]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{n} string" for n in names)
+    filled = [(*row, "s", None if row[1] is None else len(row[1]), *names) for row in rows]
+    spark.createDataFrame(filled, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF_DIR}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for at, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if at < len(corpus_pipeline.STAGES) - 1:
+            assert docs.dtypes == [tuple(column.split(" ")) for column in schema.split(", ")]
+            assert all([r[n] for n in names] == names for r in docs.collect())
+    kept = [r["doc_id"] for r in docs.collect()]
+    # One row of the text that three rows have, and of the clean ones at most near copies and leaks went.
+    assert kept.count(501) == 0 and kept.count(clean[1].doc_id) <= 1
+    assert len(set(kept) & {r.doc_id for r in clean}) >= 0.8 * len({r.doc_id for r in clean})
+    assert 502 not in kept and 503 not in kept

@@ -105,3 +105,16 @@ def test_no_pages_and_no_rules(spark):
 def test_no_python_in_native_plans(spark, name):
     plan = registry.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
+
+
+def test_only_rules_of_hot_hosts_are_copied(spark, monkeypatch):
+    """Many hosts of few urls and one of many: results as by SQL, and cold hosts are swept once."""
+    monkeypatch.setattr(urls, "HOT_HOSTS", 5)
+    hosts = [f"h{k}.example.org" for k in range(60)] + ["fr.com"] * 40 + ["de.com"] * 3
+    rows = [(k, f"http://{host}/{('es', 'en/1', 'fr', 'de/x')[k % 4]}/p{k}") for k, host in enumerate(hosts)] + [(200, None), (201, "x")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string")
+    tops = urls._hot(spark.createDataFrame([("org",)] * 60 + [("com",)] * 43 + [("com.de",)] * 3, "top string"))
+    assert {r["top"] for r in tops.collect()} == {"org", "com"}
+    found = urls.judge(pages, urls.rule_table(spark)).collect()
+    wanted = twin("pages", pages.toArrow(), urls.SQL)
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, wanted))

@@ -141,7 +141,7 @@ def judge(
     """``keep`` columns, the counts, ``base_failed``, ``failed`` (names of the rules broken) and ``kept``.
 
     A null, empty or blank text has no words: it fails the base and breaks no other rule. Rows are judged
-    by themselves, so repeated rows get equal verdicts; nothing is shuffled.
+    by themselves, so repeated rows get equal verdicts; nothing is shuffled. Texts of any length are measured whole.
     """
     failed = F.array_compact(
         F.array(*[F.when(~F.expr(condition(rule)), F.lit(rule.name)) for rule in rules])

@@ -79,6 +79,8 @@ _WORDLIKE = {
 # Lower ends of the bands of lengths, and bins of p-values.
 BANDS = (20, 24, 32, 40, 64, 128)
 BINS = 64
+# Random candidates after which a stratum's own cut counts as much as the one that holds without any.
+_PRIOR = 20
 
 
 def base_spans(text: str) -> list[Span]:
@@ -182,7 +184,7 @@ class Cuts:
 
     lowest: dict[tuple[str, int], float] = field(default_factory=dict)
     default: float = 0.01
-    of_words: float = 0.1
+    of_words: float = 0.04
 
     def accepts(self, length: int, encoding: str, p: float) -> bool:
         default = self.of_words if encoding in _WORDLIKE else self.default
@@ -224,24 +226,27 @@ def _order(span: Span) -> tuple[int, int]:
     return span[1], KINDS.index(span[0])
 
 
-def cuts_of(counts: dict[tuple[str, int], np.ndarray], q: float, least: int = 20) -> Cuts:
+def cuts_of(counts: dict[tuple[str, int], np.ndarray], q: float) -> Cuts:
     """Cuts from counts of distinct candidates by bin of p, for each encoding and band.
 
-    A stratum with fewer than ``least`` candidates in its upper half tells nothing and takes the default.
+    Neighbouring bands of an encoding lend theirs, half as much for each band between. What few candidates tell is
+    mixed with the cut that holds without any, the more of them the less: a stratum with ``_PRIOR`` random ones lies
+    halfway. So cuts move evenly as a corpus grows, for runs that may be words as for others.
     """
     lowest = {}
-    for stratum, bins in counts.items():
-        upper = bins[BINS // 2 :].sum()
-        if upper < least:
-            continue
-        level = upper / (BINS - BINS // 2)
-        above = np.cumsum(bins[::-1])[::-1]
-        expected = level * np.arange(BINS, 0, -1)
-        false_share = 1 - np.minimum(1.0, expected / np.maximum(above, 1))
-        good = np.nonzero(false_share <= q)[0]
-        if len(good):
+    for encoding in sorted({encoding for encoding, _ in counts}):
+        default = Cuts.of_words if encoding in _WORDLIKE else Cuts.default
+        for at in range(len(BANDS)):
+            bins = sum(0.5 ** abs(other - at) * counts.get((encoding, other), np.zeros(BINS)) for other in range(len(BANDS)))
+            upper = bins[BINS // 2 :].sum()
+            expected = upper / (BINS - BINS // 2) * np.arange(BINS, 0, -1)
+            above = np.cumsum(bins[::-1])[::-1]
+            false_share = 1 - np.minimum(1.0, expected / np.maximum(above, 1e-9))
+            good = np.nonzero(false_share <= q)[0]
             # The lowest bin is open towards 0, where all that is not random lies.
-            lowest[stratum] = max(float(good[0]) / BINS, 0.001)
+            told = max(float(good[0]) / BINS, 0.001) if len(good) else default
+            weight = upper / (upper + _PRIOR)
+            lowest[encoding, at] = math.exp(weight * math.log(told) + (1 - weight) * math.log(default))
     return Cuts(lowest)
 
 
@@ -278,7 +283,11 @@ def fit_cuts(docs: DataFrame, text_col: str = "text", q: float = 0.05) -> Cuts:
 
 
 def scan(docs: DataFrame, cuts: Cuts, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, spans array<struct<kind, start, end>>)`` for each row; a null or empty text has no spans."""
+    """``(id, spans array<struct<kind, start, end>>)`` for each row; a null or empty text has no spans.
+
+    Spans are in order of their start, those that start together in order of their kind. Repeated rows have theirs
+    each, null ids stay null, texts of any length are read whole, and other columns play no part.
+    """
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
@@ -318,8 +327,8 @@ def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def redact(docs: DataFrame, cuts: Cuts, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``docs`` with each secret span of the text replaced by ``mark``; all else stays as it is.
 
-    Overlapping spans are replaced as one. Null texts stay null. All other columns go through, whatever
-    their names.
+    Overlapping spans are replaced as one. Null texts stay null, empty ones empty, repeated rows stay as often as they
+    are, and texts of any length are searched whole. All other columns go through, whatever their names.
     """
     names = docs.columns
     rows = docs.toDF(*[f"c{at}" for at in range(len(names))])

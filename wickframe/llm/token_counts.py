@@ -102,7 +102,8 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(id, n_words, n_tokens)`` for each row: words of the whole text and their pieces in all.
 
     Each word is read with one blank before it. A null, empty or blank text has no words and no tokens.
-    Counts of distinct words are remembered, at most half a million at a time, none over 64 characters.
+    Counts of distinct words are remembered, at most half a million at a time, none over 64 characters. Repeated rows
+    and rows with equal or null ids have a result each; other columns play no part, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(path or tokenizer_path(VOCABULARY)))
 

@@ -7,8 +7,9 @@ host are nested or apart. Rules and urls are sorted together; each rule carries
 lies in, and a url reads the stack of the last rule before it. The rules of that stack that the url
 begins with are all the rules that fit.
 
-Urls of one host are dealt to ``salts`` sweeps by a hash of their rows, and the rules of the host to each
-of them, so that no host is swept by one task alone.
+Urls of a host that has more than a thousandth of all are dealt to ``salts`` sweeps by a hash of their rows, and the
+rules of that host to each of them, so that no host is swept by one task alone. There are at most a thousand such
+hosts; the rules of all others are there once.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wickframe.llm.runtime import written
+
 RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -28,6 +31,8 @@ RULES = (
 )
 
 SALTS = 64
+# A host with more than this part of the urls is hot.
+HOT_HOSTS = 1000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -72,6 +77,13 @@ def _stacked(rules: DataFrame) -> DataFrame:
     return parts.join(outer, ["top", "part"]).groupBy("top", "path").agg(F.sort_array(F.collect_list(entry)).alias("stack"))
 
 
+def _hot(tops: DataFrame) -> DataFrame:
+    """``(top, hot)`` of the hosts, or parts of hosts, that hold more than a ``HOT_HOSTS``-th of the urls."""
+    counts = written(tops.groupBy("top").agg(F.count("*").alias("urls")), "hosts")
+    whole = counts.agg(F.sum("urls")).first()[0] or 0
+    return counts.where(F.col("urls") * HOT_HOSTS > whole).select("top", F.lit(True).alias("hot"))
+
+
 def judge(
     pages: DataFrame,
     rules: DataFrame,
@@ -99,17 +111,22 @@ def judge(
             lambda n: F.array_join(F.slice(F.reverse(labels), 1, n), "."),
         ),
     )
-    wanted = rows.select(
-        F.explode_outer(suffixes).alias("top"),
-        F.pmod(F.xxhash64("id", "host", "path"), F.lit(salts)).alias("salt"),
+    hosts = urls.select(host_of(F.col("url")).alias("host"))
+    hot = F.broadcast(_hot(hosts.select(F.explode(suffixes).alias("top"))))
+    placed = rows.select("*", F.explode_outer(suffixes).alias("top")).join(hot, "top", "left")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "host", "path"), F.lit(salts))).otherwise(F.lit(0).cast("bigint"))
+    wanted = placed.select(
+        "top",
+        salt.alias("salt"),
         F.col("path").alias("key"),
         F.lit(1).alias("kind"),
         F.lit(None).cast("array<struct<size: int, path: string, rule: string, verdict: string>>").alias("stack"),
         F.struct("id", "host", "path", "copies").alias("row"),
     )
-    known = _stacked(rules).select(
+    last = F.when(F.col("hot"), F.lit(salts - 1)).otherwise(0).cast("bigint")
+    known = _stacked(rules).join(hot, "top", "left").select(
         "top",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1).cast("bigint"))).alias("salt"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("salt"),
         F.col("path").alias("key"),
         F.lit(0).alias("kind"),
         "stack",
