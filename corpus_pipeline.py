@@ -1,4 +1,9 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and reread by the next."""
+"""The corpus pipeline: stages over documents, each written as Parquet and reread by the next.
+
+All stages but the last return the columns they were given, extra ones too, whatever their names. Texts may be null,
+empty or of any length and rows may be repeated; no stage drops a row for that but as it says. An empty table goes
+through all stages and leaves an empty result with its columns.
+"""
 
 from __future__ import annotations
 
@@ -15,28 +20,45 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters and those no learned language is likely for."""
+    """Drop documents without letters (null and empty texts too) and those no learned language is likely for.
+
+    The model learns from the labelled documents that are not held out; where there are none, all texts with
+    letters stay. A score at the cut stays. Repeated rows stay or go together.
+    """
     return language.with_language(docs, language.fit_on_documents(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, by five-word shingles."""
+    """Keep one document of each group of near duplicates, by five-word shingles.
+
+    The one with the smallest id stays; of rows that share it the one with the smallest hash of its text, of rows equal
+    in both any one. Texts without words all stay.
+    """
     return near_duplicates.without_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
+    """Drop documents that hold a benchmark item, by windows of similarity 0.8 and more.
+
+    Null and empty texts stay; an empty benchmark drops nothing.
+    """
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace secrets in the texts, and count characters anew."""
+    """Replace secrets in the texts, and count characters anew.
+
+    Spans that overlap are replaced as one; null texts stay null, with a null count. No document goes.
+    """
     found = secrets.redact(docs, secrets.fit_cuts(docs))
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode what is left and decode it again; ids and decoded texts as digests."""
+    """Encode what is left and decode it again: a row of digests for each document, repeated rows too.
+
+    A null text counts as empty and has no ids.
+    """
     return bpe.encode_digests(docs)
 
 
