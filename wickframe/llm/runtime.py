@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import zipfile
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
+from shutil import rmtree
 from tempfile import mkdtemp
 from typing import Any
 
@@ -38,13 +40,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in Python workers that do not have it on their path."""
-    if str(ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+    """Make this package importable in Python workers that do not have it on their path.
+
+    Workers on this machine have the driver's path. Others have it only where the cluster says so.
+    """
+    local = spark.sparkContext.master.startswith("local")
+    path = os.environ.get("PYTHONPATH", "") if local else spark.conf.get("spark.executorEnv.PYTHONPATH", "")
+    if str(ROOT) in path.split(os.pathsep):
         return
     done = spark.conf.get("spark.wickframe.shipped", None)
     if done == spark.sparkContext.applicationId:
         return
-    archive = os.path.join(mkdtemp(prefix="ship-"), f"{PACKAGE}.zip")
+    folder = mkdtemp(prefix="ship-")  # Spark sends the file from here; it is no data
+    atexit.register(rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, f"{PACKAGE}.zip")
     with zipfile.ZipFile(archive, "w") as out:
         for path in sorted((ROOT / PACKAGE).rglob("*.py")):
             out.write(path, path.relative_to(ROOT))
