@@ -8,22 +8,25 @@ each given the letters after it, set against the fits of the labelled texts the
 from __future__ import annotations
 
 import math
+import pickle
 import re
-from collections.abc import Iterator
+import uuid
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickframe.llm.bpe_automaton import FlatMap
-from wickframe.llm.runtime import Batches, map_batches, slices
+from wickframe.llm.runtime import Batches, kept, map_batches, slices
 
 UNDETERMINED = "und"
 
 # Positions and words looked up at a time, and numbers kept of words that were: they bound memory.
-_POSITIONS, _TOGETHER, _KEPT = 1 << 18, 50_000, 1 << 23
+_POSITIONS, _TOGETHER, _KEPT = 1 << 16, 20_000, 1 << 19
 _MIX, _SIGN = np.uint64(0x9E3779B97F4A7C15), np.uint64(2)
 
 # A word is a run of letters; ^ and $ mark its ends in n-grams.
@@ -141,7 +144,7 @@ class LanguageModel:
     def _vectors(self, words: list[str]) -> np.ndarray:
         """The rows of words, kept from call to call."""
         width = len(self.languages) * (1 if self.letter_logs is None else 2) + (self.letter_logs is not None)
-        most = min(100_000, _KEPT // width)
+        most = max(10_000, _KEPT // width)
         if self._rows is None or len(self._seen) > most:
             self._seen = {}
             self._rows = np.zeros((1024, width))
@@ -303,13 +306,20 @@ def _typical(texts: list, languages: list[str]) -> np.ndarray | None:
     return np.array([of(mine if len(mine) >= _FEWEST_TEXTS else rows) for mine in own])
 
 
+def _shared(spark: SparkSession, model: LanguageModel) -> Callable[[], LanguageModel]:
+    """What gives the model in a task. Workers build it from packed bytes and keep it until they do other work."""
+    packed = spark.sparkContext.broadcast(zlib.compress(pickle.dumps(model, pickle.HIGHEST_PROTOCOL), 1))
+    key = ("language", uuid.uuid4().hex)
+    return lambda: kept(key, lambda: pickle.loads(zlib.decompress(packed.value)))
+
+
 def _judged(labelled: DataFrame, model: LanguageModel) -> list:
     """What ``_typical`` takes, of ``labelled`` rows ``(lang, text)``."""
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(labelled.sparkSession, model)
     names = ("letters", "n", "letters2", "lettersn", "n2")
 
     def run(batches: Batches) -> Batches:
-        model = shared.value
+        model = shared()
         column = {language: at for at, language in enumerate(model.languages, len(model.languages))}
         for whole in batches:
             for batch in slices(whole, "text"):
@@ -329,7 +339,7 @@ def _judged(labelled: DataFrame, model: LanguageModel) -> list:
         model.forget()
 
     schema = "lang string, " + ", ".join(f"{name} double" for name in names)
-    return [tuple(row) for row in map_batches(labelled, run, schema).collect()]
+    return [tuple(row) for row in map_batches(labelled, run, schema, keeps=True).collect()]
 
 
 def fit(
@@ -417,10 +427,10 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
         *[F.col(name).alias(new) for name, new in zip(keep, names)],
         F.col(text_col).cast("string").alias("text_to_judge"),
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(docs.sparkSession, model)
 
     def run(batches: Batches) -> Batches:
-        model = shared.value
+        model = shared()
         for whole in batches:
             for batch in slices(whole, "text_to_judge"):
                 found = model.predict_all(batch.column("text_to_judge").to_pylist())
@@ -435,7 +445,7 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep:
         model.forget()
 
     schema = rows.drop("text_to_judge").schema.add("lang_pred", "string").add("score", "double")
-    return map_batches(rows, run, schema).toDF(*keep, "lang_pred", "score")
+    return map_batches(rows, run, schema, keeps=True).toDF(*keep, "lang_pred", "score")
 
 
 def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", min_score: float = 0.35) -> DataFrame:
@@ -446,10 +456,10 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
     names = docs.columns
     rows = docs.toDF(*[f"c{at}" for at in range(len(names))])
     at_text = f"c{names.index(text_col)}"
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _shared(docs.sparkSession, model)
 
     def run(batches: Batches) -> Batches:
-        model = shared.value
+        model = shared()
         for whole in batches:
             for batch in slices(whole, at_text):
                 texts = batch.column(at_text).to_pylist()
@@ -461,7 +471,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
                 yield batch.filter(pa.array(sure, pa.bool_()))
         model.forget()
 
-    return map_batches(rows, run, rows.schema).toDF(*names)
+    return map_batches(rows, run, rows.schema, keeps=True).toDF(*names)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import zipfile
 from collections.abc import Callable, Iterator
@@ -79,6 +80,21 @@ def release() -> None:
         pa.default_memory_pool().release_unused()
 
 
+@lru_cache(maxsize=1)
+def _trimmer() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library
+        return None
+
+
+def trim() -> None:
+    """Give memory that is free back to the machine; a worker that goes on with other work would hold it."""
+    give_back = _trimmer()
+    if give_back:
+        give_back(0)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Batches], Batches], schema: str | T.StructType, keeps: bool = False
 ) -> DataFrame:
@@ -91,6 +107,7 @@ def map_batches(
     def run(batches: Batches) -> Batches:
         if not keeps:
             release()
+        trim()
         return function(batches)
 
     return df.mapInArrow(run, schema)
