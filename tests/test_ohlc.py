@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wickframe.functions.durations import micros, pane_micros
 from wickframe.operators import decode, ohlc, reads
+from wickframe.plans import registry
 from wickframe.sources import quotes
 
 EPOCH = datetime(1970, 1, 1)
@@ -114,6 +115,40 @@ def test_any_sequence_is_ordered(spark):
         assert (candle.open_price, candle.close_price) == (10, 50)
 
 
+def test_sequences_past_bigint_are_ordered(spark):
+    at = datetime(2021, 10, 14, 18, 58)
+    prices = {-(10**33): 10, -(2**63) - 1: 20, 0: 30, 2**63: 40, 10**33: 50, 10**33 + 1: 60}
+    schema = "pair string, timestamp timestamp_ntz, sequence decimal(34,0), mid_price decimal(20,8)"
+    rows = [("P", at, Decimal(sequence), Decimal(price)) for sequence, price in prices.items()]
+    for some in (rows, rows[::-1]):
+        candle = ohlc.candles(spark.createDataFrame([*some, ("P", at, None, None)], schema)).first()
+        assert (candle.open_price, candle.close_price) == (10, 60)
+    later = ("P", at + MICRO, None, Decimal(70))
+    assert ohlc.candles(spark.createDataFrame([later, *rows], schema)).first().close_price == 70
+
+
+def test_any_sequence_query_takes_every_event_id(spark, tmp_path):
+    """Ids whose product with 10**13 is past BIGINT, tied by the minute."""
+    rng, at = random.Random(5), datetime(2024, 1, 3, 7)
+    ids = [0, 1, 922_336, 922_337, 922_339, 922_342, 5_999_998, 5_999_999, 2**63 - 1, 2**63 - 4, -(2**63), None]
+    ids += rng.sample(range(2 * 10**6, 6 * 10**6), 60)
+    rows = []
+    for event_id in ids:
+        time = at + timedelta(seconds=rng.randint(0, 119), hours=6 * rng.randint(0, 4))
+        rows.append((event_id, time, rng.choice(["a", "b"]), float(rng.randint(1, 10**6))))
+    frame_of = "event_id long, ts timestamp_ntz, event_type string, value double"
+    spark.createDataFrame(rows, frame_of).write.parquet(f"{tmp_path}/events.parquet")
+
+    def spread(n):
+        n = 0 if n is None else n
+        rest = abs(n) % 3 * (1 if n > 0 else -1)
+        return -n if rest == 0 else n * 10**13 if rest == 1 else n
+
+    ticks = [(p, t.replace(second=0), spread(n), Decimal(str(v + 0.25))) for n, t, p, v in rows]
+    found = registry.candles_any_sequence(spark, str(tmp_path))
+    assert collected(found) == brute(ticks, *registry.DAY)
+
+
 @pytest.mark.parametrize("limit", [100, 10**13])
 @pytest.mark.parametrize("past", [-1, None])
 def test_sequence_outside_a_limit_is_skipped(spark, limit, past):
