@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import random
 import re
+import tracemalloc
 import zlib
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,6 +56,34 @@ def test_any_text_encodes_as_the_library(text):
     assert np.frombuffer(b"".join(FILES.texts([text])[0]), "<u4").tolist() == expected(text)
 
 
+@pytest.mark.parametrize("encode", [OWN.packed, FILES._encode])
+def test_joined_ids_of_many_texts_are_those_of_the_library(encode):
+    draw, parts = random.Random(8), Remembered(encode, limit=60, together=7)
+    odd = ["", None, " ", "one", " a", "a ", "x" * 70, f"a {'y' * 70} b {'z' * 70}\t c", "don't.Stop a.\nB the*** it,it"]
+    for _ in range(12):
+        made = ["".join(draw.choices(PIECES, k=draw.randint(0, 40))) for _ in range(20)]
+        texts = draw.sample([*odd, *made], k=draw.randint(1, 20))
+        ids, ends = parts.joined(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [expected(text or "") for text in texts]
+    ids, ends = parts.joined(pa.array([], pa.string()))
+    assert (ids.tolist(), ends.tolist()) == ([], [0])
+
+
+@pytest.mark.parametrize("encode", [OWN.packed, FILES._encode])
+def test_memory_of_encoding_follows_distinct_parts(encode):
+    words = [f"{first}{last}" for first in "abcdefghij" for last in ("one", "two,", "three***", "four.\nNext")]
+    texts = pa.array([" ".join(random.Random(at).choices(words, k=20_000)) for at in range(20)])
+    parts, given = Remembered(encode), []
+    parts._encode = lambda some: given.extend(some) or encode(some)
+    tracemalloc.start()
+    ids, ends = parts.joined(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(given) <= 2 * len(words)
+    assert peak < 12e6 + ids.nbytes  # the words of these texts as strings take 20 MB and more
+    assert ids[: ends[1]].tolist() == expected(texts[0].as_py())
+
+
 def merged(word: str, merges: list[tuple[str, str]]) -> list[str]:
     """Merges one after the other, each from the left."""
     parts = list(word)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from array import array
 from hashlib import sha256
 
 import numpy as np
@@ -17,17 +16,22 @@ from wickframe.llm.runtime import Batches, file_bytes, kept, map_batches, slices
 TOKENIZER = "byte_bpe_50k.json"
 # New parts that are encoded at a time, and parts that a worker remembers before it lets unused ones go.
 TOGETHER = 1 << 14
-REMEMBERED = 150_000
+REMEMBERED = 600_000
 
 
-def _parts(content: bytes) -> Remembered:
+def _parts(content: bytes) -> tuple[Remembered, pa.Array, pa.Array]:
+    """The memory of parts, and by id how it is written, with a comma, and its label."""
     bpe = ByteBpe(content)
+    ids = range(max(bpe.labels) + 1)
+    numbers = pa.array([f"{i},".encode() for i in ids], pa.large_binary())
+    return Remembered(bpe.packed, REMEMBERED, TOGETHER), numbers, pa.array(map(bpe.labels.get, ids), pa.large_binary())
 
-    def encode(parts: list[str]):
-        for ids in bpe.encode(parts):
-            yield len(ids), bpe.written(ids), bpe.decode(ids)
 
-    return Remembered(encode, REMEMBERED, TOGETHER)
+def _spelled(ids: np.ndarray, ends: np.ndarray, table: pa.Array) -> tuple[memoryview, list[int]]:
+    """The entries of all ids one after the other, and where those of each text end, from 0 on."""
+    taken = table.take(pa.array(ids))
+    stops = np.frombuffer(taken.buffers()[1], np.int64, len(ids) + 1)
+    return memoryview(taken.buffers()[2] or b""), stops[ends].tolist()
 
 
 def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -38,14 +42,11 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(path or tokenizer_path(TOKENIZER)))
 
     def run(batches: Batches) -> Batches:
-        bpe = ByteBpe(shared.value)
-        parts = Remembered(lambda found: [array("i", ids).tobytes() for ids in bpe.encode(found)], together=TOGETHER)
+        parts = Remembered(ByteBpe(shared.value).packed, together=TOGETHER)
         for whole in batches:
             for batch in slices(whole, "text"):
-                rows = parts.texts([text or "" for text in batch.column("text").to_pylist()])
-                joined = [b"".join(row) for row in rows]
-                ends = np.cumsum([0, *(len(row) // 4 for row in joined)])
-                values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(joined))])
+                found, ends = parts.joined(batch.column("text"))
+                values = pa.array(found.view(np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), ids], ["id", "ids"])
 
@@ -85,16 +86,17 @@ def encode_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(path or tokenizer_path(TOKENIZER)))
 
     def run(batches: Batches) -> Batches:
-        parts = kept(("bpe", shared.value), lambda: _parts(shared.value))
+        parts, numbers, labels = kept(("bpe", shared.value), lambda: _parts(shared.value))
         for whole in batches:
             for batch in slices(whole, "text"):
-                counts, ids, decoded = [], [], []
-                for row in parts.texts([text or "" for text in batch.column("text").to_pylist()]):
-                    numbers, written, labels = zip(*row) if row else ((), (), ())
-                    counts.append(sum(numbers))
-                    ids.append(sha256(",".join(written).encode()).hexdigest())
-                    text = b"".join(labels).decode("utf-8", "replace")
-                    decoded.append(sha256(text.encode()).hexdigest())
+                found, ends = parts.joined(batch.column("text"))
+                counts = np.diff(ends)
+                spelled, stops = _spelled(found, ends, numbers)
+                # The last comma of a text is none of its own.
+                ids = [sha256(spelled[a : max(a, b - 1)]).hexdigest() for a, b in zip(stops, stops[1:])]
+                spelled, stops = _spelled(found, ends, labels)
+                texts = (str(spelled[a:b], "utf-8", "replace") for a, b in zip(stops, stops[1:]))
+                decoded = [sha256(text.encode()).hexdigest() for text in texts]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                     ["id", "n_tokens", "ids_sha256", "decoded_sha256"],

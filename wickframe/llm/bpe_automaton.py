@@ -186,9 +186,13 @@ class MergeAutomaton:
 
     def encode_bytes(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Tokens of each pre-split word."""
+        return [tuple(np.frombuffer(ids, "<u4").tolist()) for ids in self.packed(words)]
+
+    def packed(self, words: list[bytes]) -> list[bytes]:
+        """Tokens of each pre-split word, as 32-bit numbers."""
         if len(words) <= FEW:
             return [self._alone(word) for word in words]
-        out: list[tuple[int, ...]] = [()] * len(words)
+        out = [b""] * len(words)
         order = sorted((i for i, word in enumerate(words) if len(word) <= LONG), key=lambda i: -len(words[i]))
         for start in range(0, len(order), TOGETHER):
             some = order[start : start + TOGETHER]
@@ -199,7 +203,7 @@ class MergeAutomaton:
                 out[i] = self._alone(word)
         return out
 
-    def _together(self, words: list[bytes]) -> list[tuple[int, ...]]:
+    def _together(self, words: list[bytes]) -> list[bytes]:
         """Words from the longest to the shortest, a byte of all of them at a time."""
         lengths = np.array([len(word) for word in words])
         most = int(lengths[0])
@@ -235,11 +239,12 @@ class MergeAutomaton:
             at[rows] = origin[at[rows], rows]
             rows = rows[at[rows] > 0]
         paths = np.stack(columns[::-1], axis=1) if columns else np.zeros((len(words), 0), np.int64)
-        counts = (paths >= 0).sum(axis=1).tolist()
-        width = paths.shape[1]
-        return [tuple(path[width - count :]) for path, count in zip(paths.tolist(), counts)]
+        taken = paths >= 0
+        stops = (4 * taken.sum(axis=1).cumsum()).tolist()
+        tokens = paths[taken].astype("<u4").tobytes()
+        return [tokens[start:stop] for start, stop in zip([0, *stops], stops)]
 
-    def _alone(self, word: bytes) -> tuple[int, ...]:
+    def _alone(self, word: bytes) -> bytes:
         """One word of any length."""
         arcs, ending, allowed = self._arcs, self._ending, self._met
         states, origin = [-1], [0]
@@ -268,7 +273,7 @@ class MergeAutomaton:
         while at:
             path.append(states[at])
             at = origin[at]
-        return tuple(reversed(path))
+        return np.array(path[::-1], "<u4").tobytes()
 
 
 class ByteBpe:
@@ -286,9 +291,10 @@ class ByteBpe:
             token: text.encode() for text, token in self.added.items()
         }
         self._split = Tokenizer.from_str(content.decode()).pre_tokenizer.pre_tokenize_str
-        self._words: dict[bytes, tuple[int, ...]] = {}
+        self._words: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+        self._marks = {token: np.array([token], "<u4").tobytes() for token in self.added.values()}
         self._hidden = {ord(shown): byte for shown, byte in byte_alphabet().items()}
-        self._numbers = {token: str(token) for token in self.labels}
         # No added token is made of letters, so what is has none in it.
         self._letters_are_plain = not any(self._letters(name) for name in self.added)
 
@@ -319,37 +325,61 @@ class ByteBpe:
             text = text[at + len(name) :]
         return cut
 
-    def _cut(self, text: str) -> list[bytes | int]:
+    def _simple(self, text: str) -> list[bytes | int] | None:
         """The commonest forms, a word and a word before a comma or stop, are cut here."""
         if self._letters_are_plain and text:
             if self._letters(text):
                 return [text.encode()]
             if text[-1] in ",." and self._letters(text[:-1]):
                 return [text[:-1].encode(), text[-1].encode()]
-        return self._plain(text)
+        return None
+
+    def _cut(self, texts: list[str]) -> list[list[bytes | int]]:
+        cut = list(map(self._simple, texts))
+        others = [at for at, row in enumerate(cut) if row is None]
+        found = self._cut_together([texts[at] for at in others])
+        for at, row in zip(others, found):
+            cut[at] = row
+        return cut
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        words = self._words
-        if len(words) > 80_000:
-            words.clear()
-        cut = list(map(self._cut, texts))
-        new = list({part for row in cut for part in row if part not in words and not isinstance(part, int)})
-        found = dict(zip(new, self.automaton.encode_bytes(new)))
-        words.update((word, ids) for word, ids in found.items() if len(word) <= 32)
-        out = []
-        for row in cut:
-            ids: list[int] = []
-            for part in row:
-                if isinstance(part, int):
-                    ids.append(part)
-                else:
-                    ids.extend(words.get(part) or found[part])
-            out.append(ids)
-        return out
+    def _cut_together(self, texts: list[str]) -> list[list[bytes | int]]:
+        """Texts that begin with their only blank and have no other white space at an end are cut as one: just the
+        first pre-token of each begins with a blank."""
+        whole = "".join(texts)
+        if (
+            len(texts) < 2
+            or any(name in whole for name in self.added)
+            or any(
+                text.rfind(" ") or len(text) < 2 or text[1].isspace() or text[-1].isspace()
+                for text in texts
+            )
+        ):
+            return list(map(self._plain, texts))
+        cut: list[list[bytes | int]] = []
+        for part in self._pre_tokens(whole):
+            if part[:1] == b" ":
+                cut.append([part])
+            else:
+                cut[-1].append(part)
+        if len(cut) != len(texts):
+            raise ValueError("a part has more than one beginning")
+        return cut
 
-    def written(self, ids: list[int]) -> str:
-        """The ids as decimals joined by commas."""
-        return ",".join(map(self._numbers.__getitem__, ids))
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as 32-bit numbers."""
+        if len(self._words) > 80_000:
+            self._words, self._old = {}, self._words
+        words, old = self._words, self._old
+        cut = self._cut(texts)
+        parts = {part for row in cut for part in row}
+        found = {part: self._marks.get(part) or words.get(part) or old.get(part) for part in parts}
+        new = [part for part, ids in found.items() if ids is None]
+        found.update(zip(new, self.automaton.packed(new)))
+        words.update((part, ids) for part, ids in found.items() if not isinstance(part, int) and len(part) <= 32)
+        return [found[row[0]] if len(row) == 1 else b"".join([found[part] for part in row]) for row in cut]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(ids, "<u4").tolist() for ids in self.packed(texts)]
 
     def decode(self, ids: list[int]) -> bytes:
         """The labels of the arcs taken, one after the other."""

@@ -8,8 +8,10 @@ id serve those inside the range of a row group that does not hold them. Readers
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,13 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 
+# A blank and letters, in every version of Unicode, and what follows them, from a character that is none.
+_STEM = re.compile(r" ([A-Za-zÀ-ÖØ-öø-ɏ]+)((?:[\x00-@\[-`{-\x7f].*)?)\Z", re.DOTALL)
+
+# Words and ends of parts that new parts are put together from: at most so many of each are kept, and parts, and bytes
+# of text that are cut at a time.
+STEMS, TAILS, REMEMBERED, AT_A_TIME = 1 << 18, 1 << 15, 1_000_000, 16 << 20
+
 _ROWS = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 
 
@@ -48,17 +57,25 @@ def _parts(content: bytes) -> Remembered:
     starts = np.array([tokenizer.id_to_token(i)[0] == "Ġ" for i in range(tokenizer.get_vocab_size())])
 
     model, shown = tokenizer.model, {byte: c for c, byte in byte_alphabet().items()}
-    ends = {end: array("I", [tokenizer.token_to_id(end)]) for end in (",", ".")}
 
-    def word(part: str) -> bytes | None:
-        """Ids of a blank and letters, and a comma or stop at most: one pre-token and one for the mark."""
-        letters, end = (part[1:-1], ends[part[-1]]) if part[-1] in ends else (part[1:], None)
-        if part[0] != " " or not letters.isalpha() or max(letters) >= "\u0250":  # letters in every Unicode
-            return None
+    @lru_cache(STEMS)
+    def stem(letters: str) -> bytes:
+        """Ids of a blank and letters: one pre-token."""
         if not letters.isascii():
             letters = letters.encode().decode("latin-1").translate(shown)
-        ids = array("I", [token.id for token in model.tokenize(f"Ġ{letters}")])
-        return (ids + end if end else ids).tobytes()
+        return array("I", [token.id for token in model.tokenize(f"Ġ{letters}")]).tobytes()
+
+    @lru_cache(TAILS)
+    def tail(rest: str) -> bytes:
+        return array("I", tokenizer.encode_batch_fast([rest], add_special_tokens=False)[0].ids).tobytes()
+
+    def word(part: str) -> bytes | None:
+        """Ids of a part that begins with a blank and letters; what follows the letters is cut from them."""
+        found = _STEM.match(part)
+        if not found:
+            return None
+        letters, rest = found.groups()
+        return stem(letters) + tail(rest) if rest else stem(letters)
 
     def joined(parts: list[str]) -> list[bytes]:
         """Ids of parts encoded as one text: only the blank that begins a part makes a token with Ġ."""
@@ -79,7 +96,7 @@ def _parts(content: bytes) -> Remembered:
                 found[at] = ids
         return found
 
-    return Remembered(encode, limit=800_000)
+    return Remembered(encode, REMEMBERED)
 
 
 def write_token_files(
@@ -98,22 +115,21 @@ def write_token_files(
     than a batch is held.
     """
     shared = docs.sparkSession.sparkContext.broadcast(file_bytes(tokenizer or tokenizer_path(TOKENIZER)))
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Batches) -> Batches:
         parts = kept(("ids", shared.value), lambda: _parts(shared.value))
         part, start = TaskContext.get().partitionId(), 0
         for whole in batches:
-            for batch in slices(whole, "text"):
-                texts = parts.texts(batch.column("text").to_pylist())
-                encoded = [b"".join([*row, tail]) for row in texts]
-                lengths = np.fromiter((len(row) // 4 for row in encoded), np.int64, len(encoded))
-                offsets = np.concatenate(([0], np.cumsum(lengths)))
-                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(encoded))])
+            for batch in slices(whole, "text", AT_A_TIME):
+                ids, offsets = parts.joined(batch.column("text"))
+                if end_id is not None:
+                    ids, offsets = np.insert(ids, offsets[1:], end_id), offsets + np.arange(len(offsets))
+                lengths = np.diff(offsets)
+                values = pa.array(ids.view(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
-                        pa.array(np.full(len(encoded), part, np.int32)),
+                        pa.array(np.full(len(lengths), part, np.int32)),
                         pa.array(start + offsets[:-1]),
                         pa.array(lengths),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values),
