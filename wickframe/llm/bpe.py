@@ -16,7 +16,7 @@ from wickframe.llm.runtime import Batches, file_bytes, kept, map_batches, slices
 TOKENIZER = "byte_bpe_50k.json"
 # New parts that are encoded at a time, and parts that a worker remembers before it lets unused ones go.
 TOGETHER = 1 << 14
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 
 def _parts(content: bytes) -> tuple[Remembered, pa.Array, pa.Array]:

@@ -31,6 +31,8 @@ LONG = 64
 # Words that take their steps together: bounds the arrays, and keeps them near the processor. A few go one by one.
 TOGETHER = 4096
 FEW = 12
+# Words and marks that the tokenizer remembers, twice.
+WORDS = 30_000
 # Slots of the table of transitions; a power of two.
 SLOTS = 1 << 20
 
@@ -48,7 +50,7 @@ class FlatMap:
     """Whole numbers by keys that are whole numbers, not negative, looked up many at a time."""
 
     def __init__(self, pairs: dict[int, int]):
-        bits = max(4, (4 * len(pairs)).bit_length())
+        bits = max(4, (2 * len(pairs)).bit_length())
         self._shift, size = np.uint64(64 - bits), 1 << bits
         self._keys, self._values = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         keys, values = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int64)
@@ -63,6 +65,15 @@ class FlatMap:
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * _SPREAD) >> self._shift).astype(np.int64)
 
+    def one(self, key: int) -> int:
+        """The value of one key; -1 where it is not there."""
+        at = (key * int(_SPREAD) & (1 << 64) - 1) >> int(self._shift)
+        while (held := self._keys.item(at)) != key:
+            if held == -1:
+                return -1
+            at = at + 1 & len(self._keys) - 1
+        return self._values.item(at)
+
     def get(self, keys: np.ndarray) -> np.ndarray:
         """The values; -1 for keys that are not there."""
         at = self._slots(keys)
@@ -117,7 +128,6 @@ class MergeAutomaton:
                     ending.append(-1)
                 node = after
             ending[node] = token
-        self._arcs, self._ending = arcs, ending
         self._backward, self._token_at = FlatMap(arcs), np.array(ending, np.int64)
         self._met: dict[tuple[int, int], bool] = {}  # the same for words that go one by one
         self._known = np.full(SLOTS, -1, np.int64)  # pair of state and token, doubled, and whether there is an arc
@@ -246,16 +256,16 @@ class MergeAutomaton:
 
     def _alone(self, word: bytes) -> bytes:
         """One word of any length."""
-        arcs, ending, allowed = self._arcs, self._ending, self._met
+        arc, ending, allowed = self._backward.one, self._token_at.item, self._met
         states, origin = [-1], [0]
         for end in range(1, len(word) + 1):
             node, at = 0, end
             while True:
                 at -= 1
-                node = arcs.get(node << 8 | word[at], -1) if at >= 0 else -1
+                node = arc(node << 8 | word[at]) if at >= 0 else -1
                 if node < 0:
                     raise ValueError("the vocabulary lacks a byte of this word")
-                token = ending[node]
+                token = ending(node)
                 if token < 0:
                     continue
                 if not at:
@@ -282,6 +292,7 @@ class ByteBpe:
     def __init__(self, content: bytes):
         from tokenizers import Tokenizer
 
+        self._split = Tokenizer.from_str(content.decode()).pre_tokenizer.pre_tokenize_str
         plan = json.loads(content)
         model = plan["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -290,7 +301,6 @@ class ByteBpe:
         self.labels = self.automaton.labels | {
             token: text.encode() for text, token in self.added.items()
         }
-        self._split = Tokenizer.from_str(content.decode()).pre_tokenizer.pre_tokenize_str
         self._words: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
         self._marks = {token: np.array([token], "<u4").tobytes() for token in self.added.values()}
@@ -367,7 +377,7 @@ class ByteBpe:
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as 32-bit numbers."""
-        if len(self._words) > 80_000:
+        if len(self._words) > WORDS:
             self._words, self._old = {}, self._words
         words, old = self._words, self._old
         cut = self._cut(texts)

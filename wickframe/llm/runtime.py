@@ -77,7 +77,6 @@ def release() -> None:
     """Let go of what the worker keeps."""
     if _kept:
         _kept.clear()
-        pa.default_memory_pool().release_unused()
 
 
 @lru_cache(maxsize=1)
@@ -90,6 +89,7 @@ def _trimmer() -> Callable[[int], int] | None:
 
 def trim() -> None:
     """Give memory that is free back to the machine; a worker that goes on with other work would hold it."""
+    pa.default_memory_pool().release_unused()
     give_back = _trimmer()
     if give_back:
         give_back(0)
@@ -100,7 +100,8 @@ def map_batches(
 ) -> DataFrame:
     """``mapInArrow`` with this package at hand in the workers.
 
-    A function that does not keep anything lets go of what the worker kept for another.
+    A function that does not keep anything lets go of what the worker kept for another. Memory that is free when a task
+    begins or ends goes back to the machine, also while the worker waits.
     """
     ship(df.sparkSession)
 
@@ -108,7 +109,8 @@ def map_batches(
         if not keeps:
             release()
         trim()
-        return function(batches)
+        yield from function(batches)
+        trim()
 
     return df.mapInArrow(run, schema)
 
