@@ -84,6 +84,54 @@ def test_memory_of_encoding_follows_distinct_parts(encode):
     assert ids[: ends[1]].tolist() == expected(texts[0].as_py())
 
 
+def test_new_words_are_encoded_many_at_a_time(monkeypatch):
+    calls = []
+
+    class Counted:
+        def __init__(self, of):
+            self._of = of
+
+        def __getattr__(self, name):
+            value = getattr(self._of, name)
+            if name == "model":
+                return Counted(value)
+            if name in ("tokenize", "encode", "encode_batch", "encode_batch_fast"):
+                calls.append(name)
+            return value
+
+    class Counting:
+        from_str = staticmethod(lambda content: Counted(Tokenizer.from_str(content)))
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Counting)
+    parts, draw = token_files._parts(CONTENT), random.Random(4)
+    words = sorted({"".join(draw.choices("aehrñé", k=7)) for _ in range(8000)})
+    texts = [" ".join(f"{word}{end}" for word in words) for end in ("", ",", "***")]
+    ids, ends = parts.joined(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [expected(text) for text in texts]
+    assert len(calls) < len(words) / 8
+
+
+def test_file_parts_that_come_and_go_encode_as_the_library():
+    draw, parts = random.Random(9), token_files.FileParts(CONTENT, limit=40)
+    letters = "abz\u00c0\u00e0\u00ff\u00c3\u0120\u0142\u024f\u0250\u00d7\u00aa"
+    odd = ["", None, " ", "one", "x" * 70, f"a {'y' * 70}. {'z' * 70}\t c", "a <|endoftext|> b<|endoftext|>", "a\xa0 b \xa0"]
+    for _ in range(40):
+        words = ["".join(draw.choices(letters, k=draw.randint(1, 6))) + draw.choice(PIECES) for _ in range(60)]
+        made = [" ".join(draw.choices(words, k=draw.randint(1, 50))) for _ in range(6)]
+        texts = draw.sample([*odd, *made], k=draw.randint(1, 10))
+        ids, ends = parts.joined(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [expected(text or "") for text in texts]
+
+
+def test_file_parts_of_a_model_that_merges_across_words():
+    plan = json.loads(CONTENT)
+    plan["model"]["vocab"]["aĠ"] = max(plan["model"]["vocab"].values()) + 1
+    plan["model"]["merges"].insert(0, ["a", "Ġ"])
+    content = json.dumps(plan)
+    ids, _ = token_files._parts(content.encode()).joined(pa.array(["la la, casa a ba ca"]))
+    assert ids.tolist() == Tokenizer.from_str(content).encode("la la, casa a ba ca", add_special_tokens=False).ids
+
+
 def merged(word: str, merges: list[tuple[str, str]]) -> list[str]:
     """Merges one after the other, each from the left."""
     parts = list(word)

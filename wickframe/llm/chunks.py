@@ -56,13 +56,17 @@ class Remembered:
         """Where the parts are kept; -1 for the others."""
         return pc.fill_null(pc.index_in(parts, value_set=self._parts), -1).to_numpy().copy()
 
-    def _numbered(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """Values, and the number of the value of each of some distinct parts, with a blank before it; -1 for those
-        with white space at an end."""
+    def _forget(self) -> None:
+        """Let unused parts go where there are too many."""
         if len(self._parts) > self._limit:
             used = pa.array(self._used)
             self._parts, self._values = self._parts.filter(used), self._values.filter(used)
             self._used = np.zeros(len(self._parts), bool)
+
+    def _numbered(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Values, and the number of the value of each of some distinct parts, with a blank before it; -1 for those
+        with white space at an end."""
+        self._forget()
         numbers = self._kept(parts)
         self._used[numbers[numbers >= 0]] = True
         missing = np.flatnonzero(numbers < 0)

@@ -8,20 +8,19 @@ id serve those inside the range of a row group that does not hold them. Readers
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
-from functools import lru_cache
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wickframe.llm.bpe_automaton import byte_alphabet
-from wickframe.llm.chunks import Remembered
+from wickframe.llm.chunks import LONGEST_KEPT, Remembered
 from wickframe.llm.runtime import Batches, file_bytes, kept, map_batches, slices, tokenizer_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,67 +35,159 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 
-# A blank and letters, in every version of Unicode, and what follows them, from a character that is none.
-_STEM = re.compile(r" ([A-Za-zÀ-ÖØ-öø-ɏ]+)((?:[\x00-@\[-`{-\x7f].*)?)\Z", re.DOTALL)
+# Letters, in every version of Unicode, and what follows them, from a character that is none.
+_WORD = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ɏ]+)(?P<rest>(?:[\x00-@\[-`{-\x7f](?s:.*))?)$"
 
-# Words and ends of parts that new parts are put together from: at most so many of each are kept, and parts, and bytes
-# of text that are cut at a time.
-STEMS, TAILS, REMEMBERED, AT_A_TIME = 1 << 18, 1 << 15, 1_000_000, 16 << 20
+_ASCII = (*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1))
+
+# Parts and ends of parts that are kept, about; bytes of text that are cut at a time, what a task mostly has.
+REMEMBERED, RESTS, AT_A_TIME = 500_000, 1 << 17, 20 << 20
+
+# Parts that are encoded as one text; words that the model gets at once, and those that are cut apart together.
+ONE_TEXT, WORDS, TOGETHER = 250, 16, 1 << 14
 
 _ROWS = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 
 
-def _parts(content: bytes) -> Remembered:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(content.decode())
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-
-    starts = np.array([tokenizer.id_to_token(i)[0] == "Ġ" for i in range(tokenizer.get_vocab_size())])
-
-    model, shown = tokenizer.model, {byte: c for c, byte in byte_alphabet().items()}
-
-    @lru_cache(STEMS)
-    def stem(letters: str) -> bytes:
-        """Ids of a blank and letters: one pre-token."""
-        if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(shown)
-        return array("I", [token.id for token in model.tokenize(f"Ġ{letters}")]).tobytes()
-
-    @lru_cache(TAILS)
-    def tail(rest: str) -> bytes:
-        return array("I", tokenizer.encode_batch_fast([rest], add_special_tokens=False)[0].ids).tobytes()
-
-    def word(part: str) -> bytes | None:
-        """Ids of a part that begins with a blank and letters; what follows the letters is cut from them."""
-        found = _STEM.match(part)
-        if not found:
-            return None
-        letters, rest = found.groups()
-        return stem(letters) + tail(rest) if rest else stem(letters)
-
-    def joined(parts: list[str]) -> list[bytes]:
-        """Ids of parts encoded as one text: only the blank that begins a part makes a token with Ġ."""
-        ids = np.array(tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, "<u4")
-        if len(parts) == 1:
-            return [ids.tobytes()]
-        at = np.flatnonzero(starts[ids]) * 4
-        if len(at) != len(parts):
+class FileParts(Remembered):
+    """Ids of parts as bytes; new parts are put together from a word of letters, kept as a part too, and what follows.
+
+    Letters behind a blank are one pre-token, and what follows them is encoded as it is on its own. The library encodes
+    new words many at a time, and Arrow puts the parts together, so the work follows the distinct words.
+    """
+
+    def __init__(self, content: bytes, limit: int = REMEMBERED):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(content.decode())
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        model = tokenizer.model
+        self._tokenizer, self._model = tokenizer, model
+        self._starts = np.array([tokenizer.id_to_token(i)[0] == "Ġ" for i in range(tokenizer.get_vocab_size())])
+        self._shown = np.zeros(256, "<u4")
+        for c, byte in byte_alphabet().items():
+            self._shown[byte] = ord(c)
+        # Bytes of words and blanks. Where no token of these alone has a blank after a word's byte, words that follow
+        # each other merge as each does by itself.
+        alphabet = {chr(c) for c in self._shown[[0x20, *_ASCII, *range(0x80, 0xC0), *range(0xC3, 0xCA)]]}
+        by_place = model.ignore_merges or model.continuing_subword_prefix or model.end_of_word_suffix or model.fuse_unk
+        self._apart = not by_place and not any(
+            "Ġ" in token.lstrip("Ġ") and alphabet.issuperset(token) for token in tokenizer.get_vocab()
+        )
+        self._rests: dict[str, bytes] = {}
+        super().__init__(self._some, limit)
+        self._letter = len(self._one(" a"))
+
+    def _ids(self, parts: list[str]) -> list[int]:
+        return self._tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids
+
+    def _some(self, parts: list[str]) -> list[bytes]:
+        """Ids of one part of any kind, or of parts that each begin with a blank."""
+        ids = self._ids(parts)
+        return [np.array(ids, "<u4").tobytes()] if len(parts) == 1 else self._cut(ids, len(parts)).to_pylist()
+
+    def _cut(self, found: list[int], count: int) -> pa.Array:
+        """Ids of parts one after the other, apart: only the blank that begins a part makes a token with Ġ."""
+        ids = np.array(found, "<u4")
+        at = np.flatnonzero(self._starts[ids])
+        if len(at) != count:
             raise ValueError("a part has more than one beginning")
-        ids = ids.tobytes()
-        return [ids[a:b] for a, b in zip(at.tolist(), [*at[1:].tolist(), len(ids)])]
-
-    def encode(parts: list[str]) -> list[bytes]:
-        found = [word(part) if part else b"" for part in parts]
-        others = [at for at, ids in enumerate(found) if ids is None]
-        if others:
-            for at, ids in zip(others, joined([parts[at] for at in others])):
-                found[at] = ids
-        return found
-
-    return Remembered(encode, REMEMBERED)
+        ends = np.append(at, len(ids)) * 4
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), count, [None, pa.py_buffer(ends), pa.py_buffer(ids)])
+
+    def _parts_ids(self, names: list[str]) -> pa.Array:
+        """Ids of parts, with a blank before each."""
+        some = ([f" {name}" for name in names[at : at + ONE_TEXT]] for at in range(0, len(names), ONE_TEXT))
+        return _all(self._cut(self._ids(each), len(each)) for each in some)
+
+    def _word_ids(self, words: list[str]) -> pa.Array:
+        """Ids of words of letters, with a blank before each: a word is one pre-token, so the model needs no pattern."""
+        found, count = [], WORDS if self._apart else 1
+        for start in range(0, len(words), TOGETHER):
+            text = "".join([f" {word}" for word in words[start : start + TOGETHER]]).encode()
+            some = self._shown[np.frombuffer(text, np.uint8)].tobytes().decode("utf-32-le").split("Ġ")[1:]
+            texts = ("Ġ" + "Ġ".join(some[at : at + count]) for at in range(0, len(some), count))
+            found.append(self._cut([token.id for text in texts for token in self._model.tokenize(text)], len(some)))
+        return _all(found)
+
+    def _rest_ids(self, rests: list[str]) -> pa.Array:
+        """Ids of what follows letters: those of a part with one letter before it, less the letter's."""
+        if len(self._rests) > RESTS:
+            self._rests.clear()
+        new = [rest for rest in rests if rest not in self._rests]
+        found = self._parts_ids([f"a{rest}" for rest in new]).to_pylist()
+        self._rests.update(zip(new, (ids[self._letter :] for ids in found)))
+        return pa.array([self._rests[rest] for rest in rests], pa.large_binary())
+
+    def _numbered(self, parts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """As of any parts, by arrays: first the new words, then the parts that end otherwise, then those without words."""
+        self._forget()
+        cut = pc.extract_regex(parts, _WORD)
+        has_word = _mask(cut.is_valid())
+        coded = cut.field(0).filter(cut.is_valid()).dictionary_encode()
+        words, word_of = coded.dictionary, np.zeros(len(parts), np.int64)
+        word_of[has_word] = coded.indices.to_numpy()
+        found = self._kept(pa.concat_arrays([parts, words]))
+        numbers, of_words = found[: len(parts)], found[len(parts) :]
+
+        sizes = pc.utf8_length(parts)
+        missing = (numbers < 0) & _mask(pc.and_(pc.greater(sizes, 0), pc.equal(pc.utf8_trim_whitespace(parts), parts)))
+        short = _mask(pc.less_equal(sizes, LONGEST_KEPT))
+        new = missing & short
+        needed = np.zeros(len(words), bool)
+        needed[word_of[new & has_word]] = True
+        self._used[numbers[numbers >= 0]] = True
+        self._used[of_words[needed & (of_words >= 0)]] = True
+
+        unknown = np.flatnonzero(needed & (of_words < 0))
+        names = words.take(pa.array(unknown))
+        of_words[unknown] = self._add(names, self._word_ids(_strings(names)))
+        alone = _mask(pc.equal(pc.binary_length(cut.field(1)), 0).fill_null(False))
+        at = new & has_word & alone
+        numbers[at] = of_words[word_of[at]]
+
+        at = np.flatnonzero(new & has_word & ~alone)
+        if len(at):
+            rests = cut.field(1).take(pa.array(at)).dictionary_encode()
+            ends = self._rest_ids(_strings(rests.dictionary)).take(rests.indices)
+            firsts = self._values.take(pa.array(of_words[word_of[at]]))
+            values = pc.binary_join_element_wise(firsts, ends, pa.scalar(b"", pa.large_binary()))
+            numbers[at] = self._add(parts.take(pa.array(at)), values)
+        at = np.flatnonzero(new & ~has_word)
+        names = parts.take(pa.array(at))
+        numbers[at] = self._add(names, self._parts_ids(_strings(names)))
+
+        at = np.flatnonzero(missing & ~short)
+        if not len(at):
+            return self._values, numbers
+        numbers[at] = np.arange(len(self._values), len(self._values) + len(at))
+        long = [self._one(f" {name}") for name in _strings(parts.take(pa.array(at)))]
+        return _all([self._values, pa.array(long, pa.large_binary())]), numbers
+
+    def _add(self, names: pa.Array, values: pa.Array) -> np.ndarray:
+        """Keep more parts; returns where."""
+        start = len(self._parts)
+        self._parts, self._values = pa.concat_arrays([self._parts, names]), _all([self._values, values])
+        self._used = np.concatenate([self._used, np.ones(len(names), bool)])
+        return np.arange(start, len(self._parts))
+
+
+def _parts(content: bytes) -> Remembered:
+    return FileParts(content)
+
+
+def _all(arrays: Iterable[pa.Array]) -> pa.Array:
+    return pa.concat_arrays([pa.array([], pa.large_binary()), *arrays])
+
+
+def _mask(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False)
+
+
+def _strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
 
 
 def write_token_files(
